@@ -62,6 +62,10 @@ class Log:
     def position(self) -> Column:
         return F.struct(*self.order)
 
+    def with_watermark(self, delay_ms: int) -> Log:
+        """On a stream: how far event times may lag before a record counts as late."""
+        return replace(self, df=self.df.withWatermark("ts", f"{delay_ms} milliseconds"))
+
     def _with(self, df: DataFrame, order: tuple[str, ...] | None = None) -> Log:
         return replace(self, df=df, order=order or self.order)
 

@@ -208,6 +208,9 @@ def suppress(table, until_time_limit_ms: int | None = None, max_records: int | N
     """
     if until_time_limit_ms is not None:
         _positive(until_time_limit_ms, "until_time_limit_ms")
+        if table.source is not None and table.source.streaming:
+            from tidelog.streaming.processors import keyed_rate_limit
+            return keyed_rate_limit(table.updates(), table.keys, until_time_limit_ms)
         from tidelog.operators.stateful import rate_limited
         return rate_limited(table.updates(), table.keys, until_time_limit_ms,
                             max_records, max_bytes)
