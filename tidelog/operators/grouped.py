@@ -67,26 +67,25 @@ class GroupedLog:
             if log.streaming:
                 from tidelog.streaming.processors import keyed_running
                 return keyed_running(self, reducer, init)
-            line = Timeline.of(self.rows, self.keys, log.order)
+            line = Timeline.of(self.rows, self.keys, log.order, log.derived)
             line = line.running("__run", reducer.kind, reducer.input())
             out = line.frame.withColumn(VALUE, _seeded(F.col("__run"), init)).drop("__run")
-            return Log(out, log.order)
+            return Log(out, log.order, derived=True)
 
         return Table(updates, snapshot, self.keys, self.windows, log)
 
     def diff(self) -> Log:
         """Each value less the one before it under the same key; null for the first."""
-        line = Timeline.of(self.rows, self.keys, self.log.order)
+        line = Timeline.of(self.rows, self.keys, self.log.order, self.log.derived)
         line = line.previous("__before", F.col(VALUE))
         return Log(line.frame.withColumn(VALUE, F.col(VALUE) - F.col("__before"))
-                   .drop("__before"), self.log.order)
+                   .drop("__before"), self.log.order, derived=True)
 
     def window_by_time(self, windows) -> GroupedLog:
         """Put every record into the tumbling or hopping windows it falls in."""
         from tidelog.operators.windows import TimeWindows
         need_type(windows, TimeWindows, "windows")
-        return GroupedLog(Log(windows.assign(self.log.df), self.log.order),
-                          (KEY, "window"), windows)
+        return GroupedLog(self.log._with(windows.assign(self.log.df)), (KEY, "window"), windows)
 
     def window_by_session(self, windows):
         from tidelog.operators.windows import SessionGrouped, SessionWindows
@@ -104,7 +103,7 @@ class GroupedTable:
     def signed(self) -> Log:
         """The changelog as removals (sign -1) and additions (sign +1), old before new."""
         log = self.table.updates()
-        line = Timeline.of(log.df, self.table.keys, log.order)
+        line = Timeline.of(log.df, self.table.keys, log.order, log.derived)
         live = lambda key, value: F.when(value.isNotNull(), self._mapped(key, value))
         line = line.with_columns(__new=live(F.col(KEY), F.col(VALUE)))
         line = line.previous("__old", F.col("__new"))
@@ -114,7 +113,7 @@ class GroupedTable:
         pos = f"pos{len(log.order)}"
         flat = line.frame.select(*log.order, F.posexplode(both).alias(pos, "__c"))
         out = flat.select("__c.key", "__c.value", "__c.sign", *log.order, pos)
-        return Log(out.where(F.col(KEY).isNotNull()), log.order + (pos,))
+        return Log(out.where(F.col(KEY).isNotNull()), log.order + (pos,), derived=True)
 
     def _mapped(self, key: Column, value: Column) -> Column:
         k, v = self.mapper(key, value)
@@ -136,10 +135,10 @@ class GroupedTable:
 
         def updates() -> Log:
             signed = self.signed()
-            line = Timeline.of(signed.df, (KEY,), signed.order)
+            line = Timeline.of(signed.df, (KEY,), signed.order, signed.derived)
             line = line.running("__run", "sum", F.col("sign") * reducer.input())
             out = line.frame.withColumn(VALUE, _seeded(F.col("__run"), init))
-            return Log(out.drop("__run", "sign"), signed.order)
+            return Log(out.drop("__run", "sign"), signed.order, derived=True)
 
         def snapshot() -> DataFrame:
             # a group that has lost all its rows stays in the table with its empty value

@@ -42,15 +42,15 @@ def stream_table_join(log: Log, table: Table, joiner: Pairwise, how: str = "inne
     rest = [c for c in log.df.columns if c != KEY]
     rows = log.df.where(F.col(KEY).isNotNull() & F.col(VALUE).isNotNull())
     updates = table.updates()
-    both = _tagged((updates, "__table"), (Log(rows, log.order), "__row"), {"__row": rest})
-    line = Timeline.of(both, (KEY,), _tag_order(updates, log))
+    both = _tagged((updates, "__table"), (log._with(rows), "__row"), {"__row": rest})
+    line = Timeline.of(both, (KEY,), _tag_order(updates, log), updates.derived or log.derived)
     line = line.latest("__now", F.col("__table"))
     met = line.frame.where(F.col("__side") == 1)
     if how == "inner":
         met = met.where(F.col("__now.value").isNotNull())
     out = met.select(KEY, joiner(F.col("__row.value"), F.col("__now.value")).alias(VALUE),
                      *[F.col(f"__row.{c}").alias(c) for c in rest if c != VALUE])
-    return Log(out, log.order)
+    return Log(out, log.order, derived=True)
 
 
 def _tag_order(*logs: Log) -> tuple[str, ...]:
@@ -91,16 +91,16 @@ def global_join(log: Log, table: GlobalTable, lookup: Pairwise, joiner: Pairwise
     need_callable(lookup, "lookup")
     wanted = lookup(F.col(KEY), F.col(VALUE))
     if as_of:
-        moved = Log(log.df.withColumns({"__key": F.col(KEY), KEY: wanted}), log.order)
-        out = stream_table_join(moved, table, joiner, how).df
-        return Log(out.withColumn(KEY, F.col("__key")).drop("__key"), log.order)
+        moved = log._with(log.df.withColumns({"__key": F.col(KEY), KEY: wanted}))
+        out = stream_table_join(moved, table, joiner, how)
+        return out._with(out.df.withColumn(KEY, F.col("__key")).drop("__key"))
     right = table.snapshot().select(F.col(KEY).alias("__rk"), F.struct(VALUE).alias("__r"))
     rows = log.df.withColumn("__wanted", wanted)
     if how == "inner":
         rows = rows.where(F.col("__wanted").isNotNull())
     met = rows.join(right, F.col("__wanted") == F.col("__rk"), how)
     out = met.withColumn(VALUE, joiner(F.col(VALUE), F.col("__r.value")))
-    return Log(out.drop("__rk", "__r", "__wanted"), log.order)
+    return Log(out.drop("__rk", "__r", "__wanted"), log.order, derived=True)
 
 
 # -- table with table, same key -------------------------------------------------------
@@ -120,7 +120,7 @@ def table_join(left: Table, right: Table, joiner: Pairwise, how: str = "inner")
     def updates() -> Log:
         a, b = left.updates(), right.updates()
         order = _tag_order(a, b)
-        line = Timeline.of(_tagged((a, "__l"), (b, "__r")), (KEY,), order)
+        line = Timeline.of(_tagged((a, "__l"), (b, "__r")), (KEY,), order, a.derived or b.derived)
         line = line.latest("__ln", F.col("__l")).latest("__rn", F.col("__r"))
         l, r = F.col("__ln.value"), F.col("__rn.value")  # noqa: E741
         live = {"inner": l.isNotNull() & r.isNotNull(), "left": l.isNotNull(),
@@ -130,7 +130,7 @@ def table_join(left: Table, right: Table, joiner: Pairwise, how: str = "inner")
         out = line.frame.where(F.col(VALUE).isNotNull() | F.col("__before").isNotNull())
         out = out.withColumnRenamed("__side", "side")
         order = tuple("side" if c == "__side" else c for c in order)
-        return Log(out.select(KEY, VALUE, *order), order)
+        return Log(out.select(KEY, VALUE, *order), order, derived=True)
 
     source = left.source.merge(right.source) if left.source and right.source else None
     return Table(updates, snapshot, source=source)
@@ -176,7 +176,7 @@ def foreign_key_join(left: Table, right: Table, foreign_key: Callable[[Column],
                 .agg(F.max_by("m.value", "m.live").alias(VALUE)))
         names = tuple("side" if c == "__side" else c for c in order)
         return Log(seen.select(KEY, VALUE, *[F.col(f"at.{c}").alias(n)
-                                             for c, n in zip(order, names)]), names)
+                                             for c, n in zip(order, names)]), names, derived=True)
 
     return Table(updates, snapshot, source=left.source)
 
@@ -185,7 +185,7 @@ def _versions(log: Log, side: int, order: tuple[str, ...], name: str) -> DataFra
     """Every live version of every key with the positions it holds from and to."""
     at = F.struct(*[F.lit(side).alias(c) if c == "__side" else
                     (F.col(c) if c in log.order else F.lit(0).alias(c)) for c in order])
-    line = Timeline.of(log.df.withColumn("__at", at), (KEY,), log.order)
+    line = Timeline.of(log.df.withColumn("__at", at), (KEY,), log.order, log.derived)
     line = line.following("__to", F.col("__at"))
     return line.frame.where(F.col(VALUE).isNotNull()).select(
         F.col(KEY).alias(f"{name}_key"), F.col(VALUE).alias(name),
@@ -224,7 +224,7 @@ def windowed_join(left: Log, right: Log, joiner: Pairwise, windows: JoinWindows,
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
-    return Log(out, ("ts", "offset", "other_offset"))
+    return Log(out, ("ts", "offset", "other_offset"), derived=True)
 
 
 def _side(log: Log, name: str) -> DataFrame:

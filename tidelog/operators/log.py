@@ -38,6 +38,7 @@ class Log:
 
     df: DataFrame
     order: tuple[str, ...] = ("ts", "offset")
+    derived: bool = False  # made by a window or a join: costly to compute again
 
     def __post_init__(self):
         need_type(self.df, DataFrame, "df")
@@ -141,13 +142,16 @@ class Log:
             gaps = {c: F.lit(0) for c in order if c not in log.order}
             return log.df.withColumns({**gaps, side: F.lit(n)})
 
-        return self._with(aligned(self, 0).unionByName(aligned(other, 1), allowMissingColumns=True),
-                          order + (side,))
+        both = aligned(self, 0).unionByName(aligned(other, 1), allowMissingColumns=True)
+        return Log(both, order + (side,), self.derived or other.derived)
 
     # -- effects ----------------------------------------------------------
 
     def peek(self, observation: Observation | str, *metrics: Column) -> Log:
-        """Measure the passing records without touching them."""
+        """Measure the passing records without touching them.
+
+        Every pass counts: a global sort right behind it samples, and so passes twice.
+        """
         metrics = metrics or (F.count(F.lit(1)).alias("records"),)
         return self._with(self.df.observe(observation, *metrics))
 

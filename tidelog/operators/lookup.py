@@ -51,7 +51,7 @@ def by_id(log: Log, value) -> DataFrame:
 def by_keys(log: Log, path: str, values: Sequence | DataFrame) -> Log:
     """All records whose ``path`` is one of ``values`` (a sequence, or a one-column frame)."""
     if isinstance(values, DataFrame):
-        wanted = values.select(F.col(values.columns[0]).alias("__wanted"))
+        wanted = values.select(F.col(values.columns[0]).alias("__wanted")).distinct()
         found = log.df.join(wanted, at_path(F.col(VALUE), path) == F.col("__wanted"), "left_semi")
         return Log(found, log.order)
     return Log(log.df.where(at_path(F.col(VALUE), path).isin(list(values))), log.order)
@@ -60,7 +60,8 @@ def by_keys(log: Log, path: str, values: Sequence | DataFrame) -> Log:
 def missing_ids(log: Log, path: str, ids: DataFrame) -> DataFrame:
     """The ids no record has at ``path``; empty when all are present."""
     name = ids.columns[0]
-    seen = log.df.select(at_path(F.col(VALUE), path).alias("__seen"))
+    # distinct first: a hot id shrinks to one row before the shuffle
+    seen = log.df.select(at_path(F.col(VALUE), path).alias("__seen")).distinct()
     return ids.distinct().join(seen, F.col(name) == F.col("__seen"), "left_anti")
 
 

@@ -142,20 +142,15 @@ def _run(log: Log, step: Step, stores: Sequence[Store], key_type: str, value_typ
             return Context({n: MemoryCell() for n in names})
 
         df = ordered_pass(log.df, (KEY,), order, start, outputs, schema)
-    return Log(df, order + (pos,))
+    return Log(df, order + (pos,), derived=True)
 
 
 def ordered_pass(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  start: Callable[[dict], object],
                  step: Callable[[object, dict], Iterable[dict]], schema: T.StructType,
-                 finish: Callable[[object], Iterable[dict]] | None = None,
-                 placed: bool = False) -> DataFrame:
-    """Walk the rows of each key in order: ``start`` a state, ``step`` per row, ``finish``.
-
-    ``placed`` says the rows of a key (or of a key's slice) already share a partition.
-    """
-    spread = df if placed else df.repartition(*keys)
-    sorted_rows = spread.sortWithinPartitions(*keys, *order)
+                 finish: Callable[[object], Iterable[dict]] | None = None) -> DataFrame:
+    """Walk the rows of each key in order: ``start`` a state, ``step`` per row, ``finish``."""
+    sorted_rows = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     arrow = to_arrow_schema(schema)
     keys = tuple(keys)
 
@@ -224,7 +219,7 @@ def folded(group, fold: Fold):
     def partials(cut: DataFrame) -> DataFrame:
         schema = final_schema(T.StructField(SLICE, T.IntegerType()))
         return ordered_pass(cut, (*keys, SLICE), log.order, begin, take, schema,
-                            lambda acc: last(acc, SLICE), placed=True)
+                            lambda acc: last(acc, SLICE))
 
     def join_in(acc, row):
         acc.value = row[VALUE] if acc.empty else merge(row[KEY], acc.value, row[VALUE])
@@ -259,7 +254,8 @@ def folded(group, fold: Fold):
             yield {**{k: row[k] for k in (*keys, *order)}, VALUE: value}
 
         if merge is None or not _oversized(rows, keys):
-            return Log(ordered_pass(rows, keys, log.order, begin, out, schema), log.order)
+            return Log(ordered_pass(rows, keys, log.order, begin, out, schema), log.order,
+                       derived=True)
         cut = sliced(rows)
         # one row per slice at most: only a slice's first key can have begun before it
         before = carried(partials(cut)).withColumnRenamed(VALUE, "__before")
@@ -269,17 +265,14 @@ def folded(group, fold: Fold):
         def resume(row):
             return _Acc(row, zero, before=(row["__before"],) if row["__has"] else None)
 
-        return Log(ordered_pass(start, (*keys, SLICE), log.order, resume, out, schema,
-                                placed=True), log.order)
+        return Log(ordered_pass(start, (*keys, SLICE), log.order, resume, out, schema),
+                   log.order, derived=True)
 
     return Table(updates, snapshot, keys, group.windows, log)
 
 
 def _oversized(df: DataFrame, keys: Sequence[str]) -> bool:
-    size = session.estimated_bytes(df)
-    if size is not None and size <= session.SMALL_INPUT_BYTES:
-        return False
-    return largest_group(df, keys) > session.ROWS_PER_TASK
+    return not session.is_small(df) and largest_group(df, keys) > session.ROWS_PER_TASK
 
 
 # -- suppression by time ----------------------------------------------------------
@@ -297,8 +290,8 @@ def rate_limited(log: Log, keys: Sequence[str], limit_ms: int, max_records: int
     order = log.order
     # number the records along stream time, then find the number that ends each hold
     rows = log.df.select(*dict.fromkeys((*keys, VALUE, *order))).withColumn("__all", F.lit(0))
-    line = Timeline.of(rows, ("__all",), order).running("__n", "count", F.lit(1))
-    numbered = line.frame
+    line = Timeline.of(rows, ("__all",), order, log.derived).running("__n", "count", F.lit(1))
+    numbered = session.pinned_if_large(line.frame)
     probes = numbered.select("*", (F.col("ts") + span(limit_ms)).alias("__at"),
                              F.lit(0).alias("__tick"))
     ticks = numbered.select("__all", F.col("ts").alias("__at"), F.lit(1).alias("__tick"),
@@ -306,8 +299,9 @@ def rate_limited(log: Log, keys: Sequence[str], limit_ms: int, max_records: int
     both = probes.unionByName(ticks, allowMissingColumns=True)
     line = Timeline.of(both, ("__all",), ("__at", "__tick", "__n"))
     line = line.running("__passed", "sum", F.col("__tick"))
-    held = (line.frame.where("__tick = 0").withColumn("__ends", F.col("__passed") + 1)
-            .drop("__at", "__tick", "__passed", "__all"))
+    held = session.pinned_if_large(
+        line.frame.where("__tick = 0").withColumn("__ends", F.col("__passed") + 1)
+        .drop("__at", "__tick", "__passed", "__all"))
 
     # walk each key once over numbers only; the value travels in the JVM row
     keys = tuple(keys)
@@ -353,4 +347,4 @@ def rate_limited(log: Log, keys: Sequence[str], limit_ms: int, max_records: int
     total = numbered.agg(F.max("__n")).scalar()
     flushed = chosen.where(F.col("__out") <= total)
     out = held.drop("__ends").join(flushed.select("__n", "__out"), "__n").drop("__n", "__out")
-    return Log(out, order)
+    return Log(out, order, derived=True)

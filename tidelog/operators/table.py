@@ -25,7 +25,7 @@ class Table:
     @classmethod
     def from_log(cls, log: Log) -> Table:
         """Read a log as upserts: the last value per key counts."""
-        named = Log(log.df.where(F.col(KEY).isNotNull()), log.order)
+        named = log._with(log.df.where(F.col(KEY).isNotNull()))
 
         def snapshot() -> DataFrame:
             # boxed, so that a latest null (a delete) beats an older value
@@ -78,7 +78,7 @@ class Table:
 
         def updates() -> Log:
             log = self.updates()
-            return Log(log.df.withColumn(VALUE, mapped()), log.order)
+            return log._with(log.df.withColumn(VALUE, mapped()))
 
         return self._derived(updates, lambda: self.snapshot().withColumn(VALUE, mapped()))
 
@@ -124,6 +124,6 @@ class GlobalTable(Table):
 
 def without_idle_tombstones(log: Log, df: DataFrame, keys: tuple[str, ...]) -> Log:
     """Drop a tombstone whose key had no output before it."""
-    line = Timeline.of(df, keys, log.order).previous("__before", F.col(VALUE))
+    line = Timeline.of(df, keys, log.order, log.derived).previous("__before", F.col(VALUE))
     kept = line.frame.where(F.col(VALUE).isNotNull() | F.col("__before").isNotNull())
-    return Log(kept.drop("__before"), log.order)
+    return Log(kept.drop("__before"), log.order, derived=True)

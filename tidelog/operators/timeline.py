@@ -8,8 +8,8 @@ hold.  Beyond that it cuts the ordered log into slices:
 
 1. range-partition by (key, order): a hot key spreads over many slices, and a
    slice boundary may fall anywhere inside its history;
-2. write the sliced rows to the shared checkpoint folder, because range bounds
-   come from a sample and every later pass has to see the same slices;
+2. write the sliced rows to the shared folder, because range bounds come from a
+   sample and every later pass has to see the same slices;
 3. windows run inside (key, slice); one partial result per (key, slice) is
    scanned along the slices of a key to give each slice what came before it.
 
@@ -53,13 +53,18 @@ class Timeline:
 
     @classmethod
     def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str],
-           rows_per_task: int | None = None) -> Timeline:
-        limit = rows_per_task or session.ROWS_PER_TASK
-        if rows_per_task is None:
-            size = session.estimated_bytes(df)
-            if size is not None and size <= session.SMALL_INPUT_BYTES:
-                return cls(df, keys, order)
-        if largest_group(df, keys) <= limit:
+           derived: bool = False) -> Timeline:
+        """Choose the layout by the largest group.
+
+        Input that Catalyst knows to be small needs no look.  ``derived`` input
+        (made by windows or joins) is written once, so that looking at its keys
+        does not compute it twice.
+        """
+        if session.is_small(df):
+            return cls(df, keys, order)
+        if derived:
+            df = session.pinned(df)
+        if largest_group(df, keys) <= session.ROWS_PER_TASK:
             return cls(df, keys, order)
         cut = df.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id())
         return cls(session.pinned(cut), keys, order, sliced=True)
@@ -91,9 +96,11 @@ class Timeline:
         if not self.sliced:
             return self._new(self.df.withColumn(name, local))
         total = "sum" if kind == "count" else kind
+        plain = self.df.select(local.alias(name)).schema[name].dataType
         before = self._along().rowsBetween(Window.unboundedPreceding, -1)
         carried = self._carry(fn(expr), lambda part: getattr(F, total)(part).over(before))
-        return self._merged(name, carried, lambda c: merge(c, local))
+        # summing sums would widen a decimal; both layouts give one type
+        return self._merged(name, carried, lambda c: merge(c, local).cast(plain))
 
     def latest(self, name: str, expr: Column) -> Timeline:
         """Last non-null ``expr`` up to and with the row."""

@@ -20,7 +20,7 @@ def with_errors(log: Log, rules: Rules) -> Log:
         need_callable(rule, f"rule {name!r}")
     broken = [F.when(~holds(rule(F.col(KEY), F.col(VALUE))), F.lit(name))
               for name, rule in rules.items()]
-    return Log(log.df.withColumn("errors", F.array_compact(F.array(*broken))), log.order)
+    return log._with(log.df.withColumn("errors", F.array_compact(F.array(*broken))))
 
 
 def validate(log: Log, rules: Rules, mode: str = "fail"):
@@ -31,13 +31,13 @@ def validate(log: Log, rules: Rules, mode: str = "fail"):
     if mode == "fail":
         text = F.concat(F.lit("record breaks "), F.array_join("errors", ", "), F.lit(": "),
                         F.to_json(F.struct(KEY, VALUE)))
-        return Log(checked.df.where(F.when(good, F.lit(True)).otherwise(
-            F.raise_error(text).cast("boolean"))).drop("errors"), log.order)
-    valid = Log(checked.df.where(good).drop("errors"), log.order)
+        return log._with(checked.df.where(F.when(good, F.lit(True)).otherwise(
+            F.raise_error(text).cast("boolean"))).drop("errors"))
+    valid = log._with(checked.df.where(good).drop("errors"))
     if mode == "drop":
         return valid
     if mode == "quarantine":
-        return valid, Log(checked.df.where(~good), log.order)
+        return valid, log._with(checked.df.where(~good))
     raise ValueError(f"mode must be fail, drop or quarantine, got {mode!r}")
 
 

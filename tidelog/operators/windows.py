@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog import session
 from tidelog.operators.log import KEY, VALUE, Log, need_type
 from tidelog.operators.reducers import Fold, Reducer, counted
 from tidelog.operators.timeline import Timeline
@@ -111,7 +112,8 @@ class SessionGrouped:
 
     def _numbered(self) -> Timeline:
         """Each record with the number of its session under the key."""
-        line = Timeline.of(self.group.rows, self.group.keys, self.group.log.order)
+        log = self.group.log
+        line = Timeline.of(self.group.rows, self.group.keys, log.order, log.derived)
         line = line.previous("__last_ts", F.col("ts"))
         new = F.col("__last_ts").isNull() | (
             F.col("ts") - F.col("__last_ts") > span(self.windows.gap_ms))
@@ -149,7 +151,7 @@ class SessionGrouped:
             pos = f"pos{len(log.order)}"
             flat = line.frame.select(*keys, *log.order, F.posexplode(both).alias(pos, "__r"))
             return Log(flat.select(*keys, "__r.window", "__r.value", *log.order, pos),
-                       log.order + (pos,))
+                       log.order + (pos,), derived=True)
 
         return Table(updates, snapshot, keys + ("window",), self.windows, log)
 
@@ -168,7 +170,7 @@ class SessionGrouped:
         from tidelog.operators.grouped import GroupedLog
         from tidelog.operators.stateful import folded
         frame = self._numbered().frame
-        numbered = Log(frame.drop("__new", "__last_ts"), self.group.log.order)
+        numbered = Log(frame.drop("__new", "__last_ts"), self.group.log.order, derived=True)
         return folded(GroupedLog(numbered, self.group.keys + ("__session",), self.windows), fold)
 
 
@@ -176,19 +178,32 @@ class SessionGrouped:
 
 
 def with_stream_time(log: Log, partition: tuple[str, ...] = ("partition",)) -> Log:
-    """Adds ``stream_time``: the highest event time seen so far in the record's partition."""
-    line = Timeline.of(log.df, partition, ("offset",))
-    return Log(line.running("stream_time", "max", F.col("ts")).frame, log.order)
+    """Adds ``stream_time``: the highest event time seen so far in the record's partition.
 
+    A log has few partitions and any number of records in each, so the running
+    maximum has to be a split one.
+    """
+    line = Timeline.of(log.df, partition, ("offset",), log.derived)
+    timed = line.running("stream_time", "max", F.col("ts")).frame
+    return Log(timed, log.order, derived=True)
 
-def split_late(log: Log, windows: TimeWindows,
-               partition: tuple[str, ...] = ("partition",)) -> tuple[Log, Log]:
-    """(kept, late): a record is late for a window that closed before it arrived."""
+
+def with_lateness(log: Log, windows: TimeWindows,
+                  partition: tuple[str, ...] = ("partition",)) -> Log:
+    """Puts records into their windows and adds ``late``: the window closed before they came."""
     need_type(windows, TimeWindows, "windows")
     timed = with_stream_time(log, partition)
-    df = windows.assign(timed.df)
     late = F.col("window.end") + span(windows.grace_ms) <= F.col("stream_time")
-    return Log(df.where(~late), log.order), Log(df.where(late), log.order)
+    return timed._with(windows.assign(timed.df).withColumn("late", late))
+
+
+def split_late(log: Log, windows: TimeWindows,
+               partition: tuple[str, ...] = ("partition",)) -> tuple[Log, Log]:
+    """(kept, late)."""
+    marked = with_lateness(log, windows, partition)
+    part = lambda late: marked._with(
+        marked.df.where(F.col("late") == late).drop("late"))
+    return part(False), part(True)
 
 
 # -- suppression ----------------------------------------------------------------
@@ -233,16 +248,16 @@ def open_windows(table) -> DataFrame:
     end plus grace; closings are counted before openings of the same time.
     """
     order = table.source.order
-    held = Log(table.updates().df, order)
     size = F.octet_length(F.to_json(F.struct(*table.keys, VALUE)))
-    per_window = held.df.groupBy(*table.keys).agg(
-        F.min(F.struct(*order)).alias("first"), F.max(size).alias("bytes"))
+    per_window = session.pinned_if_large(table.updates().df.groupBy(*table.keys).agg(
+        F.min(F.struct(*order)).alias("first"), F.max(size).alias("bytes")))
     side = lambda at, n, sign: per_window.select(
         F.lit(0).alias("all"), at.alias("at"), F.lit(n).alias("phase"),
         F.col("first").alias("tie"), F.lit(sign).alias("windows"),
         (F.col("bytes") * sign).alias("bytes"))
     end = F.col("window.end") + span(table.windows.closing_delay_ms)
     moves = side(end, 0, -1).unionByName(side(F.col("first.ts"), 1, 1))
+    # one sequence over all keys: no key column could split it, slices do
     line = Timeline.of(moves, ("all",), ("at", "phase", "tie"))
     line = line.running("open_windows", "sum", F.col("windows"))
     line = line.running("open_bytes", "sum", F.col("bytes"))

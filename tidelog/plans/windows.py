@@ -96,10 +96,8 @@ def late_split(spark, d):
     log = amounts(spark, d)
     shuffled = Log(log.df.withColumn("event_id", F.col("offset")).withColumn(
         "offset", F.expr(ARRIVAL)), log.order)
-    kept, late = W.split_late(shuffled, TEN_MINUTES)
-    pick = lambda x, is_late: x.df.select(F.col("key").alias("user_id"), "event_id",
-                                          F.lit(is_late).alias("late"))
-    return pick(kept, False).unionByName(pick(late, True))
+    return W.with_lateness(shuffled, TEN_MINUTES).df.select(
+        F.col("key").alias("user_id"), "event_id", "late")
 
 
 @query("suppress_closed", f"""

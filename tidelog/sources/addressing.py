@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog import session
 from tidelog.operators.log import Log, need_type
 
 SHARD = ("topic", "partition")
@@ -48,7 +49,8 @@ def offsets_for_times(log: Log, times: DataFrame) -> DataFrame:
     ``offset`` is null when the partition has nothing that late.  Requests come
     as a table with one row per shard, so the log is aggregated, not collected.
     """
-    asked = times.select(*SHARD, "at")
+    # a log has few shards, so shuffling it by shard would crowd a few tasks
+    asked = session.as_small_side(times.select(*SHARD, "at"))
     hits = log.df.select(*SHARD, "offset", "ts").join(asked, list(SHARD))
     first = hits.groupBy(*SHARD, "at").agg(
         F.min(F.when(F.col("ts") >= F.col("at"), F.col("offset"))).alias("offset"))
@@ -70,7 +72,7 @@ def start_offsets(log: Log, at: Column, past_end: str = "end") -> DataFrame:
 def seek(log: Log, starts: DataFrame) -> Log:
     """Read every shard from its start offset; shards without one are left out."""
     need_type(starts, DataFrame, "starts")
-    at = starts.select(*SHARD, F.col("offset").alias("__start"))
+    at = session.as_small_side(starts.select(*SHARD, F.col("offset").alias("__start")))
     found = log.df.join(at, list(SHARD)).where(F.col("offset") >= F.col("__start"))
     return Log(found.drop("__start"), log.order)
 

@@ -122,8 +122,8 @@ def append_log(log: Log, topic: Topic) -> DataFrame:
     numbered = line.frame
     last = _last_offsets(spark, topic)
     if last is not None:
-        # one row per log partition of the topic
-        numbered = numbered.join(last, "partition", "left")
+        # at most ``topic.partitions`` rows
+        numbered = numbered.join(F.broadcast(last), "partition", "left")
     else:
         numbered = numbered.withColumn("__last", F.lit(None).cast("long"))
     offset = F.coalesce(F.col("__last"), F.lit(-1).cast("long")) + F.col("__n")
