@@ -16,11 +16,13 @@ law = settings(max_examples=4, deadline=None, derandomize=True,
                suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
-@pytest.fixture(params=["plain", "sliced"])
+@pytest.fixture(params=["plain", "mixed"])
 def cut(request, monkeypatch):
-    if request.param == "sliced":
-        monkeypatch.setattr(session, "ROWS_PER_TASK", 0)
+    """Whole histories, or only those of more than three records cut into slices."""
+    if request.param == "mixed":
+        monkeypatch.setattr(session, "ROWS_PER_TASK", 3)
         monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
+    return request.param
 
 
 @law

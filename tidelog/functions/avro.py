@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import payload as P
-from tidelog.functions.scalars import canonical_uuid, is_uuid
+from tidelog.functions.scalars import canonical_uuid, is_uuid, let
 
 ERRORS = "array<struct<path:string,message:string>>"
 
@@ -96,17 +96,21 @@ class Scalar(AvroType):
 class Whole(Scalar):
     """int and long: any number whose integral part is in range."""
 
+    @property
+    def top(self) -> int:
+        return 2 ** 31 if self.name == "int" else 2 ** 63
+
     def matches(self, v):
-        number = F.when(P.kind(v).isin(*self.kinds), F.floor(F.abs(P.get(v, "decimal(38,9)"))))
-        top = 2 ** 31 if self.name == "int" else 2 ** 63
-        negative = P.get(v, "decimal(38,9)") < 0
-        limit = F.when(negative, F.lit(str(top))).otherwise(F.lit(str(top - 1)))
-        return F.coalesce(number <= limit.cast("decimal(38,0)"), F.lit(False))
+        # beyond the bounds by a whole one: what is cut off towards nought still counts
+        number = F.when(P.kind(v).isin(*self.kinds), P.get(v, "decimal(38,9)"))
+        low, high = (F.lit(str(n)).cast("decimal(38,9)") for n in (-self.top - 1, self.top))
+        return F.coalesce(let(number, lambda n: (n > low) & (n < high)), F.lit(False))
 
     def value(self, v):
-        number = P.get(v, "decimal(38,9)")
-        cut = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
-        return F.when(self.matches(v), cut).cast(self.spark)
+        low, high = (F.lit(str(n)).cast("decimal(38,9)") for n in (-self.top - 1, self.top))
+        number = F.when(P.kind(v).isin(*self.kinds), P.get(v, "decimal(38,9)"))
+        return let(number, lambda n: F.when((n > low) & (n < high), F.when(
+            n < 0, F.ceil(n)).otherwise(F.floor(n))).cast(self.spark))
 
 
 class Bytes(Scalar):
@@ -219,39 +223,48 @@ class Record(AvroType):
     def _fields(self, v: Column) -> Column:
         return F.transform_keys(P.fields(v), lambda k, _: mangled(k))
 
+    def _known(self) -> Column:
+        return F.array(*[F.lit(n) for n, _, _ in self.fields]).cast("array<string>")
+
     def matches(self, v):
-        m = self._fields(v)
-        known = F.array(*[F.lit(n) for n, _, _ in self.fields]).cast("array<string>")
-        met = (P.kind(v) == "OBJECT") & (F.size(F.array_except(F.map_keys(m), known)) == 0)
-        for name, t, default in self.fields:
-            x = F.element_at(m, name)
-            met = met & F.when(x.isNull(), F.lit(bool(default))).otherwise(t.matches(x))
-        return F.coalesce(met, F.lit(False))
+        def all_met(m):
+            met = F.size(F.array_except(F.map_keys(m), self._known())) == 0
+            for name, t, default in self.fields:
+                x = F.element_at(m, name)
+                met = met & F.when(x.isNull(), F.lit(bool(default))).otherwise(t.matches(x))
+            return met
+
+        return F.when(P.kind(v) == "OBJECT", F.coalesce(let(self._fields(v), all_met), F.lit(False))
+                      ).otherwise(F.lit(False))
 
     def errors(self, v, path):
-        m = self._fields(v)
-        known = F.array(*[F.lit(n) for n, _, _ in self.fields]).cast("array<string>")
-        unknown = F.flatten(F.transform(F.array_except(F.map_keys(m), known), lambda k: error(
-            path, "Field ", k, f" not known in {self.full_name}")))
-        parts = [unknown]
-        for name, t, default in self.fields:
-            x = F.element_at(m, name)
-            lacking = no_errors() if default else error(
-                path, f"Field {name} not set and has no default value")
-            parts.append(F.when(x.isNull(), lacking).otherwise(t.errors(x, _step(path, name))))
-        return F.when(P.kind(v) == "OBJECT", F.concat(*parts)).otherwise(super().errors(v, path))
+        def all_errors(m):
+            unknown = F.array_except(F.map_keys(m), self._known())
+            parts = [F.flatten(F.transform(unknown, lambda k: error(
+                path, "Field ", k, f" not known in {self.full_name}")))]
+            for name, t, default in self.fields:
+                x = F.element_at(m, name)
+                lacking = no_errors() if default else error(
+                    path, f"Field {name} not set and has no default value")
+                parts.append(F.when(x.isNull(), lacking).otherwise(t.errors(x, _step(path, name))))
+            return F.concat(*parts)
+
+        return F.when(P.kind(v) == "OBJECT", let(self._fields(v), all_errors)).otherwise(
+            error(path, P.spoken(v), " is not a valid type for record"))
 
     def _built(self, v: Column, read: Callable[[AvroType, Column], Column]) -> Column:
-        m = self._fields(v)
-        made = []
-        for name, t, default in self.fields:
-            x = F.element_at(m, name)
-            if default and default[0] is not None:
-                fallback = read(t, F.parse_json(F.lit(json.dumps(default[0]))))
-                made.append(F.when(x.isNull(), fallback).otherwise(read(t, x)).alias(name))
-            else:
-                made.append(read(t, x).alias(name))
-        return F.when(P.kind(v) == "OBJECT", F.struct(*made))
+        def struct(m):
+            made = []
+            for name, t, default in self.fields:
+                x = F.element_at(m, name)
+                value = read(t, x)
+                if default and default[0] is not None:
+                    fallback = read(t, F.parse_json(F.lit(json.dumps(default[0]))))
+                    value = F.when(x.isNull(), fallback).otherwise(value)
+                made.append(value.alias(name))
+            return F.struct(*made)
+
+        return F.when(P.kind(v) == "OBJECT", let(self._fields(v), struct))
 
     def value(self, v):
         return self._built(v, lambda t, x: t.value(x))
@@ -385,7 +398,7 @@ def to_avro_json(value: Column, schema) -> Column:
 
 def from_avro_json(payload: Column, schema) -> Column:
     """Avro JSON text as a typed value."""
-    return compiled(schema).untagged(P.parsed(payload))
+    return let(P.parsed(payload), compiled(schema).untagged)
 
 
 def compatibility(old, new) -> list[tuple[str, str]]:

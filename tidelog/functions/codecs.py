@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import avro, json_schema
 from tidelog.functions import payload as P
-from tidelog.functions.scalars import (bytes_to_long, bytes_to_string, long_to_bytes,
+from tidelog.functions.scalars import (bytes_to_long, bytes_to_string, let, long_to_bytes,
                                        string_to_bytes)
 from tidelog.operators.log import KEY, VALUE, Log
 
@@ -78,11 +78,10 @@ def codec(config: Mapping) -> Codec:
     node = avro.compiled(schema)
 
     def errors(c):
-        checked = node.errors(P.parsed(c), F.lit(""))
-        return (F.when(c.isNull(), avro.no_errors())
-                .when(not_json(c), avro.error(F.lit(""), "not JSON")).otherwise(checked))
+        return F.when(c.isNull(), avro.no_errors()).otherwise(let(P.parsed(c), lambda v: F.when(
+            v.isNull(), avro.error(F.lit(""), "not JSON")).otherwise(node.errors(v, F.lit("")))))
 
-    return Codec(name, lambda c: node.value(P.parsed(c)), errors,
+    return Codec(name, lambda c: let(P.parsed(c), node.value), errors,
                  lambda c: F.to_json(c, {"ignoreNullFields": "false"}), read_only)
 
 

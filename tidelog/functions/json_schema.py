@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import payload as P
+from tidelog.functions.scalars import let
 
 ERRORS = "array<struct<path:string,rule:string>>"
 KINDS = {"string": ("STRING",), "boolean": ("BOOLEAN",), "null": ("VOID",),
@@ -44,9 +45,10 @@ def errors(payload: Column, schema: str | dict | None) -> Column:
     """Every broken rule with its path; a payload that is no JSON breaks ``json``."""
     schema = parsed_schema(schema)
     bad = F.array(F.struct(F.lit("").alias("path"), F.lit("json").alias("rule")))
-    v = P.parsed(payload)
-    checked = _errors(v, schema, F.lit("")) if schema else F.array().cast(ERRORS)
-    return F.when(payload.isNull(), F.array().cast(ERRORS)).when(v.isNull(), bad).otherwise(checked)
+    none = F.array().cast(ERRORS)
+    checked = lambda v: _errors(v, schema, F.lit("")) if schema else none
+    return F.when(payload.isNull(), none).otherwise(let(
+        P.parsed(payload), lambda v: F.when(v.isNull(), bad).otherwise(checked(v))))
 
 
 def _rule(broken: Column, path: Column, rule: str) -> Column:
@@ -71,22 +73,30 @@ def _errors(v: Column, schema: dict, path: Column) -> Column:
         each = F.flatten(F.transform(P.items(v), lambda x, i: _errors(
             x, schema["items"], F.concat(path, F.lit("/"), i.cast("string")))))
         parts.append(F.coalesce(each, F.array().cast(ERRORS)))
-    m = P.fields(v)
+    if any(k in schema for k in ("required", "properties", "additionalProperties")):
+        parts.append(let(P.fields(v), lambda m: _field_errors(m, schema, path)))
+    return F.concat(*parts) if parts else F.array().cast(ERRORS)
+
+
+def _field_errors(m: Column, schema: dict, path: Column) -> Column:
+    """The errors of an object's fields; none for what is no object."""
+    none = F.array().cast(ERRORS)
+    parts = [none]
     for name in schema.get("required", ()):
-        lacking = (kind == "OBJECT") & ~F.map_contains_key(m, name)
+        lacking = ~F.map_contains_key(m, name)
         parts.append(_rule(F.coalesce(lacking, F.lit(False)), F.concat(path, F.lit(f"/{name}")),
                            "required"))
     for name, sub in schema.get("properties", {}).items():
         x = F.element_at(m, name)
         parts.append(F.when(x.isNotNull(), _errors(x, sub, F.concat(path, F.lit(f"/{name}"))))
-                     .otherwise(F.array().cast(ERRORS)))
+                     .otherwise(none))
     if schema.get("additionalProperties") is False:
         known = F.array(*[F.lit(n) for n in schema.get("properties", {})]).cast("array<string>")
         more = F.transform(F.array_except(F.map_keys(m), known), lambda k: F.struct(
             F.concat(path, F.lit("/"), k).alias("path"),
             F.lit("additionalProperties").alias("rule")))
-        parts.append(F.coalesce(more, F.array().cast(ERRORS)))
-    return F.concat(*parts) if parts else F.array().cast(ERRORS)
+        parts.append(F.coalesce(more, none))
+    return F.concat(*parts)
 
 
 def value(payload: Column, schema: str | dict | None) -> Column:

@@ -18,16 +18,24 @@ WORD = 0xFFFFFFFF
 
 
 def _times(a: Column) -> Column:
-    """a * MULTIPLIER modulo 2^32, in halves so that nothing leaves 64 bits."""
-    high = F.shiftright(a, 16) * MULTIPLIER
-    return (F.shiftleft(high.bitwiseAND(0xFFFF), 16)
-            + a.bitwiseAND(0xFFFF) * MULTIPLIER).bitwiseAND(WORD)
+    """a * MULTIPLIER modulo 2^32; the product of a word and a 31-bit number fits a long."""
+    return (a * MULTIPLIER).bitwiseAND(WORD)
 
 
 def _fold_right(a: Column, bits: int) -> Column:
     return a.bitwiseXOR(F.shiftright(a, bits))
 
 
+def _mixed_in(h: Column, k: Column) -> Column:
+    return _times(h).bitwiseXOR(_times(_fold_right(_times(k), 24)))
+
+
+def _finished(h: Column) -> Column:
+    """The last mixing, and the word as a signed int (shifting up and down keeps the sign)."""
+    h = _fold_right(_times(_fold_right(h, 13)), 15)
+    return F.shiftright(F.shiftleft(h, 32), 32).cast("int")
+
+
 def murmur2(data: Column) -> Column:
     """Signed 32-bit murmur2 of a binary column, in built-in functions only."""
     def from_bytes(hexed, n):
@@ -39,21 +47,31 @@ def murmur2(data: Column) -> Column:
         count = F.when(whole > 0, F.sequence(F.lit(0), whole - 1)).otherwise(
             F.array().cast("array<int>"))
         blocks = F.transform(count, lambda i: little_endian(i * 4, 4))
-        for step in (_times, lambda k: _fold_right(k, 24), _times):
-            blocks = F.transform(blocks, step)
         start = F.lit(SEED).cast("long").bitwiseXOR(n.cast("long"))
-        mixed = F.aggregate(blocks, start, lambda h, k: _times(h).bitwiseXOR(k))
+        mixed = F.aggregate(blocks, start, _mixed_in)
         left = n % 4
         tail = F.when(left == 3, little_endian(whole * 4, 3)).when(
             left == 2, little_endian(whole * 4, 2)).when(left == 1, little_endian(whole * 4, 1))
-        h = let(mixed, lambda m: F.when(tail.isNull(), m).otherwise(_times(m.bitwiseXOR(tail))))
-        for step in (lambda x: _fold_right(x, 13), _times, lambda x: _fold_right(x, 15)):
-            h = let(h, step)
-        return let(h, lambda x: F.when(x > 0x7FFFFFFF, x - (WORD + 1)).otherwise(x)).cast("int")
+        return let(let(mixed, lambda m: F.when(tail.isNull(), m).otherwise(
+            _times(m.bitwiseXOR(tail)))), _finished)
 
     return let(F.hex(data), lambda h: from_bytes(h, F.floor(F.length(h) / 2).cast("int")))
 
 
+def murmur2_of_long(number: Column) -> Column:
+    """``murmur2`` of a long's eight bytes, as plain arithmetic that compiles to one loop."""
+    def swapped(x: Column) -> Column:
+        byte = lambda shift: F.shiftright(x, shift).bitwiseAND(0xFF)
+        return (F.shiftleft(byte(0), 24).bitwiseOR(F.shiftleft(byte(8), 16))
+                .bitwiseOR(F.shiftleft(byte(16), 8)).bitwiseOR(byte(24)))
+
+    number = number.cast("long")
+    h = F.lit(SEED ^ 8).cast("long")
+    for word in (swapped(F.shiftright(number, 32)), swapped(number)):
+        h = _mixed_in(h, word)
+    return _finished(h)
+
+
 def serialized(key: Column, key_type: T.DataType) -> Column:
     """The bytes of a string, long or binary key."""
     if isinstance(key_type, T.BinaryType):
@@ -67,9 +85,20 @@ def serialized(key: Column, key_type: T.DataType) -> Column:
 
 def default_partition(data: Column, partitions: int) -> Column:
     """The positive murmur2 of the serialized key, modulo the partition count."""
+    return _partition(murmur2(data), partitions)
+
+
+def partition_of(key: Column, key_type: T.DataType, partitions: int) -> Column:
+    """``default_partition`` of a key by its type."""
+    if isinstance(key_type, T.IntegralType):
+        return _partition(murmur2_of_long(key), partitions)
+    return default_partition(serialized(key, key_type), partitions)
+
+
+def _partition(hashed: Column, partitions: int) -> Column:
     if not isinstance(partitions, int) or partitions <= 0:
         raise ValueError(f"partitions must be a positive int, got {partitions!r}")
-    return murmur2(data).bitwiseAND(0x7FFFFFFF) % partitions
+    return hashed.bitwiseAND(0x7FFFFFFF) % partitions
 
 
 def key_path(record_key: str) -> list[str]:
@@ -101,7 +130,7 @@ def addressed(df: DataFrame, partitions: int, key: Callable[[Column], Column] |
     keyed = df.withColumn(KEY, F.coalesce(given_key, made_key))
     key_type = keyed.schema[KEY].dataType
     chosen = (partition(F.col(KEY), F.col(VALUE), partitions) if partition
-              else default_partition(serialized(F.col(KEY), key_type), partitions))
+              else partition_of(F.col(KEY), key_type, partitions))
     given = F.col("partition").cast("int") if "partition" in df.columns else F.lit(None).cast("int")
     out = keyed.withColumn("partition", F.coalesce(given, chosen.cast("int")))
     inside = F.col("partition").between(0, partitions - 1)
@@ -114,5 +143,5 @@ def repartitioned(log: Log, partitions: int,
                   partition: Callable[[Column, Column, int], Column] | None = None) -> Log:
     """The log with its ``partition`` column computed by the topic's partition function."""
     made = (partition(F.col(KEY), F.col(VALUE), partitions) if partition
-            else default_partition(serialized(F.col(KEY), log.key_type), partitions))
-    return Log(log.df.withColumn("partition", made.cast("int")), log.order)
+            else partition_of(F.col(KEY), log.key_type, partitions))
+    return log._with(log.df.withColumn("partition", made.cast("int")))

@@ -19,14 +19,12 @@ def parsed(payload: Column) -> Column:
 
 def kind(v: Column) -> Column:
     """VOID, BOOLEAN, BIGINT, DECIMAL, DOUBLE, STRING, ARRAY or OBJECT; null if absent."""
-    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    return F.substring_index(F.substring_index(F.schema_of_variant(v), "<", 1), "(", 1)
 
 
 def spoken(v: Column) -> Column:
-    name = F.lit("missing")
-    for k, word in SPOKEN.items():
-        name = F.when(kind(v) == k, F.lit(word)).otherwise(name)
-    return name
+    names = F.create_map(*[F.lit(x) for pair in SPOKEN.items() for x in pair])
+    return F.coalesce(F.element_at(names, kind(v)), F.lit("missing"))
 
 
 def get(v: Column, ddl: str) -> Column:

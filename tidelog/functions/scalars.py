@@ -36,17 +36,17 @@ def words(text: Column) -> Column:
 
 
 def uuid_v5(namespace: Column, name: Column) -> Column:
-    """The name-based (version 5) UUID of ``name`` in ``namespace``."""
-    seed = F.concat(F.unhex(F.replace(namespace, F.lit("-"), F.lit(""))), F.encode(name, "UTF-8"))
+    """The name-based (version 5) UUID of ``name`` in ``namespace``.
 
-    def spelled(h):
-        nibble = F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4
-        return F.concat(
-            F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"),
-            F.substring(h, 14, 3), F.lit("-"), F.substring(F.lit("89ab"), nibble + 1, F.lit(1)),
-            F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
-
-    return let(F.sha1(seed), spelled)
+    The hash appears several times below; in a projection it is computed once.
+    """
+    h = F.sha1(F.concat(F.unhex(F.replace(namespace, F.lit("-"), F.lit(""))),
+                        F.encode(name, "UTF-8")))
+    # the two highest bits of this digit say which kind of UUID it is
+    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"),
+                    F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"),
+                    F.substring(h, 21, 12))
 
 
 def is_uuid(text: Column) -> Column:

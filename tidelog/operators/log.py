@@ -115,6 +115,10 @@ class Log:
         pos = f"pos{len(self.order)}"
         return pos, self.df.select("*", F.posexplode(made).alias(pos, "__made"))
 
+    def without_window(self) -> Log:
+        """Records of a windowed table under their plain key."""
+        return self._with(self.df.drop("window"))
+
     # -- routing ----------------------------------------------------------
 
     def branch_ids(self, preds: Sequence[Pairwise]) -> Log:

@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidelog import session
 from tidelog.operators.log import KEY, VALUE, Log, need_callable
 from tidelog.operators.reducers import Fold
-from tidelog.operators.timeline import SLICE, Timeline, largest_group
+from tidelog.operators.timeline import SLICE, Timeline, same_key, split
 
 
 @dataclass(frozen=True)
@@ -206,19 +206,19 @@ def folded(group, fold: Fold):
     def last(acc, *more):
         yield {**{k: acc.row[k] for k in (*keys, *more)}, VALUE: acc.value}
 
-    def snapshot() -> DataFrame:
+    def laid_out() -> tuple[DataFrame, DataFrame | None]:
         rows = group.rows.select(*dict.fromkeys((*keys, KEY, VALUE, *log.order)))
-        if merge is None or not _oversized(rows, keys):
-            return ordered_pass(rows, keys, log.order, begin, take, final_schema(), last)
-        return merged(partials(sliced(rows)))
+        # without a merge there is nothing that could put slices together again
+        return (rows, None) if merge is None else split(rows, keys, log.order, log.derived)
 
-    def sliced(rows: DataFrame) -> DataFrame:
-        cut = rows.repartitionByRange(*keys, *log.order).withColumn(SLICE, F.spark_partition_id())
-        return session.pinned(cut)
+    def snapshot() -> DataFrame:
+        whole, cut = laid_out()
+        out = ordered_pass(whole, keys, order, begin, take, final_schema(), last)
+        return out if cut is None else out.unionByName(merged(partials(cut)))
 
     def partials(cut: DataFrame) -> DataFrame:
         schema = final_schema(T.StructField(SLICE, T.IntegerType()))
-        return ordered_pass(cut, (*keys, SLICE), log.order, begin, take, schema,
+        return ordered_pass(cut, (*keys, SLICE), order, begin, take, schema,
                             lambda acc: last(acc, SLICE))
 
     def join_in(acc, row):
@@ -244,7 +244,6 @@ def folded(group, fold: Fold):
         return ordered_pass(parts, keys, (SLICE,), unstarted, give_then_take, schema)
 
     def updates() -> Log:
-        rows = group.rows.select(*dict.fromkeys((*keys, KEY, VALUE, *log.order)))
         order_fields = [log.df.schema[c] for c in log.order]
         schema = final_schema(*order_fields)
 
@@ -253,28 +252,26 @@ def folded(group, fold: Fold):
             value = acc.value if acc.before is None else merge(row[KEY], acc.before[0], acc.value)
             yield {**{k: row[k] for k in (*keys, *order)}, VALUE: value}
 
-        if merge is None or not _oversized(rows, keys):
-            return Log(ordered_pass(rows, keys, log.order, begin, out, schema), log.order,
-                       derived=True)
-        cut = sliced(rows)
-        # one row per slice at most: only a slice's first key can have begun before it
-        before = carried(partials(cut)).withColumnRenamed(VALUE, "__before")
-        before = before.withColumn("__has", F.lit(True))
-        start = cut.join(F.broadcast(before), [*keys, SLICE], "left")
-
-        def resume(row):
-            return _Acc(row, zero, before=(row["__before"],) if row["__has"] else None)
-
-        return Log(ordered_pass(start, (*keys, SLICE), log.order, resume, out, schema),
-                   log.order, derived=True)
+        whole, cut = laid_out()
+        frame = ordered_pass(whole, keys, order, begin, out, schema)
+        if cut is not None:
+            # one row per slice at most: only a slice's first key can have begun before it
+            before = carried(partials(cut)).select(
+                *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                F.col(SLICE).alias("__s"), F.col(VALUE).alias("__before"),
+                F.lit(True).alias("__has"))
+            start = cut.join(F.broadcast(before), (F.col(SLICE) == F.col("__s"))
+                             & same_key(keys), "left")
+            frame = frame.unionByName(
+                ordered_pass(start, (*keys, SLICE), order, resume, out, schema))
+        return Log(frame, order, derived=True)
+
+    def resume(row):
+        return _Acc(row, zero, before=(row["__before"],) if row["__has"] else None)
 
     return Table(updates, snapshot, keys, group.windows, log)
 
 
-def _oversized(df: DataFrame, keys: Sequence[str]) -> bool:
-    return not session.is_small(df) and largest_group(df, keys) > session.ROWS_PER_TASK
-
-
 # -- suppression by time ----------------------------------------------------------
 
 

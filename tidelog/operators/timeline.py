@@ -3,8 +3,8 @@
 A changelog needs, for every record, something about the records before it
 (running total, latest value of the other side, previous row).  The plain plan
 is a window partitioned by key, which puts the whole history of a key into one
-task.  ``Timeline`` keeps that plan while no key is larger than a task should
-hold.  Beyond that it cuts the ordered log into slices:
+task.  ``Timeline`` keeps that plan for all keys a task can hold.  The records of
+the others, the hot keys, are cut into slices:
 
 1. range-partition by (key, order): a hot key spreads over many slices, and a
    slice boundary may fall anywhere inside its history;
@@ -13,14 +13,15 @@ hold.  Beyond that it cuts the ordered log into slices:
 3. windows run inside (key, slice); one partial result per (key, slice) is
    scanned along the slices of a key to give each slice what came before it.
 
-Only the first key of a slice can have begun in an earlier slice (and only the
-last one can go on), so the carried rows number at most one per slice, which
-bounds the broadcast in step 3 by the partition count.
+What is broadcast is bounded: the hot keys number at most rows / rows per task;
+and only the first key of a slice can have begun in an earlier slice (only the
+last one can go on), so carried rows number at most one per slice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,47 +39,69 @@ _MERGE: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key (partially aggregated; one row comes back)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys with more rows than a task should hold; None if there are none.
+
+    One partially aggregated pass over the key columns.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = session.pinned(counts.where(F.col("__n") > session.ROWS_PER_TASK).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]))
+    return None if hot.isEmpty() else hot
+
+
+def same_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}"))
+                                       for i, k in enumerate(keys)])
+
+
+def split(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+          derived: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of hot keys with their slice, if there are any).
+
+    Input that Catalyst knows to be small needs no look.  ``derived`` input (made
+    by windows or joins) is written once, so that the passes over it do not
+    compute it again.
+    """
+    if session.is_small(df):
+        return df, None
+    if derived:
+        df = session.pinned(df)
+    hot = hot_keys(df, keys)
+    if hot is None:
+        return df, None
+    cold = df.join(F.broadcast(hot), same_key(keys), "left_anti")
+    rest = df.join(F.broadcast(hot), same_key(keys), "left_semi")
+    cut = rest.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id())
+    return cold, session.pinned(cut)
 
 
 class Timeline:
     """An ordered log per key, with running columns added by its methods."""
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 sliced: bool = False):
-        self.df, self.keys, self.order, self.sliced = df, tuple(keys), tuple(order), sliced
+    def __init__(self, whole: DataFrame, cut: DataFrame | None, keys: Sequence[str],
+                 order: Sequence[str]):
+        self.whole, self.cut, self.keys, self.order = whole, cut, tuple(keys), tuple(order)
 
     @classmethod
     def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str],
            derived: bool = False) -> Timeline:
-        """Choose the layout by the largest group.
-
-        Input that Catalyst knows to be small needs no look.  ``derived`` input
-        (made by windows or joins) is written once, so that looking at its keys
-        does not compute it twice.
-        """
-        if session.is_small(df):
-            return cls(df, keys, order)
-        if derived:
-            df = session.pinned(df)
-        if largest_group(df, keys) <= session.ROWS_PER_TASK:
-            return cls(df, keys, order)
-        cut = df.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id())
-        return cls(session.pinned(cut), keys, order, sliced=True)
+        return cls(*split(df, keys, order, derived), keys, order)
 
     def refined(self, *more: str) -> Timeline:
         """The same history cut finer by columns that never decrease along a key."""
-        return Timeline(self.df, self.keys + more, self.order, self.sliced)
+        return Timeline(self.whole, self.cut, self.keys + more, self.order)
 
     def with_columns(self, **columns: Column) -> Timeline:
-        return Timeline(self.df.withColumns(columns), self.keys, self.order, self.sliced)
+        return self._each(lambda df: df.withColumns(columns))
 
     @property
     def frame(self) -> DataFrame:
-        return self.df.drop(SLICE)
+        return self.whole if self.cut is None else self.whole.unionByName(self.cut.drop(SLICE))
+
+    def _each(self, change: Callable[[DataFrame], DataFrame]) -> Timeline:
+        cut = None if self.cut is None else change(self.cut)
+        return Timeline(change(self.whole), cut, self.keys, self.order)
 
     # -- running columns -------------------------------------------------
 
@@ -92,15 +115,13 @@ class Timeline:
         if kind == "first":
             return self._first(name, expr)
         merge, fn = _MERGE[kind], getattr(F, kind)
-        local = fn(expr).over(self._within().rowsBetween(Window.unboundedPreceding, 0))
-        if not self.sliced:
-            return self._new(self.df.withColumn(name, local))
+        local = fn(expr).over
+        frame = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
         total = "sum" if kind == "count" else kind
-        plain = self.df.select(local.alias(name)).schema[name].dataType
         before = self._along().rowsBetween(Window.unboundedPreceding, -1)
-        carried = self._carry(fn(expr), lambda part: getattr(F, total)(part).over(before))
-        # summing sums would widen a decimal; both layouts give one type
-        return self._merged(name, carried, lambda c: merge(c, local).cast(plain))
+        return self._added(
+            name, lambda sliced: local(frame(self._within(sliced))), fn(expr),
+            lambda part: getattr(F, total)(part).over(before), merge)
 
     def latest(self, name: str, expr: Column) -> Timeline:
         """Last non-null ``expr`` up to and with the row."""
@@ -120,11 +141,8 @@ class Timeline:
 
     # -- plumbing --------------------------------------------------------
 
-    def _new(self, df: DataFrame) -> Timeline:
-        return Timeline(df, self.keys, self.order, self.sliced)
-
-    def _within(self, forward: bool = True):
-        cut = (SLICE,) if self.sliced else ()
+    def _within(self, sliced: bool, forward: bool = True):
+        cut = (SLICE,) if sliced else ()
         order = self.order if forward else [F.col(o).desc() for o in self.order]
         return Window.partitionBy(*self.keys, *cut).orderBy(*order)
 
@@ -134,57 +152,62 @@ class Timeline:
     def _position(self) -> Column:
         return F.struct(*self.order)
 
-    def _carry(self, part: Column, scan: Callable[[str], Column]) -> DataFrame:
+    def _added(self, name: str, local: Callable[[bool], Column], part: Column,
+               scan: Callable[[str], Column], merge: Callable[[Column, Column], Column]) -> Timeline:
+        """Add a running column.
+
+        ``local(sliced)`` computes it within a key (or a slice of one), ``part`` is
+        what a slice passes on, ``scan`` gathers the parts of other slices, and
+        ``merge(carried, local)`` puts both together.
+        """
+        whole, cut = self.whole.withColumn(name, local(False)), self.cut
+        if cut is not None:
+            # summing sums would widen a decimal; both layouts have to give one type
+            plain = cut.select(local(True).alias(name)).schema[name].dataType
+            joined = cut.join(F.broadcast(self._carried(part, scan)),
+                              (F.col(SLICE) == F.col("__s")) & same_key(self.keys), "left")
+            out = joined.withColumn(name, merge(F.col("__carry"), local(True)).cast(plain))
+            cut = out.drop("__s", "__carry", *[f"__k{i}" for i in range(len(self.keys))])
+        return Timeline(whole, cut, self.keys, self.order)
+
+    def _carried(self, part: Column, scan: Callable[[str], Column]) -> DataFrame:
         """One row for each (key, slice) that something is carried into."""
-        parts = self.df.groupBy(*self.keys, SLICE).agg(part.alias("__part"))
+        parts = self.cut.groupBy(*self.keys, SLICE).agg(part.alias("__part"))
         carried = parts.withColumn("__carry", scan("__part")).where("__carry IS NOT NULL")
         return carried.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(self.keys)],
                               F.col(SLICE).alias("__s"), "__carry")
 
-    def _merged(self, name: str, carried: DataFrame, value: Callable[[Column], Column]) -> Timeline:
-        on = F.col(SLICE) == F.col("__s")
-        for i, k in enumerate(self.keys):
-            on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-        # at most one row per slice: see the module text
-        joined = self.df.join(F.broadcast(carried), on, "left")
-        out = joined.withColumn(name, value(F.col("__carry")))
-        return self._new(out.drop("__s", "__carry", *[f"__k{i}" for i in range(len(self.keys))]))
-
     def _first(self, name: str, expr: Column) -> Timeline:
-        local = F.first(expr, True).over(self._within().rowsBetween(Window.unboundedPreceding, 0))
-        if not self.sliced:
-            return self._new(self.df.withColumn(name, local))
-        part = F.min_by(expr, F.when(expr.isNotNull(), self._position()))
         before = self._along().rowsBetween(Window.unboundedPreceding, -1)
-        carried = self._carry(part, lambda p: F.first(p, True).over(before))
-        return self._merged(name, carried, lambda c: F.coalesce(c, local))
+        return self._added(
+            name, lambda sliced: F.first(expr, True).over(
+                self._within(sliced).rowsBetween(Window.unboundedPreceding, 0)),
+            F.min_by(expr, F.when(expr.isNotNull(), self._position())),
+            lambda p: F.first(p, True).over(before), lambda c, x: F.coalesce(c, x))
 
     def _reach(self, name: str, expr: Column, back: bool) -> Timeline:
         # looking ahead is a growing frame over the reversed order: linear, where a
         # frame that shrinks towards the end would be evaluated anew for each row
-        local = F.last(expr, True).over(
-            self._within(back).rowsBetween(Window.unboundedPreceding, 0))
         pick = F.max_by if back else F.min_by
-        part = pick(expr, F.when(expr.isNotNull(), self._position()))
-        if not self.sliced:
-            return self._new(self.df.withColumn(name, local))
-        return self._merged(name, self._from_neighbours(part, back),
-                            lambda c: F.coalesce(local, c))
+        return self._added(
+            name, lambda sliced: F.last(expr, True).over(
+                self._within(sliced, back).rowsBetween(Window.unboundedPreceding, 0)),
+            pick(expr, F.when(expr.isNotNull(), self._position())), self._neighbour(back),
+            lambda c, x: F.coalesce(x, c))
 
     def _step(self, name: str, expr: Column, back: bool) -> Timeline:
         move = F.lag if back else F.lead
-        if not self.sliced:
-            return self._new(self.df.withColumn(name, move(expr).over(self._within())))
         # boxed, so that a null of the neighbour row differs from "no neighbour row"
         boxed = F.struct(expr.alias("v"))
-        local = move(boxed).over(self._within())
         pick = F.max_by if back else F.min_by
-        carried = self._from_neighbours(pick(boxed, self._position()), back)
-        return self._merged(name, carried, lambda c: F.coalesce(local, c)["v"])
+        added = self._added(
+            "__box", lambda sliced: move(boxed).over(self._within(sliced)),
+            pick(boxed, self._position()), self._neighbour(back), lambda c, x: F.coalesce(x, c))
+        return added._each(lambda df: df.withColumn(name, F.col("__box.v")).drop("__box"))
 
-    def _from_neighbours(self, part: Column, back: bool) -> DataFrame:
+    def _neighbour(self, back: bool) -> Callable[[str], Column]:
         if back:
             reach = self._along().rowsBetween(Window.unboundedPreceding, -1)
-            return self._carry(part, lambda p: F.last(p, True).over(reach))
+            return lambda p: F.last(p, True).over(reach)
         reach = self._along().rowsBetween(1, Window.unboundedFollowing)
-        return self._carry(part, lambda p: F.first(p, True).over(reach))
+        return lambda p: F.first(p, True).over(reach)

@@ -62,22 +62,23 @@ def ledger(requests: Log) -> Log:
     valid = validate(requests, ENTRY_RULES, "drop")
     side = lambda e, i, name, sign, n: F.struct(
         e[name].alias("account_name"), (e["amount"] * sign).alias("amount"),
-        (i * 2 + n).alias("place"))
-    sides = F.flatten(F.transform(F.col("value.entries"), lambda e, i: F.array(
+        (i * 2 + n).cast("string").alias("place"))
+    sides = lambda k, v: F.flatten(F.transform(v["entries"], lambda e, i: F.array(
         side(e, i, "debit_account_name", -1, 0), side(e, i, "credit_account_name", 1, 1))))
-    flat = valid.flat_map(lambda k, v: F.transform(sides, lambda t: F.struct(
-        t["account_name"].alias("key"), F.struct(
-            t["account_name"], t["amount"],
-            uuid_v5(v["id"], t["place"].cast("string")).alias("id"),
-            v["id"].alias("causation_id")).alias("value"))))
-    made = flat.df.columns
+    # ids are made from whole rows, after the arrays are taken apart
+    flat = valid._with(valid.df.withColumn("causation_id", F.col("value.id")))
+    flat = flat.flat_map(lambda k, v: F.transform(sides(k, v), lambda t: F.struct(
+        t["account_name"].alias("key"), t.alias("value"))))
     # the running sum replaces the value, so the transaction rides along beside it
-    riding = Log(flat.df.withColumn("transaction", F.col("value")), flat.order)
+    riding = flat._with(flat.df.withColumn("transaction", F.col("value")))
     balances = riding.group_by_key().reduce(total(lambda k, v: v["amount"])).updates()
-    start = F.col("value") - F.col("transaction.amount")
-    value = F.struct("transaction.*", start.alias("starting_balance"),
-                     F.col("value").alias("current_balance"))
-    return Log(balances.df.withColumn("value", value).select(*made), flat.order)
+    before = F.col("value") - F.col("transaction.amount")
+    value = F.struct(
+        "transaction.account_name", "transaction.amount",
+        uuid_v5(F.col("causation_id"), F.col("transaction.place")).alias("id"), "causation_id",
+        before.alias("starting_balance"), F.col("value").alias("current_balance"))
+    out = balances.df.withColumn("value", value).drop("transaction", "causation_id")
+    return balances._with(out)
 
 
 REQUESTS = """

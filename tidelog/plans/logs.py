@@ -138,6 +138,15 @@ SELECT event_id, CAST(CASE WHEN h > 2147483647 THEN h::BIGINT - 4294967296 ELSE
 
 @query("murmur2_partition", MURMUR2)
 def murmur2_partition(spark, d):
+    log = events(spark, d)
+    return log.df.select(
+        F.col("offset").alias("event_id"), P.murmur2_of_long(F.col("key")).alias("hash"),
+        P.partition_of(F.col("key"), log.key_type, 12).alias("partition"))
+
+
+@query("murmur2_bytes", MURMUR2)
+def murmur2_bytes(spark, d):
+    """The same through the serialized key, as any other key type goes."""
     data = long_to_bytes(F.col("key"))
     return events(spark, d).df.select(
         F.col("offset").alias("event_id"), P.murmur2(data).alias("hash"),

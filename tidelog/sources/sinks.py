@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog import session
-from tidelog.functions.partitioning import default_partition, serialized
+from tidelog.functions.partitioning import partition_of, serialized
 from tidelog.operators.log import KEY, VALUE, Log
 from tidelog.operators.timeline import Timeline
 from tidelog.sources.topics import HEADERS, Topic, read_log
@@ -30,7 +30,7 @@ def _placed(log: Log, topic: Topic) -> DataFrame:
         # records without a key are spread over all partitions
         spread = F.pmod(F.hash(*log.order), F.lit(topic.partitions))
         partition = F.coalesce(
-            default_partition(serialized(F.col(KEY), log.key_type), topic.partitions), spread)
+            partition_of(F.col(KEY), log.key_type, topic.partitions), spread)
     df = log.df.withColumn("partition", partition.cast("int"))
     fill = {"headers": F.lit(None).cast(HEADERS), "timestamp_type": F.lit("CreateTime")}
     return df.withColumns({c: v for c, v in fill.items() if c not in df.columns})

@@ -23,19 +23,32 @@ def plain(x):
 
 
 class StateCell:
-    """A ``ValueState`` with the interface of a batch store."""
+    """A ``ValueState`` with the interface of a batch store.
+
+    It is read once for a key's records of a micro-batch and written once after them.
+    """
 
     def __init__(self, state):
-        self._state = state
+        self._state, self._value = state, None
+
+    def load(self) -> None:
+        self._value = plain(self._state.get()[0]) if self._state.exists() else None
+        self._changed = False
+
+    def save(self) -> None:
+        if self._changed and self._value is None:
+            self._state.clear()
+        elif self._changed:
+            self._state.update((self._value,))
 
     def get(self):
-        return plain(self._state.get()[0]) if self._state.exists() else None
+        return self._value
 
     def put(self, value) -> None:
-        self._state.update((value,))
+        self._value, self._changed = value, True
 
     def delete(self) -> None:
-        self._state.clear()
+        self.put(None)
 
 
 def boxed(t: T.DataType) -> T.StructType:
@@ -62,14 +75,19 @@ class StepProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         from tidelog.operators.stateful import Context
-        self.context = Context({name: StateCell(handle.getValueState(name, t))
-                                for name, t in self.types.items()})
+        self.cells = {name: StateCell(handle.getValueState(name, t))
+                      for name, t in self.types.items()}
+        self.context = Context(self.cells)
         self.emit = _emitter(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
+        for cell in self.cells.values():
+            cell.load()
         for row in in_order(rows, self.order):
             for made in self.outputs(self.context, row.asDict(recursive=True)):
                 yield self.emit(made)
+        for cell in self.cells.values():
+            cell.save()
 
     def close(self) -> None:
         pass
@@ -96,6 +114,7 @@ class RunningProcessor(StatefulProcessor):
         self.emit = _emitter(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
+        self.cell.load()
         value = self.cell.get()
         for row in in_order(rows, self.order):
             x = 1 if self.kind == "count" else row["__x"]
@@ -104,6 +123,7 @@ class RunningProcessor(StatefulProcessor):
             yield self.emit({**row.asDict(), VALUE: value})
         if value is not None:
             self.cell.put(value)
+            self.cell.save()
 
     def close(self) -> None:
         pass
@@ -135,16 +155,14 @@ class LatestProcessor(StatefulProcessor):
         self.emit = _emitter(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        now = self.cell.get()
+        self.cell.load()
         for row in in_order(rows, self.order):
             if row["__side"] == 0:
-                now = plain(row["__table"])["value"]
-                if now is None:
-                    self.cell.delete()
-                else:
-                    self.cell.put(now)
+                self.cell.put(plain(row["__table"])["value"])
             else:
-                yield self.emit({KEY: row[KEY], "__row": row["__row"], "__now": (now,)})
+                yield self.emit({KEY: row[KEY], "__row": row["__row"],
+                                 "__now": (self.cell.get(),)})
+        self.cell.save()
 
     def close(self) -> None:
         pass
