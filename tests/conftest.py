@@ -2,12 +2,19 @@ import os
 import sys
 
 import pytest
+from pyspark import cloudpickle
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tidelog import session  # noqa: E402
 
 
+def pytest_collection_modifyitems(items):
+    # steps defined in test modules have to reach the workers, too
+    for module in {item.module for item in items}:
+        cloudpickle.register_pickle_by_value(module)
+
+
 @pytest.fixture(scope="session")
 def spark():
     s = session.open_session("tests", **{

@@ -5,6 +5,7 @@ from helpers import keyvals, last_of, log_of, safe_add, state, two_logs
 from pyspark.sql import functions as F
 
 from tidelog.operators.reducers import Fold, largest, newest, total
+from tidelog.operators.stateful import Store
 from tidelog.operators.table import GlobalTable
 from tidelog.operators.windows import (JoinWindows, SessionWindows, SuppressBufferFull,
                                        TimeWindows, split_late)
@@ -292,6 +293,49 @@ def test_fold_in_order(spark, layout):
     assert keyvals(table.updates()) == [(1, "1"), (2, "7"), (1, "12"), (1, "124")]
 
 
+def added(ctx, value):
+    cell = ctx.store("total")
+    cell.put((cell.get() or 0) + value)
+    return cell.get()
+
+
+def merged(a, b):
+    return b if a is None else a if b is None else a + b
+
+
+@pytest.mark.parametrize("merge", [None, merged])
+def test_stateful_transforms(spark, layout, merge):
+    log, store = log_of(spark, [(1, 1), (1, 2), (1, 4)]), [Store("total", "long", merge)]
+    assert keyvals(log.transform(lambda c, k, v: (k * 2, added(c, v)), "long", "long", store)) == [
+        (2, 1), (2, 3), (2, 7)]
+    flat = log.flat_transform(lambda c, k, v: [(k * n, added(c, v)) for n in (10, 20)],
+                              "long", "long", store)
+    assert keyvals(flat) == [(10, 1), (20, 2), (10, 4), (20, 6), (10, 10), (20, 14)]
+    assert keyvals(log.transform_values(added, "long", store)) == [(1, 1), (1, 3), (1, 7)]
+    flat = log.flat_transform_values(lambda c, v: [added(c, v) + n for n in (100, 200)],
+                                     "long", store)
+    assert keyvals(flat) == [(1, 101), (1, 202), (1, 104), (1, 206), (1, 110), (1, 214)]
+
+
+def test_step_reads_metadata_and_nested_values(spark):
+    log = log_of(spark, [(100, 10)]).map_values(lambda v: F.struct(v.alias("val")))
+    out = log.transform_values(lambda c, v: {"new_val": v["val"] + 1, "topic": c.topic},
+                               "struct<new_val:long,topic:string>")
+    assert keyvals(out) == [(100, {"new_val": 11, "topic": "in"})]
+
+
+def test_state_store(spark, layout):
+    def step(ctx, key, value):
+        store = ctx.store("sums")
+        now = store.get()
+        store.put({"value": value if now is None else now["value"] + value})
+        return key, store.get()
+
+    log = log_of(spark, [(1, 1), (1, 2), (1, 3), (2, 10), (2, 20), (2, 30)])
+    out = log.transform(step, "long", "struct<value:long>", [Store("sums", "struct<value:long>")])
+    assert dict(keyvals(out)) == {1: {"value": 6}, 2: {"value": 60}}
+
+
 def test_other_reducers(spark, layout):
     grouped = log_of(spark, [(1, 5), (1, 2), (1, 9), (1, 3)]).group_by_key()
     assert [v for _, v in keyvals(grouped.reduce(largest()).updates())] == [5, 5, 9, 9]

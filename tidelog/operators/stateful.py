@@ -2,9 +2,11 @@
 
 On batch input a transform is one shuffle by key and one sort, then a single
 streamed pass: a task holds the state of the current key and one Arrow batch,
-never a whole group.  The chain of states of one key is sequential by
-definition; where the state is algebraic, ``Timeline.running`` or a ``Fold``
-with ``merge`` splits hot keys and should be preferred.
+never a whole group.  A step without stores needs neither shuffle nor sort.
+A hot key whose stores say how two states merge is cut into slices: one pass
+finds the state each slice leaves behind, these are merged along the key, and a
+second pass runs every slice from the state before it.  Without a merge the
+states of one key form a chain that only one task can walk.
 On streaming input the same user function runs under ``transformWithState``.
 """
 
@@ -27,17 +29,23 @@ from tidelog.operators.timeline import SLICE, Timeline, same_key, split
 
 @dataclass(frozen=True)
 class Store:
-    """A named per-key store; ``schema`` is the DDL type of what it holds."""
+    """A named per-key store; ``schema`` is the DDL type of what it holds.
+
+    ``merge(before, after)`` joins the value one stretch of a key's records left
+    with the value the next stretch left when started empty (either may be None).
+    It has to give what running both stretches in turn would have left.
+    """
 
     name: str
     schema: str
+    merge: Callable[[object, object], object] | None = None
 
 
 class MemoryCell:
     """The store of the current key during a batch pass."""
 
-    def __init__(self):
-        self.value = None
+    def __init__(self, value=None):
+        self.value = value
 
     def get(self):
         return self.value
@@ -62,6 +70,10 @@ class Context:
     def store(self, name: str):
         return self._cells[name]
 
+    @property
+    def record(self) -> dict:
+        return self._row
+
     def __getattr__(self, name: str):
         row = self.__dict__["_row"]
         if name in row:
@@ -135,14 +147,74 @@ def _run(log: Log, step: Step, stores: Sequence[Store], key_type: str, value_typ
     if log.streaming:
         from tidelog.streaming.processors import keyed_process
         df = keyed_process(log, outputs, stores, schema)
+    elif not stores:
+        df = mapped(log.df, lambda row: outputs(Context({}), row), schema)
+    elif any(s.merge is None for s in stores):
+        df = _stored(log.df, (KEY,), order, outputs, stores, schema)
     else:
-        names = [s.name for s in stores]
+        whole, cut = split(log.df, (KEY,), order, log.derived)
+        df = _stored(whole, (KEY,), order, outputs, stores, schema)
+        if cut is not None:
+            df = df.unionByName(_sliced_run(cut, order, outputs, stores, schema))
+    return Log(df, order + (pos,), derived=True)
 
-        def start(_row):
-            return Context({n: MemoryCell() for n in names})
 
-        df = ordered_pass(log.df, (KEY,), order, start, outputs, schema)
-    return Log(df, order + (pos,), derived=True)
+def _stored(df: DataFrame, keys, order, outputs, stores: Sequence[Store], schema, finish=None):
+    """Run a step over each group; a store starts from the column of its name, if there is one."""
+    names = [s.name for s in stores]
+
+    def start(row):
+        return Context({n: MemoryCell(row.get(f"__store_{n}")) for n in names})
+
+    return ordered_pass(df, keys, order, start, outputs, schema, finish)
+
+
+def _sliced_run(cut: DataFrame, order, outputs, stores: Sequence[Store], schema) -> DataFrame:
+    names = [s.name for s in stores]
+    merges = {s.name: s.merge for s in stores}
+    state_fields = [T.StructField(f"__store_{s.name}", T.DataType.fromDDL(s.schema))
+                    for s in stores]
+    left_schema = T.StructType([cut.schema[KEY], T.StructField(SLICE, T.IntegerType()),
+                                *state_fields])
+
+    def silent(ctx, row):
+        for _ in outputs(ctx, row):
+            pass
+        return ()
+
+    def leave(ctx):
+        yield {KEY: ctx.record[KEY], SLICE: ctx.record[SLICE],
+               **{f"__store_{n}": ctx.store(n).get() for n in names}}
+
+    left = _stored(cut, (KEY, SLICE), order, silent, stores, left_schema, leave)
+
+    def hand_on(state, row):
+        if state:
+            yield {KEY: row[KEY], SLICE: row[SLICE], **state}
+        for n in names:
+            c = f"__store_{n}"
+            state[c] = merges[n](state[c], row[c]) if c in state else row[c]
+
+    before = ordered_pass(left, (KEY,), (SLICE,), lambda row: {}, hand_on, left_schema)
+    # one row per slice at most: only a slice's first key can have begun before it
+    renamed = before.select(F.col(KEY).alias("__k0"), F.col(SLICE).alias("__s"),
+                            *[f.name for f in state_fields])
+    begun = cut.join(F.broadcast(renamed), (F.col(SLICE) == F.col("__s")) & same_key((KEY,)),
+                     "left")
+    return _stored(begun, (KEY, SLICE), order, outputs, stores, schema)
+
+
+def mapped(df: DataFrame, step: Callable[[dict], Iterable[dict]], schema: T.StructType) -> DataFrame:
+    """Rows in, rows out, partition by partition."""
+    arrow = to_arrow_schema(schema)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [made for row in batch.to_pylist() for made in step(row)]
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    return df.mapInArrow(walk, schema)
 
 
 def ordered_pass(df: DataFrame, keys: Sequence[str], order: Sequence[str],

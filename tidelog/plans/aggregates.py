@@ -87,8 +87,24 @@ def diff_stream(spark, d):
         as_double("value").alias("value"))
 
 
-def _never_negative(acc, key, value):
-    return max(Decimal(0), acc + value - 50)
+def _step(acc, key, value):
+    """``floored`` never drops below nought; ``plain`` is the sum without that floor."""
+    x = value - 50
+    return {"plain": acc["plain"] + x, "floored": max(Decimal(0), acc["floored"] + x)}
+
+
+def _merge(key, a, b):
+    """Starting from a's balance, b ends where it would from nought, or higher."""
+    return {"plain": a["plain"] + b["plain"],
+            "floored": max(b["floored"], a["floored"] + b["plain"])}
+
+
+FLOORED = Fold({"plain": Decimal(0), "floored": Decimal(0)}, _step,
+               "struct<plain:decimal(20,2),floored:decimal(20,2)>", _merge)
+
+
+def _balance(table):
+    return table.map_values(lambda v: v["floored"])
 
 
 FOLDED = f"""
@@ -99,15 +115,13 @@ SELECT user_id, event_id, ts, s - least(0, min(s) {RUN}) AS b FROM (
 @query("ordered_fold", f"SELECT user_id, event_id, CAST(b AS DOUBLE) AS value FROM ({FOLDED})")
 def ordered_fold(spark, d):
     """A balance that never drops below nought: its value depends on record order."""
-    fold = Fold(Decimal(0), _never_negative, "decimal(20,2)")
-    return updates(amounts(spark, d).group_by_key().fold(fold))
+    return updates(_balance(amounts(spark, d).group_by_key().fold(FLOORED)))
 
 
 @query("ordered_fold_snapshot", f"""
 SELECT user_id, CAST(arg_max(b, (ts, event_id)) AS DOUBLE) AS value FROM ({FOLDED}) GROUP BY 1""")
 def ordered_fold_snapshot(spark, d):
-    fold = Fold(Decimal(0), _never_negative, "decimal(20,2)")
-    return state(amounts(spark, d).group_by_key().fold(fold))
+    return state(_balance(amounts(spark, d).group_by_key().fold(FLOORED)))
 
 
 # -- tables regrouped -------------------------------------------------------------------

@@ -9,7 +9,14 @@ from tidelog.operators.stateful import Store
 from tidelog.plans.registry import EVENTS, amounts, as_double, events, query
 
 RUN = "OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"
-TOTAL = [Store("total", "decimal(20,2)")]
+
+
+def _both(before, after):
+    """Two totals make their sum, so a hot user's records may be split."""
+    return after if before is None else before if after is None else before + after
+
+
+TOTAL = [Store("total", "decimal(20,2)", _both)]
 MONEY = "decimal(20,2)"
 
 
@@ -66,8 +73,11 @@ def state_store_sum(spark, d):
         store.put({"value": value if now is None else now["value"] + value})
         return key, store.get()
 
+    def merge(a, b):
+        return b if a is None else a if b is None else {"value": a["value"] + b["value"]}
+
     log = amounts(spark, d).transform(step, "long", "struct<value:decimal(20,2)>",
-                                      [Store("sums", "struct<value:decimal(20,2)>")])
+                                      [Store("sums", "struct<value:decimal(20,2)>", merge)])
     return log.to_table().map_values(lambda v: v["value"]).snapshot().select(
         "key", as_double("value").alias("value"))
 
@@ -96,5 +106,5 @@ def process_counts(spark, d):
             return key, cell.get()
         return None
 
-    log: Log = amounts(spark, d).transform(step, "long", "long", [Store("n", "long")])
+    log: Log = amounts(spark, d).transform(step, "long", "long", [Store("n", "long", _both)])
     return log.to_table().snapshot().select("key", F.col("value").alias("n"))
