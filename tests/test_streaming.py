@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tidelog.operators.log import Log
 from tidelog.operators.reducers import total
 from tidelog.operators.stateful import Store
-from tidelog.operators.windows import JoinWindows, SessionWindows, TimeWindows
-from tidelog.streaming.drain import drain, newest, read_stream
+from tidelog.operators.windows import (JoinWindows, SessionWindows, SuppressBufferFull,
+                                       TimeWindows)
+from tidelog.streaming.drain import BufferGuard, drain, newest, read_stream
 
 RECORDS = [(1 + i * 700, i % 3, (i * 7) % 11) for i in range(60)]
 
@@ -81,6 +82,39 @@ def test_windowed_join(spark, log, tmp_path):
     assert rows(drain(pair(*s))) == rows(pair(log, other))
 
 
+@pytest.mark.parametrize("how", ["left", "outer"])
+def test_windowed_outer_joins(spark, tmp_path, how):
+    """Rows whose window the watermark has passed; the batch form also gives the open ones."""
+    left, right = two_logs(spark, [("L", 1000, 1, 1), ("R", 1100, 1, 2), ("L", 4000, 1, 3),
+                                   ("R", 9000, 2, 5), ("L", 30000, 3, 0), ("R", 30000, 3, 0)])
+    near = JoinWindows.of(1000)
+
+    def pair(x, y):
+        joined = x.left_join_windowed if how == "left" else x.outer_join_windowed
+        return joined(y, safe_add, near).df
+
+    s = [streamed(spark, x, tmp_path / n, files=2).with_watermark(0)
+         for n, x in (("l", left), ("r", right))]
+    assert rows(drain(pair(*s))) == rows(pair(left, right))
+
+
+def test_buffer_guard_stops_the_query(spark, log, tmp_path):
+    windows = TimeWindows(1000, grace_ms=60_000)
+    stream = streamed(spark, log, tmp_path / "in").with_watermark(60_000)
+    out = stream.group_by_key().window_by_time(windows).count().snapshot()
+    query = (out.writeStream.format("noop").outputMode("append")
+             .option("checkpointLocation", str(tmp_path / "c"))
+             .trigger(processingTime="100 milliseconds").start())
+    guard = BufferGuard(spark, query, max_records=5)
+    spark.streams.addListener(guard)
+    try:
+        query.awaitTermination(60)
+    finally:
+        spark.streams.removeListener(guard)
+        query.stop()
+    assert isinstance(guard.failed, SuppressBufferFull)
+
+
 def test_stream_table_join(spark, tmp_path):
     left, right = two_logs(spark, [("L", 1, 2), ("R", 1, 1), ("L", 1, 2), ("R", 1, None),
                                    ("L", 1, 7)])
