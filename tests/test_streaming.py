@@ -5,7 +5,7 @@ from helpers import keyvals, log_of, safe_add, two_logs
 from pyspark.sql import functions as F
 
 from tidelog.operators.log import Log
-from tidelog.operators.reducers import total
+from tidelog.operators.reducers import largest, total
 from tidelog.operators.stateful import Store
 from tidelog.operators.windows import (JoinWindows, SessionWindows, SuppressBufferFull,
                                        TimeWindows)
@@ -57,6 +57,34 @@ def test_changelog(spark, log, tmp_path):
     assert rows(drain(table(streamed(spark, log, tmp_path)))) == rows(table(log))
 
 
+DELETES = [(1 + i * 700, i % 3, None if i % 5 == 4 else (i * 7) % 11) for i in range(40)]
+
+
+@pytest.mark.parametrize("name,change", [
+    ("filter", lambda t: t.filter(lambda k, v: v > 4)),
+    ("regrouped", lambda t: t.group_by(lambda k, v: (v % 2, v)).reduce(total())),
+    ("largest", lambda t: t.to_stream().group_by_key().reduce(largest())),
+    ("self join", lambda t: t.join(t.map_values(lambda v: v * 10), lambda a, b: a + b))])
+def test_table_changelogs(spark, tmp_path, name, change):
+    log = log_of(spark, DELETES)
+    updates = lambda x: change(x.to_table()).updates().df.select("key", "value", "ts")
+    assert rows(drain(updates(streamed(spark, log, tmp_path)))) == rows(updates(log))
+
+
+def test_session_changelog(spark, tmp_path):
+    log = log_of(spark, [(100, 1, 4), (1000, 1, 3), (1200, 1, 3), (5000, 1, 2), (5100, 2, 1)])
+    sessions = lambda x: x.group_by_key().window_by_session(SessionWindows(1000, 0))
+    updates = lambda x: sessions(x).reduce(total()).updates().df
+    assert rows(drain(updates(streamed(spark, log, tmp_path)))) == rows(updates(log))
+
+
+def test_suppressed_count(spark, tmp_path):
+    log = log_of(spark, [(1, 1, 3), (2, 1, 4), (12, 1, 4), (201, 1, 1), (202, 1, 2), (222, 1, 3)])
+    stream = streamed(spark, log, tmp_path, files=6).with_watermark(0)
+    held = stream.group_by_key().count().suppress(until_time_limit_ms=10)
+    assert keyvals(Log(drain(held.df), held.order)) == [(1, 3), (1, 6)]
+
+
 def test_suppress_until_windows_close(spark, log, tmp_path):
     windows = TimeWindows(5000, grace_ms=1000)
     final = lambda x: x.group_by_key().window_by_time(windows).reduce(total()).suppress().df

@@ -64,9 +64,6 @@ class GroupedLog:
                     .withColumn(VALUE, _seeded(F.col(VALUE), init)))
 
         def updates() -> Log:
-            if log.streaming:
-                from tidelog.streaming.processors import keyed_running
-                return keyed_running(self, reducer, init)
             line = Timeline.of(self.rows, self.keys, log.order, log.derived)
             line = line.running("__run", reducer.kind, reducer.input())
             out = line.frame.withColumn(VALUE, _seeded(F.col("__run"), init)).drop("__run")

@@ -36,9 +36,6 @@ def stream_table_join(log: Log, table: Table, joiner: Pairwise, how: str = "inne
     """
     _check(joiner, how, ("inner", "left"))
     need_type(table, Table, "table")
-    if log.streaming:
-        from tidelog.streaming.processors import keyed_stream_table_join
-        return keyed_stream_table_join(log, table, joiner, how)
     rest = [c for c in log.df.columns if c != KEY]
     rows = log.df.where(F.col(KEY).isNotNull() & F.col(VALUE).isNotNull())
     updates = table.updates()

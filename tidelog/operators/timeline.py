@@ -86,6 +86,8 @@ class Timeline:
     @classmethod
     def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str],
            derived: bool = False) -> Timeline:
+        if df.isStreaming:
+            return cls(df, None, keys, order)
         return cls(*split(df, keys, order, derived), keys, order)
 
     def refined(self, *more: str) -> Timeline:
@@ -110,6 +112,8 @@ class Timeline:
 
         ``first`` and ``last`` skip nulls.
         """
+        if self.whole.isStreaming:
+            return self._streamed(name, kind, expr)
         if kind == "last":
             return self._reach(name, expr, back=True)
         if kind == "first":
@@ -125,22 +129,31 @@ class Timeline:
 
     def latest(self, name: str, expr: Column) -> Timeline:
         """Last non-null ``expr`` up to and with the row."""
+        if self.whole.isStreaming:
+            return self._streamed(name, "last", expr)
         return self._reach(name, expr, back=True)
 
     def upcoming(self, name: str, expr: Column) -> Timeline:
-        """First non-null ``expr`` from the row on."""
+        """First non-null ``expr`` from the row on (batch only)."""
         return self._reach(name, expr, back=False)
 
     def previous(self, name: str, expr: Column) -> Timeline:
         """``expr`` of the row before (null for the first row of a key)."""
+        if self.whole.isStreaming:
+            return self._streamed(name, "previous", expr)
         return self._step(name, expr, back=True)
 
     def following(self, name: str, expr: Column) -> Timeline:
-        """``expr`` of the row after (null for the last row of a key)."""
+        """``expr`` of the row after, null for the last row of a key (batch only)."""
         return self._step(name, expr, back=False)
 
     # -- plumbing --------------------------------------------------------
 
+    def _streamed(self, name: str, kind: str, expr: Column) -> Timeline:
+        """On a stream the past is state: what was seen of a key in earlier batches."""
+        from tidelog.streaming.processors import keyed_column
+        return self._each(lambda df: keyed_column(df, self.keys, self.order, name, kind, expr))
+
     def _within(self, sliced: bool, forward: bool = True):
         cut = (SLICE,) if sliced else ()
         order = self.order if forward else [F.col(o).desc() for o in self.order]

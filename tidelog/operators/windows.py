@@ -144,8 +144,9 @@ class SessionGrouped:
             window = lambda end: F.struct(F.col("__start").alias("start"), end.alias("end"))
             result = _seeded(F.col("__run"), init)
             row = lambda w, v: F.struct(w.alias("window"), v.alias(VALUE))
-            gone = F.when(F.col("__new") == 0, row(
-                window(F.col("__last_ts")), F.when(F.lit(False), result)))
+            # a session that does not grow in time is replaced without being deleted
+            grown = (F.col("__new") == 0) & (F.col("__start") < F.col("ts"))
+            gone = F.when(grown, row(window(F.col("__last_ts")), F.when(F.lit(False), result)))
             both = F.filter(F.array(gone, row(window(F.col("ts")), result)),
                             lambda x: x.isNotNull())
             pos = f"pos{len(log.order)}"

@@ -6,8 +6,10 @@ from tidelog.operators.log import Log
 from tidelog.operators.reducers import total
 from tidelog.operators.stateful import Store
 
-from tidelog.plans.joins import AS_OF, NEAR, WINDOWED, add
+from tidelog.plans.aggregates import BAND_RUN, SIGNED
+from tidelog.plans.joins import AS_OF, CHANGES, LIVE, NEAR, WINDOWED, add
 from tidelog.plans.registry import ACCOUNT_STATE, EVENTS, as_double, events_log, query, typed
+from tidelog.plans.stateless import FILTERED
 from tidelog.plans.transforms import RUN
 from tidelog.plans.windows import BUCKET, ISLANDS, SESSIONS, SIX_HOURS
 from tidelog.streaming.drain import drain, newest, read_stream
@@ -58,6 +60,37 @@ def stream_table(spark, d):
         F.col("key").alias("user_id"), as_double("value.v").alias("value"))
 
 
+def _accounts(spark, d):
+    log = stream(spark, d)
+    log = Log(log.df.where(F.col("topic").isin("purchase", "signup")), log.order)
+    return log.map_values(lambda v: F.when(v["event_type"] == "purchase", v["amount"])).to_table()
+
+
+def _changes(log, key="user_id", *more):
+    return drain(log.df.select(F.col("key").alias(key), F.col("offset").alias("event_id"),
+                               as_double("value").alias("value"), *more))
+
+
+@query("stream_table_filter", FILTERED.format(cond="v > 50"))
+def stream_table_filter(spark, d):
+    return _changes(_accounts(spark, d).filter(lambda k, v: v > 50).updates())
+
+
+@query("stream_table_group_sum", f"""
+SELECT band, event_id, CAST(sum(sign * x) {BAND_RUN} AS DOUBLE) AS value FROM ({SIGNED})""")
+def stream_table_group_sum(spark, d):
+    """Rows that change group are taken out of the old one and put into the new one."""
+    grouped = _accounts(spark, d).group_by(lambda k, v: (F.floor(v / 20).cast("long"), v))
+    return _changes(grouped.reduce(total()).updates(), "band")
+
+
+@query("stream_table_join_changelog", CHANGES.format(live=LIVE["outer"]))
+def stream_table_join_changelog(spark, d):
+    clicks = typed(stream(spark, d), "click").map_values(lambda v: v["amount"]).to_table()
+    joined = _accounts(spark, d).outer_join(clicks, add)
+    return _changes(joined.updates(), "user_id", "side")
+
+
 @query("stream_tumbling", f"""
 SELECT user_id, start, start + INTERVAL '6 hours' AS "end", CAST(sum(v) AS DOUBLE) AS value
 FROM (SELECT *, {BUCKET} AS start FROM ({EVENTS})) GROUP BY user_id, start

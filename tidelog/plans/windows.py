@@ -76,7 +76,7 @@ SELECT user_id, start, ts AS "end", event_id, CAST(run AS DOUBLE) AS value FROM
 UNION ALL
 SELECT user_id, start, last_ts, event_id, NULL FROM (
   SELECT *, min(ts) OVER (PARTITION BY user_id, s ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
-    AS start FROM ({ISLANDS})) WHERE fresh = 0""")
+    AS start FROM ({ISLANDS})) WHERE fresh = 0 AND start < ts""")
 def session_changelog(spark, d):
     table = amounts(spark, d).group_by_key().window_by_session(SESSIONS).reduce(total())
     return windowed(table.updates().df, "value", F.col("offset").alias("event_id"))

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidelog.operators.log import KEY, VALUE, Log, Pairwise
+from tidelog.operators.log import KEY, VALUE, Log
 from tidelog.operators.stateful import Context
 
 
@@ -98,92 +98,69 @@ def keyed_process(log: Log, outputs, stores, schema: T.StructType) -> DataFrame:
         StepProcessor(outputs, tuple(stores), log.order, schema), schema, "append", "none")
 
 
-# Merging a new input into a running value, by kind of reducer.
-_ADVANCE = {"sum": lambda a, x: a + x, "count": lambda a, x: a + x, "min": min, "max": max,
+# Merging a new input into a running value, by kind.
+_ADVANCE = {"sum": lambda a, x: a + x, "count": lambda a, x: a + 1, "min": min, "max": max,
             "first": lambda a, x: a, "last": lambda a, x: x}
 
 
-class RunningProcessor(StatefulProcessor):
-    """The running value of an algebraic reducer after each record."""
+class ColumnProcessor(StatefulProcessor):
+    """Adds to each record a value computed from the records of its key so far.
 
-    def __init__(self, kind: str, order, schema, state_type):
-        self.kind, self.order, self.schema, self.state_type = kind, order, schema, state_type
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cell = StateCell(handle.getValueState("running", boxed(self.state_type)))
-        self.emit = _emitter(self.schema)
-
-    def handleInputRows(self, key, rows, timerValues):
-        self.cell.load()
-        value = self.cell.get()
-        for row in in_order(rows, self.order):
-            x = 1 if self.kind == "count" else row["__x"]
-            if x is not None:
-                value = x if value is None else _ADVANCE[self.kind](value, x)
-            yield self.emit({**row.asDict(), VALUE: value})
-        if value is not None:
-            self.cell.put(value)
-            self.cell.save()
-
-    def close(self) -> None:
-        pass
-
-
-def keyed_running(group, reducer, init) -> Log:
-    """The changelog of a streamed aggregate: one record per input record."""
-    from tidelog.operators.grouped import _seeded
-    log, keys = group.log, group.keys
-    rows = group.rows.select(*keys, reducer.input().alias("__x"), *log.order)
-    # the batch plan's result type, so that both forms give the same schema
-    kind = reducer.kind if reducer.kind not in ("first", "last") else "max"
-    result = rows.agg(getattr(F, kind)("__x").alias("r")).schema["r"].dataType
-    schema = T.StructType([*[rows.schema[k] for k in keys], T.StructField(VALUE, result),
-                           *[rows.schema[c] for c in log.order]])
-    out = rows.groupBy(*keys).transformWithState(
-        RunningProcessor(reducer.kind, log.order, schema, result), schema, "append", "none")
-    return Log(out.withColumn(VALUE, _seeded(F.col(VALUE), init)), log.order)
-
-
-class LatestProcessor(StatefulProcessor):
-    """Hands each record the table value of its key; keeps that value as state."""
+    ``kind`` is that of a running aggregate (nulls are skipped), or ``previous``
+    for the value of the record before.
+    """
 
-    def __init__(self, order, schema, value_type):
-        self.order, self.schema, self.value_type = order, schema, value_type
+    def __init__(self, kind: str, name: str, order, schema, state_type):
+        self.kind, self.name, self.order = kind, name, order
+        self.schema, self.state_type = schema, state_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cell = StateCell(handle.getValueState("table", boxed(self.value_type)))
+        self.cell = StateCell(handle.getValueState("running", boxed(self.state_type)))
         self.emit = _emitter(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
         self.cell.load()
         for row in in_order(rows, self.order):
-            if row["__side"] == 0:
-                self.cell.put(plain(row["__table"])["value"])
+            x, now = (self.comparable(v) for v in (plain(row["__x"]), self.cell.get()))
+            if self.kind == "previous":
+                out = now
+                self.cell.put(x)
             else:
-                yield self.emit({KEY: row[KEY], "__row": row["__row"],
-                                 "__now": (self.cell.get(),)})
+                out = self.advanced(now, x)
+                if out is not None:
+                    self.cell.put(out)
+            yield self.emit({**row.asDict(), self.name: out})
         self.cell.save()
 
+    def comparable(self, x):
+        """Instants come with a time zone from rows and without one from state."""
+        instant = isinstance(self.state_type, T.TimestampType) and x is not None
+        return x.astimezone() if instant and x.tzinfo is None else x
+
+    def advanced(self, now, x):
+        if now is None and self.kind == "count":
+            now = 0
+        if x is None:
+            return now
+        return x if now is None else _ADVANCE[self.kind](now, x)
+
     def close(self) -> None:
         pass
 
 
-def keyed_stream_table_join(log: Log, table, joiner: Pairwise, how: str) -> Log:
-    """The as-of join of a streamed log with a streamed table."""
-    from tidelog.operators.joins import _tag_order, _tagged
-    rest = [c for c in log.df.columns if c != KEY]
-    rows = log.df.where(F.col(KEY).isNotNull() & F.col(VALUE).isNotNull())
-    updates = table.updates()
-    both = _tagged((updates, "__table"), (Log(rows, log.order), "__row"), {"__row": rest})
-    value_type = updates.value_type
-    schema = T.StructType([both.schema[KEY], both.schema["__row"], T.StructField(
-        "__now", T.StructType([T.StructField(VALUE, value_type)]))])
-    met = both.groupBy(KEY).transformWithState(
-        LatestProcessor(_tag_order(updates, log), schema, value_type), schema, "append", "none")
-    if how == "inner":
-        met = met.where(F.col("__now.value").isNotNull())
-    return Log(met.select(KEY, joiner(F.col("__row.value"), F.col("__now.value")).alias(VALUE),
-                          *[F.col(f"__row.{c}").alias(c) for c in rest if c != VALUE]), log.order)
+def keyed_column(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, kind: str,
+                 expr: Column) -> DataFrame:
+    """``df`` with a column as ``Timeline`` adds it, on a stream."""
+    rows = df.withColumn("__x", expr)
+    # the batch plan's type, so that both forms give the same schema
+    fn = {"previous": F.max_by, "first": F.max_by, "last": F.max_by}.get(kind)
+    result = fn("__x", F.lit(1)) if fn else getattr(F, kind)("__x")
+    kept = T.StructField(name, rows.agg(result.alias(name)).schema[name].dataType)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema] + [kept])
+    timed = any("spark.watermarkDelayMs" in f.metadata for f in df.schema)
+    mode = {"timeMode": "eventTime", "eventTimeColumnName": "ts"} if timed else {"timeMode": "none"}
+    return rows.groupBy(*keys).transformWithState(
+        ColumnProcessor(kind, name, tuple(order), schema, kept.dataType), schema, "append", **mode)
 
 
 class HoldProcessor(StatefulProcessor):
@@ -238,5 +215,4 @@ def keyed_rate_limit(log: Log, keys: Sequence[str], limit_ms: int) -> Log:
     return Log(out, log.order)
 
 
-__all__ = ["keyed_process", "keyed_running", "keyed_stream_table_join",
-           "keyed_rate_limit"]
+__all__ = ["keyed_column", "keyed_process", "keyed_rate_limit"]
