@@ -18,7 +18,7 @@ def pytest_collection_modifyitems(items):
 @pytest.fixture(scope="session")
 def spark():
     s = session.open_session("tests", **{
-        "spark.master": "local[4]", "spark.sql.shuffle.partitions": "4",
+        "spark.master": "local[4]", "spark.sql.shuffle.partitions": "3",
         "spark.ui.enabled": "false", "spark.driver.memory": "6g",
         # keep small slices apart, so that split histories really are split
         "spark.sql.adaptive.coalescePartitions.enabled": "false"})

@@ -14,7 +14,7 @@ from tidelog.streaming.drain import BufferGuard, drain, newest, read_stream
 RECORDS = [(1 + i * 700, i % 3, (i * 7) % 11) for i in range(60)]
 
 
-def streamed(spark, log, folder, files=4):
+def streamed(spark, log, folder, files=2):
     """The log as a stream of several files, in order, one per micro-batch."""
     n = log.df.agg(F.max("offset")).first()[0] + 1
     for i in range(files):
