@@ -19,9 +19,7 @@ def pytest_collection_modifyitems(items):
 def spark():
     s = session.open_session("tests", **{
         "spark.master": "local[4]", "spark.sql.shuffle.partitions": "3",
-        "spark.ui.enabled": "false", "spark.driver.memory": "6g",
-        # keep small slices apart, so that split histories really are split
-        "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+        "spark.ui.enabled": "false", "spark.driver.memory": "6g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
@@ -32,6 +30,7 @@ def layout(request, monkeypatch):
     """Run a test with whole histories, and with every history cut into slices."""
     if request.param == "sliced":
         monkeypatch.setattr(session, "ROWS_PER_TASK", 0)
+        monkeypatch.setattr(session, "ROWS_PER_SLICE", 2)
         monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
         monkeypatch.setattr(session, "SMALL_SIDE_BYTES", -1)
     return request.param

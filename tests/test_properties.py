@@ -21,6 +21,7 @@ def cut(request, monkeypatch):
     """Whole histories, or only those of more than three records cut into slices."""
     if request.param == "mixed":
         monkeypatch.setattr(session, "ROWS_PER_TASK", 3)
+        monkeypatch.setattr(session, "ROWS_PER_SLICE", 2)
         monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
     return request.param
 

@@ -39,15 +39,15 @@ _MERGE: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """The keys with more rows than a task should hold; None if there are none.
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """The keys with more rows than a task should hold, and how many rows they have together.
 
     One partially aggregated pass over the key columns.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = session.pinned(counts.where(F.col("__n") > session.ROWS_PER_TASK).select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]))
-    return None if hot.isEmpty() else hot
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n"))
+    return hot.drop("__n"), hot.agg(F.sum("__n")).first()[0] or 0
 
 
 def same_key(keys: Sequence[str]) -> Column:
@@ -67,12 +67,15 @@ def split(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df, None
     if derived:
         df = session.pinned(df)
-    hot = hot_keys(df, keys)
-    if hot is None:
+    hot, rows = hot_keys(df, keys)
+    if rows == 0:
         return df, None
     cold = df.join(F.broadcast(hot), same_key(keys), "left_anti")
     rest = df.join(F.broadcast(hot), same_key(keys), "left_semi")
-    cut = rest.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id())
+    # as many slices as the rows need, whatever the session's shuffle partitions
+    slices = max(2, -(-rows // session.ROWS_PER_SLICE))
+    cut = rest.repartitionByRange(slices, *keys, *order)
+    cut = cut.withColumn(SLICE, F.spark_partition_id())
     return cold, session.pinned(cut)
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Rows of one key that a single window task may hold before its history is split.
 ROWS_PER_TASK = 10_000_000
+# Rows a slice of such a history is meant to hold.
+ROWS_PER_SLICE = 4_000_000
 # Inputs Catalyst estimates below this many bytes cannot hold an oversized key.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 # Below this estimate a join side may be broadcast without counting it.
