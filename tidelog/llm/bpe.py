@@ -118,7 +118,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
     chosen = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
 
     def run(batches):
-        memo = per_worker(f"encoded {path}", lambda: _memo(path))
+        memo = per_worker("encoded", path, lambda: _memo(path))
         for batch, chunk in batches_of_texts(batches, "text"):
             cut = [_units(t or "") for t in chunk]
             known = memo.learn(set().union(*cut))

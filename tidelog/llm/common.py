@@ -65,15 +65,17 @@ def batches_of_texts(batches: Iterable[pa.RecordBatch], column: str
             yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo).to_pylist()
 
 
-def per_worker(name: str, make: Callable):
-    """What ``make`` built in this Python worker, once for all tasks it runs.
+def per_worker(slot: str, key: str, make: Callable):
+    """What ``make`` built for ``key`` in this Python worker, kept for the tasks that follow.
 
-    Functions travel to the workers by value, so they have no module to keep things in.
+    Functions travel to the workers by value, so they have no module to keep things in.  A slot
+    holds one thing; another key takes its place.
     """
     state = sys.modules.setdefault("_tidelog_worker", types.ModuleType("_tidelog_worker"))
-    if not hasattr(state, name):
-        setattr(state, name, make())
-    return getattr(state, name)
+    if getattr(state, slot, (None,))[0] != key:
+        setattr(state, slot, (None,))
+        setattr(state, slot, (key, make()))
+    return getattr(state, slot)[1]
 
 
 class Memo:

@@ -38,7 +38,7 @@ def directory(keys: DataFrame, capacity: int) -> DataFrame:
     entries, full = keys.count(), 0
     while full < MAX_DEPTH and (capacity << full) < 16 * entries:
         full += 1
-    slots = keys.groupBy(prefix(F.col("key"), full).alias("slot")).count()
+    slots = stored(keys.groupBy(prefix(F.col("key"), full).alias("slot")).count(), "slots")
     options = []
     for depth in range(full + 1):
         part = F.shiftright("slot", full - depth)
@@ -74,18 +74,19 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     index = stored(flat.select(
         "n", "doc_id", "norm", "chars", F.xxhash64("norm").alias("key"),
         F.unhex(F.sha2("norm", 256)).alias("digest"), *(["row"] if whole_rows else [])), "index")
-    slots = directory(index.select("key"), capacity)
+    slots = stored(directory(index.select("key"), capacity), "directory")
     depth = slots.select(F.max("full")).first()[0] or 0
     entries = index.withColumn("slot", prefix(F.col("key"), depth)).join(
         F.broadcast(slots.select("slot", "depth", "bucket")), "slot")
     chains = (entries.groupBy("depth", "bucket", "key", "norm", "chars")
               .agg(F.count("*").alias("size"), F.min("doc_id").alias("first"),
                    F.min(_rank()).alias("best")))
-    groups = (chains.select("key", F.unhex(F.sha2("norm", 256)).alias("digest"), "chars", "size", "first", "best")
+    # Stored, so that the join below has its own shuffle, which can split a hot text's rows.
+    groups = stored(chains.select("key", F.unhex(F.sha2("norm", 256)).alias("digest"), "chars", "size", "first", "best")
               .groupBy("key", "digest")
               .agg(F.sum("size").alias("group_size"), F.max("chars").alias("most"),
                    F.max_by("first", "chars").alias("keep_id"),
-                   F.max_by("best", "chars").alias("best")))
+                   F.max_by("best", "chars").alias("best")), "groups")
     members = index.select("n", "doc_id", "chars", "key", "digest", *(["row"] if whole_rows else []))
     joined = members.join(groups, ["key", "digest"])
     return joined.select(

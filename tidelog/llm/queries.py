@@ -9,23 +9,62 @@ from pyspark.sql import functions as F
 from tidelog.llm.bpe import encode
 from tidelog.llm.common import table
 from tidelog.llm.exact_dedup import exact_dedup
+from tidelog.llm.language_id import identify, learn
+from tidelog.llm.main_text import extract
+from tidelog.llm.mixing import mix
+from tidelog.llm.neighbours import nearest
+from tidelog.llm.quality import classify
 from tidelog.llm.simhash import simhash_dedup
+from tidelog.llm.substrings import remove_repeats
 from tidelog.llm.token_counts import token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), BYTE_BPE)
 
 
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return identify(docs, learn(docs, PIECES))
+
+
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents")).taken().select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents"), WORD_BPE).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def judged(docs: DataFrame, labels: DataFrame, whole_rows: bool = False) -> DataFrame:
+    """Documents judged with their source as host and its part in one language as path."""
+    return classify(docs, labels, F.col("source"), F.col("lang"), whole_rows=whole_rows)
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup(table(spark, folder, "documents"))
 
@@ -46,5 +85,7 @@ r AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM r
 """
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op6_bpe, op9_simhash, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_substrings, op2_token_counts, op3_neighbours, op4_language_id, op5_mixing, op6_bpe, op7_quality,
+    op8_main_text, op9_simhash, op10_exact_dedup)}
 ORACLES = {"op10_exact_dedup": OP10_SQL}

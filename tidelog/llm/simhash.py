@@ -197,7 +197,8 @@ def simhash_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    # Stored, so that the join below has its own shuffle, which can split a hot fingerprint's rows.
+    named = stored(rooted.join(least, "root").select("fp", "root", "component_id"), "named")
     joined = rows.join(named, "fp")
     # Rows that carry the component's id: one, unless ids repeat or are all missing.
     heads = (joined.where(F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -27,7 +27,7 @@ def count_tokens(texts: DataFrame, path: str) -> DataFrame:
             return Memo(lambda units: [len(e) for e in loaded.encode_batch_fast(units, add_special_tokens=False)],
                         tk.MEMO_UNITS)
 
-        memo = per_worker(f"counts {path}", fresh)
+        memo = per_worker("counts", path, fresh)
         for batch, chunk in batches_of_texts(batches, "text"):
             cut = [tk.space_led(t) for t in chunk]
             known = memo.learn(set().union(*cut))
