@@ -71,12 +71,14 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     raw = F.coalesce(F.col("row")[text], F.lit(""))
     flat = packed.select("n", "row", F.col("row")[doc_id].alias("doc_id"), normalised(raw).alias("norm"),
                          F.length(raw).alias("chars"))
+    # The index holds a text once: normalised, or in its row.
     index = stored(flat.select(
-        "n", "doc_id", "norm", "chars", F.xxhash64("norm").alias("key"),
-        F.unhex(F.sha2("norm", 256)).alias("digest"), *(["row"] if whole_rows else [])), "index")
+        "n", "doc_id", "chars", F.xxhash64("norm").alias("key"), F.unhex(F.sha2("norm", 256)).alias("digest"),
+        "row" if whole_rows else "norm"), "index")
     slots = stored(directory(index.select("key"), capacity), "directory")
     depth = slots.select(F.max("full")).first()[0] or 0
-    entries = index.withColumn("slot", prefix(F.col("key"), depth)).join(
+    entries = index.withColumn("norm", normalised(raw)) if whole_rows else index
+    entries = entries.drop("row").withColumn("slot", prefix(F.col("key"), depth)).join(
         F.broadcast(slots.select("slot", "depth", "bucket")), "slot")
     chains = (entries.groupBy("depth", "bucket", "key", "norm", "chars")
               .agg(F.count("*").alias("size"), F.min("doc_id").alias("first"),

@@ -104,13 +104,14 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
         (F.col("target") - passes * F.col("words")).alias("rest"), blocks.alias("blocks")), "targets")
     placed = rows.join(sources, F.col("source").eqNullSafe(F.col("of"))).withColumn(
         "block", F.pmod(F.col("mark"), F.col("blocks").cast("long")).cast("int")).drop("of")
-    quotas = stored(_partial_pass(placed, seed), "quotas")
-    ends = _ends(placed, quotas)
+    quotas = stored(_partial_pass(placed.drop("row"), seed), "quotas")
+    # The small tables are stored: Spark then knows their size, and shuffles the texts only if it must.
+    ends = stored(_ends(placed.drop("row"), quotas), "ends")
     copies = F.col("passes") + (F.col("whole") | F.coalesce("last", F.lit(False))).cast("int")
     marked = (placed.join(quotas.select("place", "block", "whole"), ["place", "block"])
               .join(ends, "n", "left").withColumn("copies", copies))
     kept = ["n", "doc_id", "source", "size", "source_size", "target", "place", "block", "mark", "copies"]
-    return Mix(marked.select(*kept, *(["row"] if whole_rows else [])), _shards(quotas, shard_words, seed))
+    return Mix(marked.select(*kept, *(["row"] if whole_rows else [])), stored(_shards(quotas, shard_words, seed), "shards"))
 
 
 def _partial_pass(placed: DataFrame, seed: int) -> DataFrame:

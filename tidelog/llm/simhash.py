@@ -189,9 +189,12 @@ def simhash_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     the input row comes along as a struct ``row``.
     """
     packed = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("n"))
-    chosen = [F.col("row")[text].alias("text"), F.col("row")[doc_id].alias("doc_id"), "n"]
-    hashed = fingerprints(packed.select(*chosen, *(["row"] if whole_rows else [])), "text", "fp")
-    rows = stored(hashed.drop("text"), "prints")
+    ids = [F.col("row")[doc_id].alias("doc_id"), "n"]
+    if whole_rows:
+        rows = fingerprints(packed.select("row", *ids), f"row.{text}", "fp")
+    else:
+        rows = fingerprints(packed.select(F.col("row")[text].alias("text"), *ids), "text", "fp").drop("text")
+    rows = stored(rows, "prints")
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(prints))
     rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -199,11 +202,13 @@ def simhash_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     # Stored, so that the join below has its own shuffle, which can split a hot fingerprint's rows.
     named = stored(rooted.join(least, "root").select("fp", "root", "component_id"), "named")
-    joined = rows.join(named, "fp")
+    joined = rows.drop("row").join(named, "fp")
+    out = ["doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"]
+    if not whole_rows:
+        return joined.select(*out)
     # Rows that carry the component's id: one, unless ids repeat or are all missing.
+    joined = stored(joined, "joined")
     heads = (joined.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
              .groupBy("root").agg(F.min("n").alias("head")))
-    if whole_rows:
-        joined = joined.join(heads, "root").withColumn("kept", F.col("n") == F.col("head"))
-    out = ["doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"]
-    return joined.select(*out, *(["kept", "row"] if whole_rows else []))
+    marked = joined.join(heads, "root").select("n", *out, (F.col("n") == F.col("head")).alias("kept"))
+    return marked.join(rows.select("n", "row"), "n").drop("n")
