@@ -56,7 +56,15 @@ def _rule(broken: Column, path: Column, rule: str) -> Column:
     return F.when(broken, one).otherwise(F.array().cast(ERRORS))
 
 
+# Keywords that are checked, and those that say nothing about a payload.
+CHECKED = frozenset("type minimum minItems items required properties additionalProperties".split())
+SILENT = frozenset("$schema $id $comment title description default examples".split())
+
+
 def _errors(v: Column, schema: dict, path: Column) -> Column:
+    unknown = sorted(set(schema) - CHECKED - SILENT)
+    if unknown:
+        raise ValueError(f"schema keywords that are not checked: {', '.join(unknown)}")
     parts = []
     kind = P.kind(v)
     if "type" in schema:

@@ -55,7 +55,7 @@ class GroupedLog:
     def _table(self, reducer, init) -> Table:
         if isinstance(reducer, Fold):
             from tidelog.operators.stateful import folded
-            return folded(self, reducer)
+            return folded(self, reducer.starting(init))
         _check_init(reducer, init)
         log = self.log
 

@@ -154,6 +154,8 @@ def foreign_key_join(left: Table, right: Table, foreign_key: Callable[[Column],
 
     def updates() -> Log:
         a, b = left.updates(), right.updates()
+        if a.streaming or b.streaming:
+            raise ValueError("the changelog of a foreign-key join needs batch input")
         order = _tag_order(a, b)
         l = _versions(a, 0, order, "__l")  # noqa: E741
         r = _versions(b, 1, order, "__r")

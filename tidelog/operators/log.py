@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog import session
+
 KEY, VALUE = "key", "value"
 Pairwise = Callable[[Column, Column], Column]
 
@@ -163,6 +165,7 @@ class Log:
         """Call ``action(row)`` for every record; on a stream the query is returned."""
         need_callable(action, "action")
         if self.streaming:
+            checkpoint = checkpoint or session.shared_folder(self.df.sparkSession, "checkpoint")
             return (self.df.writeStream.foreach(action)
                     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 

@@ -9,7 +9,7 @@ that depends on record order.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -85,3 +85,11 @@ class Fold:
     step: Callable[[object, object, object], object]
     schema: str
     merge: Callable[[object, object, object], object] | None = None
+
+    def starting(self, init) -> Fold:
+        """This fold begun with ``init``; one that merges slices would count it in each."""
+        if init is None:
+            return self
+        if self.merge is not None:
+            raise ValueError("give a fold with merge its start as zero, not as init")
+        return replace(self, zero=init)

@@ -222,6 +222,8 @@ def ordered_pass(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  step: Callable[[object, dict], Iterable[dict]], schema: T.StructType,
                  finish: Callable[[object], Iterable[dict]] | None = None) -> DataFrame:
     """Walk the rows of each key in order: ``start`` a state, ``step`` per row, ``finish``."""
+    if df.isStreaming:
+        raise ValueError("an ordered walk needs all rows; on a stream use a transformer with a store")
     sorted_rows = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     arrow = to_arrow_schema(schema)
     keys = tuple(keys)

@@ -125,7 +125,7 @@ class SessionGrouped:
         from tidelog.operators.table import Table
         log, keys = self.group.log, self.group.keys
         if isinstance(reducer, Fold):
-            return self._folded(reducer)
+            return self._folded(reducer.starting(init))
         _check_init(reducer, init)
 
         def snapshot() -> DataFrame:
@@ -225,6 +225,7 @@ def suppress(table, until_time_limit_ms: int | None = None, max_records: int | N
     if until_time_limit_ms is not None:
         _positive(until_time_limit_ms, "until_time_limit_ms")
         if table.source is not None and table.source.streaming:
+            _no_limits_on_streams(max_records, max_bytes)
             from tidelog.streaming.processors import keyed_rate_limit
             return keyed_rate_limit(table.updates(), table.keys, until_time_limit_ms)
         from tidelog.operators.stateful import rate_limited
@@ -233,6 +234,7 @@ def suppress(table, until_time_limit_ms: int | None = None, max_records: int | N
     if table.windows is None:
         raise ValueError("only a windowed table can be held until its windows close")
     if table.source.streaming:
+        _no_limits_on_streams(max_records, max_bytes)
         # append mode emits a window when the watermark passes its end: the same rows
         return Log(table.snapshot().withColumn("ts", F.col("window.end")), ("ts",))
     if max_records is not None or max_bytes is not None:
@@ -242,7 +244,7 @@ def suppress(table, until_time_limit_ms: int | None = None, max_records: int | N
     return Log(table.snapshot().where(closed).withColumn("ts", F.col("window.end")), ("ts",))
 
 
-def open_windows(table) -> DataFrame:
+def _open_windows(table) -> DataFrame:
     """How many windows (and bytes) were open after each window opened.
 
     A window opens with its first record and closes when stream time reaches its
@@ -265,8 +267,13 @@ def open_windows(table) -> DataFrame:
     return line.frame.where("phase = 1").select("at", "open_windows", "open_bytes")
 
 
+def _no_limits_on_streams(max_records: int | None, max_bytes: int | None) -> None:
+    if max_records is not None or max_bytes is not None:
+        raise ValueError("a stream's state cannot be limited by records or bytes; guard it with BufferGuard")
+
+
 def _check_buffer(table, max_records: int | None, max_bytes: int | None) -> None:
-    peak = open_windows(table).agg(F.max("open_windows"), F.max("open_bytes")).first()
+    peak = _open_windows(table).agg(F.max("open_windows"), F.max("open_bytes")).first()
     for got, limit, what in ((peak[0], max_records, "records"), (peak[1], max_bytes, "bytes")):
         if limit is not None and got is not None and got > limit:
             raise SuppressBufferFull(f"buffer needs {got} {what}, limit is {limit}")

@@ -119,22 +119,6 @@ def suppress_sessions(spark, d):
     return windowed(table.suppress().df)
 
 
-@query("open_windows", f"""
-SELECT ts, open_windows FROM (
-  SELECT moved AS ts, phase, sum(move) OVER (ORDER BY moved, phase, first_ts, first_id
-                                          ROWS UNBOUNDED PRECEDING) AS open_windows
-  FROM (SELECT min(ts) AS moved, 1 AS phase, 1 AS move, min(ts) AS first_ts, min(event_id) AS first_id
-        FROM (SELECT *, {BUCKET} AS start FROM ({EVENTS})) GROUP BY user_id, start
-        UNION ALL
-        SELECT start + INTERVAL '7 hours', 0, -1, min(ts), min(event_id)
-        FROM (SELECT *, {BUCKET} AS start FROM ({EVENTS})) GROUP BY user_id, start))
-WHERE phase = 1""")
-def open_windows(spark, d):
-    """How full a suppress buffer gets over time."""
-    table = amounts(spark, d).group_by_key().window_by_time(SIX_HOURS).reduce(total())
-    return W.open_windows(table).select(F.col("at").alias("ts"), "open_windows")
-
-
 TIME_LIMITED = f"""
 WITH RECURSIVE numbered AS (
   SELECT user_id, event_id, ts, v, row_number() OVER (ORDER BY ts, event_id) AS n FROM ({EVENTS})),

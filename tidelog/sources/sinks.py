@@ -138,7 +138,7 @@ def _last_offsets(spark, topic: Topic) -> DataFrame | None:
         if not df.inputFiles():
             return None
     except Exception as gone:  # nothing was written yet
-        if "PATH_NOT_FOUND" in str(gone):
+        if getattr(gone, "getCondition", str)() == "PATH_NOT_FOUND":
             return None
         raise
     return df.groupBy("partition").agg(F.max("offset").alias("__last"))
