@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import tokenizer as tk
-from tidelog.llm.common import Memo, batches_of_texts, per_worker, text_of
+from tidelog.llm.common import Memo, batches_of_texts, per_worker, stored, text_of
 from tidelog.session import shared_folder
 
 CACHE = "content binary, tokenizer string, n_tokens long"
@@ -60,7 +60,8 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, limit: in
      .write.mode("append").parquet(folder))
     held = _cached(spark, folder).where(F.col("tokenizer") == name).select("content", "n_tokens")
     # A writer that ran at the same time may have added the same text: its count is the same.
-    held = held.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    # Stored, so that the join has its own shuffle, which can split a hot text's rows.
+    held = stored(held.groupBy("content").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     sized = keyed.select("doc_id", "content", F.octet_length("text").cast("long").alias("n_bytes"))
     return sized.join(held, "content").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
