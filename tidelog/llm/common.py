@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidelog.session import shared_folder
 
 # Texts a Python task works on together, in characters.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,14 +55,23 @@ def chunks(sizes: Iterable[int], limit: int = CHUNK_CHARS) -> Iterator[tuple[int
 
 def batches_of_texts(batches: Iterable[pa.RecordBatch], column: str
                      ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Record batches cut so that the texts of each hold a bounded number of characters."""
+    """Record batches cut so that the texts of each hold a bounded number of characters.
+
+    ``column`` may name a field of a struct column, as ``row.text``.
+    """
+    column, _, inner = column.partition(".")
     for batch in batches:
         if not batch.num_rows:
             continue
         texts = batch.column(column)
+        if inner:
+            texts = pa.compute.struct_field(texts, inner)
         lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
         for lo, hi in chunks(lengths):
             yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo).to_pylist()
+        del batch, texts
+        # Workers outlive their tasks; what they no longer need goes back to the executor.
+        pa.default_memory_pool().release_unused()
 
 
 def per_worker(slot: str, key: str, make: Callable):
@@ -78,6 +87,11 @@ def per_worker(slot: str, key: str, make: Callable):
     return getattr(state, slot)[1]
 
 
+def let_go() -> None:
+    """Drop what earlier operators kept in this Python worker."""
+    sys.modules.pop("_tidelog_worker", None)
+
+
 class Memo:
     """Remembers what ``compute`` made of a unit; starts again beyond ``limit`` entries.
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import batches_of_texts, stored
+from tidelog.llm.common import batches_of_texts, let_go, stored
 
 # Labelled rows the document model is fitted on, at most.
 FIT_ROWS = 20_000
@@ -93,6 +93,7 @@ def score_texts(docs: DataFrame, model: Model, text: str, out: str) -> DataFrame
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches):
+        let_go()
         for batch, texts in batches_of_texts(batches, text):
             scores = model(np.array([features(t) for t in texts]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, out])
@@ -130,10 +131,12 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, tex
     With ``whole_rows`` the input row comes along as a struct ``row``.
     """
     model = fit(docs, labels, text, doc_id, label)
-    packed = docs.select(F.struct("*").alias("row"), docs[doc_id].alias("doc_id"), docs[text].alias("text"),
-                         host.cast("string").alias("host"), path.cast("string").alias("path"))
-    chosen = packed if whole_rows else packed.drop("row")
-    rows = stored(score_texts(chosen, model, "text", "evidence").drop("text"), "evidence")
+    sites = [docs[doc_id].alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path")]
+    if whole_rows:
+        rows = score_texts(docs.select(F.struct("*").alias("row"), *sites), model, f"row.{text}", "evidence")
+    else:
+        rows = score_texts(docs.select(docs[text].alias("text"), *sites), model, "text", "evidence").drop("text")
+    rows = stored(rows, "evidence")
     paths = stored(rows.groupBy("host", "path").agg(F.count("*").cast("double").alias("n"),
                                                     F.sum("evidence").alias("good")), "paths")
     hosts = paths.groupBy(F.col("host").alias("site")).agg(

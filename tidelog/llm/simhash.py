@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import batches_of_texts, stored
+from tidelog.llm.common import batches_of_texts, let_go, stored
 from tidelog.llm.components import components
 
 BITS = 3
@@ -83,6 +83,7 @@ def fingerprints(docs: DataFrame, text: str, out: str) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
 
     def run(batches):
+        let_go()
         for batch, texts in batches_of_texts(batches, text):
             prints = pa.array([_signed(fingerprint(t)) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, prints], [*batch.schema.names, out])

@@ -9,7 +9,7 @@ from pathlib import Path
 from tokenizers import Tokenizer
 
 # Units a worker remembers before it starts again (some 150 bytes each).
-MEMO_UNITS = 700_000
+MEMO_UNITS = 250_000
 
 
 def load(path: str) -> Tokenizer:
