@@ -31,6 +31,4 @@ def layout(request, monkeypatch):
     if request.param == "sliced":
         monkeypatch.setattr(session, "ROWS_PER_TASK", 0)
         monkeypatch.setattr(session, "ROWS_PER_SLICE", 2)
-        monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
-        monkeypatch.setattr(session, "SMALL_SIDE_BYTES", -1)
     return request.param

@@ -22,7 +22,6 @@ def cut(request, monkeypatch):
     if request.param == "mixed":
         monkeypatch.setattr(session, "ROWS_PER_TASK", 3)
         monkeypatch.setattr(session, "ROWS_PER_SLICE", 2)
-        monkeypatch.setattr(session, "SMALL_INPUT_BYTES", -1)
     return request.param
 
 

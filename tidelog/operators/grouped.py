@@ -35,6 +35,7 @@ class GroupedLog:
     log: Log
     keys: tuple[str, ...] = (KEY,)
     windows: object = None
+    arrived: Log | None = None  # what was put into windows, late records included
 
     @property
     def rows(self) -> DataFrame:
@@ -69,7 +70,7 @@ class GroupedLog:
             out = line.frame.withColumn(VALUE, _seeded(F.col("__run"), init)).drop("__run")
             return Log(out, log.order, derived=True)
 
-        return Table(updates, snapshot, self.keys, self.windows, log)
+        return Table(updates, snapshot, self.keys, self.windows, self.arrived or log)
 
     def diff(self) -> Log:
         """Each value less the one before it under the same key; null for the first."""
@@ -79,10 +80,20 @@ class GroupedLog:
                    .drop("__before"), self.log.order, derived=True)
 
     def window_by_time(self, windows) -> GroupedLog:
-        """Put every record into the tumbling or hopping windows it falls in."""
-        from tidelog.operators.windows import TimeWindows
+        """Put every record into the tumbling or hopping windows it falls in.
+
+        A window that closed, grace included, before a record came does not take it:
+        on batch input by the stream time of the record's partition, where the log
+        still has ``partition`` and ``offset``; on a stream by its watermark.
+        """
+        from tidelog.operators.windows import ARRIVAL, TimeWindows, split_late
         need_type(windows, TimeWindows, "windows")
-        return GroupedLog(self.log._with(windows.assign(self.log.df)), (KEY, "window"), windows)
+        if self.log.streaming or not ARRIVAL <= set(self.log.df.columns):
+            kept = self.log._with(windows.assign(self.log.df))
+        else:
+            kept = split_late(self.log._with(self.rows), windows)[0]
+            kept = kept._with(kept.df.drop("stream_time"))
+        return GroupedLog(kept, (KEY, "window"), windows, self.log)
 
     def window_by_session(self, windows):
         from tidelog.operators.windows import SessionGrouped, SessionWindows

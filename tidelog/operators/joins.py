@@ -118,7 +118,7 @@ def table_join(left: Table, right: Table, joiner: Pairwise, how: str = "inner")
         a, b = left.updates(), right.updates()
         order = _tag_order(a, b)
         line = Timeline.of(_tagged((a, "__l"), (b, "__r")), (KEY,), order, a.derived or b.derived)
-        line = line.latest("__ln", F.col("__l")).latest("__rn", F.col("__r"))
+        line = line.all_running(__ln=("last", F.col("__l")), __rn=("last", F.col("__r")))
         l, r = F.col("__ln.value"), F.col("__rn.value")  # noqa: E741
         live = {"inner": l.isNotNull() & r.isNotNull(), "left": l.isNotNull(),
                 "full": l.isNotNull() | r.isNotNull()}[how]

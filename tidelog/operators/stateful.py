@@ -153,9 +153,8 @@ def _run(log: Log, step: Step, stores: Sequence[Store], key_type: str, value_typ
         df = _stored(log.df, (KEY,), order, outputs, stores, schema)
     else:
         whole, cut = split(log.df, (KEY,), order, log.derived)
-        df = _stored(whole, (KEY,), order, outputs, stores, schema)
-        if cut is not None:
-            df = df.unionByName(_sliced_run(cut, order, outputs, stores, schema))
+        df = _stored(whole, (KEY,), order, outputs, stores, schema).unionByName(
+            _sliced_run(cut, order, outputs, stores, schema))
     return Log(df, order + (pos,), derived=True)
 
 
@@ -196,11 +195,9 @@ def _sliced_run(cut: DataFrame, order, outputs, stores: Sequence[Store], schema)
             state[c] = merges[n](state[c], row[c]) if c in state else row[c]
 
     before = ordered_pass(left, (KEY,), (SLICE,), lambda row: {}, hand_on, left_schema)
-    # one row per slice at most: only a slice's first key can have begun before it
     renamed = before.select(F.col(KEY).alias("__k0"), F.col(SLICE).alias("__s"),
                             *[f.name for f in state_fields])
-    begun = cut.join(F.broadcast(renamed), (F.col(SLICE) == F.col("__s")) & same_key((KEY,)),
-                     "left")
+    begun = cut.join(renamed, (F.col(SLICE) == F.col("__s")) & same_key((KEY,)), "left")
     return _stored(begun, (KEY, SLICE), order, outputs, stores, schema)
 
 
@@ -329,13 +326,11 @@ def folded(group, fold: Fold):
         whole, cut = laid_out()
         frame = ordered_pass(whole, keys, order, begin, out, schema)
         if cut is not None:
-            # one row per slice at most: only a slice's first key can have begun before it
             before = carried(partials(cut)).select(
                 *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                 F.col(SLICE).alias("__s"), F.col(VALUE).alias("__before"),
                 F.lit(True).alias("__has"))
-            start = cut.join(F.broadcast(before), (F.col(SLICE) == F.col("__s"))
-                             & same_key(keys), "left")
+            start = cut.join(before, (F.col(SLICE) == F.col("__s")) & same_key(keys), "left")
             frame = frame.unionByName(
                 ordered_pass(start, (*keys, SLICE), order, resume, out, schema))
         return Log(frame, order, derived=True)
@@ -343,7 +338,7 @@ def folded(group, fold: Fold):
     def resume(row):
         return _Acc(row, zero, before=(row["__before"],) if row["__has"] else None)
 
-    return Table(updates, snapshot, keys, group.windows, log)
+    return Table(updates, snapshot, keys, group.windows, group.arrived or log)
 
 
 # -- suppression by time ----------------------------------------------------------
@@ -362,7 +357,7 @@ def rate_limited(log: Log, keys: Sequence[str], limit_ms: int, max_records: int
     # number the records along stream time, then find the number that ends each hold
     rows = log.df.select(*dict.fromkeys((*keys, VALUE, *order))).withColumn("__all", F.lit(0))
     line = Timeline.of(rows, ("__all",), order, log.derived).running("__n", "count", F.lit(1))
-    numbered = session.pinned_if_large(line.frame)
+    numbered = session.pinned(line.frame)
     probes = numbered.select("*", (F.col("ts") + span(limit_ms)).alias("__at"),
                              F.lit(0).alias("__tick"))
     ticks = numbered.select("__all", F.col("ts").alias("__at"), F.lit(1).alias("__tick"),
@@ -370,7 +365,7 @@ def rate_limited(log: Log, keys: Sequence[str], limit_ms: int, max_records: int
     both = probes.unionByName(ticks, allowMissingColumns=True)
     line = Timeline.of(both, ("__all",), ("__at", "__tick", "__n"))
     line = line.running("__passed", "sum", F.col("__tick"))
-    held = session.pinned_if_large(
+    held = session.pinned(
         line.frame.where("__tick = 0").withColumn("__ends", F.col("__passed") + 1)
         .drop("__at", "__tick", "__passed", "__all"))
 

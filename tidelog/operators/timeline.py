@@ -3,24 +3,30 @@
 A changelog needs, for every record, something about the records before it
 (running total, latest value of the other side, previous row).  The plain plan
 is a window partitioned by key, which puts the whole history of a key into one
-task.  ``Timeline`` keeps that plan for all keys a task can hold.  The records of
-the others, the hot keys, are cut into slices:
-
-1. range-partition by (key, order): a hot key spreads over many slices, and a
-   slice boundary may fall anywhere inside its history;
-2. write the sliced rows to the shared folder, because range bounds come from a
-   sample and every later pass has to see the same slices;
+task.  ``Timeline`` keeps that plan for keys a task can hold.  The records of the
+others, the hot keys, are cut into slices of their time:
+
+1. one partially aggregated pass counts the rows of each key and finds its first
+   and last time; hot are the keys with more rows than a task should hold;
+2. a hot key's time is cut into as many equal parts as its rows need, so a
+   slice follows from the record alone: no sample, nothing written, nothing run
+   while the plan is built;
 3. windows run inside (key, slice); one partial result per (key, slice) is
    scanned along the slices of a key to give each slice what came before it.
 
-What is broadcast is bounded: the hot keys number at most rows / rows per task;
-and only the first key of a slice can have begun in an earlier slice (only the
-last one can go on), so carried rows number at most one per slice.
+The plan is the same for every size.  Without hot keys adaptive execution finds
+their table empty and drops the second half of the plan.  The hot keys are the
+only side broadcast: they number at most rows / rows per task.  Carried rows are
+joined as Spark sees fit.
+
+A derived log (made by windows or joins) is written once before it is cut, at
+any size, so that a chain of running operators grows with its length only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +35,7 @@ from pyspark.sql import functions as F
 from tidelog import session
 
 SLICE = "__slice"
+SLICES_FINER = 4
 
 # merge(carried, local) for each kind of running aggregate
 _MERGE: dict[str, Callable[[Column, Column], Column]] = {
@@ -39,44 +46,47 @@ _MERGE: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
-    """The keys with more rows than a task should hold, and how many rows they have together.
-
-    One partially aggregated pass over the key columns.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = session.pinned(counts.where(F.col("__n") > session.ROWS_PER_TASK).select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n"))
-    return hot.drop("__n"), hot.agg(F.sum("__n")).first()[0] or 0
-
-
 def same_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}"))
                                        for i, k in enumerate(keys)])
 
 
 def split(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-          derived: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of hot keys with their slice, if there are any).
+          derived: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of hot keys with their slice).
 
-    Input that Catalyst knows to be small needs no look.  ``derived`` input (made
-    by windows or joins) is written once, so that the passes over it do not
-    compute it again.
+    Slices are cut along the first column of ``order``, a time or a number.
+    Records of one key at one same time are never parted.
     """
-    if session.is_small(df):
-        return df, None
     if derived:
         df = session.pinned(df)
-    hot, rows = hot_keys(df, keys)
-    if rows == 0:
-        return df, None
-    cold = df.join(F.broadcast(hot), same_key(keys), "left_anti")
-    rest = df.join(F.broadcast(hot), same_key(keys), "left_semi")
-    # as many slices as the rows need, whatever the session's shuffle partitions
-    slices = max(2, -(-rows // session.ROWS_PER_SLICE))
-    cut = rest.repartitionByRange(slices, *keys, *order)
-    cut = cut.withColumn(SLICE, F.spark_partition_id())
-    return cold, session.pinned(cut)
+    place = F.col(order[0]).cast("double")
+    names = [f"__k{i}" for i in range(len(keys))]
+    hot = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+           .agg(F.count(F.lit(1)).alias("__hot_rows"), F.min(place).alias("__hot_from"), F.max(place).alias("__hot_to"))
+           .where(F.col("__hot_rows") > session.ROWS_PER_TASK))
+    cold = df.join(F.broadcast(hot.select(*names)), same_key(keys), "left_anti")
+    # finer than the rows need, because records are not spread evenly over time
+    slices = F.ceil(F.col("__hot_rows") / session.ROWS_PER_SLICE) * SLICES_FINER
+    part = F.when(F.col("__hot_to") > F.col("__hot_from"), F.floor(
+        (place - F.col("__hot_from")) / (F.col("__hot_to") - F.col("__hot_from")) * slices))
+    cut = (df.join(F.broadcast(hot), same_key(keys))
+           .withColumn(SLICE, F.coalesce(F.least(part, slices - 1), F.lit(-1)).cast("int"))
+           .drop("__hot_rows", "__hot_from", "__hot_to", *names))
+    return cold, cut
+
+
+@dataclass(frozen=True)
+class Step:
+    """A running column: ``local(sliced)`` computes it within a key (or a slice of one), ``part``
+    is what a slice passes on, ``scan`` gathers the parts of other slices, and
+    ``merge(carried, local)`` puts both together."""
+
+    name: str
+    local: Callable[[bool], Column]
+    part: Column
+    scan: Callable[[str], Column]
+    merge: Callable[[Column, Column], Column]
 
 
 class Timeline:
@@ -115,30 +125,24 @@ class Timeline:
 
         ``first`` and ``last`` skip nulls.
         """
+        return self.all_running(**{name: (kind, expr)})
+
+    def all_running(self, **columns: tuple[str, Column]) -> Timeline:
+        """Several running columns that do not need one another, in one pass."""
         if self.whole.isStreaming:
-            return self._streamed(name, kind, expr)
-        if kind == "last":
-            return self._reach(name, expr, back=True)
-        if kind == "first":
-            return self._first(name, expr)
-        merge, fn = _MERGE[kind], getattr(F, kind)
-        local = fn(expr).over
-        frame = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
-        total = "sum" if kind == "count" else kind
-        before = self._along().rowsBetween(Window.unboundedPreceding, -1)
-        return self._added(
-            name, lambda sliced: local(frame(self._within(sliced))), fn(expr),
-            lambda part: getattr(F, total)(part).over(before), merge)
+            line = self
+            for name, (kind, expr) in columns.items():
+                line = line._streamed(name, kind, expr)
+            return line
+        return self._added(*[self._running(n, kind, expr) for n, (kind, expr) in columns.items()])
 
     def latest(self, name: str, expr: Column) -> Timeline:
         """Last non-null ``expr`` up to and with the row."""
-        if self.whole.isStreaming:
-            return self._streamed(name, "last", expr)
-        return self._reach(name, expr, back=True)
+        return self.running(name, "last", expr)
 
     def upcoming(self, name: str, expr: Column) -> Timeline:
         """First non-null ``expr`` from the row on (batch only)."""
-        return self._reach(name, expr, back=False)
+        return self._added(self._reach(name, expr, back=False))
 
     def previous(self, name: str, expr: Column) -> Timeline:
         """``expr`` of the row before (null for the first row of a key)."""
@@ -168,44 +172,48 @@ class Timeline:
     def _position(self) -> Column:
         return F.struct(*self.order)
 
-    def _added(self, name: str, local: Callable[[bool], Column], part: Column,
-               scan: Callable[[str], Column], merge: Callable[[Column, Column], Column]) -> Timeline:
-        """Add a running column.
-
-        ``local(sliced)`` computes it within a key (or a slice of one), ``part`` is
-        what a slice passes on, ``scan`` gathers the parts of other slices, and
-        ``merge(carried, local)`` puts both together.
-        """
-        whole, cut = self.whole.withColumn(name, local(False)), self.cut
+    def _added(self, *steps: Step) -> Timeline:
+        whole, cut = self.whole.withColumns({s.name: s.local(False) for s in steps}), self.cut
         if cut is not None:
+            local = {f"__local{i}": s.local(True) for i, s in enumerate(steps)}
+            inside = cut.withColumns(local)
             # summing sums would widen a decimal; both layouts have to give one type
-            plain = cut.select(local(True).alias(name)).schema[name].dataType
-            joined = cut.join(F.broadcast(self._carried(part, scan)),
-                              (F.col(SLICE) == F.col("__s")) & same_key(self.keys), "left")
-            out = joined.withColumn(name, merge(F.col("__carry"), local(True)).cast(plain))
-            cut = out.drop("__s", "__carry", *[f"__k{i}" for i in range(len(self.keys))])
+            merged = {s.name: s.merge(F.col(f"__carry{i}"), F.col(f"__local{i}")).cast(
+                inside.schema[f"__local{i}"].dataType) for i, s in enumerate(steps)}
+            joined = inside.join(self._carried(steps), (F.col(SLICE) == F.col("__s"))
+                                 & same_key(self.keys), "left")
+            cut = joined.withColumns(merged).drop(
+                "__s", *local, *[f"__carry{i}" for i in range(len(steps))],
+                *[f"__k{i}" for i in range(len(self.keys))])
         return Timeline(whole, cut, self.keys, self.order)
 
-    def _carried(self, part: Column, scan: Callable[[str], Column]) -> DataFrame:
+    def _carried(self, steps: Sequence[Step]) -> DataFrame:
         """One row for each (key, slice) that something is carried into."""
-        parts = self.cut.groupBy(*self.keys, SLICE).agg(part.alias("__part"))
-        carried = parts.withColumn("__carry", scan("__part")).where("__carry IS NOT NULL")
+        parts = self.cut.groupBy(*self.keys, SLICE).agg(
+            *[s.part.alias(f"__part{i}") for i, s in enumerate(steps)])
+        carried = parts.withColumns({f"__carry{i}": s.scan(f"__part{i}")
+                                     for i, s in enumerate(steps)})
         return carried.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(self.keys)],
-                              F.col(SLICE).alias("__s"), "__carry")
+                              F.col(SLICE).alias("__s"), *[f"__carry{i}" for i in range(len(steps))])
 
-    def _first(self, name: str, expr: Column) -> Timeline:
+    def _running(self, name: str, kind: str, expr: Column) -> Step:
+        if kind == "last":
+            return self._reach(name, expr, back=True)
         before = self._along().rowsBetween(Window.unboundedPreceding, -1)
-        return self._added(
-            name, lambda sliced: F.first(expr, True).over(
-                self._within(sliced).rowsBetween(Window.unboundedPreceding, 0)),
-            F.min_by(expr, F.when(expr.isNotNull(), self._position())),
-            lambda p: F.first(p, True).over(before), lambda c, x: F.coalesce(c, x))
-
-    def _reach(self, name: str, expr: Column, back: bool) -> Timeline:
+        upto = lambda sliced: self._within(sliced).rowsBetween(Window.unboundedPreceding, 0)
+        if kind == "first":
+            return Step(name, lambda sliced: F.first(expr, True).over(upto(sliced)),
+                        F.min_by(expr, F.when(expr.isNotNull(), self._position())),
+                        lambda p: F.first(p, True).over(before), lambda c, x: F.coalesce(c, x))
+        fn, total = getattr(F, kind), getattr(F, "sum" if kind == "count" else kind)
+        return Step(name, lambda sliced: fn(expr).over(upto(sliced)), fn(expr),
+                    lambda p: total(p).over(before), _MERGE[kind])
+
+    def _reach(self, name: str, expr: Column, back: bool) -> Step:
         # looking ahead is a growing frame over the reversed order: linear, where a
         # frame that shrinks towards the end would be evaluated anew for each row
         pick = F.max_by if back else F.min_by
-        return self._added(
+        return Step(
             name, lambda sliced: F.last(expr, True).over(
                 self._within(sliced, back).rowsBetween(Window.unboundedPreceding, 0)),
             pick(expr, F.when(expr.isNotNull(), self._position())), self._neighbour(back),
@@ -216,9 +224,9 @@ class Timeline:
         # boxed, so that a null of the neighbour row differs from "no neighbour row"
         boxed = F.struct(expr.alias("v"))
         pick = F.max_by if back else F.min_by
-        added = self._added(
+        added = self._added(Step(
             "__box", lambda sliced: move(boxed).over(self._within(sliced)),
-            pick(boxed, self._position()), self._neighbour(back), lambda c, x: F.coalesce(x, c))
+            pick(boxed, self._position()), self._neighbour(back), lambda c, x: F.coalesce(x, c)))
         return added._each(lambda df: df.withColumn(name, F.col("__box.v")).drop("__box"))
 
     def _neighbour(self, back: bool) -> Callable[[str], Column]:

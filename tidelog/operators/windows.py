@@ -12,6 +12,8 @@ from tidelog.operators.log import KEY, VALUE, Log, need_type
 from tidelog.operators.reducers import Fold, Reducer, counted
 from tidelog.operators.timeline import Timeline
 
+# The columns that tell how records arrived; without them no record counts as late.
+ARRIVAL = {"partition", "offset"}
 DAY_MS = 24 * 60 * 60 * 1000
 
 
@@ -139,8 +141,8 @@ class SessionGrouped:
 
         def updates() -> Log:
             line = self._numbered().refined("__session")
-            line = line.running("__run", reducer.kind, reducer.input())
-            line = line.running("__start", "min", F.col("ts"))
+            line = line.all_running(__run=(reducer.kind, reducer.input()),
+                                    __start=("min", F.col("ts")))
             window = lambda end: F.struct(F.col("__start").alias("start"), end.alias("end"))
             result = _seeded(F.col("__run"), init)
             row = lambda w, v: F.struct(w.alias("window"), v.alias(VALUE))
@@ -184,7 +186,9 @@ def with_stream_time(log: Log, partition: tuple[str, ...] = ("partition",)) -> L
     A log has few partitions and any number of records in each, so the running
     maximum has to be a split one.
     """
-    line = Timeline.of(log.df, partition, ("offset",), log.derived)
+    # equal offsets come from one record, whose outputs the rest of the order tells apart
+    arrival = tuple(dict.fromkeys(("offset", *log.order)))
+    line = Timeline.of(log.df, partition, arrival, log.derived)
     timed = line.running("stream_time", "max", F.col("ts")).frame
     return Log(timed, log.order, derived=True)
 
@@ -239,9 +243,22 @@ def suppress(table, until_time_limit_ms: int | None = None, max_records: int | N
         return Log(table.snapshot().withColumn("ts", F.col("window.end")), ("ts",))
     if max_records is not None or max_bytes is not None:
         _check_buffer(table, max_records, max_bytes)
-    now = table.source.df.agg(F.max("ts")).scalar()
-    closed = F.col("window.end") + span(table.windows.closing_delay_ms) <= now
-    return Log(table.snapshot().where(closed).withColumn("ts", F.col("window.end")), ("ts",))
+    closed = F.col("window.end") + span(table.windows.closing_delay_ms) <= F.col("__now")
+    final = table.snapshot()
+    if ARRIVAL <= set(table.source.df.columns):
+        final = final.join(_final_times(table.source), KEY)
+    else:
+        final = final.withColumn("__now", table.source.df.agg(F.max("ts")).scalar())
+    return Log(final.where(closed).drop("__now").withColumn("ts", F.col("window.end")), ("ts",))
+
+
+def _final_times(log: Log) -> DataFrame:
+    """Each key with the last stream time of the log partitions its records came from."""
+    rows = log.df.where(F.col(KEY).isNotNull() & F.col(VALUE).isNotNull())
+    met = rows.groupBy(KEY, "partition").agg(F.max("ts").alias("__last"))
+    # one row per log partition
+    ends = met.groupBy("partition").agg(F.max("__last").alias("__now"))
+    return met.join(F.broadcast(ends), "partition").groupBy(KEY).agg(F.max("__now").alias("__now"))
 
 
 def _open_windows(table) -> DataFrame:
@@ -252,7 +269,7 @@ def _open_windows(table) -> DataFrame:
     """
     order = table.source.order
     size = F.octet_length(F.to_json(F.struct(*table.keys, VALUE)))
-    per_window = session.pinned_if_large(table.updates().df.groupBy(*table.keys).agg(
+    per_window = session.pinned(table.updates().df.groupBy(*table.keys).agg(
         F.min(F.struct(*order)).alias("first"), F.max(size).alias("bytes")))
     side = lambda at, n, sign: per_window.select(
         F.lit(0).alias("all"), at.alias("at"), F.lit(n).alias("phase"),
@@ -262,8 +279,8 @@ def _open_windows(table) -> DataFrame:
     moves = side(end, 0, -1).unionByName(side(F.col("first.ts"), 1, 1))
     # one sequence over all keys: no key column could split it, slices do
     line = Timeline.of(moves, ("all",), ("at", "phase", "tie"))
-    line = line.running("open_windows", "sum", F.col("windows"))
-    line = line.running("open_bytes", "sum", F.col("bytes"))
+    line = line.all_running(open_windows=("sum", F.col("windows")),
+                            open_bytes=("sum", F.col("bytes")))
     return line.frame.where("phase = 1").select("at", "open_windows", "open_bytes")
 
 

@@ -6,18 +6,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Rows of one key that a single window task may hold before its history is split.
 ROWS_PER_TASK = 10_000_000
 # Rows a slice of such a history is meant to hold.
 ROWS_PER_SLICE = 4_000_000
-# Inputs Catalyst estimates below this many bytes cannot hold an oversized key.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-# Below this estimate a join side may be broadcast without counting it.
-SMALL_SIDE_BYTES = 8 * 1024 * 1024
-# Rows up to which a counted join side is broadcast.
-SMALL_SIDE_ROWS = 1_000_000
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -68,37 +61,3 @@ def pinned(df: DataFrame) -> DataFrame:
     place = shared_folder(df.sparkSession, "pinned")
     df.write.parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether Catalyst bounds the whole input by what one task can easily hold."""
-    size = estimated_bytes(df)
-    return size is not None and size <= SMALL_INPUT_BYTES
-
-
-def pinned_if_large(df: DataFrame) -> DataFrame:
-    """For frames several passes go over: small ones are simply computed again."""
-    return df if df.isStreaming or is_small(df) else pinned(df)
-
-
-def as_small_side(df: DataFrame) -> DataFrame:
-    """A join side expected to be small, broadcast only after counting it.
-
-    What Catalyst bounds by a few megabytes needs no counting; anything else is
-    written once and counted.  Beyond the limit the join shuffles.
-    """
-    size = estimated_bytes(df)
-    if size is not None and size <= SMALL_SIDE_BYTES:
-        return F.broadcast(df)
-    table = pinned(df)
-    few = table.limit(SMALL_SIDE_ROWS + 1).count() <= SMALL_SIDE_ROWS
-    return F.broadcast(table) if few else table
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df``; None where the session does not expose it."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-    except AttributeError:
-        return None
-    return int(str(stats.sizeInBytes()))

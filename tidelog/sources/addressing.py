@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog import session
 from tidelog.operators.log import Log, need_type
+from tidelog.operators.timeline import Timeline
 
 SHARD = ("topic", "partition")
 
@@ -49,12 +49,18 @@ def offsets_for_times(log: Log, times: DataFrame) -> DataFrame:
     ``offset`` is null when the partition has nothing that late.  Requests come
     as a table with one row per shard, so the log is aggregated, not collected.
     """
-    # a log has few shards, so shuffling it by shard would crowd a few tasks
-    asked = session.as_small_side(times.select(*SHARD, "at"))
-    hits = log.df.select(*SHARD, "offset", "ts").join(asked, list(SHARD))
-    first = hits.groupBy(*SHARD, "at").agg(
-        F.min(F.when(F.col("ts") >= F.col("at"), F.col("offset"))).alias("offset"))
-    return asked.join(first, [*SHARD, "at"], "left")
+    # Requests and log records as one sequence per shard, latest first: what a request asks for is
+    # the lowest offset among the records at or after it, a running minimum that any shard may split.
+    asked = times.select(*SHARD, "at").distinct()
+    records = log.df.where(F.col("ts").isNotNull()).groupBy(*SHARD, F.col("ts").alias("at")).agg(F.min("offset").alias("offset"))
+    both = records.withColumn("__ask", F.lit(0)).unionByName(
+        asked.withColumn("__ask", F.lit(1)), allowMissingColumns=True)
+    # backwards in time, records before the requests of the same time
+    both = both.withColumn("__back", -F.unix_micros("at"))
+    line = Timeline.of(both, SHARD, ("__back", "__ask"))
+    line = line.running("__first", "min", F.col("offset"))
+    first = line.frame.where("__ask = 1").select(*SHARD, "at", F.col("__first").alias("offset"))
+    return times.select(*SHARD, "at").join(first, [*SHARD, "at"], "left")
 
 
 def start_offsets(log: Log, at: Column, past_end: str = "end") -> DataFrame:
@@ -72,7 +78,7 @@ def start_offsets(log: Log, at: Column, past_end: str = "end") -> DataFrame:
 def seek(log: Log, starts: DataFrame) -> Log:
     """Read every shard from its start offset; shards without one are left out."""
     need_type(starts, DataFrame, "starts")
-    at = session.as_small_side(starts.select(*SHARD, F.col("offset").alias("__start")))
+    at = starts.select(*SHARD, F.col("offset").alias("__start"))
     found = log.df.join(at, list(SHARD)).where(F.col("offset") >= F.col("__start"))
     return Log(found.drop("__start"), log.order)
 
