@@ -114,72 +114,66 @@ def test_pair_sums(spark):
 
 # -- Avro ---------------------------------------------------------------------------------
 
-COMPLEX = {"name": "testRecord", "type": "record", "fields": [
-    {"name": "string_field", "type": "string"}, {"name": "long_field", "type": "long"},
-    {"name": "optional_field", "type": ["null", "int"], "default": None},
-    {"name": "nil_field", "type": "null"}, {"name": "default_field", "type": "long", "default": 1},
-    {"name": "bytes_field", "type": "bytes"},
-    {"name": "enum_field", "type": {"type": "enum", "name": "weird_values",
-                                    "symbols": ["a_1", "B3"]}},
-    {"name": "map_field", "type": ["null", {"type": "map", "values": {
-        "type": "record", "name": "banana", "fields": [{"name": "color", "type": "string"}]}}]},
-    {"name": "array_field", "type": ["null", {"type": "array", "items": "banana"}]},
-    {"name": "uuid_field", "type": {"type": "string", "logicalType": "uuid"}}]}
-GOOD = {"string-field": "hello", "long-field": 3, "default-field": 1, "nil-field": None,
-        "bytes-field": "hello", "map-field": {"banana": {"color": "yellow"}}, "enum-field": "a-1",
-        "optional-field": 3, "array-field": [{"color": "yellow"}], "uuid-field": S.NIL_UUID}
+SHIPMENT = {"name": "Shipment", "type": "record", "fields": [
+    {"name": "carrier", "type": "string"}, {"name": "order_key", "type": "long"},
+    {"name": "weight", "type": ["null", "int"], "default": None},
+    {"name": "returned", "type": "null"}, {"name": "pieces", "type": "long", "default": 1},
+    {"name": "seal", "type": "bytes"},
+    {"name": "mode", "type": {"type": "enum", "name": "Mode", "symbols": ["next_day", "RAIL"]}},
+    {"name": "line_items", "type": ["null", {"type": "map", "values": {
+        "type": "record", "name": "Part", "fields": [{"name": "brand", "type": "string"}]}}]},
+    {"name": "spare_parts", "type": ["null", {"type": "array", "items": "Part"}]},
+    {"name": "trace_id", "type": {"type": "string", "logicalType": "uuid"}}]}
+GOOD = {"carrier": "north", "order-key": 7, "pieces": 1, "returned": None, "seal": "wax",
+        "line-items": {"first": {"brand": "b12"}}, "mode": "next-day", "weight": 40,
+        "spare-parts": [{"brand": "b13"}], "trace-id": S.NIL_UUID}
+WANTS = "{} where the schema wants {}"
 BAD = [
-    ({"map-field": {"banana": {"color": 3}}}, "/map_field/banana/color",
-     "integer is not a valid type for string"),
-    ({"map-field": {"banana": {"color": "y", "tasty": True}}}, "/map_field/banana",
-     "Field tasty not known in banana"),
-    ({"map-field": {"bad banana": {}}}, "/map_field/bad banana",
-     "Field color not set and has no default value"),
-    ({"array-field": [{"color": 3}]}, "/array_field/0/color",
-     "integer is not a valid type for string"),
-    ({"array-field": [{"color": "y"}, 3]}, "/array_field/1",
-     "integer is not a valid type for record"),
-    ({"array-field": [{"color": None}]}, "/array_field/0/color",
-     "null is not a valid type for string"),
-    ({"nil-field": 3}, "/nil_field", "integer is not a valid type for nil"),
-    ({"array-field": "string"}, "/array_field", "string is not a valid type for union [NULL, ARRAY]"),
-    ({"uuid-field": "foo"}, "/uuid_field", "string is not a valid type for uuid"),
-    ({"enum-field": "invalid"}, "/enum_field", "string is not a valid type for enum"),
-    ({"optional-field": 2 ** 31}, "/optional_field",
-     "integer is not a valid type for union [NULL, INT]"),
-    ({"optional-field": -2 ** 31 - 1}, "/optional_field",
-     "integer is not a valid type for union [NULL, INT]"),
+    ({"order-key": "seven"}, "/order_key", WANTS.format("string", "long")),
+    ({"weight": 2 ** 31}, "/weight", WANTS.format("integer", "union [NULL, INT]")),
+    ({"weight": "heavy"}, "/weight", WANTS.format("string", "union [NULL, INT]")),
+    ({"returned": "no"}, "/returned", WANTS.format("string", "nil")),
+    ({"mode": "camel"}, "/mode", WANTS.format("string", "enum")),
+    ({"trace-id": "7"}, "/trace_id", WANTS.format("string", "uuid")),
+    ({"line-items": {"first": {"brand": 12}}}, "/line_items/first/brand",
+     WANTS.format("integer", "string")),
+    ({"line-items": {"first": {"brand": "b12", "size": 3}}}, "/line_items/first",
+     "no field size in Part"),
+    ({"line-items": {"second part": {}}}, "/line_items/second part",
+     "brand is missing and has no default"),
+    ({"spare-parts": 13}, "/spare_parts", WANTS.format("integer", "union [NULL, ARRAY]")),
+    ({"spare-parts": [{"brand": "b13"}, "b14"]}, "/spare_parts/1", WANTS.format("string", "record")),
 ]
 
 
 def test_avro_errors_carry_their_path(spark):
-    codec = codecs.codec({"format": "avro", "schema": json.dumps(COMPLEX)})
+    codec = codecs.codec({"format": "avro", "schema": json.dumps(SHIPMENT)})
     payloads = [json.dumps({**GOOD, **change}) for change, _, _ in BAD]
-    good = [json.dumps(GOOD), None, json.dumps({**GOOD, "optional-field": 2 ** 31 - 1})]
+    good = [json.dumps(GOOD), None, json.dumps({**GOOD, "weight": 2 ** 31 - 1})]
     got = column(spark, payloads + good + ["oops"], "string", codec.errors(F.col("x")))
     assert [[tuple(e) for e in es] for es in got] == (
         [[(path, message)] for _, path, message in BAD] + [[], [], []] + [[("", "not JSON")]])
 
 
 def test_avro_value_and_json_round_trip(spark):
-    codec = codecs.codec({"format": "avro", "schema": COMPLEX})
-    without = {k: v for k, v in GOOD.items() if k not in ("default-field", "optional-field")}
+    codec = codecs.codec({"format": "avro", "schema": SHIPMENT})
+    without = {k: v for k, v in GOOD.items() if k not in ("pieces", "weight")}
     value, filled = column(spark, [json.dumps(GOOD), json.dumps(without)], "string", codec.decode(F.col("x")))
-    assert value["enum_field"] == "a-1" and bytes(value["bytes_field"]) == b"hello"
-    assert value["map_field"] == {"banana": Row(color="yellow")}
-    assert (filled["default_field"], filled["optional_field"]) == (1, None)
-    as_json = avro.to_avro_json(codec.decode(F.col("x")), COMPLEX)
+    assert value["mode"] == "next-day" and bytes(value["seal"]) == b"wax"
+    assert value["line_items"] == {"first": Row(brand="b12")}
+    assert (filled["pieces"], filled["weight"]) == (1, None)
+    as_json = avro.to_avro_json(codec.decode(F.col("x")), SHIPMENT)
     tagged = json.loads(column(spark, [json.dumps(GOOD)], "string", as_json)[0])
-    assert tagged["enum_field"] == "a_1" and tagged["nil_field"] is None
-    assert tagged["map_field"] == {"map": {"banana": {"color": "yellow"}}}
-    assert tagged["array_field"] == {"array": [{"color": "yellow"}]}
-    back = column(spark, [json.dumps(tagged)], "string", avro.from_avro_json(F.col("x"), COMPLEX))[0]
+    assert tagged["mode"] == "next_day" and tagged["returned"] is None
+    assert tagged["line_items"] == {"map": {"first": {"brand": "b12"}}}
+    assert tagged["spare_parts"] == {"array": [{"brand": "b13"}]}
+    back = column(spark, [json.dumps(tagged)], "string", avro.from_avro_json(F.col("x"), SHIPMENT))[0]
     assert back == value
 
 
 def test_avro_types():
-    assert avro.compiled(COMPLEX).spark["map_field"].dataType == T.MapType(
-        T.StringType(), T.StructType([T.StructField("color", T.StringType())]))
+    assert avro.compiled(SHIPMENT).spark["line_items"].dataType == T.MapType(
+        T.StringType(), T.StructType([T.StructField("brand", T.StringType())]))
     assert avro.compiled("long").spark == T.LongType()
     for bad in ({"type": "fixed", "size": 4, "name": "f"}, "nosuch"):
         with pytest.raises(ValueError):

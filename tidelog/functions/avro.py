@@ -71,7 +71,7 @@ class AvroType:
 
     def errors(self, v: Column, path: Column) -> Column:
         return F.when(self.matches(v), no_errors()).otherwise(
-            error(path, P.spoken(v), f" is not a valid type for {self.name}"))
+            error(path, P.spoken(v), f" where the schema wants {self.name}"))
 
     def tagged(self, value: Column) -> Column:
         """The typed value as Avro's JSON writes it (union members under their type's name)."""
@@ -241,16 +241,16 @@ class Record(AvroType):
         def all_errors(m):
             unknown = F.array_except(F.map_keys(m), self._known())
             parts = [F.flatten(F.transform(unknown, lambda k: error(
-                path, "Field ", k, f" not known in {self.full_name}")))]
+                path, "no field ", k, f" in {self.full_name}")))]
             for name, t, default in self.fields:
                 x = F.element_at(m, name)
                 lacking = no_errors() if default else error(
-                    path, f"Field {name} not set and has no default value")
+                    path, f"{name} is missing and has no default")
                 parts.append(F.when(x.isNull(), lacking).otherwise(t.errors(x, _step(path, name))))
             return F.concat(*parts)
 
         return F.when(P.kind(v) == "OBJECT", let(self._fields(v), all_errors)).otherwise(
-            error(path, P.spoken(v), " is not a valid type for record"))
+            error(path, P.spoken(v), " where the schema wants record"))
 
     def _built(self, v: Column, read: Callable[[AvroType, Column], Column]) -> Column:
         def struct(m):
@@ -306,7 +306,7 @@ class Union(AvroType):
         return reduce(lambda a, b: a | b, [b.matches(v) for b in self.branches])
 
     def errors(self, v, path):
-        out = error(path, P.spoken(v), f" is not a valid type for {self.name}")
+        out = error(path, P.spoken(v), f" where the schema wants {self.name}")
         for b in reversed(self.branches):
             out = F.when(b.matches(v), b.errors(v, path)).otherwise(out)
         return out

@@ -31,6 +31,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog import session
 
@@ -51,6 +52,18 @@ def same_key(keys: Sequence[str]) -> Column:
                                        for i, k in enumerate(keys)])
 
 
+def number_of(df: DataFrame, name: str) -> Column:
+    """A time or a number as a double that never decreases as the column grows, in any time zone."""
+    c, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        days = F.unix_date(c.cast("date")) * 86_400.0
+        if isinstance(kind, T.DateType):
+            return days
+        return (days + F.hour(c) * 3_600 + F.minute(c) * 60
+                + F.extract(F.lit("SECOND"), c).cast("double"))
+    return c.cast("double")
+
+
 def split(df: DataFrame, keys: Sequence[str], order: Sequence[str],
           derived: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys with their slice).
@@ -60,7 +73,7 @@ def split(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     if derived:
         df = session.pinned(df)
-    place = F.col(order[0]).cast("double")
+    place = number_of(df, order[0])
     names = [f"__k{i}" for i in range(len(keys))]
     hot = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
            .agg(F.count(F.lit(1)).alias("__hot_rows"), F.min(place).alias("__hot_from"), F.max(place).alias("__hot_to"))

@@ -93,11 +93,11 @@ def schema_coerce(spark, d):
 @query("schema_coerce_errors", f"""
 WITH p AS (SELECT event_id, {PAYLOAD} AS payload FROM events)
 SELECT event_id, '' AS path, 'not JSON' AS message FROM p WHERE NOT json_valid(payload)
-UNION ALL SELECT event_id, '', 'Field q not known in Props' FROM p
+UNION ALL SELECT event_id, '', 'no field q in Props' FROM p
   WHERE json_valid(payload) AND json_type(payload, '$.q') IS NOT NULL
-UNION ALL SELECT event_id, '', 'Field k not set and has no default value' FROM p
+UNION ALL SELECT event_id, '', 'k is missing and has no default' FROM p
   WHERE json_valid(payload) AND json_type(payload, '$.k') IS NULL
-UNION ALL SELECT event_id, '/k', 'string is not a valid type for long' FROM p
+UNION ALL SELECT event_id, '/k', 'string where the schema wants long' FROM p
   WHERE json_valid(payload) AND json_type(payload, '$.k') = 'VARCHAR'""")
 def schema_coerce_errors(spark, d):
     read = codecs.decode_log(payloads(spark, d), codecs.codec(
@@ -130,24 +130,24 @@ def avro_json(spark, d):
                                                "back.priority")
 
 
-V3 = {"type": "record", "name": "foo", "fields": [
-    {"name": "a", "type": "string"},
-    {"name": "b", "type": ["null", "string"], "default": None},
-    {"name": "c", "type": "string", "default": "none"}]}
+ORDER_V3 = {"type": "record", "name": "OrderState", "fields": [
+    {"name": "status", "type": "string"},
+    {"name": "priority", "type": ["null", "string"], "default": None},
+    {"name": "reference", "type": "string", "default": "none"}]}
 
 
 @query("schema_evolution", """
-SELECT o_orderstatus AS a, NULL AS b, 'none' AS c FROM orders WHERE o_orderkey % 3 = 0
+SELECT o_orderstatus AS status, NULL AS priority, 'none' AS reference FROM orders WHERE o_orderkey % 3 = 0
 UNION ALL SELECT o_orderstatus, o_orderpriority, 'none' FROM orders WHERE o_orderkey % 3 = 1
 UNION ALL SELECT o_orderstatus, o_orderpriority, CAST(o_orderkey AS VARCHAR) FROM orders
 WHERE o_orderkey % 3 = 2""")
 def schema_evolution(spark, d):
     """Rows written under three versions of a schema, read with the last."""
     df = table(spark, d, "orders")
-    a, b = F.col("o_orderstatus").alias("a"), F.col("o_orderpriority").alias("b")
-    c = F.col("o_orderkey").cast("string").alias("c")
+    a, b = F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")
+    c = F.col("o_orderkey").cast("string").alias("reference")
     part = lambda n, *columns: df.where(F.col("o_orderkey") % 3 == n).select(*columns)
-    return codecs.evolved([part(0, a), part(1, a, b), part(2, a, b, c)], V3)
+    return codecs.evolved([part(0, a), part(1, a, b), part(2, a, b, c)], ORDER_V3)
 
 
 @query("decode_topics", """

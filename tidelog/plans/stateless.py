@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from tidelog import session
+from tidelog.operators.validate import to_validated
 from tidelog.plans.registry import (ACCOUNT_STATE, ACCOUNTS, EVENTS, accounts, amounts, as_double,
                                     events, query, typed)
-from tidelog.sources.sinks import append_log, write_log
-from tidelog.sources.topics import Catalog, Topic, read_log, read_logs, read_pattern
+from tidelog.sources.sinks import append_log, write_as_text, write_log
+from tidelog.sources.topics import Catalog, Topic, read_log, read_logs, read_pattern, subscribe
 
 DOUBLE_V = "CAST(v AS DOUBLE)"
 
@@ -135,6 +136,27 @@ def multi_topic(spark, d):
     return _read_back(read_logs(spark, [catalog["purchase"], catalog["click"]]))
 
 
+@query("subscribed_topics", TOPICS)
+def subscribed_topics(spark, d):
+    return _read_back(subscribe(spark, _event_topics(spark, d), ["purchase", "click"]))
+
+
+@query("validated_topic", f"SELECT user_id, {DOUBLE_V} AS value, event_id FROM ({EVENTS}) WHERE v > 50")
+def validated_topic(spark, d):
+    """Only records that keep the rules are written; one that breaks them fails the write."""
+    topic = _topic(spark, "validated", partitions=4)
+    to_validated(amounts(spark, d).filter(lambda k, v: v > 50), topic, {"large": lambda k, v: v > 50})
+    return plain(read_log(spark, topic))
+
+
+@query("text_lines", f"SELECT CAST(user_id AS VARCHAR) || ', ' || CAST(v AS VARCHAR) AS line FROM ({EVENTS})")
+def text_lines(spark, d):
+    """One line of text per record, written and read back."""
+    place = session.shared_folder(spark, "text")
+    write_as_text(amounts(spark, d), place)
+    return spark.read.text(place).withColumnRenamed("value", "line")
+
+
 @query("pattern_topic", TOPICS + " AND event_type LIKE 'cl%'")
 def pattern_topic(spark, d):
     return _read_back(read_pattern(spark, _event_topics(spark, d), "cl.*"))
@@ -146,8 +168,8 @@ FROM ({EVENTS})""")
 def through_topic(spark, d):
     topic = _topic(spark, "through", partitions=3, partition_fn=lambda k, v, n: k % n)
     log = amounts(spark, d).through(topic)
-    return plain(log).join(log.df.select(F.col("offset").alias("event_id"), "partition"),
-                           "event_id")
+    return log.df.select(F.col("key").alias("user_id"), as_double("value").alias("value"),
+                         F.col("offset").alias("event_id"), "partition")
 
 
 @query("append_offsets", f"""

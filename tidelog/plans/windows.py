@@ -8,6 +8,8 @@ from tidelog.operators.reducers import total
 from tidelog.plans.registry import EVENTS, amounts, as_double, query
 
 HOUR, MINUTE = 3_600_000, 60_000
+# The stream time at which each log partition ended.
+ENDS = f"SELECT part, max(ts) AS now FROM ({EVENTS}) GROUP BY part"
 BUCKET = "time_bucket(INTERVAL '6 hours', ts)"
 SIX_HOURS = W.TimeWindows(6 * HOUR, grace_ms=HOUR)
 SESSIONS = W.SessionWindows(6 * HOUR, grace_ms=0)
@@ -87,24 +89,60 @@ ARRIVAL = "event_id - event_id % 16 + (event_id % 16 * 7) % 16"
 TEN_MINUTES = W.TimeWindows(10 * MINUTE, grace_ms=10 * MINUTE)
 
 
-@query("late_split", f"""
-SELECT user_id, event_id, start + INTERVAL '20 minutes' <= stream_time AS late FROM (
+ARRIVED = f"""
+SELECT *, start + INTERVAL '20 minutes' <= stream_time AS late FROM (
   SELECT *, time_bucket(INTERVAL '10 minutes', ts) AS start, max(ts) OVER (
     PARTITION BY part ORDER BY arrival ROWS UNBOUNDED PRECEDING) AS stream_time
-  FROM (SELECT *, {ARRIVAL} AS arrival FROM ({EVENTS})))""")
-def late_split(spark, d):
+  FROM (SELECT *, {ARRIVAL} AS arrival FROM ({EVENTS})))"""
+
+
+def shuffled(spark, d):
     log = amounts(spark, d)
-    shuffled = Log(log.df.withColumn("event_id", F.col("offset")).withColumn(
+    return Log(log.df.withColumn("event_id", F.col("offset")).withColumn(
         "offset", F.expr(ARRIVAL)), log.order)
-    return W.with_lateness(shuffled, TEN_MINUTES).df.select(
+
+
+@query("late_split", f"SELECT user_id, event_id, late FROM ({ARRIVED})")
+def late_split(spark, d):
+    return W.with_lateness(shuffled(spark, d), TEN_MINUTES).df.select(
         F.col("key").alias("user_id"), "event_id", "late")
 
 
+TUMBLING_LATE = """
+SELECT user_id, start, start + INTERVAL '10 minutes' AS "end", CAST(sum(v) AS DOUBLE) AS value
+FROM ({rows}) WHERE NOT late GROUP BY user_id, start"""
+
+
+@query("tumbling_late", TUMBLING_LATE.format(rows=ARRIVED))
+def tumbling_late(spark, d):
+    """Windows do not take records that come after they closed."""
+    grouped = shuffled(spark, d).group_by_key().window_by_time(TEN_MINUTES)
+    return windowed(grouped.reduce(total()).snapshot())
+
+
+@query("suppress_late", TUMBLING_LATE.format(rows=f"SELECT * FROM ({ARRIVED}) JOIN ({ENDS}) USING (part)")
+       + ", now HAVING start + INTERVAL '20 minutes' <= now")
+def suppress_late(spark, d):
+    grouped = shuffled(spark, d).group_by_key().window_by_time(TEN_MINUTES)
+    return windowed(grouped.reduce(total()).suppress().df)
+
+
+@query("without_window", f"""
+SELECT user_id, event_id, CAST(sum(v) OVER (PARTITION BY user_id, start ORDER BY ts, event_id
+  ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS value
+FROM (SELECT *, {BUCKET} AS start FROM ({EVENTS}))""")
+def without_window(spark, d):
+    """Updates of a windowed sum under their plain key."""
+    table = amounts(spark, d).group_by_key().window_by_time(SIX_HOURS).reduce(total())
+    return table.updates().without_window().df.select(
+        F.col("key").alias("user_id"), F.col("offset").alias("event_id"),
+        as_double("value").alias("value"))
+
+
 @query("suppress_closed", f"""
 SELECT user_id, start, start + INTERVAL '6 hours' AS "end", CAST(sum(v) AS DOUBLE) AS value
-FROM (SELECT *, {BUCKET} AS start FROM ({EVENTS}))
-GROUP BY user_id, start
-HAVING start + INTERVAL '7 hours' <= (SELECT max(ts) FROM events)""")
+FROM (SELECT *, {BUCKET} AS start FROM ({EVENTS})) JOIN ({ENDS}) USING (part)
+GROUP BY user_id, start, now HAVING start + INTERVAL '7 hours' <= now""")
 def suppress_closed(spark, d):
     table = amounts(spark, d).group_by_key().window_by_time(SIX_HOURS).reduce(total())
     return windowed(table.suppress().df)
@@ -112,8 +150,8 @@ def suppress_closed(spark, d):
 
 @query("suppress_sessions", f"""
 SELECT user_id, min(ts) AS start, max(ts) AS "end", CAST(sum(v) AS DOUBLE) AS value
-FROM ({ISLANDS}) GROUP BY user_id, s
-HAVING max(ts) + INTERVAL '6 hours' <= (SELECT max(ts) FROM events)""")
+FROM ({ISLANDS}) JOIN ({ENDS}) USING (part) GROUP BY user_id, s, now
+HAVING max(ts) + INTERVAL '6 hours' <= now""")
 def suppress_sessions(spark, d):
     table = amounts(spark, d).group_by_key().window_by_session(SESSIONS).reduce(total())
     return windowed(table.suppress().df)

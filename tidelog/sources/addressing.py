@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators.log import Log, need_type
-from tidelog.operators.timeline import Timeline
+from tidelog.operators.timeline import Timeline, number_of
 
 SHARD = ("topic", "partition")
 
@@ -56,7 +56,7 @@ def offsets_for_times(log: Log, times: DataFrame) -> DataFrame:
     both = records.withColumn("__ask", F.lit(0)).unionByName(
         asked.withColumn("__ask", F.lit(1)), allowMissingColumns=True)
     # backwards in time, records before the requests of the same time
-    both = both.withColumn("__back", -F.unix_micros("at"))
+    both = both.withColumn("__back", -number_of(both, "at"))
     line = Timeline.of(both, SHARD, ("__back", "__ask"))
     line = line.running("__first", "min", F.col("offset"))
     first = line.frame.where("__ask = 1").select(*SHARD, "at", F.col("__first").alias("offset"))
