@@ -76,16 +76,19 @@ def split(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     place = number_of(df, order[0])
     names = [f"__k{i}" for i in range(len(keys))]
     hot = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-           .agg(F.count(F.lit(1)).alias("__hot_rows"), F.min(place).alias("__hot_from"), F.max(place).alias("__hot_to"))
-           .where(F.col("__hot_rows") > session.ROWS_PER_TASK))
-    cold = df.join(F.broadcast(hot.select(*names)), same_key(keys), "left_anti")
+           .agg(F.struct(F.count(F.lit(1)).alias("rows"), F.min(place).alias("start"),
+                         F.max(place).alias("end")).alias("__hot"))
+           .where(F.col("__hot.rows") > session.ROWS_PER_TASK))
+    # one shape of the join for both halves, so that the hot keys are looked for once
+    marked = df.join(F.broadcast(hot), same_key(keys), "left")
+    cold = marked.where(F.col("__hot").isNull()).drop("__hot", *names)
     # finer than the rows need, because records are not spread evenly over time
-    slices = F.ceil(F.col("__hot_rows") / session.ROWS_PER_SLICE) * SLICES_FINER
-    part = F.when(F.col("__hot_to") > F.col("__hot_from"), F.floor(
-        (place - F.col("__hot_from")) / (F.col("__hot_to") - F.col("__hot_from")) * slices))
-    cut = (df.join(F.broadcast(hot), same_key(keys))
+    slices = F.ceil(F.col("__hot.rows") / session.ROWS_PER_SLICE) * SLICES_FINER
+    start, end = F.col("__hot.start"), F.col("__hot.end")
+    part = F.when(end > start, F.floor((place - start) / (end - start) * slices))
+    cut = (marked.where(F.col("__hot").isNotNull())
            .withColumn(SLICE, F.coalesce(F.least(part, slices - 1), F.lit(-1)).cast("int"))
-           .drop("__hot_rows", "__hot_from", "__hot_to", *names))
+           .drop("__hot", *names))
     return cold, cut
 
 
