@@ -47,7 +47,8 @@ def test_unknown_schema_keywords_are_refused():
             json_schema.errors(F.lit("{}"), {"type": "object", "properties": {"a": {keyword: 1}}})
 
 
-def test_folds_need_batch_input(spark, tmp_path):
+def test_windowed_folds_need_batch_input(spark, tmp_path):
     fold = Fold(0, lambda acc, key, value: acc + value, "long")
+    windowed = stream_of(spark, tmp_path).group_by_key().window_by_time(TimeWindows(60_000))
     with pytest.raises(ValueError):
-        stream_of(spark, tmp_path).group_by_key().fold(fold).updates()
+        windowed.fold(fold)

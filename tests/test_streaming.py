@@ -5,7 +5,7 @@ from helpers import keyvals, log_of, safe_add, two_logs
 from pyspark.sql import functions as F
 
 from tidelog.operators.log import Log
-from tidelog.operators.reducers import largest, total
+from tidelog.operators.reducers import Fold, largest, total
 from tidelog.operators.stateful import Store
 from tidelog.operators.windows import (JoinWindows, SessionWindows, SuppressBufferFull,
                                        TimeWindows)
@@ -163,6 +163,40 @@ def test_state_store(spark, log, tmp_path):
     assert rows(drain(run(streamed(spark, log, tmp_path)))) == rows(run(log))
 
 
+FLOORED = Fold({"v": 0}, lambda acc, key, value: {"v": max(acc["v"] + value - 5, 0)}, "struct<v:long>")
+
+
+def test_fold(spark, log, tmp_path):
+    folded = lambda x: x.group_by_key().fold(FLOORED).updates().df
+    assert rows(drain(folded(streamed(spark, log, tmp_path, files=4)))) == rows(folded(log))
+
+
+def test_fold_update_mode(spark, log, tmp_path):
+    table = streamed(spark, log, tmp_path, files=4).group_by_key().fold(FLOORED)
+    got = newest(drain(table.snapshot(), "update"), ["key"])
+    assert rows(got) == rows(log.group_by_key().fold(FLOORED).snapshot())
+
+
+def test_foreign_key_join(spark, tmp_path):
+    """Rows move between foreign keys, are deleted and come back; right rows come and go."""
+    moves = [("LRL"[i % 3], i % 4 if i % 3 != 1 else i % 5,
+              None if i % 7 == 6 else (i * 5) % 9) for i in range(90)]
+    left, right = two_logs(spark, moves)
+
+    def joined(l, r):
+        return l.to_table().join(r.to_table(), lambda v: v % 5, lambda a, b: a * 100 + b).updates()
+
+    want = joined(left, right)
+    assert rows(want.df)
+    # in step: a micro-batch holds the same stretch of time of both logs
+    both = streamed(spark, left.map_values(lambda v: F.struct(v.alias("v"), F.lit(0).alias("s"))).merge(
+        right.map_values(lambda v: F.struct(v.alias("v"), F.lit(1).alias("s")))), tmp_path, files=5)
+    side = lambda n: Log(both.df.where(F.col("value.s") == n).withColumn(
+        "value", F.col("value.v")), left.order)
+    got = joined(side(0), side(1))
+    assert rows(drain(got.df.select(want.df.columns))) == rows(want.df)
+
+
 def test_rate_limit(spark, tmp_path):
     log = log_of(spark, [(1, 1, 3), (2, 1, 4), (12, 1, 4), (201, 1, 1), (202, 1, 2), (222, 1, 3)])
     stream = streamed(spark, log, tmp_path, files=6).with_watermark(0)

@@ -215,6 +215,39 @@ def test_foreign_key_join_right_update_reaches_all_left_rows(spark, layout):
     assert last_of(got) == state(joined.snapshot()) == {1: 9}
 
 
+def walked(records, fk):
+    """A foreign-key join by hand: (place, left key, value) of every change."""
+    left, right, out = {}, {}, []
+    for i, (side, key, value) in enumerate(records):
+        met = lambda k: (left.get(k) is not None and right.get(fk(left[k])) is not None
+                         and left[k] + right[fk(left[k])]) or None
+        touched = [key] if side == "L" else [k for k, v in left.items() if v is not None and fk(v) == key]
+        before = {k: met(k) for k in touched}
+        (left if side == "L" else right)[key] = value
+        out += [(i, k, met(k)) for k in touched if before[k] is not None or met(k) is not None]
+    return sorted(out, key=str)
+
+
+def joined_by_hand_and_by_spark(spark, records, fk):
+    left, right = (x.to_table() for x in two_logs(spark, records))
+    got = left.join(right, fk, ADD).updates().df.select("offset", "key", "value").collect()
+    return walked(records, fk), sorted(map(tuple, got), key=str)
+
+
+def test_foreign_key_join_against_a_walk(spark, layout):
+    records = [("LRL"[i % 3], i % 4 if i % 3 != 1 else i * 7 % 5, None if i % 7 == 6 else 1 + i * 5 % 9)
+               for i in range(80)]
+    hand, spark_rows = joined_by_hand_and_by_spark(spark, records, lambda v: v % 5)
+    assert hand == spark_rows and any(v is None for _, _, v in hand)
+
+
+def test_foreign_key_join_of_one_busy_key_makes_no_pairs_in_vain(spark):
+    """Ten thousand versions on each side: 10**8 pairs of them, 2 * 10**4 changes."""
+    records = [("LR"[i % 2], i % 2, 1 + 2 * (i // 2)) for i in range(20_000)]
+    hand, spark_rows = joined_by_hand_and_by_spark(spark, records, lambda v: v % 2)
+    assert hand == spark_rows and len(hand) == 19_999
+
+
 WINDOWED = [("L", 1, 1, 1), ("R", 100, 1, 2), ("R", 10000, 1, 4)]
 
 

@@ -154,15 +154,14 @@ def foreign_key_join(left: Table, right: Table, foreign_key: Callable[[Column],
 
     def updates() -> Log:
         a, b = left.updates(), right.updates()
-        if a.streaming or b.streaming:
-            raise ValueError("the changelog of a foreign-key join needs batch input")
         order = _tag_order(a, b)
+        if a.streaming or b.streaming:
+            from tidelog.streaming.joins import foreign_key_stream_join
+            return foreign_key_stream_join(a, b, foreign_key, joiner, order)
         l = _versions(a, 0, order, "__l")  # noqa: E741
         r = _versions(b, 1, order, "__r")
-        l = l.withColumn("__fk", foreign_key(F.col("__l")))  # noqa: E741
-        overlap = ((F.col("__l_to").isNull() | (F.col("__r_from") < F.col("__l_to")))
-                   & (F.col("__r_to").isNull() | (F.col("__l_from") < F.col("__r_to"))))
-        pairs = l.join(r, (F.col("__fk") == F.col("__r_key")) & overlap)
+        l = _meeting(l.withColumn("__fk", foreign_key(F.col("__l"))), b, order)  # noqa: E741
+        pairs = l.join(r, (F.col("__fk") == F.col("__r_key")) & (F.col("__n") == F.col("__r_n")))
         begins = F.greatest("__l_from", "__r_from")
         ends = F.least("__l_to", "__r_to")
         value = joiner(F.col("__l"), F.col("__r"))
@@ -180,17 +179,57 @@ def foreign_key_join(left: Table, right: Table, foreign_key: Callable[[Column],
     return Table(updates, snapshot, source=left.source)
 
 
+def _positions(log: Log, side: int, order: tuple[str, ...]) -> list[Column]:
+    return [F.lit(side).alias(c) if c == "__side" else
+            F.col(c) if c in log.order else F.lit(0).alias(c) for c in order]
+
+
 def _versions(log: Log, side: int, order: tuple[str, ...], name: str) -> DataFrame:
-    """Every live version of every key with the positions it holds from and to."""
-    at = F.struct(*[F.lit(side).alias(c) if c == "__side" else
-                    (F.col(c) if c in log.order else F.lit(0).alias(c)) for c in order])
+    """Every live version of every key: its number among the key's updates, and the positions
+    it holds from and to."""
+    at = F.struct(*_positions(log, side, order))
     line = Timeline.of(log.df.withColumn("__at", at), (KEY,), log.order, log.derived)
-    line = line.following("__to", F.col("__at"))
+    line = line.following("__to", F.col("__at")).running("__number", "count", F.lit(1))
     return line.frame.where(F.col(VALUE).isNotNull()).select(
-        F.col(KEY).alias(f"{name}_key"), F.col(VALUE).alias(name),
+        F.col(KEY).alias(f"{name}_key"), F.col(VALUE).alias(name), F.col("__number").alias(f"{name}_n"),
         F.col("__at").alias(f"{name}_from"), F.col("__to").alias(f"{name}_to"))
 
 
+# Numbers are laid out in two steps, so that no array holds more than this many.
+NUMBERS_AT_ONCE = 4096
+
+
+def _meeting(l: DataFrame, right: Log, order: tuple[str, ...]) -> DataFrame:  # noqa: E741
+    """Each left version once for the number ``__n`` of every right update it meets.
+
+    These are the last update before the version begins and all until it ends, a range
+    of numbers found by counting updates along the foreign key; so the join with
+    the right versions, on key and number, makes no pair that is not a result.
+    """
+    totals = right.df.groupBy(F.col(KEY).alias("__fk")).agg(F.count(F.lit(1)).alias("__total"))
+    known = l.join(totals, "__fk")
+    probes = [known.where(F.col(at).isNotNull()).select(
+        "__fk", f"{at}.*", F.lit(end).alias("__end"), "__total",
+        F.struct("__l_key", "__l_from", "__l_to").alias("__who"),
+        F.when(F.lit(not end), F.col("__l")).alias("__l"))
+        for at, end in (("__l_from", False), ("__l_to", True))]
+    ticks = right.df.select(F.col(KEY).alias("__fk"), *_positions(right, 1, order),
+                            F.lit(1).alias("__tick"))
+    both = probes[0].unionByName(probes[1]).unionByName(ticks, allowMissingColumns=True)
+    line = Timeline.of(both, ("__fk",), order, derived=True)
+    line = line.running("__met", "count", F.col("__tick"))
+    met = line.frame.where(F.col("__who").isNotNull()).groupBy("__fk", "__who").agg(
+        F.first("__l", ignorenulls=True).alias("__l"),
+        F.max(F.when(~F.col("__end"), F.col("__met"))).alias("__low"),
+        F.coalesce(F.max(F.when(F.col("__end"), F.col("__met"))), F.max("__total")).alias("__high"))
+    met = met.withColumn("__low", F.greatest(F.col("__low"), F.lit(1))).where("__low <= __high")
+    block = lambda c: F.floor(F.col(c) / F.lit(NUMBERS_AT_ONCE)).cast("long")
+    start = F.col("__block") * NUMBERS_AT_ONCE
+    spread = met.withColumn("__block", F.explode(F.sequence(block("__low"), block("__high"))))
+    return spread.select("__fk", "__who.*", "__l", F.explode(F.sequence(
+        F.greatest("__low", start), F.least(F.col("__high"), start + NUMBERS_AT_ONCE - 1))).alias("__n"))
+
+
 # -- record with record, within a time window ---------------------------------------------
 
 

@@ -263,6 +263,14 @@ def folded(group, fold: Fold):
     acc_type = T.DataType.fromDDL(fold.schema)
     key_fields = [log.df.schema[k] for k in keys]
     zero, advance, merge = fold.zero, fold.step, fold.merge
+    if log.streaming and tuple(keys) != (KEY,):
+        raise ValueError("a fold over windows needs batch input; on a stream fold by key")
+
+    def streamed(every: bool) -> DataFrame:
+        from tidelog.streaming.processors import keyed_fold
+        schema = final_schema(*([log.df.schema[c] for c in order] if every else ()))
+        rows = group.rows.select(*dict.fromkeys((KEY, VALUE, *order)))
+        return keyed_fold(rows, fold, order, schema, every)
 
     def begin(row):
         return _Acc(row, zero)
@@ -283,6 +291,8 @@ def folded(group, fold: Fold):
         return (rows, None) if merge is None else split(rows, keys, log.order, log.derived)
 
     def snapshot() -> DataFrame:
+        if log.streaming:
+            return streamed(every=False)
         whole, cut = laid_out()
         out = ordered_pass(whole, keys, order, begin, take, final_schema(), last)
         return out if cut is None else out.unionByName(merged(partials(cut)))
@@ -315,6 +325,8 @@ def folded(group, fold: Fold):
         return ordered_pass(parts, keys, (SLICE,), unstarted, give_then_take, schema)
 
     def updates() -> Log:
+        if log.streaming:
+            return Log(streamed(every=True), order, derived=True)
         order_fields = [log.df.schema[c] for c in log.order]
         schema = final_schema(*order_fields)
 

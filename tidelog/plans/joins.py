@@ -187,17 +187,15 @@ SELECT user_id, p.id AS event_id, p.side AS side, CAST(max(v) AS DOUBLE) AS valu
 FROM moves GROUP BY user_id, p"""
 
 
-def _fk_joined(spark, d):
-    log = by_user(spark, d, "view")
-    left = Log(log.df.withColumn("value", F.struct(
-        F.col("value").alias("amount"), F.expr("key div 2 + offset % 3").alias("fk"))), log.order)
-    return left.to_table().join(balances(spark, d), lambda v: v["fk"],
-                                lambda a, b: a["amount"] + b)
+def referring(views, accounts):
+    left = Log(views.df.withColumn("value", F.struct(
+        F.col("value").alias("amount"), F.expr("key div 2 + offset % 3").alias("fk"))), views.order)
+    return left.to_table().join(accounts, lambda v: v["fk"], lambda a, b: a["amount"] + b)
 
 
 @query("fk_join_changelog", FK_CHANGES)
 def fk_join_changelog(spark, d):
-    return out(_fk_joined(spark, d).updates(), ("offset", "event_id"), ("side", "side"))
+    return out(referring(by_user(spark, d, "view"), balances(spark, d)).updates(), ("offset", "event_id"), ("side", "side"))
 
 
 # -- two logs, within a time window ------------------------------------------------------------

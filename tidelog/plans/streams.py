@@ -6,8 +6,8 @@ from tidelog.operators.log import Log
 from tidelog.operators.reducers import total
 from tidelog.operators.stateful import Store
 
-from tidelog.plans.aggregates import BAND_RUN, SIGNED
-from tidelog.plans.joins import AS_OF, CHANGES, LIVE, NEAR, WINDOWED, add
+from tidelog.plans.aggregates import BAND_RUN, FLOORED, FOLDED, SIGNED
+from tidelog.plans.joins import AS_OF, CHANGES, FK_CHANGES, LIVE, NEAR, WINDOWED, add, referring
 from tidelog.plans.registry import ACCOUNT_STATE, EVENTS, as_double, events_log, query, typed
 from tidelog.plans.stateless import FILTERED
 from tidelog.plans.transforms import RUN
@@ -157,3 +157,14 @@ def stream_state_sum(spark, d):
                                as_double("value").alias("value")))
 
 
+@query("stream_fold", f"SELECT user_id, event_id, CAST(b AS DOUBLE) AS value FROM ({FOLDED})")
+def stream_fold(spark, d):
+    """A fold that depends on record order, kept as state."""
+    table = amounts(spark, d).group_by_key().fold(FLOORED)
+    return _changes(table.map_values(lambda v: v["floored"]).updates())
+
+
+@query("stream_fk_join", FK_CHANGES)
+def stream_fk_join(spark, d):
+    views = typed(stream(spark, d), "view").map_values(lambda v: v["amount"])
+    return _changes(referring(views, _accounts(spark, d)).updates(), "user_id", "side")

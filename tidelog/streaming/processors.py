@@ -8,6 +8,7 @@ source bounds that.  State lives in the RocksDB store and survives lost executor
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -163,6 +164,119 @@ def keyed_column(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
         ColumnProcessor(kind, name, tuple(order), schema, kept.dataType), schema, "append", **mode)
 
 
+class FoldProcessor(StatefulProcessor):
+    """Folds the records of a key in order: a row for each, or one for each micro-batch."""
+
+    def __init__(self, fold, order, schema, every: bool):
+        self.zero, self.step, self.order, self.schema = fold.zero, fold.step, order, schema
+        self.every = every
+        # boxed twice, since a fold may well arrive at null
+        self.type = boxed(boxed(schema[VALUE].dataType))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.cell = StateCell(handle.getValueState("fold", self.type))
+        self.emit = _emitter(self.schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        self.cell.load()
+        held, row = self.cell.get(), None
+        acc = self.zero if held is None else held["v"]
+        for row in in_order(rows, self.order):
+            row = row.asDict(recursive=True)
+            acc = self.step(acc, row[KEY], row[VALUE])
+            if self.every:
+                yield self.emit({**row, VALUE: acc})
+        if row is not None:
+            self.cell.put({"v": acc})
+            if not self.every:
+                yield self.emit({**row, VALUE: acc})
+        self.cell.save()
+
+    def close(self) -> None:
+        pass
+
+
+def keyed_fold(rows: DataFrame, fold, order, schema: T.StructType, every: bool) -> DataFrame:
+    mode = "append" if every else "update"
+    return rows.groupBy(KEY).transformWithState(
+        FoldProcessor(fold, order, schema, every), schema, mode, "none")
+
+
+class ReferenceProcessor(StatefulProcessor):
+    """One foreign key: its right value now, and the left rows that name it."""
+
+    def __init__(self, order, schema):
+        self.order, self.schema = order, schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        key, left, right = (boxed(self.schema[c].dataType) for c in (KEY, "__l", "__r"))
+        self.right = StateCell(handle.getValueState("right", right))
+        self.left = handle.getMapState("left", key, left)
+        self.emit = _emitter(self.schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        self.right.load()
+        for row in in_order(rows, self.order):
+            row = row.asDict(recursive=True)
+            if row["__side"] == 1:
+                before = self.right.get()
+                self.right.put(row["__r"])
+                if before is not None or row["__r"] is not None:
+                    for who, value in self.left.iterator():
+                        yield self.met(row, plain(who[0]), plain(value[0]))
+            else:
+                who, value = row["__lk"], row["__l"]
+                if value is None:
+                    self.left.removeKey((who,))
+                else:
+                    self.left.updateValue((who,), (value,))
+                if self.right.get() is not None:
+                    yield self.met(row, who, value)
+        self.right.save()
+
+    def met(self, row: dict, who, left):
+        right = self.right.get()
+        return self.emit({**row, KEY: who, "__l": left, "__r": right,
+                          "__live": left is not None and right is not None})
+
+    def close(self) -> None:
+        pass
+
+
+def keyed_references(both: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Under each ``__fk``: left rows (``__lk``, ``__l``) that enter or leave, with the ``__r`` of the time."""
+    fields = [T.StructField(name, both.schema[c].dataType) for name, c in (
+        (KEY, "__lk"), ("__l", "__l"), ("__r", "__r"))]
+    schema = T.StructType([*fields, T.StructField("__live", T.BooleanType()),
+                           *[both.schema[c] for c in order]])
+    return both.groupBy("__fk").transformWithState(
+        ReferenceProcessor(tuple(order), schema), schema, "append", "none")
+
+
+class PositionProcessor(StatefulProcessor):
+    """Of a key's changes at one position, the live one.  All of them come in one micro-batch."""
+
+    def __init__(self, order, schema):
+        self.order, self.schema = order, schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.emit = _emitter(self.schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        changes = in_order(rows, (*self.order, "__live"))
+        for _, same in groupby(changes, key=lambda r: tuple(r[c] for c in self.order)):
+            yield self.emit(list(same)[-1].asDict())
+
+    def close(self) -> None:
+        pass
+
+
+def one_per_position(changes: DataFrame, order: Sequence[str]) -> DataFrame:
+    schema = T.StructType([f for f in changes.schema if f.name != "__live"])
+    return changes.groupBy(KEY).transformWithState(
+        PositionProcessor(tuple(order), schema), schema, "append", "none")
+
+
 class HoldProcessor(StatefulProcessor):
     """At most one record per key and time limit; a timer lets the held one out."""
 
@@ -215,4 +329,5 @@ def keyed_rate_limit(log: Log, keys: Sequence[str], limit_ms: int) -> Log:
     return Log(out, log.order)
 
 
-__all__ = ["keyed_column", "keyed_process", "keyed_rate_limit"]
+__all__ = ["keyed_column", "keyed_fold", "keyed_process", "keyed_rate_limit", "keyed_references",
+           "one_per_position"]
