@@ -71,7 +71,10 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id",
         label: str = "quality", limit: int = FIT_ROWS) -> Model:
-    """The document model, fitted on ``limit`` labelled rows at most, chosen by a hash of the id."""
+    """The document model, fitted on ``limit`` labelled ids at most, chosen by a hash of the id.
+
+    Of documents that share an id, the one with the smallest features is taken.
+    """
     told = (labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
             .groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("label")))
     told = told.orderBy(F.xxhash64("id"), "id").limit(limit)
@@ -79,10 +82,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
 
     def run(batches):
         for batch, texts in batches_of_texts(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([features(t) for t in texts])],
-                                             ["label", "features"])
-
-    held = chosen.select("label", "text").mapInArrow(run, "label int, features array<double>").toArrow()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("label"), pa.array([features(t) for t in texts])],
+                ["id", "label", "features"])
+
+    held = chosen.select("id", "label", "text").mapInArrow(run, "id {}, label int, features array<double>".format(
+        docs.schema[doc_id].dataType.simpleString()))
+    # However often an id repeats, it counts once: no more rows than ``limit`` come back.
+    held = held.groupBy("id").agg(F.max("label").alias("label"), F.min("features").alias("features")).toArrow()
     rows = np.array(held["features"].to_pylist(), dtype=float).reshape(-1, FEATURES)
     order = np.lexsort(rows.T)
     return Model(rows[order], np.array(held["label"].to_pylist(), dtype=float)[order])
