@@ -78,6 +78,27 @@ def test_session_changelog(spark, tmp_path):
     assert rows(drain(updates(streamed(spark, log, tmp_path)))) == rows(updates(log))
 
 
+def arriving(spark, records, folder):
+    """A stream with one record in each micro-batch, in the order given."""
+    return streamed(spark, log_of(spark, records), folder, files=len(records))
+
+
+def spans(df):
+    """(start, end, value) in milliseconds, as the records arrived."""
+    ms = lambda c: F.unix_millis(f"window.{c}")
+    out = df.select(ms("start"), ms("end"), "value", "offset", "pos2").collect()
+    return [tuple(r)[:3] for r in sorted(out, key=lambda r: (r["offset"], r["pos2"]))]
+
+
+def test_session_changelog_out_of_order(spark, tmp_path):
+    """A late record grows the session it belongs to; one between two sessions makes them one."""
+    log = arriving(spark, [(1000, 1, 1), (9000, 1, 2), (1500, 1, 4), (3000, 1, 8), (2200, 1, 16)], tmp_path)
+    table = log.group_by_key().window_by_session(SessionWindows(1000, 0)).reduce(total())
+    assert spans(drain(table.updates().df)) == [
+        (1000, 1000, 1), (9000, 9000, 2), (1000, 1000, None), (1000, 1500, 5), (3000, 3000, 8),
+        (1000, 1500, None), (3000, 3000, None), (1000, 3000, 29)]
+
+
 def test_suppressed_count(spark, tmp_path):
     log = log_of(spark, [(1, 1, 3), (2, 1, 4), (12, 1, 4), (201, 1, 1), (202, 1, 2), (222, 1, 3)])
     stream = streamed(spark, log, tmp_path, files=6).with_watermark(0)

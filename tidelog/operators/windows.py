@@ -140,6 +140,17 @@ class SessionGrouped:
             return out.select(*keys, "window", _seeded(F.col(VALUE), init).alias(VALUE))
 
         def updates() -> Log:
+            pos = f"pos{len(log.order)}"
+            if log.streaming:
+                from tidelog.streaming.processors import keyed_sessions
+                changes = keyed_sessions(self.group.rows, keys, log.order, reducer,
+                                         self.windows.gap_ms, self.windows.grace_ms)
+                made = changes.select(
+                    *keys, F.struct(F.timestamp_micros("__start").alias("start"),
+                                    F.timestamp_micros("__end").alias("end")).alias("window"),
+                    F.when(~F.col("__gone"), _seeded(F.col(VALUE), init)).alias(VALUE),
+                    *log.order, F.col("__pos").alias(pos))
+                return Log(made, log.order + (pos,), derived=True)
             line = self._numbered().refined("__session")
             line = line.all_running(__run=(reducer.kind, reducer.input()),
                                     __start=("min", F.col("ts")))
@@ -151,7 +162,6 @@ class SessionGrouped:
             gone = F.when(grown, row(window(F.col("__last_ts")), F.when(F.lit(False), result)))
             both = F.filter(F.array(gone, row(window(F.col("ts")), result)),
                             lambda x: x.isNotNull())
-            pos = f"pos{len(log.order)}"
             flat = line.frame.select(*keys, *log.order, F.posexplode(both).alias(pos, "__r"))
             return Log(flat.select(*keys, "__r.window", "__r.value", *log.order, pos),
                        log.order + (pos,), derived=True)

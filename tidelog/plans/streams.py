@@ -11,7 +11,7 @@ from tidelog.plans.joins import AS_OF, CHANGES, FK_CHANGES, LIVE, NEAR, WINDOWED
 from tidelog.plans.registry import ACCOUNT_STATE, EVENTS, as_double, events_log, query, typed
 from tidelog.plans.stateless import FILTERED
 from tidelog.plans.transforms import RUN
-from tidelog.plans.windows import BUCKET, ISLANDS, SESSIONS, SIX_HOURS
+from tidelog.plans.windows import BUCKET, ISLANDS, SESSION_CHANGES, SESSIONS, SIX_HOURS
 from tidelog.streaming.drain import drain, newest, read_stream
 
 
@@ -29,9 +29,9 @@ def local(c):
     return F.col(c).cast("timestamp_ntz")
 
 
-def _windows(df):
+def _windows(df, *more):
     return df.select(F.col("key").alias("user_id"), local("window.start").alias("start"),
-                     local("window.end").alias("end"), as_double("value").alias("value"))
+                     local("window.end").alias("end"), as_double("value").alias("value"), *more)
 
 
 @query("stream_filter", f"SELECT user_id, event_id, CAST(v * 2 AS DOUBLE) AS value FROM ({EVENTS}) WHERE v > 50")
@@ -168,3 +168,9 @@ def stream_fold(spark, d):
 def stream_fk_join(spark, d):
     views = typed(stream(spark, d), "view").map_values(lambda v: v["amount"])
     return _changes(referring(views, _accounts(spark, d)).updates(), "user_id", "side")
+
+
+@query("stream_session_changelog", SESSION_CHANGES)
+def stream_session_changelog(spark, d):
+    table = amounts(spark, d).group_by_key().window_by_session(SESSIONS).reduce(total())
+    return drain(_windows(table.updates().df, F.col("offset").alias("event_id")))

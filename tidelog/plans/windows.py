@@ -71,14 +71,17 @@ def session_count(spark, d):
                     .count().snapshot())
 
 
-@query("session_changelog", f"""
+SESSION_CHANGES = f"""
 SELECT user_id, start, ts AS "end", event_id, CAST(run AS DOUBLE) AS value FROM (
   SELECT *, min(ts) OVER w AS start, sum(v) OVER w AS run FROM ({ISLANDS})
   WINDOW w AS (PARTITION BY user_id, s ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
 UNION ALL
 SELECT user_id, start, last_ts, event_id, NULL FROM (
   SELECT *, min(ts) OVER (PARTITION BY user_id, s ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
-    AS start FROM ({ISLANDS})) WHERE fresh = 0 AND start < ts""")
+    AS start FROM ({ISLANDS})) WHERE fresh = 0 AND start < ts"""
+
+
+@query("session_changelog", SESSION_CHANGES)
 def session_changelog(spark, d):
     table = amounts(spark, d).group_by_key().window_by_session(SESSIONS).reduce(total())
     return windowed(table.updates().df, "value", F.col("offset").alias("event_id"))

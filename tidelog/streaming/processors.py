@@ -277,6 +277,86 @@ def one_per_position(changes: DataFrame, order: Sequence[str]) -> DataFrame:
         PositionProcessor(tuple(order), schema), schema, "append", "none")
 
 
+class SessionProcessor(StatefulProcessor):
+    """The sessions of a key: a record joins those within the gap, in whatever order it came.
+
+    Sessions it joins are deleted, unless all lie at its own time, and the joint one is given
+    with its new value.  Sessions the watermark has passed, gap and grace included, are let go.
+    """
+
+    def __init__(self, kind: str, gap: int, keep_ms: int | None, order, schema):
+        self.kind, self.gap, self.keep_ms, self.order, self.schema = kind, gap, keep_ms, order, schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getMapState("sessions", boxed(T.LongType()), T.StructType([
+            T.StructField("end", T.LongType()), T.StructField("at", T.LongType()),
+            T.StructField("value", self.schema[VALUE].dataType)]))
+        self.emit = _emitter(self.schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = {start[0]: (s[0], s[1], plain(s[2])) for start, s in self.state.iterator()}
+        known = dict(held)
+        if self.keep_ms is not None:
+            passed = (timerValues.getCurrentWatermarkInMs() - self.keep_ms) * 1000
+            held = {start: s for start, s in held.items() if s[0] >= passed}
+        for row in in_order(rows, self.order):
+            row = row.asDict(recursive=True)
+            now = row["__t"]
+            met = sorted(start for start, s in held.items()
+                         if start - self.gap <= now <= s[0] + self.gap)
+            start, end = min([now, *met]), max([now, *(held[m][0] for m in met)])
+            at, value = self.reduced([*((held[m][1], held[m][2]) for m in met), (now, self.entered(row["__x"]))])
+            gone = [] if start == end else [(m, held[m][0]) for m in met]
+            for m in met:
+                del held[m]
+            held[start] = (end, at, value)
+            for pos, (lo, hi) in enumerate(gone):
+                yield self.emit({**row, "__start": lo, "__end": hi, "__pos": pos, "__gone": True, VALUE: None})
+            yield self.emit({**row, "__start": start, "__end": end, "__pos": len(gone), "__gone": False,
+                             VALUE: value})
+        for start in known.keys() - held.keys():
+            self.state.removeKey((start,))
+        for start, s in held.items():
+            if known.get(start) != s:
+                self.state.updateValue((start,), s)
+
+    def entered(self, x):
+        return (0 if x is None else 1) if self.kind == "count" else x
+
+    def reduced(self, parts: list[tuple]) -> tuple:
+        """(time of the value, value) of sessions put together; nulls are skipped."""
+        full = [p for p in parts if p[1] is not None]
+        if not full:
+            return parts[-1]
+        if self.kind in ("first", "last"):
+            # of equal times the record that came first, or last
+            return min(full, key=lambda p: p[0]) if self.kind == "first" else max(
+                reversed(full), key=lambda p: p[0])
+        values = [v for _, v in full]
+        return full[-1][0], {"min": min, "max": max}.get(self.kind, sum)(values)
+
+    def close(self) -> None:
+        pass
+
+
+def keyed_sessions(rows: DataFrame, keys: Sequence[str], order: Sequence[str], reducer, gap_ms: int,
+                   grace_ms: int) -> DataFrame:
+    """Session changes on a stream: keys, ``__start`` and ``__end`` in microseconds, ``__gone``, value."""
+    rows = rows.select(*keys, *[c for c in order if c not in keys], F.unix_micros("ts").alias("__t"),
+                       reducer.input().alias("__x"))
+    fn = F.max_by("__x", F.lit(1)) if reducer.kind in ("first", "last") else getattr(F, reducer.kind)("__x")
+    value = T.StructField(VALUE, rows.agg(fn.alias(VALUE)).schema[VALUE].dataType)
+    schema = T.StructType([
+        *[T.StructField(c, rows.schema[c].dataType) for c in dict.fromkeys((*keys, *order))], value,
+        *[T.StructField(c, T.LongType()) for c in ("__start", "__end")],
+        T.StructField("__pos", T.IntegerType()), T.StructField("__gone", T.BooleanType())])
+    timed = any("spark.watermarkDelayMs" in f.metadata for f in rows.schema)
+    mode = {"timeMode": "eventTime", "eventTimeColumnName": "ts"} if timed else {"timeMode": "none"}
+    keep = gap_ms + grace_ms if timed else None
+    return rows.groupBy(*keys).transformWithState(
+        SessionProcessor(reducer.kind, gap_ms * 1000, keep, tuple(order), schema), schema, "append", **mode)
+
+
 class HoldProcessor(StatefulProcessor):
     """At most one record per key and time limit; a timer lets the held one out."""
 
@@ -330,4 +410,4 @@ def keyed_rate_limit(log: Log, keys: Sequence[str], limit_ms: int) -> Log:
 
 
 __all__ = ["keyed_column", "keyed_fold", "keyed_process", "keyed_rate_limit", "keyed_references",
-           "one_per_position"]
+           "keyed_sessions", "one_per_position"]
