@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from tidelog.llm.quality import classify
+from tidelog.llm.quality import classify, fit
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -42,6 +42,12 @@ def test_rates_are_shrunk_sums(spark, documents):
         assert abs(r.score - 1 / (1 + math.exp(-odds))) < 1e-9
 
 
+def test_a_repeated_id_counts_once_in_the_fit(spark, documents):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    once, often = fit(documents, labels), fit(documents.union(documents).union(documents), labels)
+    assert once.weights is not None and (once.weights == often.weights).all()
+
+
 def test_odd_rows(spark, odd):
     kinds = "doc_id long, quality int, text string"
     labels = spark.createDataFrame([(1, 0, "x"), (2, None, "x"), (None, 1, "x"), (4, 1, "x"), (4, 0, "x"), (5, 7, "x"),
