@@ -159,7 +159,7 @@ def foreign_key_join(left: Table, right: Table, foreign_key: Callable[[Column],
             from tidelog.streaming.joins import foreign_key_stream_join
             return foreign_key_stream_join(a, b, foreign_key, joiner, order)
         l = _versions(a, 0, order, "__l")  # noqa: E741
-        r = _versions(b, 1, order, "__r")
+        r = _versions(b, 1, order, "__r", number="__r_n")
         l = _meeting(l.withColumn("__fk", foreign_key(F.col("__l"))), b, order)  # noqa: E741
         pairs = l.join(r, (F.col("__fk") == F.col("__r_key")) & (F.col("__n") == F.col("__r_n")))
         begins = F.greatest("__l_from", "__r_from")
@@ -184,14 +184,17 @@ def _positions(log: Log, side: int, order: tuple[str, ...]) -> list[Column]:
             F.col(c) if c in log.order else F.lit(0).alias(c) for c in order]
 
 
-def _versions(log: Log, side: int, order: tuple[str, ...], name: str) -> DataFrame:
-    """Every live version of every key: its number among the key's updates, and the positions
-    it holds from and to."""
+def _versions(log: Log, side: int, order: tuple[str, ...], name: str,
+              number: str | None = None) -> DataFrame:
+    """Every live version of every key with the positions it holds from and to, and its
+    ``number`` among the key's updates if that is wanted."""
     at = F.struct(*_positions(log, side, order))
     line = Timeline.of(log.df.withColumn("__at", at), (KEY,), log.order, log.derived)
-    line = line.following("__to", F.col("__at")).running("__number", "count", F.lit(1))
+    line = line.following("__to", F.col("__at"))
+    if number:
+        line = line.running(number, "count", F.lit(1))
     return line.frame.where(F.col(VALUE).isNotNull()).select(
-        F.col(KEY).alias(f"{name}_key"), F.col(VALUE).alias(name), F.col("__number").alias(f"{name}_n"),
+        F.col(KEY).alias(f"{name}_key"), F.col(VALUE).alias(name), *([number] if number else []),
         F.col("__at").alias(f"{name}_from"), F.col("__to").alias(f"{name}_to"))
 
 
