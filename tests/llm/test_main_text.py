@@ -45,3 +45,18 @@ def test_broken_and_odd_pages(spark):
     found = extract(pages).collect()
     assert sorted(r.n_chars for r in found) == sorted([0, 0, 299_999, len(re.sub("<.*?>", "", ARTICLE))])
     assert extract(pages.limit(0)).count() == 0
+
+
+LONG = ARTICLE * 12
+
+
+@pytest.mark.parametrize("parts", [
+    ("<div class=lead>{}</div>", ARTICLE, "<div class=text><h2>Head</h2>{}</div>", LONG),
+    ("<div class=text><h2>Head</h2>{}</div>", ARTICLE, "<div class=text><h2>More</h2>{}</div>", LONG),
+    ("<main><article><h1>One</h1>{}</article>", ARTICLE, "<article><h1>Two</h1>{}</article></main>", LONG),
+])
+def test_all_containers_stay(parts):
+    inside = parts[0].format(parts[1]) + parts[2].format(parts[3])
+    expected = " ".join(re.sub(r"<[^>]*>", " ", inside).split())
+    page = f"<html><body><nav><a href=x>Home</a></nav>{inside}<footer>&copy; us.</footer></body></html>"
+    assert main_text(page) == expected

@@ -3,7 +3,8 @@
 A page is cut into blocks of text, each with its path of block tags from the root.  Text length
 and punctuation are aggregated per path, divided by the number of nodes on it, smoothed along
 the page and fused; paths above a threshold of the page hold content.  Content nodes then name
-their container, whose other blocks (headings, short paragraphs, lists) belong to the text.
+their containers, as many as hold them all, whose other blocks (headings, short paragraphs,
+lists) belong to the text.
 Parts that say themselves that they are not content (menus, forms, adverts, comments ...) take
 no part.
 """
@@ -54,7 +55,7 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：«»\"'()-]")
 SMOOTH = np.array([0.05, 0.25, 0.4, 0.25, 0.05])
 # A path is content if its fused ratio reaches this share of the page's spread.
 THRESHOLD = 0.5
-# Share of the content's text that its container holds.
+# Share of the content's text, outside the containers already found, that a container holds.
 CONTAINED = 0.8
 
 
@@ -220,22 +221,39 @@ def main_text(page: str | None) -> str:
         return ""
     ratios = path_ratios(found)
     content = ratios >= THRESHOLD * ratios.std()
+    lengths = [len(b.text) for b in found]
+    inside: set[int] = set()
+    around: set[int] = set()
+    open_ = content.copy()
+    # Of each element, the content blocks in it and the length of those still open.
+    within: dict[int, list[int]] = {}
     held: dict[int, int] = {}
-    for b, yes in zip(found, content):
-        if yes:
-            for number, _ in b.inside:
-                held[number] = held.get(number, 0) + len(b.text)
-    most = sum(len(b.text) for b, yes in zip(found, content) if yes)
-    # The container: the deepest element around the best block that holds nearly all content,
-    # or the article that element is in.
-    best = found[int(np.lexsort(([len(b.text) for b in found], ratios))[-1])]
-    around = [at for at, (number, _) in enumerate(best.inside) if held.get(number, 0) >= CONTAINED * most]
-    if not around:
-        return " ".join(b.text for b, yes in zip(found, content) if yes)
-    deepest = max(around)
-    named = [at for at in range(deepest + 1) if best.inside[at][1] in ("article", "main")]
-    container = best.inside[max(named) if named else deepest]
-    return " ".join(b.text for b in found if container in b.inside)
+    for at in np.flatnonzero(content).tolist():
+        for number, _ in found[at].inside:
+            within.setdefault(number, []).append(at)
+            held[number] = held.get(number, 0) + lengths[at]
+    # The best block that is still open names the next container.
+    for best in np.lexsort((lengths, ratios))[::-1].tolist():
+        # Elements around the block but not around a container found before, from the outermost.
+        levels = [e for e in found[best].inside if e[0] not in around]
+        if not open_[best] or not levels:
+            continue
+        # The deepest that holds nearly all open content of its branch, or the article it is in.
+        deepest = max(at for at, e in enumerate(levels) if held[e[0]] >= CONTAINED * held[levels[0][0]])
+        named = [at for at in range(deepest + 1) if levels[at][1] in ("article", "main")]
+        container, _ = levels[max(named) if named else deepest]
+        inside.add(container)
+        for number, _ in found[best].inside:
+            around.add(number)
+            if number == container:
+                break
+        for at in within[container]:
+            if open_[at]:
+                open_[at] = False
+                for number, _ in found[at].inside:
+                    held[number] -= lengths[at]
+    return " ".join(b.text for at, b in enumerate(found)
+                    if content[at] or any(number in inside for number, _ in b.inside))
 
 
 def extract(pages: DataFrame, html: str = "html", page_id: str = "page_id", url: str = "url") -> DataFrame:
