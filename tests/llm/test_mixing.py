@@ -62,3 +62,20 @@ def test_shards_hold_every_copy_once(documents):
 def test_empty_table(odd):
     made = mix(odd.limit(0), whole_rows=True)
     assert made.taken().count() == 0 and made.mixed().count() == 0
+
+
+def test_nothing_left_out_fits(spark):
+    # One long document ends the whole blocks of "a"; small ones stand in the blocks behind it.
+    rows = [(0, "w " * 60_000, "a")] + [(i, "w " * 1_000, "a") for i in range(1, 121)]
+    rows += [(1_000 + i, "v " * 1_000, "b") for i in range(100)] + [(2_000 + i, "u " * 1_000, "c") for i in range(900)]
+    for seed in range(3):
+        made = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), shard_words=50_000,
+                   weights=(1.0, 2.0, 8.0), seed=seed, whole_rows=True)
+        found = made.taken().select("doc_id", "source", "size", "source_size", "target", "copies").collect()
+        for source in "abc":
+            mine = [r for r in found if r.source == source]
+            short = mine[0].target - sum(r.size * r.copies for r in mine)
+            out = [r.size for r in mine if r.copies == mine[0].target // mine[0].source_size]
+            assert 0 <= short + 1e-6 and (not out or short < min(out))
+        copies = Counter(r.doc_id for r in made.mixed().select("row.doc_id").collect())
+        assert copies == Counter({r.doc_id: r.copies for r in found if r.copies})

@@ -27,8 +27,6 @@ BLOCK_WORDS = 50_000
 MAX_BLOCKS = 1_024
 # Words an output shard should hold.
 SHARD_WORDS = 20_000_000
-# Rounds that fill what is left in the block where a source's partial pass ends.
-FILL_ROUNDS = 4
 SEED = 20
 
 
@@ -86,7 +84,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
         seed: int = SEED, whole_rows: bool = False) -> Mix:
     """Mix ``docs`` so that each source's words come near its target.
 
-    The partial pass ends short of the target by less than the documents it leaves out.  Null texts hold no words; a
+    The partial pass ends short of the target by less than any document it leaves out.  Null texts hold no words; a
     null source is a source of its own, the last.  Null ids and repeated rows are documents like
     any other.  The draw depends on the seed, ids and texts only, so reruns agree.  An empty
     table gives an empty mix.
@@ -111,48 +109,69 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     marked = (placed.join(quotas.select("place", "block", "whole"), ["place", "block"])
               .join(ends, "n", "left").withColumn("copies", copies))
     kept = ["n", "doc_id", "source", "size", "source_size", "target", "place", "block", "mark", "copies"]
-    return Mix(marked.select(*kept, *(["row"] if whole_rows else [])), stored(_shards(quotas, shard_words, seed), "shards"))
+    got = placed.select("n", "place", "block", "size").join(ends, "n").groupBy("place", "block").agg(F.sum("size").alias("got"))
+    return Mix(marked.select(*kept, *(["row"] if whole_rows else [])),
+               stored(_shards(quotas.join(got, ["place", "block"], "left"), shard_words, seed), "shards"))
+
+
+def _turn(seed: int) -> Column:
+    """Where a block stands in the permuted order of its source."""
+    return F.xxhash64(F.lit(seed + 1), "place", "block")
 
 
 def _partial_pass(placed: DataFrame, seed: int) -> DataFrame:
-    """A row per block: whether the partial pass takes it whole, and what is left to take of the
-    one where it ends (``left``, null elsewhere)."""
+    """A row per block: its turn, whether the partial pass takes it whole, and what is left to take
+    from the source where the whole blocks end (``left``, null in all other blocks)."""
     sized = placed.groupBy("place", "block").agg(
         F.sum("size").alias("held"), F.first("passes").alias("passes"), F.first("rest").alias("rest"))
-    turn = Window.partitionBy("place").orderBy(F.xxhash64(F.lit(seed + 1), "place", "block"), "block")
+    sized = sized.withColumn("at", _turn(seed))
+    turn = Window.partitionBy("place").orderBy("at", "block")
     run = sized.withColumn("upto", F.sum("held").over(turn.rowsBetween(Window.unboundedPreceding, 0)))
     whole = F.col("upto") <= F.col("rest")
     end = ~whole & (F.col("upto") - F.col("held") < F.col("rest"))
-    return run.select("place", "block", "held", "passes", whole.alias("whole"),
+    return run.select("place", "block", "at", "held", "passes", whole.alias("whole"),
                       F.when(end, F.col("rest") - F.col("upto") + F.col("held")).alias("left"))
 
 
 def _ends(placed: DataFrame, quotas: DataFrame) -> DataFrame:
-    """Rows (n, last): the documents taken from the block where a source's partial pass ends.
+    """Rows (n, last): the documents the partial pass takes behind its whole blocks.
 
-    Each round takes, in the block's order, the documents that still fit what is left.
+    Each round goes on through the blocks in their permuted order, takes the documents that
+    still fit what is left until one no longer does, and drops those that have become too long.
+    Each round takes a document of every source that has one that fits; it ends when none has.
     """
-    ends = quotas.where("left IS NOT NULL").select("place", "block", "left")
-    rows = placed.select("n", "place", "block", "size", "mark").join(ends, ["place", "block"])
-    rows = rows.withColumn("last", F.lit(False))
-    block = Window.partitionBy("place", "block").orderBy("mark", "n")
-    whole = block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = block.rowsBetween(Window.unboundedPreceding, 0)
-    for _ in range(FILL_ROUNDS):
-        spent = F.sum(F.when(F.col("last"), F.col("size")).otherwise(0)).over(whole)
-        rows = rows.withColumn("rest", F.col("left") - spent)
-        fits = ~F.col("last") & (F.col("size") <= F.col("rest"))
-        run = F.sum(F.when(fits, F.col("size")).otherwise(0)).over(upto)
-        rows = rows.withColumn("last", F.col("last") | (fits & (run <= F.col("rest"))))
-    return rows.where("last").select("n", "last")
+    left = quotas.where("left IS NOT NULL").select("place", "left")
+    blocks = quotas.where("NOT whole").select("place", "block", "at").join(left, "place")
+    rows = placed.select("n", "place", "block", "size", "mark").join(blocks, ["place", "block"])
+    rows = stored(rows.where("size <= left"), "open")
+    taken = rows.select("n", F.lit(True).alias("last")).limit(0)
+    source = Window.partitionBy("place").orderBy("at", "block").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("place", "block").orderBy("mark", "n").rowsBetween(Window.unboundedPreceding, 0)
+    while not rows.isEmpty():
+        sums = rows.groupBy("place", "block", "at").agg(F.sum("size").alias("held"), F.first("left").alias("most"))
+        rooms = sums.withColumn("room", F.col("most") - F.sum("held").over(source) + F.col("held"))
+        rooms = rooms.where("room >= 0").select("place", "block", "room")
+        run = F.sum("size").over(inside)
+        rows = stored(rows.join(rooms, ["place", "block"], "left").withColumn(
+            "last", F.coalesce(run <= F.col("room"), F.lit(False))).drop("room"), "round")
+        taken = taken.unionByName(rows.where("last").select("n", "last"))
+        spent = rows.where("last").groupBy("place").agg(F.sum("size").alias("spent"))
+        rows = rows.where("NOT last").join(spent, "place").withColumn("left", F.col("left") - F.col("spent"))
+        rows = stored(rows.where("size <= left").drop("last", "spent"), "open")
+    return taken
 
 
 def _shards(quotas: DataFrame, shard_words: int, seed: int) -> DataFrame:
-    """Rows (place, block, turn, shard): which shard takes each draw of a block."""
-    partial = F.col("whole") | F.col("left").isNotNull()
-    draws = quotas.select("place", "block", "held", F.explode(F.when(
+    """Rows (place, block, turn, shard): which shard takes each draw of a block.
+
+    The last draw of a block may be of some documents only, of ``got`` words.
+    """
+    partial = F.col("whole") | F.col("got").isNotNull()
+    some = ~F.col("whole") & (F.col("turn") == F.col("passes"))
+    draws = quotas.select("place", "block", "held", "passes", "whole", "got", F.explode(F.when(
         F.col("passes") + partial.cast("int") > 0,
         F.sequence(F.lit(0), F.col("passes") + partial.cast("int") - 1))).alias("turn"))
+    draws = draws.withColumn("held", F.when(some, F.col("got")).otherwise(F.col("held"))).drop("passes", "whole", "got")
     order = Window.partitionBy("place").orderBy("turn", F.xxhash64(F.lit(seed + 2), "place", "turn", "block"), "block")
     draws = draws.withColumn("draw", F.row_number().over(order) - 1)
     total = draws.agg(F.sum("held")).first()[0] or 0
