@@ -63,3 +63,13 @@ def test_odd_rows(spark):
     assert found == {0: [(8, 2.0), (20, 0.5), (9, -1.0)], 20: [(8, 1.0), (0, 0.5), (9, -0.5)]}
     assert nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert nearest(frame.where("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_recall_over_hundreds_of_lists(spark):
+    vectors = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()])
+    rng = np.random.default_rng(1)
+    many = np.concatenate([vectors + rng.normal(size=vectors.shape) * vectors.std() * 0.5 for _ in range(10)])
+    rows = [(i, v.tolist()) for i, v in enumerate(many)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = listed(nearest(frame, F.col("vec_id") % 97 == 0, list_rows=40))
+    assert recall(found, brute(rows, lambda i: i % 97 == 0, 20)) >= 0.9

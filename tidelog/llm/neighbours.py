@@ -5,7 +5,9 @@ by the longest and get one more component that makes their lengths equal.  Centr
 a bounded sample head the posting lists.  A vector near a boundary is entered in several lists
 (all whose distance is within a ratio of the nearest, unless a nearer list already stands for
 that direction); a list beyond a number of rows is cut into blocks.  A query searches a graph
-of the centroids held in memory and goes to the lists within a distance ratio of its nearest.
+of the centroids held in memory and goes to all lists within a distance ratio of its nearest.
+The nearest few lists are scored first; of the others only rows that reach the ``k``-th score
+found there come out, which loses nothing.
 Blocks of lists meet blocks of queries in one task each, which scores them in double precision.
 """
 
@@ -29,8 +31,8 @@ BLOCK_ROWS, BLOCK_QUERIES = 4_096, 1_024
 ROUNDS = 8
 # A vector enters lists up to this ratio of its nearest distance, a query searches up to that.
 ENTER_RATIO, SEARCH_RATIO = 1.08, 1.5
-# Lists a query goes to within the ratio, at least and at most; rows they must hold together.
-LEAST_LISTS, MOST_LISTS, LEAST_ROWS = 8, 40, 1_000
+# Lists a query goes to at least, and rows they must hold together; beyond that the ratio alone decides.
+LEAST_LISTS, LEAST_ROWS = 8, 1_000
 LINKS = 16
 SEED = 7
 
@@ -100,9 +102,13 @@ class Centroids:
         unit = np.r_[query / np.sqrt(query @ query), 0.0]
         first = float(np.linalg.norm(self.points[self.start] - unit))
         seen, ahead, found = {self.start}, [(first, self.start)], []
-        while ahead and len(found) < 2 * MOST_LISTS:
+        nearest, held = first, 0
+        while ahead:
             far, at = heapq.heappop(ahead)
+            if len(found) >= LEAST_LISTS and held >= LEAST_ROWS and far > SEARCH_RATIO * nearest:
+                break
             found.append((far, at))
+            nearest, held = min(nearest, far), held + int(sizes[at])
             fresh = [int(x) for x in self.links[at] if int(x) not in seen]
             if fresh:
                 seen.update(fresh)
@@ -112,8 +118,7 @@ class Centroids:
         found.sort()
         held, lists = 0, []
         for far, at in found:
-            enough = len(lists) >= LEAST_LISTS and held >= LEAST_ROWS
-            if enough and (far > SEARCH_RATIO * found[0][0] or len(lists) >= MOST_LISTS):
+            if len(lists) >= LEAST_LISTS and held >= LEAST_ROWS and far > SEARCH_RATIO * found[0][0]:
                 break
             lists.append(at)
             held += int(sizes[at])
@@ -175,21 +180,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
 
     asked = rows.where("asks").dropDuplicates(["id"]).select("id", "vector")
     asked = stored(asked.mapInArrow(ask, "id long, vector array<double>, lists array<int>").select(
-        "id", "vector", F.explode("lists").alias("list")), "asked")
-    counts = np.zeros(len(sizes), np.int64)
-    for r in asked.groupBy("list").count().collect():
-        counts[r["list"]] = r["count"]
-    row_blocks, query_blocks = (np.maximum(1, -(-n // most)).tolist()
-                                for n, most in ((sizes, BLOCK_ROWS), (counts, BLOCK_QUERIES)))
-
-    def blocked(df: DataFrame, own: list[int], other: list[int], mine: str, theirs: str) -> DataFrame:
-        """Each row once for every block of the other side its block has to meet."""
-        mine_of, theirs_of = (F.element_at(F.lit(x), F.col("list") + 1) for x in (own, other))
-        return df.withColumn(mine, F.pmod(F.xxhash64("id"), mine_of.cast("long")).cast("int")).withColumn(
-            theirs, F.explode(F.sequence(F.lit(0), theirs_of - 1)))
-
-    left = blocked(asked, query_blocks, row_blocks, "q", "r")
-    right = blocked(postings, row_blocks, query_blocks, "r", "q")
+        "id", "vector", F.posexplode("lists").alias("at", "list")), "asked")
 
     def score(queries: pa.Table, block: pa.Table) -> pa.Table:
         found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
@@ -197,9 +188,34 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
             found = _best(queries, block, k)
         return pa.table(dict(zip(("query_id", "vec_id", "score"), found)))
 
-    hits = left.groupBy("list", "q", "r").cogroup(right.groupBy("list", "q", "r")).applyInArrow(score, result)
-    hits = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    def scored(asked: DataFrame) -> DataFrame:
+        """Rows (query_id, vec_id, score) of the lists asked for that reach the query's ``floor``."""
+        counts = np.zeros(len(sizes), np.int64)
+        for r in asked.groupBy("list").count().collect():
+            counts[r["list"]] = r["count"]
+        row_blocks, query_blocks = (np.maximum(1, -(-n // most)).tolist()
+                                    for n, most in ((sizes, BLOCK_ROWS), (counts, BLOCK_QUERIES)))
+
+        def blocked(df: DataFrame, own: list[int], other: list[int], mine: str, theirs: str) -> DataFrame:
+            """Each row once for every block of the other side its block has to meet."""
+            mine_of, theirs_of = (F.element_at(F.lit(x), F.col("list") + 1) for x in (own, other))
+            return df.withColumn(mine, F.pmod(F.xxhash64("id"), mine_of.cast("long")).cast("int")).withColumn(
+                theirs, F.explode(F.sequence(F.lit(0), theirs_of - 1)))
+
+        left = blocked(asked, query_blocks, row_blocks, "q", "r")
+        right = blocked(postings, row_blocks, query_blocks, "r", "q")
+        hits = left.groupBy("list", "q", "r").cogroup(right.groupBy("list", "q", "r")).applyInArrow(score, result)
+        return hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+    first = stored(scored(asked.where(F.col("at") < LEAST_LISTS).drop("at").withColumn(
+        "floor", F.lit(float("-inf")))), "first")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    floors = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select(
+        F.col("query_id").alias("id"), F.col("score").alias("floor"))
+    others = asked.where(F.col("at") >= LEAST_LISTS).drop("at").join(floors, "id", "left").withColumn(
+        "floor", F.coalesce("floor", F.lit(float("-inf"))))
+    hits = first.unionByName(scored(others))
+    hits = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return (hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -207,6 +223,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
 def _best(queries: pa.Table, block: pa.Table, k: int) -> list[np.ndarray]:
     asked = queries["id"].combine_chunks().to_numpy()
     ids = block["id"].combine_chunks().to_numpy()
+    floors = queries["floor"].combine_chunks().to_numpy()
     a, b = _matrix(queries["vector"].combine_chunks()), _matrix(block["vector"].combine_chunks())
     rough = a @ b.T
     rough[asked[:, None] == ids[None]] = -np.inf
@@ -214,7 +231,7 @@ def _best(queries: pa.Table, block: pa.Table, k: int) -> list[np.ndarray]:
     slack = 1e-9 * (np.abs(a).max() * np.abs(b).max() * a.shape[1] + 1)
     out = [[], [], []]
     for at, row in enumerate(rough):
-        least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
+        least = max(floors[at], np.partition(row, -k)[-k] if len(row) > k else -np.inf)
         near = np.flatnonzero((row >= least - slack) & (row > -np.inf))
         exact = (b[near] * a[at]).sum(axis=1)
         order = np.lexsort((ids[near], -exact))
