@@ -53,7 +53,7 @@ def chunks(sizes: Iterable[int], limit: int = CHUNK_CHARS) -> Iterator[tuple[int
         yield start, at + 1
 
 
-def batches_of_texts(batches: Iterable[pa.RecordBatch], column: str
+def batches_of_texts(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_CHARS
                      ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Record batches cut so that the texts of each hold a bounded number of characters.
 
@@ -67,7 +67,7 @@ def batches_of_texts(batches: Iterable[pa.RecordBatch], column: str
         if inner:
             texts = pa.compute.struct_field(texts, inner)
         lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
-        for lo, hi in chunks(lengths):
+        for lo, hi in chunks(lengths, limit):
             yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo).to_pylist()
         del batch, texts
         # Workers outlive their tasks; what they no longer need goes back to the executor.
@@ -108,3 +108,30 @@ class Memo:
             missing = list(units)
         self.known.update(zip(missing, self.compute(missing), strict=True))
         return self.known
+
+
+class FrequentMemo:
+    """Remembers what ``compute`` made of the units that keep coming.
+
+    Two generations: a unit of the older one that is asked for moves to the newer, and a full newer
+    one takes the older one's place.  So what comes again within ``limit`` / 2 new units stays, and no
+    more than ``limit`` and one batch are held.  Units that ``keep`` refuses are computed each time.
+    """
+
+    def __init__(self, compute: Callable[[list], list], limit: int, keep: Callable = lambda unit: True) -> None:
+        self.compute, self.limit, self.keep = compute, limit, keep
+        self.newer, self.older, self.passing = {}, {}, []
+
+    def learn(self, units: set) -> dict:
+        """A dictionary that holds at least these units, good until the next call."""
+        for unit in self.passing:
+            del self.newer[unit]
+        if len(self.newer) > self.limit // 2:
+            self.older, self.newer = self.newer, {}
+        asked = units.difference(self.newer)
+        known = asked.intersection(self.older)
+        self.newer.update((unit, self.older.pop(unit)) for unit in known)
+        missing = list(asked.difference(known))
+        self.newer.update(zip(missing, self.compute(missing), strict=True))
+        self.passing = [unit for unit in missing if not self.keep(unit)]
+        return self.newer
