@@ -143,8 +143,8 @@ p AS (
   FROM (SELECT n, w, size, unnest(range(1, len(w) - size + 2)) AS i
         FROM d, (SELECT DISTINCT size FROM g) WHERE len(w) >= size)),
 h AS MATERIALIZED (SELECT p.n, p.i, p.size, g.item FROM p JOIN g USING (size, gram)),
-c AS (SELECT n, count(DISTINCT at) AS n_hit FROM (
-        SELECT n, unnest(range(i, i + size)) AS at FROM (SELECT DISTINCT n, i, size FROM h)) GROUP BY n),
+c AS (SELECT n, count(DISTINCT place) AS n_hit FROM (
+        SELECT n, unnest(range(i, i + size)) AS place FROM (SELECT DISTINCT n, i, size FROM h)) GROUP BY n),
 l AS (SELECT n, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
       FROM (SELECT DISTINCT n, item FROM h WHERE item IS NOT NULL) GROUP BY n)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
