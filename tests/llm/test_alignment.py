@@ -84,21 +84,23 @@ def test_small_memo_and_batches(spark, pair, library, documents, monkeypatch):
 
 
 def test_stretches_put_together_are_the_text(pair, library):
-    for text in random_texts(2000, 5):
+    for text in filter(None, random_texts(2000, 5)):
         a, b = library(text)
-        parts = pair.stretches(" " + text) if text else []
-        assert "".join(parts) == (" " + text if text else "")
-        encoded = pair.encoded(parts)
-        assert [i for ids in encoded[0] for i in ids] == a, repr(text)
+        parts = pair.stretches(text)
+        assert " ".join(parts) == text
+        one = [pair.encoded([p]) for p in parts]
+        assert [i for x, _ in one for i in x] == a, repr(text)
         if cut(pair, text, a, b):
-            assert [i for ids in encoded[1] for i in ids] == b, repr(text)
+            assert [i for _, y in one for i in y] == b, repr(text)
 
 
 def test_groups_come_from_merge_asof(pair, monkeypatch):
-    whole = al.align_stretches(pair, [" unbelievable", " naïveté"])
+    words = ["unbelievable", "naïveté", "multiplicity"]
+    whole = al.align_stretches(pair, words)
+    assert max(whole.counts[3] - whole.counts[2]) > 0
     monkeypatch.setattr(al.pd, "merge_asof", lambda one, other, **_: one.assign(cover_start=one["start"]))
-    with pytest.raises(Exception):
-        assert al.align_stretches(pair, [" unbelievable", " naïveté"]) == whole
+    with pytest.raises((IndexError, ValueError)):
+        al.align_stretches(pair, words)
 
 
 def test_digest_and_empty_table(documents):

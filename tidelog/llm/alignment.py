@@ -12,7 +12,11 @@ lets a token reach across; so a stretch is aligned once and remembered while it
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,11 +28,14 @@ from pyspark.sql import functions as F
 from tidelog.llm import tokenizer as tk
 from tidelog.llm.common import FrequentMemo, batches_of_texts, per_worker, stored, text_of
 
-# Stretches a worker remembers (some 400 bytes each); longer ones are not kept.
-MEMO_STRETCHES = 160_000
+# Stretches a worker remembers (some 350 bytes each): no longer ones, and none met only once in a batch.
+MEMO_STRETCHES = 100_000
 KEPT_CHARS = 48
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
+# Stretches encoded as one text.
+ENCODED_AT_ONCE = 4_096
 SPACE = "▁"
+DOUBTFUL = re.compile(r" (?=\s|\Z)")
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -54,58 +61,77 @@ class Pair:
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         pieces = range(self.b.get_piece_size())
         self.b_bytes = [_piece_bytes(self.b.id_to_piece(i), self.b.is_byte(i)) for i in pieces]
+        self.a_names, self.b_names = (np.array([[f"{i}{sign}" for i in range(len(side))] for sign in ("," + end)], object)
+                                      for side, end in ((self.a_bytes, "|"), (self.b_bytes, ";")))
         self.a_size, self.b_size = (np.array([len(x) for x in side]) for side in (self.a_bytes, self.b_bytes))
         # cutting needs pieces that hold a space at their start only
         self.cuttable = not any(SPACE in self.b.id_to_piece(i).lstrip(SPACE) for i in pieces)
 
     def stretches(self, text: str) -> list[str]:
-        """A text led by a space, cut before each space between two others that are none."""
-        words = text.split(" ")[1:]
+        """A text cut at each single space between two words; a stretch begins with that space, which
+        is left out here, and the first with the space that leads the text."""
         if not self.cuttable:
             return [text]
-        if all(words) and text.split() == words:
-            return [" " + w for w in words]
-        out: list[str] = []
-        for i, word in enumerate(words):
+        words = text.split(" ")
+        if words[0] and not words[0][0].isspace() and DOUBTFUL.search(text) is None:
+            return words
+        out = [words[0]]
+        for before, word in zip(words, words[1:]):
             # a space before white space, or after a space, belongs to what stands before it
-            if out and (not word or word[0].isspace() or not words[i - 1]):
+            if not word or word[0].isspace() or not before:
                 out[-1] += " " + word
             else:
-                out.append(" " + word)
+                out.append(word)
         return out
 
-    def encoded(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
-        # this side puts the leading space back itself
-        return a, self.b.encode([s[1:] for s in stretches], num_threads=1)
-
-    def whole(self, stretch: str, a: list[int], b: list[int]) -> bool:
-        """Whether both sides spell the stretch."""
-        spelt = stretch.encode()
-        return (b"".join([self.a_bytes[i] for i in a]) == spelt
-                and b"".join([self.b_bytes[i] for i in b]) == spelt)
+    def spells(self, stretches: list[str], a: list[int], b: list[int]) -> bool:
+        """Whether both sides spell the stretches, each led by a space."""
+        spelt = (" " + " ".join(stretches)).encode()
+        return (b"".join([self.a_bytes[i] for i in a]) == spelt and b"".join([self.b_bytes[i] for i in b]) == spelt)
+
+    def encoded(self, stretches: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of both sides for stretches in one text; the second puts the leading space back itself."""
+        text = " ".join(stretches)
+        return (self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text))
+
+    def spelt(self, stretches: list[str]) -> tuple[list[str], list[int], list[int]]:
+        """(stretches that both sides spell, ids of all of them on either side)."""
+        plain = [s for s in stretches if s and s.split() == [s]]
+        odd = set(stretches).difference(plain)
+        parts = [plain[i:i + ENCODED_AT_ONCE] for i in range(0, len(plain), ENCODED_AT_ONCE)]
+        kept: list[str] = []
+        a: list[int] = []
+        b: list[int] = []
+        for part in parts:
+            x, y = self.encoded(part)
+            if self.spells(part, x, y):
+                kept += part
+                a += x
+                b += y
+            else:
+                odd.update(part)
+        for one in odd:
+            x, y = self.encoded([one])
+            if self.spells([one], x, y):
+                kept.append(one)
+                a += x
+                b += y
+        return kept, a, b
 
 
-def _tokens(ids: list[list[int]], size: np.ndarray) -> pd.DataFrame:
-    """Tokens of numbered stretches: stretch, id, start along all stretches."""
-    flat = np.fromiter((i for one in ids for i in one), np.int64)
-    ends = np.cumsum(size[flat])
-    return pd.DataFrame({"stretch": np.repeat(np.arange(len(ids)), [len(one) for one in ids]), "id": flat,
-                         "start": ends - size[flat]})
+def _tokens(ids: list[int], size: np.ndarray, stretch_ends: np.ndarray) -> pd.DataFrame:
+    """Tokens of stretches that stand one after the other: stretch, id, start."""
+    flat = np.array(ids, np.int64)
+    start = np.cumsum(size[flat]) - size[flat]
+    return pd.DataFrame({"stretch": np.searchsorted(stretch_ends, start, "right"), "id": flat, "start": start})
 
 
 def _covering(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
-    """Each token of one side with the token of the other that covers its start."""
-    theirs = pd.DataFrame({"stretch": other["stretch"], "start": other["start"], "cover": np.arange(len(other)),
-                           "cover_start": other["start"]})
+    """Each token of one side with the start of the token of the other side that covers its start."""
+    theirs = pd.DataFrame({"stretch": other["stretch"], "start": other["start"], "cover_start": other["start"]})
     return pd.merge_asof(one, theirs, on="start", by="stretch")
 
 
-def _groups(one: pd.DataFrame, met: pd.DataFrame) -> np.ndarray:
-    """The group of each token, counted along all stretches: a new one where both sides start."""
-    return np.cumsum((met["cover_start"] == one["start"]).to_numpy()) - 1
-
-
 def _distinct(groups: np.ndarray, ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (group, id) with how often each occurs."""
     keys, counts = np.unique(groups * base + ids, return_counts=True)
@@ -117,87 +143,121 @@ def _linked(stretch_of: np.ndarray, a: tuple, b: tuple) -> pd.DataFrame:
     (ga, ia, ca), (gb, ib, cb) = a, b
     first, many = np.unique(gb, return_index=True, return_counts=True)[1:]
     times = many[ga]
-    at = np.repeat(first[ga] - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
+    at = np.repeat(first[ga] - np.cumsum(times) + times, times) + np.arange(times.sum())
     rows = pd.DataFrame({"stretch": stretch_of[np.repeat(ga, times)], "pair": np.repeat(ia, times) << 32 | ib[at],
                          "links": np.repeat(ca, times) * cb[at]})
     return rows.groupby(["stretch", "pair"], sort=True, as_index=False)["links"].sum()
 
 
-# n_a, n_b, n_groups, n_overlaps, n_links, groups, pairs (bytes), links of each pair (bytes)
-Aligned = tuple[int, int, int, int, int, str, bytes, bytes]
-
-
-def align_stretches(pair: Pair, stretches: list[str]) -> list[Aligned | None]:
-    """What each stretch is cut into; None where a side does not spell it."""
-    a, b = pair.encoded(stretches)
-    fit = [i for i, (s, x, y) in enumerate(zip(stretches, a, b, strict=True)) if pair.whole(s, x, y)]
-    out: list[Aligned | None] = [None] * len(stretches)
-    if not fit:
-        return out
-    a, b = [a[i] for i in fit], [b[i] for i in fit]
-    ta, tb = _tokens(a, pair.a_size), _tokens(b, pair.b_size)
+@dataclass
+class Aligned:
+    """Stretches cut into groups.  ``counts`` has a row for each of n_a, n_b, n_groups, n_overlaps and
+    n_links; ``groups`` are texts, each group with ``;`` behind it; ``pairs`` and their ``links``
+    stand stretch after stretch, ``sizes`` many of each."""
+
+    stretches: list[str]
+    counts: np.ndarray
+    groups: list[str]
+    sizes: np.ndarray
+    pairs: np.ndarray
+    links: np.ndarray
+
+    def remembered(self, which: set) -> Iterator[tuple]:
+        ends = np.cumsum(self.sizes)
+        for i, stretch in enumerate(self.stretches):
+            if stretch in which:
+                held = slice(ends[i] - self.sizes[i], ends[i])
+                yield stretch, (*self.counts[:, i].tolist(), self.groups[i], self.pairs[held].tobytes(),
+                                self.links[held].tobytes())
+
+    @classmethod
+    def recalled(cls, stretches: list[str], known: list[tuple]) -> Aligned:
+        count = len(known)
+        return cls(stretches, np.array([k[:5] for k in known], np.int64).reshape(count, 5).T, [k[5] for k in known],
+                   np.fromiter((len(k[6]) // 8 for k in known), np.int64, count),
+                   np.frombuffer(b"".join([k[6] for k in known]), np.int64),
+                   np.frombuffer(b"".join([k[7] for k in known]), np.int64))
+
+    def __add__(self, more: Aligned) -> Aligned:
+        both = lambda name: np.concatenate([getattr(self, name), getattr(more, name)])
+        return Aligned(self.stretches + more.stretches, np.concatenate([self.counts, more.counts], 1),
+                       self.groups + more.groups, both("sizes"), both("pairs"), both("links"))
+
+
+def align_stretches(pair: Pair, stretches: list[str]) -> Aligned:
+    """Those of the stretches that both sides spell, cut into groups."""
+    kept, a, b = pair.spelt(stretches)
+    if not kept:
+        return Aligned.recalled([], [])
+    ends = np.cumsum([len(s.encode()) + 1 for s in kept])
+    n = len(kept)
+    ta, tb = _tokens(a, pair.a_size, ends), _tokens(b, pair.b_size, ends)
     over_a, over_b = _covering(ta, tb), _covering(tb, ta)
-    ga, gb = _groups(ta, over_a), _groups(tb, over_b)
-    # overlaps of both directions; those of tokens that start together are found twice
-    twice = (over_a["cover_start"] == ta["start"]).to_numpy()
-    overlaps = np.bincount(ta["stretch"], minlength=len(fit)) + np.bincount(tb["stretch"], minlength=len(fit)) \
-        - np.bincount(ta["stretch"][twice], minlength=len(fit))
-    ends_a, ends_b = (np.cumsum(np.bincount(g)) for g in (ga, gb))
-    stretch_of = ta["stretch"].to_numpy()[ends_a - 1]
-    n_groups = np.bincount(stretch_of, minlength=len(fit))
-    sizes = np.diff(ends_a, prepend=0) * np.diff(ends_b, prepend=0)
-    n_links = np.bincount(stretch_of, sizes, len(fit)).astype(np.int64)
-    rows = _linked(stretch_of, _distinct(ga, ta["id"].to_numpy(), len(pair.a_bytes)),
-                   _distinct(gb, tb["id"].to_numpy(), len(pair.b_bytes)))
-    pairs, links = rows["pair"].to_numpy(), rows["links"].to_numpy()
-    cuts = np.searchsorted(rows["stretch"].to_numpy(), np.arange(len(fit) + 1)).tolist()
-    names_a, names_b = list(map(str, ta["id"].tolist())), list(map(str, tb["id"].tolist()))
-    spelt, lo_a, lo_b = [], 0, 0
-    for hi_a, hi_b in zip(ends_a.tolist(), ends_b.tolist(), strict=True):
-        spelt.append(",".join(names_a[lo_a:hi_a]) + "|" + ",".join(names_b[lo_b:hi_b]))
-        lo_a, lo_b = hi_a, hi_b
-    at = 0
-    for k, i in enumerate(fit):
-        upto = at + int(n_groups[k])
-        out[i] = (len(a[k]), len(b[k]), int(n_groups[k]), int(overlaps[k]), int(n_links[k]), ";".join(spelt[at:upto]),
-                  pairs[cuts[k]:cuts[k + 1]].tobytes(), links[cuts[k]:cuts[k + 1]].tobytes())
-        at = upto
-    return out
+    # where both sides start together a group begins
+    new_a, new_b = ((x["cover_start"] == x["start"]).to_numpy() for x in (over_a, over_b))
+    ga, gb = np.cumsum(new_a) - 1, np.cumsum(new_b) - 1
+    of_a, of_b = ta["stretch"].to_numpy(), tb["stretch"].to_numpy()
+    per = lambda of, weights=None: np.bincount(of, weights, n).astype(np.int64)
+    stretch_of = of_a[new_a]
+    many_a, many_b = np.bincount(ga), np.bincount(gb)
+    n_a, n_b, n_groups = per(of_a), per(of_b), per(stretch_of)
+    # the union of both directions: tokens that start together are found by both
+    counts = np.stack([n_a, n_b, n_groups, n_a + n_b - per(of_a[new_a]), per(stretch_of, many_a * many_b)])
+    ids_a, ids_b = ta["id"].to_numpy(), tb["id"].to_numpy()
+    rows = _linked(stretch_of, _distinct(ga, ids_a, len(pair.a_bytes)), _distinct(gb, ids_b, len(pair.b_bytes)))
+    return Aligned(kept, counts, _spelt_groups(pair, ids_a, ids_b, ga, gb, np.cumsum(n_a + n_b)),
+                   per(rows["stretch"].to_numpy()), rows["pair"].to_numpy(), rows["links"].to_numpy())
+
+
+def _spelt_groups(pair: Pair, ids_a, ids_b, ga, gb, cuts) -> list[str]:
+    """The groups of each stretch as text: a group's A ids, then its B ids, each with its sign behind it."""
+    last_a, last_b = (np.append(g[1:] != g[:-1], True) for g in (ga, gb))
+    tokens = np.empty(len(ids_a) + len(ids_b), object)
+    before_b, upto_a = np.cumsum(np.bincount(gb)) - np.bincount(gb), np.cumsum(np.bincount(ga))
+    tokens[np.arange(len(ga)) + before_b[ga]] = pair.a_names[last_a.astype(int), ids_a]
+    tokens[np.arange(len(gb)) + upto_a[gb]] = pair.b_names[last_b.astype(int), ids_b]
+    flat = tokens.tolist()
+    return ["".join(flat[lo:hi]) for lo, hi in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
 
 
 class Batch:
     """The documents of one batch, put together from their stretches."""
 
     def __init__(self, numbers: list[int], texts: list[str | None], pair: Pair, memo: FrequentMemo):
-        cut = [pair.stretches(" " + t) if t else [] for t in texts]
-        known = memo.learn(set().union(*cut))
+        cut = [pair.stretches(t) if t else [] for t in texts]
+        seen = Counter(chain.from_iterable(cut))
+        known, missing = memo.find(set(seen))
+        found = [s for s in seen if s not in missing]
+        fresh = align_stretches(pair, list(missing))
+        self.all = Aligned.recalled(found, [known[s] for s in found]) + fresh
+        memo.add(fresh.remembered({s for s in fresh.stretches if seen[s] > 1 and len(s) <= KEPT_CHARS}))
+        place = dict(zip(self.all.stretches, range(len(self.all.stretches))))
+        sizes = [len(x) for x in cut]
+        doc = np.repeat(np.arange(len(cut)), sizes)
+        unit = np.fromiter((place.get(s, -1) for s in chain.from_iterable(cut)), np.int64, len(doc))
+        # one stretch that is not spelt leaves the whole document without tokens
+        whole = np.bincount(doc[unit < 0], minlength=len(cut)) == 0
+        self.doc, self.unit = doc[whole[doc]], unit[whole[doc]]
         self.numbers = np.array(numbers, np.int64)
-        self.whole = [bool(units) and all([known[u] is not None for u in units]) for units in cut]
-        place: dict[str, int] = {}
-        of_doc = [[place.setdefault(u, len(place)) for u in units] if ok else []
-                  for units, ok in zip(cut, self.whole, strict=True)]
-        made = [known[u] for u in place]
-        self.doc = np.repeat(np.arange(len(of_doc)), [len(x) for x in of_doc])
-        self.unit = np.fromiter((u for units in of_doc for u in units), np.int64, len(self.doc))
-        numbers_of = [np.fromiter((m[c] for m in made), np.int64, len(made)) for c in range(5)]
-        self.counts = [np.bincount(self.doc, x[self.unit], len(texts)).astype(np.int64) for x in numbers_of]
-        names = [m[5] for m in made]
-        self.groups = [";".join([names[u] for u in units]) for units in of_doc]
-        self.pairs = np.frombuffer(b"".join([m[6] for m in made]), np.int64)
-        self.links = np.frombuffer(b"".join([m[7] for m in made]), np.int64)
-        self.sizes = np.fromiter((len(m[6]) // 8 for m in made), np.int64, len(made))
+        self.counts = [np.bincount(self.doc, c[self.unit], len(cut)).astype(np.int64) for c in self.all.counts]
+        units, at = unit.tolist(), 0
+        self.groups = []
+        for i, size in enumerate(sizes):
+            of = self.all.groups
+            self.groups.append("".join([of[u] for u in units[at:at + size]])[:-1] if whole[i] else "")
+            at += size
 
     def linked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(pairs, offsets, documents, links): the documents that hold each pair, with their links."""
-        start = np.concatenate(([0], np.cumsum(self.sizes)))[:-1]
-        times = self.sizes[self.unit]
-        at = np.repeat(start[self.unit] - np.concatenate(([0], np.cumsum(times)))[:-1], times) + np.arange(times.sum())
-        pairs, code = np.unique(self.pairs, return_inverse=True)
+        ends = np.cumsum(self.all.sizes)
+        times = self.all.sizes[self.unit]
+        at = np.repeat((ends - self.all.sizes)[self.unit] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        pairs, code = np.unique(self.all.pairs, return_inverse=True)
         width = max(1, len(self.numbers))
         keys = code[at] * width + np.repeat(self.doc, times)
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         keys, first = np.unique(keys[order], return_index=True)
-        links = np.add.reduceat(self.links[at][order], first) if len(keys) else self.links[:0]
+        links = np.add.reduceat(self.all.links[at][order], first) if len(keys) else self.all.links[:0]
         held, offsets = np.unique(keys // width, return_index=True)
         return pairs[held], np.append(offsets, len(keys)), self.numbers[keys % width], links
 
@@ -221,8 +281,7 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, text: str = "te
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         pair = per_worker("pair", byte_path + piece_path, lambda: Pair(byte_path, piece_path))
-        memo = per_worker("stretches", byte_path + piece_path, lambda: FrequentMemo(
-            lambda units: align_stretches(pair, units), MEMO_STRETCHES, lambda u: len(u) <= KEPT_CHARS))
+        memo = per_worker("stretches", byte_path + piece_path, lambda: FrequentMemo(MEMO_STRETCHES))
         for batch, texts in batches_of_texts(batches, "text", BATCH_CHARS):
             made = Batch(batch.column("n").to_pylist(), texts, pair, memo)
             rows = len(texts)

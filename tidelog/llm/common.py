@@ -111,27 +111,24 @@ class Memo:
 
 
 class FrequentMemo:
-    """Remembers what ``compute`` made of the units that keep coming.
+    """Remembers results of units that keep coming.
 
     Two generations: a unit of the older one that is asked for moves to the newer, and a full newer
-    one takes the older one's place.  So what comes again within ``limit`` / 2 new units stays, and no
-    more than ``limit`` and one batch are held.  Units that ``keep`` refuses are computed each time.
+    one takes the older one's place.  So what comes again within ``limit`` / 2 others stays, and no
+    more than ``limit`` and one batch are held.
     """
 
-    def __init__(self, compute: Callable[[list], list], limit: int, keep: Callable = lambda unit: True) -> None:
-        self.compute, self.limit, self.keep = compute, limit, keep
-        self.newer, self.older, self.passing = {}, {}, []
+    def __init__(self, limit: int) -> None:
+        self.limit, self.newer, self.older = limit, {}, {}
 
-    def learn(self, units: set) -> dict:
-        """A dictionary that holds at least these units, good until the next call."""
-        for unit in self.passing:
-            del self.newer[unit]
+    def find(self, units: set) -> tuple[dict, set]:
+        """(a dictionary with the results that are known, the units that are not)."""
         if len(self.newer) > self.limit // 2:
             self.older, self.newer = self.newer, {}
-        asked = units.difference(self.newer)
-        known = asked.intersection(self.older)
-        self.newer.update((unit, self.older.pop(unit)) for unit in known)
-        missing = list(asked.difference(known))
-        self.newer.update(zip(missing, self.compute(missing), strict=True))
-        self.passing = [unit for unit in missing if not self.keep(unit)]
-        return self.newer
+        missing = units.difference(self.newer)
+        known = missing.intersection(self.older)
+        self.newer.update([(unit, self.older.pop(unit)) for unit in known])
+        return self.newer, missing.difference(known)
+
+    def add(self, results: Iterable[tuple]) -> None:
+        self.newer.update(results)
