@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.operators.extremes import extreme_changes
 from tidelog.operators.log import KEY, VALUE, Log, need_type
 from tidelog.operators.reducers import Fold, Reducer, counted
 from tidelog.operators.table import Table
@@ -168,8 +169,13 @@ class GroupedTable:
             raise ValueError(f"{reducer.kind!r} has no meaning over an unordered group of rows")
 
         def updates() -> Log:
-            raise ValueError(f"{reducer.kind!r} cannot take a removal back; "
-                             "read the snapshot, or use sum or count")
+            log = self.table.updates()
+            if not log.streaming:
+                mapped = self._mapped(F.col(KEY), F.col(VALUE))
+                return extreme_changes(log, self.table.keys, mapped, reducer)
+            from tidelog.streaming.held import keyed_extremes
+            signed = self.signed()
+            return Log(keyed_extremes(signed.df, signed.order, reducer), signed.order, derived=True)
 
         def snapshot() -> DataFrame:
             rows = self.table.snapshot().select(self._mapped(F.col(KEY), F.col(VALUE)).alias("m"))

@@ -32,7 +32,9 @@ def stream_table_join(log: Log, table: Table, joiner: Pairwise, how: str = "inne
     """Each record meets the table's value at its own time; table updates emit nothing.
 
     At equal times the table's update comes first.  Records with a null key or
-    value are skipped.
+    value are skipped.  On streams with a watermark a record waits until it has passed, so
+    that records and updates may come in any order within its delay; without one
+    they meet as they come.
     """
     _check(joiner, how, ("inner", "left"))
     need_type(table, Table, "table")
@@ -40,9 +42,13 @@ def stream_table_join(log: Log, table: Table, joiner: Pairwise, how: str = "inne
     rows = log.df.where(F.col(KEY).isNotNull() & F.col(VALUE).isNotNull())
     updates = table.updates()
     both = _tagged((updates, "__table"), (log._with(rows), "__row"), {"__row": rest})
-    line = Timeline.of(both, (KEY,), _tag_order(updates, log), updates.derived or log.derived)
-    line = line.latest("__now", F.col("__table"))
-    met = line.frame.where(F.col("__side") == 1)
+    order = _tag_order(updates, log)
+    if both.isStreaming and any("spark.watermarkDelayMs" in f.metadata for f in both.schema):
+        from tidelog.streaming.held import keyed_as_of
+        met = keyed_as_of(both, order)
+    else:
+        line = Timeline.of(both, (KEY,), order, updates.derived or log.derived)
+        met = line.latest("__now", F.col("__table")).frame.where(F.col("__side") == 1)
     if how == "inner":
         met = met.where(F.col("__now.value").isNotNull())
     out = met.select(KEY, joiner(F.col("__row.value"), F.col("__now.value")).alias(VALUE),

@@ -263,10 +263,15 @@ def folded(group, fold: Fold):
     acc_type = T.DataType.fromDDL(fold.schema)
     key_fields = [log.df.schema[k] for k in keys]
     zero, advance, merge = fold.zero, fold.step, fold.merge
-    if log.streaming and tuple(keys) != (KEY,):
-        raise ValueError("a fold over windows needs batch input; on a stream fold by key")
+    windowed = tuple(keys) == (KEY, "window")
+    if log.streaming and tuple(keys) != (KEY,) and not windowed:
+        raise ValueError("on a stream fold by key or over time windows")
 
     def streamed(every: bool) -> DataFrame:
+        if windowed:
+            from tidelog.streaming.held import keyed_window_fold
+            rows = group.rows.select(*dict.fromkeys((*keys, VALUE, *order)))
+            return keyed_window_fold(rows, fold, order, group.windows.grace_ms, every)
         from tidelog.streaming.processors import keyed_fold
         schema = final_schema(*([log.df.schema[c] for c in order] if every else ()))
         rows = group.rows.select(*dict.fromkeys((KEY, VALUE, *order)))

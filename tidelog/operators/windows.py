@@ -234,7 +234,8 @@ def suppress(table, until_time_limit_ms: int | None = None, max_records: int | N
 
     By default one final record per (key, window), once the window has closed.
     With ``until_time_limit_ms`` at most one record per key in that time.  The
-    limits fail the job when the updates held at one time outgrow them.
+    limits fail the job when the updates held at one time outgrow them; on a stream
+    each log partition has a buffer of its own, whose limits they are.
     """
     if until_time_limit_ms is not None:
         _positive(until_time_limit_ms, "until_time_limit_ms")
@@ -248,7 +249,10 @@ def suppress(table, until_time_limit_ms: int | None = None, max_records: int | N
     if table.windows is None:
         raise ValueError("only a windowed table can be held until its windows close")
     if table.source.streaming:
-        _no_limits_on_streams(max_records, max_bytes)
+        if max_records is not None or max_bytes is not None:
+            from tidelog.streaming.held import bounded_final
+            final = bounded_final(table.updates(), table.keys, table.windows.closing_delay_ms, max_records, max_bytes)
+            return Log(final.withColumn("ts", F.col("window.end")), ("ts",))
         # append mode emits a window when the watermark passes its end: the same rows
         return Log(table.snapshot().withColumn("ts", F.col("window.end")), ("ts",))
     if max_records is not None or max_bytes is not None:

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tidelog.operators.reducers import Fold, largest, newest, total
+from tidelog.operators.reducers import Fold, largest, newest, smallest, total
 from tidelog.plans.registry import (ACCOUNT_STATE, ACCOUNTS, EVENTS, accounts, amounts, as_double,
                                     query)
 
@@ -163,6 +163,29 @@ def table_group_max(spark, d):
     return state(_by_band(spark, d).reduce(largest()), "band")
 
 
+# What is in a band after each change of it: versions that began by then and did not end.
+BAND_EXTREMES = f"""
+WITH versions AS (
+  SELECT {BAND} AS band, v AS x, ts, event_id, to_ts, to_id FROM (
+    SELECT *, lead(ts) OVER w AS to_ts, lead(event_id) OVER w AS to_id FROM ({ACCOUNTS})
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE v IS NOT NULL)
+SELECT s.band, s.event_id, CAST({{fn}}(v.x) AS DOUBLE) AS value
+FROM ({SIGNED}) s LEFT JOIN versions v ON v.band = s.band AND (v.ts, v.event_id, 1) <= (s.ts, s.event_id, s.pos)
+  AND (v.to_ts IS NULL OR (v.to_ts, v.to_id, 0) > (s.ts, s.event_id, s.pos))
+GROUP BY s.band, s.ts, s.event_id, s.pos"""
+
+
+@query("table_group_max_changelog", BAND_EXTREMES.format(fn="max"))
+def table_group_max_changelog(spark, d):
+    """The largest balance of each band, also after the one that held it has left."""
+    return _band_updates(_by_band(spark, d).reduce(largest()))
+
+
+@query("table_group_min_changelog", BAND_EXTREMES.format(fn="min"))
+def table_group_min_changelog(spark, d):
+    return _band_updates(_by_band(spark, d).reduce(smallest()))
+
+
 @query("table_group_count_changelog", f"""
 SELECT band, event_id, CAST(sum(sign) {BAND_RUN} AS DOUBLE) AS value FROM ({SIGNED})""")
 def table_group_count_changelog(spark, d):

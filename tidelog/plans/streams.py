@@ -2,13 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from tidelog import session
 from tidelog.operators.log import Log
-from tidelog.operators.reducers import total
+from tidelog.operators.reducers import largest, total
 from tidelog.operators.stateful import Store
 
-from tidelog.plans.aggregates import BAND_RUN, FLOORED, FOLDED, SIGNED
-from tidelog.plans.joins import AS_OF, CHANGES, FK_CHANGES, LIVE, NEAR, WINDOWED, add, referring
-from tidelog.plans.registry import ACCOUNT_STATE, EVENTS, as_double, events_log, query, typed
+from tidelog.plans.aggregates import BAND_EXTREMES, BAND_RUN, FLOORED, FOLDED, SIGNED
+from tidelog.plans.joins import ACCOUNTS, AS_OF, CHANGES, FK_CHANGES, LIVE, NEAR, VIEWS, WINDOWED, add, referring
+from tidelog.plans.registry import ACCOUNT_STATE, EVENTS, as_double, events_log, query, table, typed
 from tidelog.plans.stateless import FILTERED
 from tidelog.plans.transforms import RUN
 from tidelog.plans.windows import BUCKET, ISLANDS, SESSION_CHANGES, SESSIONS, SIX_HOURS
@@ -21,6 +22,24 @@ def stream(spark, d):
     return events_log(df.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
+def arriving(spark, d, turns):
+    """Events as a stream of one file per micro-batch: pieces of equal time, in the order of ``turns``."""
+    df = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    at, ends = F.unix_micros("ts"), F.struct(F.min("ts"), F.max("ts"))
+    lo, hi = (x.timestamp() * 1_000_000 for x in df.agg(ends).first()[0])
+    piece = F.least(F.floor((at - lo) / (hi - lo) * len(turns)), F.lit(len(turns) - 1))
+    place = session.shared_folder(spark, "arriving")
+    for i, turn in enumerate(turns):
+        # a file is a micro-batch, and files are taken in the order they were written
+        df.where(piece == turn).coalesce(1).write.parquet(f"{place}/{i}")
+    files = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option(
+        "recursiveFileLookup", "true").parquet(place)
+    return events_log(files)
+
+
+IN_ORDER, MIXED_UP = range(5), (1, 0, 2, 4, 3, 5)
+
+
 def amounts(spark, d):
     return stream(spark, d).map_values(lambda v: v["amount"])
 
@@ -61,7 +80,10 @@ def stream_table(spark, d):
 
 
 def _accounts(spark, d):
-    log = stream(spark, d)
+    return _table_of(stream(spark, d))
+
+
+def _table_of(log):
     log = Log(log.df.where(F.col("topic").isin("purchase", "signup")), log.order)
     return log.map_values(lambda v: F.when(v["event_type"] == "purchase", v["amount"])).to_table()
 
@@ -174,3 +196,58 @@ def stream_fk_join(spark, d):
 def stream_session_changelog(spark, d):
     table = amounts(spark, d).group_by_key().window_by_session(SESSIONS).reduce(total())
     return drain(_windows(table.updates().df, F.col("offset").alias("event_id")))
+
+
+CLOSED = "HAVING start + INTERVAL '7 hours' <= (SELECT max(ts) FROM events)"
+WINDOW_FOLDED = f"""
+SELECT user_id, start, start + INTERVAL '6 hours' AS "end",
+       CAST(arg_max(s - least(0, low), (ts, event_id)) AS DOUBLE) AS value
+FROM (SELECT *, min(s) OVER w AS low FROM (
+        SELECT *, sum(v - 50) OVER (PARTITION BY user_id, start ORDER BY ts, event_id) AS s
+        FROM (SELECT *, {BUCKET} AS start FROM ({EVENTS})))
+      WINDOW w AS (PARTITION BY user_id, start ORDER BY ts, event_id))
+GROUP BY user_id, start {CLOSED}"""
+
+
+@query("stream_window_fold", WINDOW_FOLDED)
+def stream_window_fold(spark, d):
+    """A fold over windows, kept as state and given once its window has closed."""
+    log = arriving(spark, d, IN_ORDER).map_values(lambda v: v["amount"]).with_watermark(SIX_HOURS.grace_ms)
+    table = log.group_by_key().window_by_time(SIX_HOURS).fold(FLOORED)
+    df = table.suppress().df
+    return drain(_windows(df.withColumn("value", F.col("value.floored"))))
+
+
+# Records wait for ten days; two pieces of time cover as many.
+TEN_DAYS = 10 * 24 * 3_600_000
+PASSED = f"""l.ts <= (SELECT min(last) - INTERVAL '10 days' FROM (
+  SELECT max(ts) AS last FROM ({VIEWS}) UNION ALL SELECT max(ts) FROM ({ACCOUNTS})))"""
+
+
+@query("stream_as_of_late", AS_OF.format(how="", where=f"WHERE r.v IS NOT NULL AND {PASSED}"))
+def stream_as_of_late(spark, d):
+    """Views with the balance of their own time, though files come out of order."""
+    log = arriving(spark, d, MIXED_UP).with_watermark(TEN_DAYS)
+    updates = Log(log.df.where(F.col("topic").isin("purchase", "signup")), log.order).map_values(
+        lambda v: F.when(v["event_type"] == "purchase", v["amount"]))
+    views = typed(log, "view").map_values(lambda v: v["amount"])
+    out = views.join(updates.to_table(), lambda a, b: a + b)
+    return drain(out.df.select(F.col("key").alias("user_id"), F.col("offset").alias("event_id"),
+                               as_double("value").alias("value")))
+
+
+@query("stream_table_group_max", BAND_EXTREMES.format(fn="max"))
+def stream_table_group_max(spark, d):
+    """The largest balance of each band; the state holds all balances in it."""
+    grouped = _table_of(arriving(spark, d, IN_ORDER)).group_by(lambda k, v: (F.floor(v / 20).cast("long"), v))
+    return _changes(grouped.reduce(largest()).updates(), "band")
+
+
+@query("stream_suppress_bounded", f"""
+SELECT user_id, start, start + INTERVAL '6 hours' AS "end", CAST(sum(v) AS DOUBLE) AS value
+FROM (SELECT *, {BUCKET} AS start FROM ({EVENTS})) GROUP BY user_id, start {CLOSED}""")
+def stream_suppress_bounded(spark, d):
+    """Final windows from one buffer per log partition, which may hold so much and no more."""
+    log = arriving(spark, d, IN_ORDER).map_values(lambda v: v["amount"]).with_watermark(SIX_HOURS.grace_ms)
+    table = log.group_by_key().window_by_time(SIX_HOURS).reduce(total())
+    return drain(_windows(table.suppress(max_records=1_000_000, max_bytes=256 << 20).df))

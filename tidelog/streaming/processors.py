@@ -152,6 +152,9 @@ class ColumnProcessor(StatefulProcessor):
 def keyed_column(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, kind: str,
                  expr: Column) -> DataFrame:
     """``df`` with a column as ``Timeline`` adds it, on a stream."""
+    if "window" in keys:
+        # built anew, so that ``ts`` alone carries the watermark
+        df = df.withColumn("window", F.struct(F.col("window.start").alias("start"), F.col("window.end").alias("end")))
     rows = df.withColumn("__x", expr)
     # the batch plan's type, so that both forms give the same schema
     fn = {"previous": F.max_by, "first": F.max_by, "last": F.max_by}.get(kind)
