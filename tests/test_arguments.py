@@ -27,7 +27,7 @@ def test_a_fold_starts_with_init(spark):
         log.group_by_key().aggregate(-10, Fold(0, fold.step, "long", merge=lambda key, a, b: a + b))
 
 
-def test_limits_are_refused_on_streams(spark, tmp_path):
+def test_limits_on_streams_need_a_watermark(spark, tmp_path):
     log = stream_of(spark, tmp_path)
     table = log.group_by_key().window_by_time(TimeWindows(60_000)).reduce(total())
     for limits in ({"max_records": 1}, {"max_bytes": 1}):

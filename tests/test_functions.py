@@ -114,66 +114,108 @@ def test_pair_sums(spark):
 
 # -- Avro ---------------------------------------------------------------------------------
 
-SHIPMENT = {"name": "Shipment", "type": "record", "fields": [
-    {"name": "carrier", "type": "string"}, {"name": "order_key", "type": "long"},
-    {"name": "weight", "type": ["null", "int"], "default": None},
-    {"name": "returned", "type": "null"}, {"name": "pieces", "type": "long", "default": 1},
-    {"name": "seal", "type": "bytes"},
-    {"name": "mode", "type": {"type": "enum", "name": "Mode", "symbols": ["next_day", "RAIL"]}},
-    {"name": "line_items", "type": ["null", {"type": "map", "values": {
-        "type": "record", "name": "Part", "fields": [{"name": "brand", "type": "string"}]}}]},
-    {"name": "spare_parts", "type": ["null", {"type": "array", "items": "Part"}]},
-    {"name": "trace_id", "type": {"type": "string", "logicalType": "uuid"}}]}
-GOOD = {"carrier": "north", "order-key": 7, "pieces": 1, "returned": None, "seal": "wax",
-        "line-items": {"first": {"brand": "b12"}}, "mode": "next-day", "weight": 40,
-        "spare-parts": [{"brand": "b13"}], "trace-id": S.NIL_UUID}
+# An order and what happened to it, after the columns of orders and events.
+HAPPENED = {"type": "record", "name": "Happened", "fields": [
+    {"name": "event_id", "type": "long"},
+    {"name": "event_type", "type": {"type": "enum", "name": "Kind", "symbols": ["click", "sign_up"]}},
+    {"name": "amounts", "type": {"type": "array", "items": ["double", "string"]}, "default": []},
+    {"name": "proof", "type": ["bytes", "null"], "default": "none"}]}
+ORDER_TRAIL = {"type": "record", "name": "OrderTrail", "fields": [
+    {"name": "priority", "type": {"type": "record", "name": "Priority", "fields": [
+        {"name": "rank", "type": "int", "default": 5}, {"name": "urgent", "type": "boolean"}]}},
+    {"name": "totals", "type": {"type": "array", "items": {"type": "map", "values": "double"}}},
+    {"name": "first_event", "type": HAPPENED},
+    {"name": "later", "type": {"type": "map", "values": {"type": "array", "items": "Happened"}}, "default": {}},
+    {"name": "clerk", "type": ["string", "null", {"type": "map", "values": "string"}]},
+    {"name": "session", "type": ["null", {"type": "string", "logicalType": "uuid"}], "default": None}]}
+EVENT = {"event-id": 12, "event-type": "sign-up", "amounts": [1.5, "n/a"], "proof": "ok"}
+TRAIL = {"priority": {"rank": 2, "urgent": True}, "totals": [{"net": 10.5}, {}], "first-event": EVENT,
+         "later": {"may": [EVENT, {**EVENT, "event-id": 13}]}, "clerk": {"desk": "c7"}, "session": S.NIL_UUID}
 WANTS = "{} where the schema wants {}"
-BAD = [
-    ({"order-key": "seven"}, "/order_key", WANTS.format("string", "long")),
-    ({"weight": 2 ** 31}, "/weight", WANTS.format("integer", "union [NULL, INT]")),
-    ({"weight": "heavy"}, "/weight", WANTS.format("string", "union [NULL, INT]")),
-    ({"returned": "no"}, "/returned", WANTS.format("string", "nil")),
-    ({"mode": "camel"}, "/mode", WANTS.format("string", "enum")),
-    ({"trace-id": "7"}, "/trace_id", WANTS.format("string", "uuid")),
-    ({"line-items": {"first": {"brand": 12}}}, "/line_items/first/brand",
-     WANTS.format("integer", "string")),
-    ({"line-items": {"first": {"brand": "b12", "size": 3}}}, "/line_items/first",
-     "no field size in Part"),
-    ({"line-items": {"second part": {}}}, "/line_items/second part",
-     "brand is missing and has no default"),
-    ({"spare-parts": 13}, "/spare_parts", WANTS.format("integer", "union [NULL, ARRAY]")),
-    ({"spare-parts": [{"brand": "b13"}, "b14"]}, "/spare_parts/1", WANTS.format("string", "record")),
+
+
+def changed(*path, to):
+    """The trail with one place of it replaced."""
+    def within(held, path):
+        if not path:
+            return to
+        copy = list(held) if isinstance(held, list) else dict(held)
+        copy[path[0]] = within(copy[path[0]] if isinstance(copy, list) else copy.get(path[0], {}), path[1:])
+        return copy
+
+    return within(TRAIL, path)
+
+
+def lacking(*path):
+    """The trail without one field of one of its records."""
+    held = TRAIL
+    for step in path[:-1]:
+        held = held[step]
+    return changed(*path[:-1], to={k: v for k, v in held.items() if k != path[-1]})
+
+
+# What each rule of coercion says of one wrong place, at every kind of nesting.
+WRONG = [
+    # scalars, inside a record, a map in an array, an array in a map
+    (changed("priority", "rank", to=2 ** 31), "/priority/rank", WANTS.format("integer", "int")),
+    (changed("priority", "urgent", to="yes"), "/priority/urgent", WANTS.format("string", "bool")),
+    (changed("totals", 0, "net", to="ten"), "/totals/0/net", WANTS.format("string", "double")),
+    (changed("later", "may", 1, "event-id", to=True), "/later/may/1/event_id", WANTS.format("boolean", "long")),
+    (changed("first-event", "event-type", to="signup"), "/first_event/event_type", WANTS.format("string", "enum")),
+    # unions name all they take
+    (changed("session", to="none"), "/session", WANTS.format("string", "union [NULL, STRING]")),
+    (changed("clerk", to=4), "/clerk", WANTS.format("integer", "union [STRING, NULL, MAP]")),
+    (changed("first-event", "amounts", to=[1, False]), "/first_event/amounts/1",
+     WANTS.format("boolean", "union [DOUBLE, STRING]")),
+    # containers
+    (changed("totals", to={}), "/totals", None), (changed("later", "may", to=EVENT), "/later/may", None),
+    (changed("priority", to=[]), "/priority", None),
+    # records: no unknown field, and none missing that has no default
+    (changed("priority", "note", to=1), "/priority", "no field note in Priority"),
+    (lacking("priority", "urgent"), "/priority", "urgent is missing and has no default"),
+    (lacking("totals"), "", "totals is missing and has no default"),
 ]
 
 
 def test_avro_errors_carry_their_path(spark):
-    codec = codecs.codec({"format": "avro", "schema": json.dumps(SHIPMENT)})
-    payloads = [json.dumps({**GOOD, **change}) for change, _, _ in BAD]
-    good = [json.dumps(GOOD), None, json.dumps({**GOOD, "weight": 2 ** 31 - 1})]
-    got = column(spark, payloads + good + ["oops"], "string", codec.errors(F.col("x")))
-    assert [[tuple(e) for e in es] for es in got] == (
-        [[(path, message)] for _, path, message in BAD] + [[], [], []] + [[("", "not JSON")]])
+    codec = codecs.codec({"format": "avro", "schema": json.dumps(ORDER_TRAIL)})
+    good = [TRAIL, changed("priority", "rank", to=-2 ** 31), changed("clerk", to=None), lacking("later")]
+    payloads = [json.dumps(x) for x in [w for w, _, _ in WRONG] + good] + ["{", None]
+    got = [[tuple(e) for e in es] for es in column(spark, payloads, "string", codec.errors(F.col("x")))]
+    for errors, (_, path, message) in zip(got, WRONG):
+        assert [e[0] for e in errors] == [path], errors
+        assert message in (None, errors[0][1])
+    assert got[len(WRONG):] == [[], [], [], [], [("", "not JSON")], []]
+
+
+def test_avro_reports_every_wrong_place(spark):
+    codec = codecs.codec({"format": "avro", "schema": ORDER_TRAIL})
+    bad = {**changed("priority", "rank", to="low"), "totals": [{"net": "x"}, {"net": 1.0}, {"tax": None}]}
+    got = column(spark, [json.dumps(bad)], "string", codec.errors(F.col("x")))[0]
+    assert sorted(e[0] for e in got) == ["/priority/rank", "/totals/0/net", "/totals/2/tax"]
 
 
 def test_avro_value_and_json_round_trip(spark):
-    codec = codecs.codec({"format": "avro", "schema": SHIPMENT})
-    without = {k: v for k, v in GOOD.items() if k not in ("pieces", "weight")}
-    value, filled = column(spark, [json.dumps(GOOD), json.dumps(without)], "string", codec.decode(F.col("x")))
-    assert value["mode"] == "next-day" and bytes(value["seal"]) == b"wax"
-    assert value["line_items"] == {"first": Row(brand="b12")}
-    assert (filled["pieces"], filled["weight"]) == (1, None)
-    as_json = avro.to_avro_json(codec.decode(F.col("x")), SHIPMENT)
-    tagged = json.loads(column(spark, [json.dumps(GOOD)], "string", as_json)[0])
-    assert tagged["mode"] == "next_day" and tagged["returned"] is None
-    assert tagged["line_items"] == {"map": {"first": {"brand": "b12"}}}
-    assert tagged["spare_parts"] == {"array": [{"brand": "b13"}]}
-    back = column(spark, [json.dumps(tagged)], "string", avro.from_avro_json(F.col("x"), SHIPMENT))[0]
+    codec = codecs.codec({"format": "avro", "schema": ORDER_TRAIL})
+    short = {**lacking("later"), "first-event": {"event-id": 1, "event-type": "click"}, "clerk": "c8"}
+    short["priority"] = {"urgent": False}
+    value, filled = column(spark, [json.dumps(TRAIL), json.dumps(short)], "string", codec.decode(F.col("x")))
+    assert value["later"]["may"][1]["event_id"] == 13 and value["first_event"]["event_type"] == "sign-up"
+    assert filled["priority"] == Row(rank=5, urgent=False) and filled["later"] == {}
+    assert filled["first_event"]["amounts"] == [] and bytes(filled["first_event"]["proof"]) == b"none"
+    as_json = avro.to_avro_json(codec.decode(F.col("x")), ORDER_TRAIL)
+    tagged = json.loads(column(spark, [json.dumps(TRAIL)], "string", as_json)[0])
+    assert tagged["clerk"] == {"map": {"desk": "c7"}}
+    assert tagged["first_event"] == {"event_id": 12, "event_type": "sign_up", "proof": {"bytes": "ok"},
+                                     "amounts": [{"double": 1.5}, {"string": "n/a"}]}
+    back = column(spark, [json.dumps(tagged)], "string", avro.from_avro_json(F.col("x"), ORDER_TRAIL))[0]
     assert back == value
 
 
 def test_avro_types():
-    assert avro.compiled(SHIPMENT).spark["line_items"].dataType == T.MapType(
-        T.StringType(), T.StructType([T.StructField("brand", T.StringType())]))
+    node = avro.compiled(ORDER_TRAIL).spark
+    assert node["totals"].dataType == T.ArrayType(T.MapType(T.StringType(), T.DoubleType()))
+    assert node["later"].dataType.valueType.elementType == node["first_event"].dataType
     assert avro.compiled("long").spark == T.LongType()
     for bad in ({"type": "fixed", "size": 4, "name": "f"}, "nosuch"):
         with pytest.raises(ValueError):

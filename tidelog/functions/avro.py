@@ -326,7 +326,9 @@ class Union(AvroType):
         if len(self.real) == 1:
             b = self.real[0]
             return F.when(value.isNotNull(), F.struct(b.tagged(value).alias(self.tag(b))))
-        return F.struct(*[b.tagged(value[self.tag(b)]).alias(self.tag(b)) for b in self.real])
+        # only the member that is there may be written
+        return F.coalesce(*[F.when(value[self.tag(b)].isNotNull(), F.to_variant_object(F.struct(
+            b.tagged(value[self.tag(b)]).alias(self.tag(b))))) for b in self.real])
 
     def untagged(self, v):
         m = P.fields(v)
