@@ -165,7 +165,7 @@ WRONG = [
     # unions name all they take
     (changed("session", to="none"), "/session", WANTS.format("string", "union [NULL, STRING]")),
     (changed("clerk", to=4), "/clerk", WANTS.format("integer", "union [STRING, NULL, MAP]")),
-    (changed("first-event", "amounts", to=[1, False]), "/first_event/amounts/1",
+    (changed("first-event", "amounts", to=[1.0, False]), "/first_event/amounts/1",
      WANTS.format("boolean", "union [DOUBLE, STRING]")),
     # containers
     (changed("totals", to={}), "/totals", None), (changed("later", "may", to=EVENT), "/later/may", None),
