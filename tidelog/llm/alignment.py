@@ -29,7 +29,7 @@ from tidelog.llm import tokenizer as tk
 from tidelog.llm.common import FrequentMemo, batches_of_texts, per_worker, stored, text_of
 
 # Stretches a worker remembers (some 350 bytes each): no longer ones, and none met only once in a batch.
-MEMO_STRETCHES = 100_000
+MEMO_STRETCHES = 140_000
 KEPT_CHARS = 48
 BATCH_CHARS = 2_000_000
 # Stretches encoded as one text.
@@ -96,7 +96,8 @@ class Pair:
 
     def spelt(self, stretches: list[str]) -> tuple[list[str], list[int], list[int]]:
         """(stretches that both sides spell, ids of all of them on either side)."""
-        plain = [s for s in stretches if s and s.split() == [s]]
+        # a space between two of these is one that texts may be cut at
+        plain = [s for s in stretches if s and not (s[0].isspace() or s[-1].isspace())]
         odd = set(stretches).difference(plain)
         parts = [plain[i:i + ENCODED_AT_ONCE] for i in range(0, len(plain), ENCODED_AT_ONCE)]
         kept: list[str] = []
@@ -231,10 +232,11 @@ class Batch:
         fresh = align_stretches(pair, list(missing))
         self.all = Aligned.recalled(found, [known[s] for s in found]) + fresh
         memo.add(fresh.remembered({s for s in fresh.stretches if seen[s] > 1 and len(s) <= KEPT_CHARS}))
-        place = dict(zip(self.all.stretches, range(len(self.all.stretches))))
+        place = dict.fromkeys(missing, -1)
+        place.update(zip(self.all.stretches, range(len(self.all.stretches))))
         sizes = [len(x) for x in cut]
         doc = np.repeat(np.arange(len(cut)), sizes)
-        unit = np.fromiter((place.get(s, -1) for s in chain.from_iterable(cut)), np.int64, len(doc))
+        unit = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64, len(doc))
         # one stretch that is not spelt leaves the whole document without tokens
         whole = np.bincount(doc[unit < 0], minlength=len(cut)) == 0
         self.doc, self.unit = doc[whole[doc]], unit[whole[doc]]
