@@ -11,11 +11,13 @@ what encoding the whole would give.  If no window agrees, the last one is the wh
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidelog.llm import tokenizer as tk
-from tidelog.llm.common import Memo, batches_of_texts, per_worker
+from tidelog.llm.common import FrequentMemo, batches_of_texts, per_worker
 
 # Words up to this length, in characters, are encoded in one piece.
 LEAF = 4_096
@@ -90,8 +92,8 @@ def _units(text: str) -> list[str]:
     return [w for w in text.replace("\n", " ").split(" ") if w]
 
 
-def _memo(path: str) -> Memo:
-    """Remembers (number of ids, ids, decoded text) of words."""
+def _learner(path: str) -> tuple[FrequentMemo, Callable]:
+    """What frequent words gave, and how to learn others: (number of ids, ids, decoded text)."""
     loaded = tk.load(path)
 
     def learn(units: list[str]) -> list[tuple[int, str, str]]:
@@ -102,7 +104,7 @@ def _memo(path: str) -> Memo:
         decoded = loaded.decode_batch(found, skip_special_tokens=False)
         return [(len(i), " ".join(map(str, i)), d) for i, d in zip(found, decoded)]
 
-    return Memo(learn, tk.MEMO_UNITS)
+    return FrequentMemo(tk.MEMO_UNITS), learn
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id",
@@ -118,10 +120,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
     chosen = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
 
     def run(batches):
-        memo = per_worker("encoded", path, lambda: _memo(path))
+        memo, learn = per_worker("encoded", path, lambda: _learner(path))
         for batch, chunk in batches_of_texts(batches, "text"):
             cut = [_units(t or "") for t in chunk]
-            known = memo.learn(set().union(*cut))
+            known, missing = memo.find(set().union(*cut))
+            missing = list(missing)
+            memo.add(zip(missing, learn(missing), strict=True))
             counts, ids, decoded = [], [], []
             for units in cut:
                 found = [known[u] for u in units]
