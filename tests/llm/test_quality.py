@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from tidelog.llm.quality import classify, fit
+from tidelog.llm.quality import STRENGTH, _strength, classify, fit
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -57,3 +57,16 @@ def test_odd_rows(spark, odd):
         assert found.select("row.*").columns == odd.columns
         assert found.count() == odd.count() and found.where("score IS NULL").count() == 0
         assert judge(odd.limit(0), told).count() == 0
+
+
+def test_paths_are_measured_around_their_hosts(spark):
+    """Hosts far apart whose paths agree give paths a strong prior, and paths that differ a weak one."""
+    def groups(rates):
+        rows = [(h, 500.0, 500.0 * r) for h, some in rates.items() for r in some]
+        return spark.createDataFrame(rows, "host string, n double, good double")
+
+    agreeing = groups({"a": [0.9] * 6, "b": [0.1] * 6})
+    differing = groups({"a": [0.9, 0.1] * 3, "b": [0.8, 0.2] * 3})
+    assert _strength(agreeing, "good", "n")[1] == STRENGTH[0]
+    assert _strength(agreeing, "good", "n", "host")[1] == STRENGTH[1]
+    assert _strength(differing, "good", "n", "host")[1] == STRENGTH[0]

@@ -108,17 +108,27 @@ def score_texts(docs: DataFrame, model: Model, text: str, out: str) -> DataFrame
     return docs.mapInArrow(run, schema)
 
 
-def _strength(groups: DataFrame, total: str, n: str) -> tuple[float, float]:
-    """(mean rate of all, documents the prior counts for) from the spread between groups."""
-    k, docs, good, squares, spread = groups.agg(
-        F.count("*"), F.sum(n), F.sum(total), F.sum(F.col(n) * F.col(n)),
-        F.sum(F.col(total) * F.col(total) / F.col(n))).first()
-    if not k:
+def _strength(groups: DataFrame, total: str, n: str, above: str | None = None) -> tuple[float, float]:
+    """(mean rate of all, documents the prior counts for) from the spread of groups around what is above.
+
+    Groups shrink toward the rate of all, or with ``above`` toward that of their own parent; the
+    spread is measured around the same centre.
+    """
+    around = groups.groupBy(*([above] if above else [])).agg(
+        F.count("*").alias("k"), F.sum(n).alias("docs"), F.sum(total).alias("good"),
+        F.sum(F.col(n) * F.col(n)).alias("squares"),
+        F.sum(F.col(total) * F.col(total) / F.col(n)).alias("spread")).where("docs > 0")
+    rate = F.least(F.greatest(F.col("good") / F.col("docs"), F.lit(EDGE)), F.lit(1 - EDGE))
+    own = rate * (1 - rate)
+    docs, good, effective, spread, chance, variance = around.agg(
+        F.sum("docs"), F.sum("good"), F.sum(F.col("docs") - F.col("squares") / F.col("docs")),
+        F.sum(F.col("spread") - F.col("docs") * rate * rate), F.sum((F.col("k") - 1) * own),
+        F.sum(F.col("docs") * own)).first()
+    if not docs:
         return 0.5, STRENGTH[1]
     mean = min(max(good / docs, EDGE), 1 - EDGE)
-    effective = docs - squares / docs
-    between = (spread - docs * mean * mean - (k - 1) * mean * (1 - mean)) / effective if effective > 0 else 0
-    return mean, min(max(mean * (1 - mean) / between - 1, STRENGTH[0]), STRENGTH[1]) if between > 0 else STRENGTH[1]
+    between = (spread - chance) / effective if effective > 1e-9 else 0
+    return mean, min(max(variance / docs / between - 1, STRENGTH[0]), STRENGTH[1]) if between > 0 else STRENGTH[1]
 
 
 def _logit(p: Column) -> Column:
@@ -149,7 +159,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, tex
     hosts = paths.groupBy(F.col("host").alias("site")).agg(
         F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
     mean, weight = _strength(hosts, "host_good", "host_n")
-    _, path_weight = _strength(paths, "good", "n")
+    _, path_weight = _strength(paths, "good", "n", "host")
     sites = stored(paths.join(hosts, F.col("host").eqNullSafe(F.col("site"))).select(
         "site", F.col("path").alias("part"), "n", "good", "host_n", "host_good"), "sites")
     joined = rows.join(sites, F.col("host").eqNullSafe(F.col("site")) & F.col("path").eqNullSafe(F.col("part")))
