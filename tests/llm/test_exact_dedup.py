@@ -31,3 +31,11 @@ def test_whole_rows_and_empty_table(odd):
     assert kept.columns == odd.columns
     assert kept.count() == sum(n for k, n in brute(odd.collect()).items() if k[3])
     assert exact_dedup(odd.limit(0)).count() == 0
+
+
+def test_ids_of_other_types(spark):
+    rows = [("b", "x y"), ("a", "xy"), (None, "x y"), ("c", "x y"), ("d", "z"), ("d", "z")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = sorted((str(r.doc_id), r.keep_id, r.group_size, r.kept) for r in exact_dedup(docs).collect())
+    assert found == [("None", "b", 4, False), ("a", "b", 4, False), ("b", "b", 4, True), ("c", "b", 4, False),
+                     ("d", "d", 2, False), ("d", "d", 2, True)]

@@ -13,8 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidelog.llm.common import numbered, stored, text_of
+from tidelog.llm.common import numbered, stored
 
 # Entries one bucket may hold before it is split.
 BUCKET_CAPACITY = 100_000
@@ -62,12 +63,14 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the row with the most code points in the original text stays, then the
-    smallest ``doc_id`` (null last); of rows equal in these too, exactly one.  A null text
+    smallest ``doc_id`` (null last); of rows equal in these too, exactly one.  Ids are whole numbers or of
+    any other type that sorts.  A null text
     counts as empty, and empty texts are equal to each other.  ``keep_id`` is null only if the
     row that stays has no id.  An empty table gives an empty result.  With ``whole_rows`` the
     input row comes along, as a struct ``row``; other columns never matter.
     """
     packed = numbered(docs)
+    rank = _rank(docs.schema[doc_id].dataType)
     raw = F.coalesce(F.col("row")[text], F.lit(""))
     flat = packed.select("n", "row", F.col("row")[doc_id].alias("doc_id"), normalised(raw).alias("norm"),
                          F.length(raw).alias("chars"))
@@ -82,7 +85,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         F.broadcast(slots.select("slot", "depth", "bucket")), "slot")
     chains = (entries.groupBy("depth", "bucket", "key", "norm", "chars")
               .agg(F.count("*").alias("size"), F.min("doc_id").alias("first"),
-                   F.min(_rank()).alias("best")))
+                   F.min(rank).alias("best")))
     # Stored, so that the join below has its own shuffle, which can split a hot text's rows.
     groups = stored(chains.select("key", F.unhex(F.sha2("norm", 256)).alias("digest"), "chars", "size", "first", "best")
               .groupBy("key", "digest")
@@ -93,11 +96,16 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     joined = members.join(groups, ["key", "digest"])
     return joined.select(
         "doc_id", "keep_id", "group_size",
-        ((F.col("chars") == F.col("most")) & (_rank() == F.col("best"))).alias("kept"),
+        ((F.col("chars") == F.col("most")) & (rank == F.col("best"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"), *(["row"] if whole_rows else []))
 
 
-def _rank() -> Column:
-    """(doc_id, row number) as one number that sorts alike; fixed width, so it pre-aggregates."""
+def _rank(kind: T.DataType) -> Column:
+    """(doc_id, row number), null ids last.
+
+    For whole numbers one number that sorts alike, of fixed width, so that it pre-aggregates in place.
+    """
+    if not isinstance(kind, T.IntegralType):
+        return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")
     last, span = F.lit((1 << 63) - 1), F.lit("1000000000000000000").cast("decimal(19,0)")
     return (F.coalesce(F.col("doc_id"), last).cast("decimal(19,0)") * span + F.col("n")).cast("decimal(38,0)")
