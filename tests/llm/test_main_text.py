@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from tidelog.llm import main_text as module
 from tidelog.llm.main_text import extract, main_text
 
 ARTICLE = "<p>A long enough paragraph, with commas, stops. And some more of it, for good measure.</p>"
@@ -60,3 +61,38 @@ def test_all_containers_stay(parts):
     expected = " ".join(re.sub(r"<[^>]*>", " ", inside).split())
     page = f"<html><body><nav><a href=x>Home</a></nav>{inside}<footer>&copy; us.</footer></body></html>"
     assert main_text(page) == expected
+
+
+@pytest.mark.parametrize("around", [
+    "<form id=aspnetForm action=x><div class=top-menu><a href=x>Home</a></div>{}<label>Your name</label><input></form>",
+    "<article class='comments-open post'>{}</article>",
+    "<article class='social-policy'>{}</article>",
+    "<div class='page-navigation-wrapper'><nav><a href=x>Home</a></nav><div>{}</div></div>",
+    "<p>foo bar</p><div class='share-price-report'>{}</div>",
+    "<article>{}</article><div class=thread><p>No, not at all, I think.</p><p>Yes, it is, my friend.</p></div>",
+    "<div class=post>{}</div><div class=comments>" + "<p>I, for one, do not agree. Not at all, never.</p>" * 60 + "</div>",
+    "<form class=site><div class='comment-list'><p>No, never.</p></div><main>{}</main></form>",
+    "<div class=related><article><p>Short, one.</p></article></div><article>{}</article>",
+    "{}<form action=x><p>Leave us, if you want, your address.</p><span class=promo>Now!</span></form>",
+])
+def test_hints_alone_take_nothing_away(around):
+    inside = LONG + "<p>Short end.</p>"
+    found = main_text(f"<html><body>{around.format(inside)}</body></html>")
+    expected = " ".join(re.sub(r"<[^>]*>", " ", inside).split())
+    assert found in (expected, f"foo bar {expected}" if "foo bar" in around else expected)
+
+
+def test_speech_stays_where_nothing_else_is():
+    page = f"<div class=thread>{LONG}</div>"
+    assert main_text(page) == " ".join(re.sub(r"<[^>]*>", " ", LONG).split())
+
+
+def test_the_ratios_decide(monkeypatch):
+    """Equal ratios for all paths change what stays."""
+    links = "<div class=x>" + "".join(f"<p><a href=x>Link {n} to some other place of ours</a></p>" for n in range(60)) + "</div>"
+    plain = f"<body>{links}<div class=text>{LONG}</div></body>"
+    hinted = f"<body><div class=sidebar>{links}</div><div class=text>{LONG}</div></body>"
+    expected = " ".join(re.sub(r"<[^>]*>", " ", LONG).split())
+    assert main_text(plain) == main_text(hinted) == expected
+    monkeypatch.setattr(module, "path_ratios", lambda found: module.np.ones(len(found)))
+    assert main_text(plain) != expected and main_text(hinted) != expected

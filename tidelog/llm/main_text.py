@@ -5,8 +5,10 @@ and punctuation are aggregated per path, divided by the number of nodes on it, s
 the page and fused; paths above a threshold of the page hold content.  Content nodes then name
 their containers, as many as hold them all, whose other blocks (headings, short paragraphs,
 lists) belong to the text.
-Parts that say themselves that they are not content (menus, forms, adverts, comments ...) take
-no part.
+
+Scripts, controls, menus, footers and hidden parts take no part.  A part whose class, role or tag
+only hints that it is not content (forms, adverts, comments ...) stands trial by the same ratios:
+it stays if it holds most of the page's dense text, or the page's article, and goes otherwise.
 """
 
 from __future__ import annotations
@@ -28,15 +30,24 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # Elements whose content is never markup, up to their own end tag.
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 # Elements that hold no main text, whatever is in them.
-OUT = frozenset("""aside audio button canvas datalist dialog fieldset footer form head iframe input label map menu nav
+OUT = frozenset("""aside audio button canvas datalist dialog footer head iframe input label map menu nav
 noembed noframes noscript object optgroup option select script style svg template textarea title video""".split())
+# Elements that hold main text only if their ratios say so.
+DOUBTED = frozenset("fieldset form".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search "
                   "toolbar tooltip".split())
 HINTS = frozenset("""ad ads adv advert adverts advertisement advertising advertorial alert announcement banner
 breadcrumb breadcrumbs byline comment comments consent cookie cookies disclaimer discussion disqus footer footnav form
 gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager
 pagination popup promo promos promotion recommended related remark remarks replies reply responses rss search share
-sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription toolbar widget widgets""".split())
+sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription thread threads toolbar widget
+widgets""".split())
+# Hints of what readers say.  It is dense too, so it stays only where nothing else is.
+SPEECH = frozenset("""comment comments discussion disqus remark remarks replies reply responses thread
+threads""".split())
+# Words that may follow a hint ("comment-list") without changing what it says.
+PLACE = frozenset("area block body box container content form group inner item items list panel section thread wrap "
+                  "wrapper".split())
 # Words that may stand before a hint ("site-header") without changing what it says.
 WHOSE = frozenset("article blog global left main mobile page post reader right site top user".split())
 # Elements that are content themselves, whatever their class.
@@ -55,6 +66,8 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：«»\"'()-]")
 SMOOTH = np.array([0.05, 0.25, 0.4, 0.25, 0.05])
 # A path is content if its fused ratio reaches this share of the page's spread.
 THRESHOLD = 0.5
+# What an element says about holding main text.
+CLEAR, HINTED, SPOKEN, NEVER = range(4)
 # Share of the content's text, outside the containers already found, that a container holds.
 CONTAINED = 0.8
 
@@ -63,7 +76,7 @@ CONTAINED = 0.8
 class Element:
     tag: str
     label: str
-    out: bool
+    says: int
     number: int
 
 
@@ -73,37 +86,45 @@ class Block:
 
     path: tuple[str, ...]
     inside: tuple[tuple[int, str], ...]
+    # The elements around it that may not be content: (number, what they say).
+    doubts: tuple[tuple[int, int], ...] = ()
     parts: list[str] = field(default_factory=list)
     text: str = ""
     linked: int = 0
 
 
-def _says_out(tag: str, attributes: str, within_article: bool) -> tuple[bool, str]:
-    """Whether an element says it holds no main text; its label for tag paths."""
+def _says(tag: str, attributes: str, within_article: bool) -> tuple[int, str]:
+    """What an element says about holding main text; its label for tag paths."""
     if tag in OUT or (tag == "header" and not within_article):
-        return True, tag
+        return NEVER, tag
+    says = HINTED if tag in DOUBTED else CLEAR
     if not attributes or attributes.isspace():
-        return False, tag
+        return says, tag
     named = {}
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         named.setdefault(name.lower(), a or b or c)
     if tag in KEPT:
-        return False, tag
+        return CLEAR, tag
+    if "hidden" in named or named.get("aria-hidden", "").lower() == "true" or re.search(
+            r"display\s*:\s*none|visibility\s*:\s*hidden", named.get("style", ""), re.I):
+        return NEVER, tag
     classes = named.get("class", "").split()
     for value in [*classes, *named.get("id", "").split()]:
         words = _PART.findall(_CAMEL.sub("-", value).lower())
         while len(words) > 1 and words[0] in WHOSE:
             words = words[1:]
         if words and words[0] in HINTS:
-            return True, tag
-    hidden = "hidden" in named or named.get("aria-hidden", "").lower() == "true" or re.search(
-        r"display\s*:\s*none|visibility\s*:\s*hidden", named.get("style", ""), re.I)
-    label = f"{tag}.{'.'.join(sorted(classes))}" if classes else tag
-    return bool(hidden) or named.get("role", "").lower() in ROLES, label
+            whole = all(w in HINTS or w in PLACE or w.isdigit() for w in words)
+            # An article with a hint among other words is an article.
+            if whole or tag != "article":
+                says = max(says, SPOKEN if whole and words[0] in SPEECH else HINTED)
+    if named.get("role", "").lower() in ROLES:
+        says = max(says, HINTED)
+    return says, f"{tag}.{'.'.join(sorted(classes))}" if classes else tag
 
 
 def blocks(page: str) -> list[Block]:
-    """The blocks of text of a page that may be content, in page order."""
+    """The blocks of text of a page that may be content, doubted ones included, in page order."""
     found: list[Block] = []
     stack: list[Element] = []
     out = links = count = 0
@@ -117,7 +138,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal out
         while len(stack) > depth:
             gone = stack.pop()
-            out -= gone.out
+            out -= gone.says == NEVER
             opened[gone.tag] -= 1
 
     def add(text: str) -> None:
@@ -125,7 +146,8 @@ def blocks(page: str) -> list[Block]:
         if out or not text:
             return
         if current is None:
-            current = Block(tuple(e.label for e in stack if e.tag in BLOCKS), tuple((e.number, e.tag) for e in stack))
+            current = Block(tuple(e.label for e in stack if e.tag in BLOCKS), tuple((e.number, e.tag) for e in stack),
+                            tuple((e.number, e.says) for e in stack if e.says))
             found.append(current)
         current.parts.append(text)
         if links:
@@ -151,10 +173,12 @@ def blocks(page: str) -> list[Block]:
                 current = None
             if name == "a":
                 links = max(0, links - 1)
-            elif (block or name in OUT) and opened.get(name):
+            elif opened.get(name):
                 depth = len(stack) - 1
                 while stack[depth].tag != name:
                     depth -= 1
+                if stack[depth].says in (HINTED, SPOKEN):
+                    current = None
                 pop_to(depth)
             continue
         if name == "br":
@@ -188,13 +212,14 @@ def blocks(page: str) -> list[Block]:
             at = close.end() if close else end
             continue
         if block or name in OUT or "class" in attributes or "id" in attributes or "hidden" in attributes:
-            no, label = _says_out(name, attributes, bool(opened.get("article") or opened.get("main")))
-            if not block and not no:
+            says, label = _says(name, attributes, bool(opened.get("article") or opened.get("main")))
+            if not block and not says:
                 continue
             count += 1
-            stack.append(Element(name, label, no, count))
+            current = None if says and says != NEVER else current
+            stack.append(Element(name, label, says, count))
             opened[name] = opened.get(name, 0) + 1
-            out += no
+            out += says == NEVER
     for b in found:
         b.text = " ".join(entities.unescape("".join(b.parts)).split())
     return [b for b in found if b.text]
@@ -214,13 +239,57 @@ def path_ratios(found: list[Block]) -> np.ndarray:
     return (np.bincount(which, smooth) / nodes)[which]
 
 
+def _content(found: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+    """The ratios of the blocks' paths, and which of them are over the page's threshold."""
+    ratios = path_ratios(found)
+    return ratios, ratios >= THRESHOLD * ratios.std()
+
+
+def tried(found: list[Block]) -> list[Block]:
+    """The blocks without those in doubted elements that the ratios do not speak for.
+
+    The heaviest element comes first.  One that holds more dense text than all blocks free of
+    doubt is freed, and so is one around an article with dense text, unless there is text in an
+    article elsewhere; readers' speech is freed only if no dense text is free of doubt.
+    """
+    if not any(b.doubts for b in found):
+        return found
+    _, dense = _content(found)
+    weights = [len(b.text) if d else 0 for b, d in zip(found, dense.tolist())]
+    members: dict[tuple[int, int], list[int]] = {}
+    held: dict[tuple[int, int], int] = {}
+    for at, b in enumerate(found):
+        for doubt in b.doubts:
+            members.setdefault(doubt, []).append(at)
+            held[doubt] = held.get(doubt, 0) + weights[at]
+    open_ = [len(b.doubts) for b in found]
+    articles = [[number for number, tag in b.inside if tag in ("article", "main")] for b in found]
+    free = sum(w for w, o in zip(weights, open_) if not o)
+    free_articles = {number for a, o in zip(articles, open_) if not o for number in a}
+    for doubt in sorted(members, key=lambda d: (-held[d], d)):
+        if doubt[1] == SPOKEN:
+            stays = not free and held[doubt] > 0
+        elif free_articles.difference(articles[members[doubt][0]]):
+            stays = False
+        else:
+            stays = held[doubt] > free or any(
+                weights[at] and articles[at] and articles[at][-1] >= doubt[0]
+                and all(says == HINTED for _, says in found[at].doubts) for at in members[doubt])
+        if stays:
+            for at in members[doubt]:
+                open_[at] -= 1
+                if not open_[at]:
+                    free += weights[at]
+                    free_articles.update(articles[at])
+    return [b for b, o in zip(found, open_) if not o]
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page; empty if it has none."""
-    found = blocks(page or "")
+    found = tried(blocks(page or ""))
     if not found:
         return ""
-    ratios = path_ratios(found)
-    content = ratios >= THRESHOLD * ratios.std()
+    ratios, content = _content(found)
     lengths = [len(b.text) for b in found]
     inside: set[int] = set()
     around: set[int] = set()
