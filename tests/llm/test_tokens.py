@@ -72,3 +72,16 @@ def test_counts_agree_with_the_library(spark, odd, documents, tmp_path):
     assert held == len({hashlib.sha256((r.text or "").encode()).digest()
                         for d in (odd, documents) for r in d.collect()})
     assert token_counts(odd.limit(0), BYTE_BPE).count() == 0
+
+
+def test_long_words_are_joined_up_the_tree(spark, monkeypatch):
+    """The operator's own leaf size occurs in the documents, and windows grow where sides disagree."""
+    tokenizer, sizes = load(WORD_BPE), []
+    plain = bpe._join
+    monkeypatch.setattr(bpe, "_join", lambda *a: sizes.append(a[5] - a[4]) or plain(*a))
+    words = {u for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").where(
+        "text rlike '[^ \\n]{33,}'").collect() for u in bpe._units(r.text or "") if len(u) > bpe.LEAF}
+    assert words
+    for word in [*words, "the" * 3000, "ab!" * 999]:
+        assert bpe.tree_encode(tokenizer, word) == tokenizer.encode(word, add_special_tokens=False).ids
+    assert len(sizes) > 300 and max(sizes) == 9000

@@ -20,8 +20,9 @@ from tidelog.llm import tokenizer as tk
 from tidelog.llm.common import FrequentMemo, batches_of_texts, per_worker
 
 # Words up to this length, in characters, are encoded in one piece.
-LEAF = 4_096
-# Tokens taken on either side of a join at first.
+LEAF = 32
+# Tokens taken on either side of a join at first; no fewer than an added token has characters, which
+# is recognised only as a whole.
 WINDOW = 16
 Token = tuple[int, int, int]
 
@@ -96,13 +97,16 @@ def _learner(path: str) -> tuple[FrequentMemo, Callable]:
     """What frequent words gave, and how to learn others: (number of ids, ids, decoded text)."""
     loaded = tk.load(path)
 
+    # What a token decodes to alone; those of a text are joined by spaces.
+    decoded = [loaded.decode([i], skip_special_tokens=False) for i in range(loaded.get_vocab_size())]
+    names = [str(i) for i in range(len(decoded))]
+
     def learn(units: list[str]) -> list[tuple[int, str, str]]:
         short = [u for u in units if len(u) <= LEAF]
         ids = dict(zip(short, (e.ids for e in loaded.encode_batch_fast(short, add_special_tokens=False))))
         ids |= {u: tree_encode(loaded, u) for u in units if len(u) > LEAF}
         found = [ids[u] for u in units]
-        decoded = loaded.decode_batch(found, skip_special_tokens=False)
-        return [(len(i), " ".join(map(str, i)), d) for i, d in zip(found, decoded)]
+        return [(len(i), " ".join([names[t] for t in i]), " ".join([decoded[t] for t in i])) for i in found]
 
     return FrequentMemo(tk.MEMO_UNITS), learn
 
@@ -128,10 +132,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
             memo.add(zip(missing, learn(missing), strict=True))
             counts, ids, decoded = [], [], []
             for units in cut:
-                found = [known[u] for u in units]
-                counts.append(sum([f[0] for f in found]))
-                ids.append(" ".join([f[1] for f in found if f[0]]))
-                decoded.append(" ".join([f[2] for f in found if f[0]]))
+                n, some_ids, some_decoded = zip(*map(known.__getitem__, units)) if units else ((), (), ())
+                counts.append(sum(n))
+                ids.append(" ".join(filter(None, some_ids)))
+                decoded.append(" ".join(filter(None, some_decoded)))
             out = pa.array([list(map(int, i.split())) for i in ids], pa.list_(pa.int32())) if as_array \
                 else pa.array(ids, pa.string())
             yield pa.RecordBatch.from_arrays(
