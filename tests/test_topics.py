@@ -15,7 +15,7 @@ from tidelog.plans.examples import ledger, word_count
 from tidelog.sources import addressing as A
 from tidelog.sources import sinks
 from tidelog.sources.topics import (Catalog, Topic, assign, assign_all, read_log, read_logs,
-                                    read_pattern, read_table, subscribe)
+                                    read_matching, read_pattern, read_table, subscribe)
 
 
 def topic(path, name="t", **kwargs):
@@ -251,3 +251,45 @@ def test_shared_folders_lie_where_the_cluster_says(spark):
     one, two = (session.shared_folder(spark, "x") for _ in range(2))
     assert one != two
     assert base is None or one.startswith(base)
+
+
+def test_topics_below_a_folder_by_pattern(spark, tmp_path):
+    like = topic(tmp_path, partitions=2, partition_fn=lambda k, v, n: k % n)
+    for n, name in enumerate(("a1", "a 2+b", "b1")):
+        sinks.write_log(log_of(spark, [(n, n), (n + 1, n)]), topic(
+            tmp_path / name, name, partitions=2, partition_fn=lambda k, v, n: k % n))
+    # a file of a topic that is not asked for is not opened
+    (tmp_path / "b1" / "partition=0" / "broken.parquet").write_text("no parquet")
+    (tmp_path / "xa1").mkdir()
+    (tmp_path / "xa1" / "broken.parquet").write_text("no parquet")
+
+    def rows(log):
+        return sorted((r.topic, r.partition, r.key, r.value) for r in log.df.collect())
+
+    found = read_matching(spark, str(tmp_path), "a.*", like)
+    assert rows(found) == [("a 2+b", 0, 2, 1), ("a 2+b", 1, 1, 1), ("a1", 0, 0, 0), ("a1", 1, 1, 0)]
+    assert rows(assign(found, ("a1", 1))) == [("a1", 1, 1, 0)]
+    assert rows(read_matching(spark, str(tmp_path), "a1|zz", like)) == [("a1", 0, 0, 0), ("a1", 1, 1, 0)]
+    assert rows(read_matching(spark, str(tmp_path), "zz", like)) == []
+    with pytest.raises(TypeError):
+        read_matching(spark, str(tmp_path), "a.*", "a1")
+
+
+def test_a_running_stream_takes_in_new_topics(spark, tmp_path):
+    root, like = tmp_path / "topics", topic(tmp_path)
+    write = lambda name, pairs: sinks.write_log(log_of(spark, pairs), topic(root / name, name))
+    write("a1", [(1, 1)])
+    seen = []
+    log = read_matching(spark, str(root), "a.*", like, streaming=True)
+    query = (log.df.writeStream.option("checkpointLocation", str(tmp_path / "place"))
+             .foreachBatch(lambda df, n: seen.append(sorted((r.topic, r.key) for r in df.collect()))).start())
+    try:
+        query.processAllAvailable()
+        write("b1", [(9, 9)])
+        write("a2", [(2, 2), (3, 3)])
+        query.processAllAvailable()
+        write("a1", [(4, 4)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert [s for s in seen if s] == [[("a1", 1)], [("a2", 2), ("a2", 3)], [("a1", 4)]]

@@ -1,5 +1,7 @@
 """The streaming forms, run over all events to the end of the input."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidelog import session
@@ -13,6 +15,8 @@ from tidelog.plans.registry import ACCOUNT_STATE, EVENTS, as_double, events_log,
 from tidelog.plans.stateless import FILTERED
 from tidelog.plans.transforms import RUN
 from tidelog.plans.windows import BUCKET, ISLANDS, SESSION_CHANGES, SESSIONS, SIX_HOURS
+from tidelog.sources.sinks import write_log
+from tidelog.sources.topics import Topic, read_matching
 from tidelog.streaming.drain import drain, newest, read_stream
 
 
@@ -251,3 +255,24 @@ def stream_suppress_bounded(spark, d):
     log = arriving(spark, d, IN_ORDER).map_values(lambda v: v["amount"]).with_watermark(SIX_HOURS.grace_ms)
     table = log.group_by_key().window_by_time(SIX_HOURS).reduce(total())
     return drain(_windows(table.suppress(max_records=1_000_000, max_bytes=256 << 20).df))
+
+
+@query("stream_new_topics", f"""
+SELECT event_type AS topic, user_id AS key, event_id, CAST(v AS DOUBLE) AS value,
+  CAST(user_id % 4 AS INTEGER) AS partition
+FROM ({EVENTS}) WHERE regexp_full_match(event_type, 'pur.*|cl.*')""")
+def stream_new_topics(spark, d):
+    """A stream over a pattern of topics: some are there at its start, others come while it is stopped."""
+    log = events_log(table(spark, d, "events")).map_values(lambda v: v["amount"])
+    kinds = sorted(r.topic for r in log.df.select("topic").distinct().collect())
+    root, out, place = (session.shared_folder(spark, n) for n in ("topics", "drained", "checkpoint"))
+    like = Topic("any", "bigint", "decimal(12,2)", path=root, partitions=4, partition_fn=lambda k, v, n: k % n)
+    for late in (False, True):
+        for kind in kinds:
+            if (kind != "purchase") == late:
+                write_log(typed(log, kind), replace(like, name=kind, path=f"{root}/{kind}"))
+        found = read_matching(spark, root, "pur.*|cl.*", like, streaming=True).df
+        (found.writeStream.format("parquet").option("path", out).option("checkpointLocation", place)
+         .trigger(availableNow=True).start().awaitTermination())
+    rows = spark.read.schema(found.schema).parquet(out)
+    return rows.select("topic", "key", F.col("offset").alias("event_id"), as_double("value").alias("value"), "partition")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +140,35 @@ def read_pattern(spark: SparkSession, catalog: Catalog, pattern: str,
     return read_logs(spark, topics, streaming)
 
 
+def read_matching(spark: SparkSession, root: str, pattern: str, like: Topic,
+                  streaming: bool = False, **options: str) -> Log:
+    """All topics below a folder whose whole name matches the pattern, told apart by their paths.
+
+    The folder that holds a topic's partitions names it; ``like`` gives format, types and options.
+    Topics are looked for on storage: a stream takes in those that appear after it was started, with
+    the next micro-batch.  Files of other topics are listed, but not opened.  A file that lies in no
+    partition folder belongs to partition 0.  For Kafka the pattern is subscribed to.
+    """
+    if not isinstance(like, Topic):
+        raise TypeError(f"a topic is needed, got {type(like).__name__}")
+    re.compile(pattern)
+    order = ("ts", "topic", "partition", "offset")
+    reader = spark.readStream if streaming else spark.read
+    reader = reader.options(**{**like.options, **options})
+    if like.format == "kafka":
+        return Log(_kafka_log(reader.option("subscribePattern", pattern),
+                              replace(like, options={"subscribePattern": pattern})).df, order)
+    inside = T.StructType([f for f in like.schema if f.name != "partition"])
+    df = reader.schema(inside).option("recursiveFileLookup", "true").format(like.format).load(root)
+    # Paths come as URIs, where a plus sign stands for itself.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    place = r"/([^/]+)/(?:partition=(\d+)/)?[^/]+$"
+    name, shard = F.regexp_extract(path, place, 1), F.regexp_extract(path, place, 2)
+    partition = F.when(shard == "", F.lit(0)).otherwise(shard.cast("int"))
+    found = df.where(name.rlike(f"^(?:{pattern})$")).withColumns({"partition": partition, "topic": name})
+    return Log(found, order)
+
+
 def subscribe(spark: SparkSession, catalog: Catalog, names: Iterable[str],
               streaming: bool = False) -> Log:
     names = [names] if isinstance(names, str) else list(names)
