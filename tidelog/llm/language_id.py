@@ -5,13 +5,19 @@ probability of a word is the sum over every way to segment it into pieces, which
 pass gives; a text's is the product over its words.  The probabilities are learned by
 expectation maximisation with the matching backward pass.  Distinct words are worked on
 together, position by position, and remembered.
+
+A word is a whole run of letters, of any length: sums are rescaled every few positions, so they
+stay within a double's range, and a very long run goes through the pass in stretches that hand
+over the sums of the last positions.  All pieces of the vocabulary take part.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +32,18 @@ FIT_DOCS = 300
 # Parts a language is ranked in before the whole of it.
 RANKS = 64
 ROUNDS = 4
-# Longer runs of letters are several words, so that products stay within a double's range.
-WORD = 24
-LONGEST_PIECE = 10
+# Positions of a word after which its sums are rescaled.
+RESCALED = 8
+# Letters of a run that are worked on at once; the fit, a sample, takes longer runs in parts.
+STRETCH = 4_096
 # What a single character that is no piece counts for, in every language.
 UNKNOWN = 1e-8
-MEMO_WORDS = 600_000
-BATCH = 8_192
-_WORDS = re.compile(r"[^\W\d_]{1,%d}" % WORD)
+# What remembered words may take, in characters; a word counts some more than its own.
+MEMO_CHARS, WORD_COSTS = 10_000_000, 8
+# Words worked on together, and their positions.
+BATCH, BATCH_CELLS = 8_192, 200_000
+_WORDS = re.compile(r"[^\W\d_]+")
+_MARK = "\u2581"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 UND = "und"
 
@@ -46,18 +56,26 @@ def _has_letter(text: str | None) -> bool:
     return any(map(str.isalpha, text or ""))
 
 
-def _hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Prefix hashes of words led by the word mark, their lengths, and powers of the base."""
-    length = max(map(len, words)) + 1
-    codes = np.zeros((len(words), length), np.uint64)
-    for i, w in enumerate(words):
-        codes[i, 0] = 0x2581
-        codes[i, 1:len(w) + 1] = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), np.uint32)
-    prefix = np.zeros((len(words), length + 1), np.uint64)
+def _batches(texts: list[str]) -> Iterator[list[str]]:
+    """Texts, sorted by length, in runs that bound both their number and their positions."""
+    start = 0
+    for end in range(1, len(texts) + 1):
+        if end == len(texts) or end - start == BATCH or (end + 1 - start) * len(texts[end]) > BATCH_CELLS:
+            yield texts[start:end]
+            start = end
+
+
+def _hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Prefix hashes of texts, their lengths, and powers of the base."""
+    length = max(map(len, texts))
+    codes = np.zeros((len(texts), length), np.uint64)
+    for i, t in enumerate(texts):
+        codes[i, :len(t)] = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+    prefix = np.zeros((len(texts), length + 1), np.uint64)
     power = np.array([pow(int(_BASE), i, 1 << 64) for i in range(length + 1)], np.uint64)
     for i in range(length):
         prefix[:, i + 1] = prefix[:, i] * _BASE + codes[:, i] + np.uint64(1)
-    return prefix, np.array([len(w) + 1 for w in words]), power
+    return prefix, np.array([len(t) for t in texts]), power
 
 
 class Vocabulary:
@@ -67,8 +85,8 @@ class Vocabulary:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = {model.id_to_piece(i) for i in range(model.get_piece_size())
                   if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-        hashed = {self._hash(p): p for p in pieces if len(p) <= LONGEST_PIECE}
-        self.hashes = np.array(sorted(hashed), np.uint64)
+        self.longest = max(map(len, pieces))
+        self.hashes = np.array(sorted(map(self._hash, pieces)), np.uint64)
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -84,45 +102,88 @@ class Vocabulary:
 
 
 class Lattice:
-    """All segmentations of some words: for each end and length the piece found there."""
+    """All segmentations of some texts: for each end and length the piece found there.
 
-    def __init__(self, vocabulary: Vocabulary, words: list[str]) -> None:
-        prefix, self.lengths, power = _hashes(words)
-        self.none = len(vocabulary.hashes)
+    Of the first ``known`` positions nothing is looked up: their sums are handed to ``forward``.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, texts: list[str], known: int = 0) -> None:
+        prefix, self.lengths, power = _hashes(texts)
+        self.none, self.longest, self.known = len(vocabulary.hashes), vocabulary.longest, known
         self.edges = []
-        for end in range(1, prefix.shape[1]):
+        for end in range(known + 1, prefix.shape[1]):
             alive = np.flatnonzero(self.lengths >= end)
-            for size in range(1, min(end, LONGEST_PIECE) + 1):
+            for size in range(1, min(end, self.longest) + 1):
                 found = vocabulary.find(prefix[alive, end] - prefix[alive, end - size] * power[size])
                 rows = alive if size == 1 else alive[found < self.none]
                 if len(rows):
                     self.edges.append((end, size, rows, found if size == 1 else found[found < self.none]))
 
-    def forward(self, chances: np.ndarray) -> np.ndarray:
-        """Sums over all segmentations of each beginning; ``chances``: a row per piece, one for none."""
+    def forward(self, chances: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+        """Sums over all segmentations of each beginning; ``chances``: a row per piece, one for none.
+
+        The sums a later position may still need are divided by the last one every ``RESCALED``
+        positions, for texts that go on; ``self.scales`` keeps the divisors, ``self.shift`` the sum
+        of their logarithms.  So sums are comparable within one such stretch only.
+        """
         alpha = np.zeros((self.lengths.max() + 1, len(self.lengths), chances.shape[1]))
-        alpha[0] = 1
+        alpha[:self.known + 1] = 1 if before is None else before
+        self.shift, self.scales, last = np.zeros(alpha.shape[1:]), {}, self.known
         for end, size, rows, pieces in self.edges:
+            if end != last and last % RESCALED == 0 and last > self.known:
+                on = np.flatnonzero(self.lengths > last)
+                scale = np.ones_like(self.shift)
+                scale[on] = alpha[last, on]
+                alpha[max(0, last + 1 - self.longest):last + 1] /= scale
+                self.scales[last] = scale
+                self.shift += np.log(scale)
+            last = end
             alpha[end, rows] += alpha[end - size, rows] * chances[pieces]
         return alpha
 
-    def totals(self, chances: np.ndarray) -> np.ndarray:
-        return self.forward(chances)[self.lengths, np.arange(len(self.lengths))]
+    def log_totals(self, chances: np.ndarray) -> np.ndarray:
+        alpha = self.forward(chances)
+        return np.log(alpha[self.lengths, np.arange(len(self.lengths))]) + self.shift
 
     def expected(self, chances: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece, for words that occur ``counts`` times in each language."""
+        """Expected uses of each piece, for texts that occur ``counts`` times in each language."""
         alpha = self.forward(chances)
         beta = np.zeros_like(alpha)
         at = np.arange(len(self.lengths))
         beta[self.lengths, at] = counts / alpha[self.lengths, at]
-        uses = np.zeros_like(chances)
+        uses, last = np.zeros_like(chances), alpha.shape[0]
         for end, size, rows, pieces in reversed(self.edges):
+            # Undo the rescaling in the order it was done, back to front.
+            while last > end:
+                last -= 1
+                if last in self.scales:
+                    # Positions a rescaling touched were stored divided; what reaches them from behind is, too.
+                    window = slice(max(0, last + 1 - self.longest), last + 1)
+                    alpha[window] *= self.scales[last]
+                    beta[window] /= self.scales[last]
             through = beta[end, rows] * chances[pieces]
             np.add.at(uses, pieces, alpha[end - size, rows] * through)
             beta[end - size, rows] += through
         return uses
 
 
+def log_total_of_run(vocabulary: Vocabulary, text: str, chances: np.ndarray) -> np.ndarray:
+    """The log of the sum over all segmentations of one long text, a stretch at a time."""
+    before, total, done = None, 0.0, 0
+    while done < len(text):
+        known = min(done, vocabulary.longest)
+        lattice = Lattice(vocabulary, [text[done - known:done + STRETCH]], known)
+        alpha = lattice.forward(chances, before)
+        done = min(len(text), done + STRETCH)
+        # Sums of the last positions, divided by the last one.
+        keep = min(done, vocabulary.longest)
+        tail = alpha[-keep - 1:] if keep < len(alpha) else alpha
+        last = tail[-1:].copy()
+        total = total + lattice.shift + np.log(last[0])
+        before = tail / last
+    return total[0]
+
+
 class Model:
     """Piece probabilities by language and the share of each language."""
 
@@ -132,8 +193,8 @@ class Model:
         size, langs = len(vocabulary.hashes), len(self.languages)
         self.shares = np.log([shares[x] for x in self.languages])
         words = sorted(set().union(*counts.values()), key=lambda w: (len(w), w))
-        parts = [words[i:i + BATCH] for i in range(0, len(words), BATCH)]
-        lattices = [(Lattice(vocabulary, p), np.array([[counts[x][w] for x in self.languages] for w in p], float))
+        parts = list(_batches(words))
+        lattices = [(Lattice(vocabulary, [_MARK + w for w in p]), np.array([[counts[x][w] for x in self.languages] for w in p], float))
                     for p in parts]
         self.chances = self._normal(np.ones((size, langs)))
         for _ in range(ROUNDS):
@@ -153,15 +214,19 @@ class Scorer:
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.table = {}, np.zeros((0, len(self.model.languages)))
+        self.known, self.chars, self.table = {}, 0, np.zeros((0, len(self.model.languages)))
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words.difference(self.known)) > MEMO_WORDS:
-            self.forget()
         fresh = sorted(words.difference(self.known), key=len)
-        found = [np.log(Lattice(self.vocabulary, fresh[i:i + BATCH]).totals(self.model.chances))
-                 for i in range(0, len(fresh), BATCH)]
+        if self.chars + sum(map(len, fresh)) + WORD_COSTS * len(fresh) > MEMO_CHARS:
+            self.forget()
+            fresh = sorted(words, key=len)
+        short = bisect_right(fresh, STRETCH, key=len)
+        found = [Lattice(self.vocabulary, [_MARK + w for w in part]).log_totals(self.model.chances)
+                 for part in _batches(fresh[:short])]
+        found += [log_total_of_run(self.vocabulary, _MARK + w, self.model.chances)[None] for w in fresh[short:]]
         self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
+        self.chars += sum(map(len, fresh)) + WORD_COSTS * len(fresh)
         self.table = np.concatenate([self.table, *found])
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -204,7 +269,7 @@ def learn(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", do
     def run(batches):
         for batch, texts in batches_of_texts(batches, "text"):
             for language, body in zip(batch.column("lang").to_pylist(), texts):
-                held = Counter(words_of(body))
+                held = Counter(w[i:i + STRETCH] for w in words_of(body) for i in range(0, len(w), STRETCH))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([language] * len(held), pa.string()), pa.array(list(held), pa.string()),
                      pa.array(list(held.values()), pa.int64())], ["lang", "word", "n"])
