@@ -6,18 +6,19 @@ is a window partitioned by key, which puts the whole history of a key into one
 task.  ``Timeline`` keeps that plan for keys a task can hold.  The records of the
 others, the hot keys, are cut into slices of their time:
 
-1. one partially aggregated pass counts the rows of each key and finds its first
-   and last time; hot are the keys with more rows than a task should hold;
-2. a hot key's time is cut into as many equal parts as its rows need, so a
-   slice follows from the record alone: no sample, nothing written, nothing run
-   while the plan is built;
+1. one partially aggregated pass counts the rows of each key; hot are the keys
+   with more rows than a task should hold;
+2. a second one, over the rows of hot keys only, sketches the quantiles of their
+   times; a hot key's time is cut there into as many parts as its rows need, so
+   that slices hold about equally many rows however the rows lie in time (a burst,
+   a clock that is years off).  Nothing is written or run while the plan is built;
 3. windows run inside (key, slice); one partial result per (key, slice) is
    scanned along the slices of a key to give each slice what came before it.
 
 The plan is the same for every size.  Without hot keys adaptive execution finds
-their table empty and drops the second half of the plan.  The hot keys are the
-only side broadcast: they number at most rows / rows per task.  Carried rows are
-joined as Spark sees fit.
+their table empty and drops the second half of the plan.  Broadcast are only the
+hot keys, at most rows / rows per task, and their cuts, at most rows / rows per
+slice numbers.  Carried rows are joined as Spark sees fit.
 
 A derived log (made by windows or joins) is written once before it is cut, at
 any size, so that a chain of running operators grows with its length only.
@@ -36,7 +37,8 @@ from pyspark.sql import types as T
 from tidelog import session
 
 SLICE = "__slice"
-SLICES_FINER = 4
+# Quantiles sketched of a hot key's times: the most slices it is cut into.
+QUANTILES = 1_024
 
 # merge(carried, local) for each kind of running aggregate
 _MERGE: dict[str, Callable[[Column, Column], Column]] = {
@@ -73,23 +75,40 @@ def split(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     if derived:
         df = session.pinned(df)
-    place = number_of(df, order[0])
     names = [f"__k{i}" for i in range(len(keys))]
     hot = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-           .agg(F.struct(F.count(F.lit(1)).alias("rows"), F.min(place).alias("start"),
-                         F.max(place).alias("end")).alias("__hot"))
-           .where(F.col("__hot.rows") > session.ROWS_PER_TASK))
+           .agg(F.count(F.lit(1)).alias("__rows"))
+           .where(F.col("__rows") > session.ROWS_PER_TASK))
     # one shape of the join for both halves, so that the hot keys are looked for once
     marked = df.join(F.broadcast(hot), same_key(keys), "left")
-    cold = marked.where(F.col("__hot").isNull()).drop("__hot", *names)
-    # finer than the rows need, because records are not spread evenly over time
-    slices = F.ceil(F.col("__hot.rows") / session.ROWS_PER_SLICE) * SLICES_FINER
-    start, end = F.col("__hot.start"), F.col("__hot.end")
-    part = F.when(end > start, F.floor((place - start) / (end - start) * slices))
-    cut = (marked.where(F.col("__hot").isNotNull())
-           .withColumn(SLICE, F.coalesce(F.least(part, slices - 1), F.lit(-1)).cast("int"))
-           .drop("__hot", *names))
-    return cold, cut
+    cold = marked.where(F.col("__rows").isNull()).drop("__rows", *names)
+    timed = (marked.where(F.col("__rows").isNotNull()).drop(*names)
+             .withColumn("__place", number_of(df, order[0])))
+    cuts = (timed.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+            .agg(F.expr(_QUANTILES_OF_PLACE).alias("__all"), F.max("__rows").alias("__n"))
+            .select(*names, _cuts(F.col("__all"), F.col("__n")).alias("__cuts")))
+    cut = timed.join(F.broadcast(cuts), same_key(keys), "left")
+    cut = cut.withColumn(SLICE, _slice_of(F.col("__place"), F.col("__cuts")))
+    return cold, cut.drop("__rows", "__place", "__cuts", *names)
+
+
+_QUANTILES_OF_PLACE = "percentile_approx(__place, array({}))".format(
+    ", ".join(f"{i / QUANTILES}D" for i in range(1, QUANTILES)))
+
+
+def _cuts(quantiles: Column, rows: Column) -> Column:
+    """The quantiles that cut so many rows into slices; fewer where they coincide."""
+    slices = F.least(F.ceil(rows / session.ROWS_PER_SLICE), F.lit(QUANTILES)).cast("int")
+    picked = F.transform(F.sequence(F.lit(1), F.greatest(slices - 1, F.lit(1))),
+                         lambda i: F.get(quantiles, F.floor(i * QUANTILES / slices).cast("int") - 1))
+    return F.when(slices > 1, F.array_distinct(picked))
+
+
+def _slice_of(place: Column, cuts: Column) -> Column:
+    """How many cuts lie before ``place``, by binary search; 0 for a missing time."""
+    steps = [1 << i for i in reversed(range(QUANTILES.bit_length() - 1))]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(
+        F.get(cuts, at + step - 1) < place, at + step).otherwise(at))
 
 
 @dataclass(frozen=True)
