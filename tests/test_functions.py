@@ -326,6 +326,32 @@ def test_decode_unknown_topic_fails(spark):
         codecs.decode_topics(Log(df), {"a": (None, text)})["a"].good.df.collect()
 
 
+def test_mixed_topics_in_one_pass(spark):
+    text, number = codecs.codec({"format": "string"}), codecs.codec({"format": "long"})
+    record = codecs.in_bytes(codecs.codec({"format": "json", "schema": "n int"}))
+    rows = [("a", b"1", b"x", 0), ("b", b"2", bytes(7) + b"\x05", 1), ("b", b"2", b"short", 2),
+            ("c", b"3", b'{"n":4}', 3), ("c", b"3", b"{", 4), ("a", b"4", None, 5)]
+    log = Log(spark.createDataFrame([(*r, 0) for r in rows], "topic string, key binary, value binary, offset int, ts int"))
+    by_topic = {"a": (text, text), "b": (None, number), "c": (None, record)}
+    read = codecs.decode_mixed(log, by_topic)
+    good = {r["offset"]: r for r in read.good.df.collect()}
+    assert {n: r["value"] for n, r in good.items()} == {
+        0: Row(a="x", b=None, c=None), 1: Row(a=None, b=5, c=None), 3: Row(a=None, b=None, c=Row(n=4)),
+        5: Row(a=None, b=None, c=None)}
+    assert good[0]["key"] == Row(a="1", b=None, c=None) and good[1]["key"] == Row(a=None, b=b"2", c=None)
+    assert sorted(r["offset"] for r in read.bad.collect()) == [2, 4]
+    back = {r["offset"]: (r["key"], r["value"]) for r in codecs.encode_mixed(read.good, by_topic).df.collect()}
+    assert back == {n: (k, v) for _, k, v, n in rows if n in good}
+    scans = read.good.df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+    assert scans == 1
+    unknown = {"a": (text, text)}
+    for made in (codecs.decode_mixed(log, unknown).good, codecs.encode_mixed(read.good, unknown)):
+        with pytest.raises(Exception, match="unknown topic"):
+            made.df.collect()
+    with pytest.raises(codecs.ReadOnlyCodec):
+        codecs.encode_mixed(log, {"a": (None, codecs.codec({"format": "avro", "read_only": True}))})
+
+
 json_values = st.recursive(
     st.none() | st.booleans() | st.integers(-10 ** 9, 10 ** 9) | st.text(max_size=8),
     lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(max_size=4), x, max_size=3),

@@ -109,6 +109,23 @@ def test_branches_are_written_from_one_pass(spark, tmp_path):
     assert keyvals(read_log(spark, routes[1])) == [(1, -1)]
 
 
+def test_batch_branches_compute_their_past_once(spark, tmp_path):
+    passes = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            passes.add(batch.num_rows)
+            yield batch
+
+    log = log_of(spark, [(1, 1), (1, -1), (2, 5), (3, None)])
+    log = Log(log.df.mapInArrow(noted, log.df.schema), log.order)
+    routes = {i: topic(tmp_path / n, n) for i, n in enumerate(("pos", "neg", "none"))}
+    sinks.write_branches(log.branch_ids([lambda k, v: v >= 0, lambda k, v: v < 0, lambda k, v: v > 99]), routes)
+    assert keyvals(read_log(spark, routes[0])) == [(1, 1), (2, 5)]
+    assert keyvals(read_log(spark, routes[1])) == [(1, -1)]
+    assert passes.value == 4
+
+
 def test_effects(spark, tmp_path, capsys):
     log = log_of(spark, [(1, 1), (1, 2)])
     place = str(tmp_path / "seen")

@@ -128,6 +128,64 @@ def decode_topics(log: Log, codecs: Mapping[str, tuple[Codec | None, Codec]]) ->
             for topic, (k, v) in codecs.items()}
 
 
+def in_bytes(text: Codec) -> Codec:
+    """A codec of texts for payloads that come and go as UTF-8 bytes."""
+    return Codec(text.format, lambda c: text.decode(c.cast("string")),
+                 lambda c: text.errors(c.cast("string")),
+                 lambda v: F.encode(text.to_payload(v), "UTF-8"), text.read_only)
+
+
+ByTopic = Mapping[str, tuple[Codec | None, Codec]]
+
+
+def _for_its_topic(made: Mapping[str, Column]) -> Column:
+    """Of one column per topic the one of the record's own; it alone is computed."""
+    out = None
+    for topic, column in made.items():
+        met = F.col("topic") == topic
+        out = F.when(met, column) if out is None else out.when(met, column)
+    return out.otherwise(F.raise_error(F.concat(
+        F.lit("record comes from unknown topic: "), F.coalesce("topic", F.lit("null")))))
+
+
+def _side_by_side(column: str, fns: Mapping[str, Callable[[Column], Column]]) -> Column:
+    return F.struct(*[F.when(F.col("topic") == t, fn(F.col(column))).alias(t)
+                      for t, fn in fns.items()])
+
+
+def decode_mixed(log: Log, codecs: ByTopic) -> Decoded:
+    """Decode a log of many topics in one pass.
+
+    The value becomes a struct with a field per topic, of which a record's own is set; so does the
+    key if any topic has a key codec (a topic without one then keeps its payload).  A record of a
+    topic without codecs fails the job.
+    """
+    keyed = any(k for k, _ in codecs.values())
+    wrong = {t: F.concat(v.errors(F.col(VALUE)), k.errors(F.col(KEY))) if k else v.errors(F.col(VALUE))
+             for t, (k, v) in codecs.items()}
+    checked = log.df.withColumn("errors", _for_its_topic(wrong))
+    good = checked.where(F.size("errors") == 0).drop("errors")
+    good = good.withColumn(VALUE, _side_by_side(VALUE, {t: v.decode for t, (_, v) in codecs.items()}))
+    if keyed:
+        good = good.withColumn(KEY, _side_by_side(KEY, {
+            t: k.decode if k else (lambda c: c) for t, (k, _) in codecs.items()}))
+    return Decoded(Log(good, log.order), checked.where(F.size("errors") > 0))
+
+
+def encode_mixed(log: Log, codecs: ByTopic) -> Log:
+    """Encode a log of many topics in one pass: what ``decode_mixed`` gives becomes payloads again.
+
+    All topics share the payload column, so their codecs have to give one type (see ``in_bytes``).
+    A record of a topic without codecs fails the job, a read-only codec is refused.
+    """
+    own = {t: v.encode(F.col(VALUE)[t]) for t, (_, v) in codecs.items()}
+    df = log.df.withColumn(VALUE, _for_its_topic(own))
+    if any(k for k, _ in codecs.values()):
+        keys = {t: k.encode(F.col(KEY)[t]) if k else F.col(KEY)[t] for t, (k, _) in codecs.items()}
+        df = df.withColumn(KEY, _for_its_topic(keys))
+    return Log(df, log.order)
+
+
 def evolved(frames: list[DataFrame], schema) -> DataFrame:
     """Rows written with several versions of a record schema, read with the newest.
 

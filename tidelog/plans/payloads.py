@@ -150,6 +150,13 @@ def schema_evolution(spark, d):
     return codecs.evolved([part(0, a), part(1, a, b), part(2, a, b, c)], ORDER_V3)
 
 
+JSON_TOPICS = ("view", "error", "signup")
+BY_TOPIC = {"click": (None, codecs.codec({"format": "string"})),
+            "purchase": (None, codecs.codec({"format": "long"})),
+            **{t: (None, codecs.in_bytes(codecs.codec({"format": "json", "schema": "k int"})))
+               for t in JSON_TOPICS}}
+
+
 @query("decode_topics", """
 SELECT event_type AS topic, event_id,
   CASE event_type WHEN 'click' THEN CAST(user_id AS VARCHAR)
@@ -157,28 +164,57 @@ SELECT event_type AS topic, event_id,
     ELSE CAST(json_extract(props, '$.k') AS VARCHAR) END AS value
 FROM events""")
 def decode_topics(spark, d):
-    """Raw payloads of five topics, each decoded by its own codec."""
+    """Raw payloads of five topics, each decoded by its own codec, in one pass."""
+    read = codecs.decode_mixed(_raw_topics(spark, d), BY_TOPIC).good.df
+    value = F.coalesce("value.click", F.col("value.purchase").cast("string"),
+                       *[F.col(f"value.{t}.k").cast("string") for t in JSON_TOPICS])
+    return read.select("topic", F.col("offset").alias("event_id"), value.alias("value"))
+
+
+def _raw_topics(spark, d):
     raw = F.when(F.col("event_type") == "click", F.encode(F.col("user_id").cast("string"), "UTF-8"))
     raw = raw.when(F.col("event_type") == "purchase", S.long_to_bytes(F.col("event_id") * 3))
     raw = raw.otherwise(F.encode("props", "UTF-8"))
-    log = Log.of(table(spark, d, "events"), "user_id", raw, "ts", "event_id",
-                 topic=F.col("event_type"))
-    json = codecs.codec({"format": "json", "schema": "k int"})
-    text = lambda c: F.decode(c, "UTF-8")
-    as_json = codecs.Codec("json", lambda c: json.decode(text(c)), lambda c: json.errors(text(c)),
-                           json.to_payload)
-    by_topic = {"click": (None, codecs.codec({"format": "string"})),
-                "purchase": (None, codecs.codec({"format": "long"})),
-                **{t: (None, as_json) for t in ("view", "error", "signup")}}
-    frames = []
-    for topic, read in codecs.decode_topics(log, by_topic).items():
-        value = F.col("value.k") if by_topic[topic][1] is as_json else F.col("value")
-        frames.append(read.good.df.select("topic", F.col("offset").alias("event_id"),
-                                          value.cast("string").alias("value")))
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
-    return out
+    return Log.of(table(spark, d, "events"), "user_id", raw, "ts", "event_id",
+                  topic=F.col("event_type"))
+
+
+@query("encode_topics", """
+SELECT event_type AS topic, event_id, CASE event_type
+    WHEN 'click' THEN hex(CAST(user_id AS VARCHAR))
+    WHEN 'purchase' THEN printf('%016X', event_id * 3)
+    ELSE hex('{"k":' || json_extract_string(props, '$.k') || '}') END AS payload
+FROM events""")
+def encode_topics(spark, d):
+    """Payloads of five topics, decoded and encoded again by each topic's codec, in one pass."""
+    read = codecs.decode_mixed(_raw_topics(spark, d), BY_TOPIC).good
+    made = codecs.encode_mixed(read, BY_TOPIC)
+    return made.df.select("topic", F.col("offset").alias("event_id"), F.hex("value").alias("payload"))
+
+
+@query("read_only_decode", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+def read_only_decode(spark, d):
+    """A read-only codec without a schema decodes whatever the payload holds."""
+    codec = codecs.codec({"format": "avro", "read_only": True})
+    log = Log.of(table(spark, d, "events"), "user_id", "props", "ts", "event_id")
+    read = codecs.decode_log(log, codec).good.df
+    return read.select(F.col("offset").alias("event_id"),
+                       F.try_variant_get("value", "$.k", "bigint").alias("k"))
+
+
+@query("mangled_names", """
+SELECT '{"event_id":' || event_id || ',"who_is":{"user_id":' || user_id || '}}' AS record,
+  event_type || '_v2' AS name, event_type || '-v2' AS back FROM events""")
+def mangled_names(spark, d):
+    """Names with dashes, of nested fields and in data, made fit for Avro and turned back."""
+    df = table(spark, d, "events").select(
+        F.struct(F.col("event_id").alias("event-id"),
+                 F.struct(F.col("user_id").alias("user-id")).alias("who-is")).alias("r"),
+        avro.mangled(F.concat("event_type", F.lit("-v2"))).alias("name"))
+    fit = avro.renamed(df.schema["r"].dataType, avro.mangled)
+    return df.select(F.to_json(F.col("r").cast(fit)).alias("record"), "name",
+                     avro.unmangled(F.col("name")).alias("back"))
 
 
 # -- validation ---------------------------------------------------------------------------------

@@ -1,13 +1,15 @@
 """Filters, projections, routing, topics."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidelog import session
 from tidelog.operators.validate import to_validated
 from tidelog.plans.registry import (ACCOUNT_STATE, ACCOUNTS, EVENTS, accounts, amounts, as_double,
                                     events, query, typed)
-from tidelog.sources.sinks import append_log, write_as_text, write_log
-from tidelog.sources.topics import Catalog, Topic, read_log, read_logs, read_pattern, subscribe
+from tidelog.sources.sinks import append_log, write_as_text, write_branches, write_log
+from tidelog.sources.topics import (Catalog, Topic, read_log, read_logs, read_pattern, subscribe,
+                                    topics_of)
 
 DOUBLE_V = "CAST(v AS DOUBLE)"
 
@@ -104,6 +106,42 @@ def count_observed(spark, d):
     return seen.df.agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last"))
 
 
+@query("peek_metric", f"""
+SELECT count(*) AS records, CAST(sum(v) AS DOUBLE) AS total FROM ({EVENTS}) WHERE v > 50""")
+def peek_metric(spark, d):
+    """What a peek has measured once the records have passed it."""
+    seen = Observation()
+    log = amounts(spark, d).filter(lambda k, v: v > 50)
+    passing = log.peek(seen, F.count(F.lit(1)).alias("records"), F.sum("value").alias("total"))
+    passing.map_values(lambda v: v * 2).df.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(seen.get["records"], float(seen.get["total"]))],
+                                 "records long, total double")
+
+
+@query("for_each_effects", f"""
+SELECT count(*) AS records, CAST(sum(v) AS DOUBLE) AS total FROM ({EVENTS}) WHERE v > 50""")
+def for_each_effects(spark, d):
+    """An action called with every record, here adding to counters of the driver."""
+    records, cents = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def action(row):
+        records.add(1)
+        cents.add(int(row["value"] * 100))
+
+    amounts(spark, d).filter(lambda k, v: v > 50).for_each(action)
+    return spark.createDataFrame([(records.value, cents.value / 100)], "records long, total double")
+
+
+@query("branches_to_topics", f"""
+SELECT CASE WHEN v > 70 THEN 'high' ELSE 'middle' END AS topic, user_id, {DOUBLE_V} AS value, event_id
+FROM ({EVENTS}) WHERE v > 30""")
+def branches_to_topics(spark, d):
+    """Branches written to a topic each, from one pass; records of no branch are dropped."""
+    routes = {0: _topic(spark, "high", partitions=4), 1: _topic(spark, "middle")}
+    write_branches(amounts(spark, d).branch_ids([lambda k, v: v > 70, lambda k, v: v > 30]), routes)
+    return _read_back(read_logs(spark, list(routes.values())))
+
+
 # -- topics on storage ----------------------------------------------------------
 
 
@@ -157,6 +195,16 @@ def text_lines(spark, d):
     return spark.read.text(place).withColumnRenamed("value", "line")
 
 
+@query("topic_exists", """
+SELECT event_type AS topic, event_type IN ('purchase', 'click') AS present
+FROM events GROUP BY event_type""")
+def topic_exists(spark, d):
+    """Which of the event types have a topic."""
+    catalog = _event_topics(spark, d)
+    asked = [r["topic"] for r in topics_of(events(spark, d)).collect()]  # one row per topic
+    return spark.createDataFrame([(t, catalog.exists(t)) for t in asked], "topic string, present boolean")
+
+
 @query("pattern_topic", TOPICS + " AND event_type LIKE 'cl%'")
 def pattern_topic(spark, d):
     return _read_back(read_pattern(spark, _event_topics(spark, d), "cl.*"))

@@ -108,3 +108,22 @@ def process_counts(spark, d):
 
     log: Log = amounts(spark, d).transform(step, "long", "long", [Store("n", "long", _both)])
     return log.to_table().snapshot().select("key", F.col("value").alias("n"))
+
+
+@query("process_effects", f"""
+SELECT CAST(sum(n) AS BIGINT) AS records, CAST(sum(n // 3) AS BIGINT) AS thirds FROM (
+  SELECT user_id, count(*) AS n FROM ({EVENTS}) WHERE v > 50 GROUP BY user_id)""")
+def process_effects(spark, d):
+    """A step run for its effects only: every third large amount of a user is told to the driver."""
+    context = spark.sparkContext
+    records, thirds = context.accumulator(0), context.accumulator(0)
+
+    def step(ctx, key, value):
+        cell = ctx.store("n")
+        cell.put((cell.get() or 0) + 1)
+        records.add(1)
+        if cell.get() % 3 == 0:
+            thirds.add(1)
+
+    amounts(spark, d).filter(lambda k, v: v > 50).process(step, [Store("n", "long")])
+    return spark.createDataFrame([(records.value, thirds.value)], "records long, thirds long")

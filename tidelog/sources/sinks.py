@@ -86,25 +86,21 @@ def write_through(log: Log, topic: Topic, checkpoint: str | None = None) -> Log:
 def write_branches(log: Log, routes: Mapping[int, Topic]) -> None:
     """Write the records of ``Log.branch_ids`` to one topic per branch.
 
-    On a stream all branches are written from one pass over each micro-batch.
+    The records are written once, laid out by branch, to the shared folder; each topic then takes
+    the files of its branch.  Their past is computed once, whatever the number of topics; on a
+    stream once per micro-batch.
     """
     def one(df: DataFrame) -> None:
+        place = session.shared_folder(df.sparkSession, "branches")
+        df.where(F.col("branch").isin(*routes)).write.partitionBy("branch").parquet(place)
+        laid = df.sparkSession.read.schema(df.schema).parquet(place)
         for branch, topic in routes.items():
-            rows = df.where(F.col("branch") == branch).drop("branch")
-            write_log(Log(rows, log.order), topic)
+            write_log(Log(laid.where(F.col("branch") == branch).drop("branch"), log.order), topic)
 
     if not log.streaming:
         return one(log.df)
     place = session.shared_folder(log.df.sparkSession, "checkpoint")
-
-    def batch(df: DataFrame, _id: int) -> None:
-        df.persist()
-        try:
-            one(df)
-        finally:
-            df.unpersist()
-
-    (log.df.writeStream.foreachBatch(batch).option("checkpointLocation", place)
+    (log.df.writeStream.foreachBatch(lambda df, _id: one(df)).option("checkpointLocation", place)
      .trigger(availableNow=True).start().awaitTermination())
 
 
