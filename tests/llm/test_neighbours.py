@@ -73,3 +73,26 @@ def test_recall_over_hundreds_of_lists(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = listed(nearest(frame, F.col("vec_id") % 97 == 0, list_rows=40))
     assert recall(found, brute(rows, lambda i: i % 97 == 0, 20)) >= 0.9
+
+
+def test_the_ratio_prunes_and_finds(spark):
+    """By the lists alone, 20,000 vectors in 500 lists: what is entered, read and found."""
+    vectors = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()])
+    for noise in (0.5, 0.1):
+        rng = np.random.default_rng(1)
+        many = np.concatenate([vectors + rng.normal(size=vectors.shape) * vectors.std() * noise for _ in range(10)])
+        longest = np.linalg.norm(many, axis=1).max() * (1 + 1e-12)
+        lists = neighbours.Centroids(many[rng.permutation(len(many))[:10_000]], longest, -(-len(many) // neighbours.LIST_ROWS))
+        entered = lists.enter(many)
+        sizes = np.bincount(np.concatenate(entered), minlength=len(lists.points))
+        assert 1.01 * len(many) < sizes.sum() < 1.5 * len(many) and min(map(len, entered)) == 1
+        for step in (97, 400):
+            found, read = [], []
+            for q in range(0, len(many), step):
+                gone_to = lists.search(many[q], sizes)
+                read.append(sizes[gone_to].sum() / len(many))
+                scores = many @ many[q]
+                scores[q] = -np.inf
+                gone_to = set(gone_to)
+                found += [not gone_to.isdisjoint(entered[v].tolist()) for v in np.argsort(-scores)[:20]]
+            assert np.mean(found) >= 0.9 and np.mean(read) <= 0.65

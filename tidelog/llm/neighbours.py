@@ -2,10 +2,13 @@
 
 Vectors are placed so that the largest inner product is the smallest distance: all are scaled
 by the longest and get one more component that makes their lengths equal.  Centroids fitted on
-a bounded sample head the posting lists.  A vector near a boundary is entered in several lists
-(all whose distance is within a ratio of the nearest, unless a nearer list already stands for
-that direction); a list beyond a number of rows is cut into blocks.  A query searches a graph
-of the centroids held in memory and goes to all lists within a distance ratio of its nearest.
+a bounded sample head the posting lists.  A vector near a boundary is entered in several lists,
+those whose distance is within a ratio of the nearest; a list beyond a number of rows is cut into
+blocks.  A query searches a graph of the centroids held in memory and goes to all lists within a
+distance ratio of its nearest, or of the usual nearest distance if its own is less (a query that
+sits on a centroid would find no other list within any ratio).  The ratio is fitted to the sample:
+the least at which ``GOAL`` of the neighbours that rows of the sample have in it lie in lists the
+ratio selects.  Neighbours among all rows are nearer than those in a sample, so more of them are found.
 The nearest few lists are scored first; of the others only rows that reach the ``k``-th score
 found there come out, which loses nothing.
 Blocks of lists meet blocks of queries in one task each, which scores them in double precision.
@@ -26,11 +29,15 @@ from tidelog.llm.common import stored
 FIT_ROWS = 20_000
 MOST_CENTROIDS = 2_048
 # Rows a list should hold; rows and queries of one block.
-LIST_ROWS = 256
+LIST_ROWS = 40
 BLOCK_ROWS, BLOCK_QUERIES = 4_096, 1_024
 ROUNDS = 8
-# A vector enters lists up to this ratio of its nearest distance, a query searches up to that.
-ENTER_RATIO, SEARCH_RATIO = 1.08, 1.5
+# A vector enters the lists up to this ratio of its nearest distance, and no more than these.
+ENTER_RATIO, MOST_ENTERED = 1.02, 8
+# The share of neighbours the search ratio is fitted to, rows of the sample it is fitted with, their neighbours.
+GOAL, FIT_QUERIES, FIT_NEIGHBOURS = 0.97, 400, 20
+# Queries one task searches the graph for.
+SEARCHED = 256
 # Lists a query goes to at least, and rows they must hold together; beyond that the ratio alone decides.
 LEAST_LISTS, LEAST_ROWS = 8, 1_000
 LINKS = 16
@@ -60,7 +67,10 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Centroids:
-    """Centroids, and a graph that links each to its nearest and to one random other."""
+    """Centroids, and a graph that links each to its nearest, to those it is near to, and to one random other.
+
+    Links go both ways: few centroids have the outer ones among their nearest, and no other way leads there.
+    """
 
     def __init__(self, sample: np.ndarray, longest: float, count: int) -> None:
         rng = np.random.default_rng(SEED)
@@ -79,23 +89,39 @@ class Centroids:
             for empty in np.flatnonzero(~full):
                 self.points[empty] = points[rng.choice(np.flatnonzero(nearest == held.argmax()))]
         between = _distances(self.points, self.points)
-        self.links = [np.unique(np.r_[np.argsort(row)[1:LINKS + 1], rng.integers(count)]) for row in between]
-        self.between = between
+        linked = np.zeros((count, count), bool)
+        for at, row in enumerate(between):
+            linked[at, np.r_[np.argsort(row)[1:LINKS + 1], rng.integers(count)]] = True
+        self.links = [np.flatnonzero(row) for row in linked | linked.T]
         self.start = int(between.sum(axis=1).argmin())
+        self._fit_ratio(sample, rng)
+
+    def _fit_ratio(self, sample: np.ndarray, rng: np.random.Generator) -> None:
+        picked = rng.choice(len(sample), min(FIT_QUERIES, len(sample)), replace=False)
+        units = sample[picked] / np.linalg.norm(sample[picked], axis=1)[:, None]
+        far = _distances(np.c_[units, np.zeros(len(picked))], self.points)
+        self.usual = float(np.median(far.min(axis=1)))
+        ratios = far / np.maximum(far.min(axis=1), self.usual)[:, None]
+        scores = sample[picked] @ sample.T
+        scores[np.arange(len(picked)), picked] = -np.inf
+        held = min(FIT_NEIGHBOURS, len(sample) - 1)
+        near = np.argsort(-scores, axis=1, kind="stable")[:, :held]
+        lists = self.enter(sample[near.ravel()])
+        needed = [ratios[i // held, x].min() for i, x in enumerate(lists)]
+        self.ratio = max(1.0, float(np.quantile(needed, GOAL))) if needed else 1.0
 
     def enter(self, vectors: np.ndarray) -> list[np.ndarray]:
         """The lists each vector is entered in, nearest first."""
+        if not len(vectors):
+            return []
         far = _distances(_raised(vectors, self.longest), self.points)
-        out = []
-        for row in far:
-            near = np.flatnonzero(row <= ENTER_RATIO * row.min())
-            near = near[np.argsort(row[near], kind="stable")]
-            chosen = [near[0]]
-            for at in near[1:]:
-                if (self.between[at, chosen] > row[at]).all():
-                    chosen.append(at)
-            out.append(np.array(chosen))
-        return out
+        order = np.argsort(far, axis=1, kind="stable")[:, :MOST_ENTERED]
+        near = np.take_along_axis(far, order, axis=1)
+        held = (near <= ENTER_RATIO * near[:, :1]).sum(axis=1)
+        return [row[:n] for row, n in zip(order, held)]
+
+    def too_far(self, far: float, nearest: float) -> bool:
+        return far > self.ratio * max(nearest, self.usual)
 
     def search(self, query: np.ndarray, sizes: np.ndarray) -> list[int]:
         """Lists for a query: best first through the graph, pruned by distance ratio."""
@@ -105,7 +131,7 @@ class Centroids:
         nearest, held = first, 0
         while ahead:
             far, at = heapq.heappop(ahead)
-            if len(found) >= LEAST_LISTS and held >= LEAST_ROWS and far > SEARCH_RATIO * nearest:
+            if len(found) >= LEAST_LISTS and held >= LEAST_ROWS and self.too_far(far, nearest):
                 break
             found.append((far, at))
             nearest, held = min(nearest, far), held + int(sizes[at])
@@ -118,7 +144,7 @@ class Centroids:
         found.sort()
         held, lists = 0, []
         for far, at in found:
-            if len(lists) >= LEAST_LISTS and held >= LEAST_ROWS and far > SEARCH_RATIO * found[0][0]:
+            if len(lists) >= LEAST_LISTS and held >= LEAST_ROWS and self.too_far(far, found[0][0]):
                 break
             lists.append(at)
             held += int(sizes[at])
@@ -178,7 +204,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("vector"), pa.array(
                 lists, pa.list_(pa.int32()))], ["id", "vector", "lists"])
 
-    asked = rows.where("asks").dropDuplicates(["id"]).select("id", "vector")
+    asks = rows.where("asks")
+    parts = max(1, -(-asks.count() // SEARCHED))
+    asked = asks.repartition(parts, "id").dropDuplicates(["id"]).select("id", "vector")
     asked = stored(asked.mapInArrow(ask, "id long, vector array<double>, lists array<int>").select(
         "id", "vector", F.posexplode("lists").alias("at", "list")), "asked")
 
