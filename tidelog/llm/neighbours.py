@@ -8,7 +8,8 @@ blocks.  A query searches a graph of the centroids held in memory and goes to al
 distance ratio of its nearest, or of the usual nearest distance if its own is less (a query that
 sits on a centroid would find no other list within any ratio).  The ratio is fitted to the sample:
 the least at which ``GOAL`` of the neighbours that rows of the sample have in it lie in lists the
-ratio selects.  Neighbours among all rows are nearer than those in a sample, so more of them are found.
+ratio selects; of a sample that is a share of all rows, that share of the neighbours is looked for,
+which are about as near as all of them among all rows.
 The nearest few lists are scored first; of the others only rows that reach the ``k``-th score
 found there come out, which loses nothing.
 Blocks of lists meet blocks of queries in one task each, which scores them in double precision.
@@ -16,8 +17,6 @@ Blocks of lists meet blocks of queries in one task each, which scores them in do
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -33,9 +32,11 @@ LIST_ROWS = 40
 BLOCK_ROWS, BLOCK_QUERIES = 4_096, 1_024
 ROUNDS = 8
 # A vector enters the lists up to this ratio of its nearest distance, and no more than these.
-ENTER_RATIO, MOST_ENTERED = 1.02, 8
+ENTER_RATIO, MOST_ENTERED = 1.005, 8
 # The share of neighbours the search ratio is fitted to, rows of the sample it is fitted with, their neighbours.
 GOAL, FIT_QUERIES, FIT_NEIGHBOURS = 0.97, 400, 20
+# Vectors whose distances to all centroids are held at once, in the driver as in tasks.
+AT_ONCE = 1_024
 # Queries one task searches the graph for.
 SEARCHED = 256
 # Lists a query goes to at least, and rows they must hold together; beyond that the ratio alone decides.
@@ -66,20 +67,24 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0))
 
 
+def _pieces(rows: np.ndarray) -> list[np.ndarray]:
+    return [rows[i:i + AT_ONCE] for i in range(0, len(rows), AT_ONCE)]
+
+
 class Centroids:
     """Centroids, and a graph that links each to its nearest, to those it is near to, and to one random other.
 
     Links go both ways: few centroids have the outer ones among their nearest, and no other way leads there.
     """
 
-    def __init__(self, sample: np.ndarray, longest: float, count: int) -> None:
+    def __init__(self, sample: np.ndarray, longest: float, count: int, rows: int | None = None) -> None:
         rng = np.random.default_rng(SEED)
         self.longest = longest
         points = np.unique(_raised(sample, longest), axis=0)
         count = max(1, min(count, len(points)))
         self.points = points[rng.choice(len(points), count, replace=False)]
         for _ in range(ROUNDS):
-            nearest = _distances(points, self.points).argmin(axis=1)
+            nearest = np.concatenate([_distances(p, self.points).argmin(axis=1) for p in _pieces(points)])
             held = np.bincount(nearest, minlength=count)
             sums = np.zeros_like(self.points)
             np.add.at(sums, nearest, points)
@@ -92,65 +97,62 @@ class Centroids:
         linked = np.zeros((count, count), bool)
         for at, row in enumerate(between):
             linked[at, np.r_[np.argsort(row)[1:LINKS + 1], rng.integers(count)]] = True
-        self.links = [np.flatnonzero(row) for row in linked | linked.T]
+        self.linked = linked | linked.T
         self.start = int(between.sum(axis=1).argmin())
-        self._fit_ratio(sample, rng)
+        self._fit_ratio(sample, len(sample) / (rows or len(sample)), rng)
 
-    def _fit_ratio(self, sample: np.ndarray, rng: np.random.Generator) -> None:
+    def _fit_ratio(self, sample: np.ndarray, share: float, rng: np.random.Generator) -> None:
+        """``share`` of all rows are in the sample, and as many of the neighbours looked for."""
         picked = rng.choice(len(sample), min(FIT_QUERIES, len(sample)), replace=False)
         units = sample[picked] / np.linalg.norm(sample[picked], axis=1)[:, None]
         far = _distances(np.c_[units, np.zeros(len(picked))], self.points)
         self.usual = float(np.median(far.min(axis=1)))
         ratios = far / np.maximum(far.min(axis=1), self.usual)[:, None]
-        scores = sample[picked] @ sample.T
-        scores[np.arange(len(picked)), picked] = -np.inf
-        held = min(FIT_NEIGHBOURS, len(sample) - 1)
-        near = np.argsort(-scores, axis=1, kind="stable")[:, :held]
-        lists = self.enter(sample[near.ravel()])
+        held, near = min(max(1, round(FIT_NEIGHBOURS * share)), len(sample) - 1), []
+        for at in picked:
+            scores = sample @ sample[at]
+            scores[at] = -np.inf
+            near.append(np.argsort(-scores, kind="stable")[:held])
+        lists = self.enter(sample[np.concatenate(near)])
         needed = [ratios[i // held, x].min() for i, x in enumerate(lists)]
         self.ratio = max(1.0, float(np.quantile(needed, GOAL))) if needed else 1.0
 
     def enter(self, vectors: np.ndarray) -> list[np.ndarray]:
         """The lists each vector is entered in, nearest first."""
-        if not len(vectors):
-            return []
-        far = _distances(_raised(vectors, self.longest), self.points)
-        order = np.argsort(far, axis=1, kind="stable")[:, :MOST_ENTERED]
-        near = np.take_along_axis(far, order, axis=1)
-        held = (near <= ENTER_RATIO * near[:, :1]).sum(axis=1)
-        return [row[:n] for row, n in zip(order, held)]
-
-    def too_far(self, far: float, nearest: float) -> bool:
-        return far > self.ratio * max(nearest, self.usual)
+        out = []
+        for piece in _pieces(vectors):
+            far = _distances(_raised(piece, self.longest), self.points)
+            order = np.argsort(far, axis=1, kind="stable")[:, :MOST_ENTERED]
+            near = np.take_along_axis(far, order, axis=1)
+            held = (near <= ENTER_RATIO * near[:, :1]).sum(axis=1)
+            out += [row[:n].copy() for row, n in zip(order, held)]
+        return out
 
     def search(self, query: np.ndarray, sizes: np.ndarray) -> list[int]:
-        """Lists for a query: best first through the graph, pruned by distance ratio."""
+        """Lists for a query, nearest first: from near to near through the graph, pruned by distance ratio."""
         unit = np.r_[query / np.sqrt(query @ query), 0.0]
-        first = float(np.linalg.norm(self.points[self.start] - unit))
-        seen, ahead, found = {self.start}, [(first, self.start)], []
-        nearest, held = first, 0
-        while ahead:
-            far, at = heapq.heappop(ahead)
-            if len(found) >= LEAST_LISTS and held >= LEAST_ROWS and self.too_far(far, nearest):
-                break
-            found.append((far, at))
-            nearest, held = min(nearest, far), held + int(sizes[at])
-            fresh = [int(x) for x in self.links[at] if int(x) not in seen]
-            if fresh:
-                seen.update(fresh)
-                reach = np.linalg.norm(self.points[fresh] - unit, axis=1)
-                for d, x in zip(reach.tolist(), fresh):
-                    heapq.heappush(ahead, (d, x))
-        found.sort()
-        held, lists = 0, []
-        for far, at in found:
-            if len(lists) >= LEAST_LISTS and held >= LEAST_ROWS and self.too_far(far, found[0][0]):
-                break
-            lists.append(at)
-            held += int(sizes[at])
-        if held < min(LEAST_ROWS, int(sizes.sum())):
-            return list(range(len(sizes)))
-        return lists
+        count = len(self.points)
+        far, known, followed = np.full(count, np.inf), np.zeros(count, bool), np.zeros(count, bool)
+        fresh = np.array([self.start])
+        while len(fresh):
+            known[fresh] = True
+            far[fresh] = np.linalg.norm(self.points[fresh] - unit, axis=1)
+            # All centroids within the ratio are followed, and the nearest ones until they hold enough.
+            order = np.flatnonzero(known)
+            order = order[np.argsort(far[order], kind="stable")]
+            lists = order[:self._wanted(far[order], sizes[order])]
+            ahead = lists[~followed[lists]]
+            followed[ahead] = True
+            fresh = np.flatnonzero(self.linked[ahead].any(axis=0) & ~known)
+        if sizes[lists].sum() < min(LEAST_ROWS, int(sizes.sum())):
+            return list(range(count))
+        return lists.tolist()
+
+    def _wanted(self, far: np.ndarray, sizes: np.ndarray) -> int:
+        """How many of the lists, nearest first, a query goes to."""
+        near = far <= self.ratio * max(far[0], self.usual)
+        held = np.cumsum(sizes) - sizes
+        return int((near | (np.arange(len(far)) < LEAST_LISTS) | (held < LEAST_ROWS)).sum())
 
 
 def fit(vectors: DataFrame, list_rows: int = LIST_ROWS, limit: int = FIT_ROWS) -> Centroids | None:
@@ -161,7 +163,7 @@ def fit(vectors: DataFrame, list_rows: int = LIST_ROWS, limit: int = FIT_ROWS) -
         return None
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(limit).select("vector").toArrow()
     return Centroids(_matrix(sample["vector"].combine_chunks()), longest * (1 + 1e-12),
-                     min(MOST_CENTROIDS, -(-rows // list_rows)))
+                     min(MOST_CENTROIDS, -(-rows // list_rows)), rows)
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id",
