@@ -1,5 +1,7 @@
 """Filters, projections, routing, topics."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from tidelog import session
 from tidelog.operators.validate import to_validated
 from tidelog.plans.registry import (ACCOUNT_STATE, ACCOUNTS, EVENTS, accounts, amounts, as_double,
                                     events, query, typed)
+from tidelog.sources.indexed import append_indexed, indexed_offsets, read_indexed
 from tidelog.sources.sinks import append_log, write_as_text, write_branches, write_log
 from tidelog.sources.topics import (Catalog, Topic, read_log, read_logs, read_pattern, subscribe,
                                     topics_of)
@@ -236,6 +239,37 @@ def append_offsets(spark, d):
         "partition", "offset", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+INDEXED = f"""SELECT part, ts, event_id, row_number() OVER (
+    PARTITION BY part ORDER BY second, ts, event_id) - 1 AS n
+  FROM (SELECT *, CAST(event_type <> 'purchase' AS INTEGER) AS second FROM ({EVENTS})
+        WHERE event_type IN ('purchase', 'click'))"""
+
+
+def _indexed(spark, d):
+    topic = _topic(spark, "indexed", partitions=4, partition_fn=lambda k, v, n: k % n)
+    for name in ("purchase", "click"):
+        append_indexed(typed(events(spark, d), name).map_values(lambda v: v["amount"]), topic)
+    return topic
+
+
+@query("indexed_offsets", f"""
+SELECT 'indexed' AS topic, part AS partition, 0::BIGINT AS begin_offset, count(*) AS end_offset
+FROM ({INDEXED}) GROUP BY part""")
+def indexed_topic_offsets(spark, d):
+    """Offsets of a topic with a manifest after two appends; no data is read."""
+    return indexed_offsets(spark, _indexed(spark, d))
+
+
+@query("indexed_seek", f"""
+SELECT part AS partition, n AS "offset", ts FROM ({INDEXED}) JOIN (
+  SELECT part, min(n) FILTER (ts >= TIMESTAMP '2024-01-20 12:00:00') AS head FROM ({INDEXED}) GROUP BY part)
+USING (part) WHERE n >= head""")
+def indexed_seek(spark, d):
+    """From a time on, opening only the folders the manifest names."""
+    log = read_indexed(spark, _indexed(spark, d), since=datetime(2024, 1, 20, 12, tzinfo=timezone.utc))
+    return log.df.select("partition", "offset", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 # -- tables -------------------------------------------------------------------------
 
 

@@ -20,7 +20,7 @@ class ReadOnlyTopic(RuntimeError):
     """The topic was declared read-only."""
 
 
-def _placed(log: Log, topic: Topic) -> DataFrame:
+def placed(log: Log, topic: Topic) -> DataFrame:
     """Rows in the topic's schema, with the partition its partition function gives."""
     if topic.partition_fn:
         partition = topic.partition_fn(F.col(KEY), F.col(VALUE), topic.partitions)
@@ -48,7 +48,7 @@ def write_log(log: Log, topic: Topic, checkpoint: str | None = None) -> Streamin
         raise ReadOnlyTopic(f"topic {topic.name!r} is read-only")
     if topic.format == "kafka":
         return _write_kafka(log, topic, checkpoint)
-    rows = _typed(_placed(log, topic), topic)
+    rows = typed_rows(placed(log, topic), topic)
     if log.streaming:
         place = checkpoint or session.shared_folder(rows.sparkSession, "checkpoint")
         return (rows.writeStream.format(topic.format).option("path", topic.path)
@@ -58,12 +58,12 @@ def write_log(log: Log, topic: Topic, checkpoint: str | None = None) -> Streamin
     return None
 
 
-def _typed(df: DataFrame, topic: Topic) -> DataFrame:
+def typed_rows(df: DataFrame, topic: Topic) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in topic.schema])
 
 
 def _write_kafka(log: Log, topic: Topic, checkpoint: str | None):
-    rows = _placed(log, topic).select(
+    rows = placed(log, topic).select(
         serialized(F.col(KEY), log.key_type).alias(KEY),
         serialized(F.col(VALUE), log.value_type).alias(VALUE), "headers", "partition")
     if log.streaming:
@@ -113,8 +113,7 @@ def append_log(log: Log, topic: Topic) -> DataFrame:
     if topic.read_only:
         raise ReadOnlyTopic(f"topic {topic.name!r} is read-only")
     spark = log.df.sparkSession
-    placed = _placed(log, topic)
-    line = Timeline.of(placed, ("partition",), log.order).running("__n", "count", F.lit(1))
+    line = Timeline.of(placed(log, topic), ("partition",), log.order).running("__n", "count", F.lit(1))
     numbered = line.frame
     last = _last_offsets(spark, topic)
     if last is not None:
@@ -123,7 +122,7 @@ def append_log(log: Log, topic: Topic) -> DataFrame:
     else:
         numbered = numbered.withColumn("__last", F.lit(None).cast("long"))
     offset = F.coalesce(F.col("__last"), F.lit(-1).cast("long")) + F.col("__n")
-    rows = session.pinned(_typed(numbered.withColumn("offset", offset), topic))
+    rows = session.pinned(typed_rows(numbered.withColumn("offset", offset), topic))
     rows.write.mode("append").partitionBy("partition").format(topic.format).save(topic.path)
     return rows.select(F.lit(topic.name).alias("topic"), "partition", "offset", "ts")
 
