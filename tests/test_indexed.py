@@ -94,7 +94,7 @@ def test_uncommitted_data_is_invisible(spark, tmp_path, monkeypatch):
     def fails(self, name, text):
         raise OSError("gone")
 
-    monkeypatch.setattr(indexed._Files, "create", fails)
+    monkeypatch.setattr(indexed.Files, "create", fails)
     with pytest.raises(OSError):
         indexed.append_indexed(log_of(spark, [(0, 2)]), t)
     monkeypatch.undo()

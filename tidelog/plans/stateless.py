@@ -6,10 +6,12 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidelog import session
+from tidelog.operators.log import Log
 from tidelog.operators.validate import to_validated
 from tidelog.plans.registry import (ACCOUNT_STATE, ACCOUNTS, EVENTS, accounts, amounts, as_double,
                                     events, query, typed)
 from tidelog.sources.indexed import append_indexed, indexed_offsets, read_indexed
+from tidelog.sources.named import NamedTable
 from tidelog.sources.sinks import append_log, write_as_text, write_branches, write_log
 from tidelog.sources.topics import (Catalog, Topic, read_log, read_logs, read_pattern, subscribe,
                                     topics_of)
@@ -291,6 +293,33 @@ def table_from_topic(spark, d):
         F.col("key").alias("user_id"), as_double("value").alias("value"))
 
 
+def _account_state(spark, d):
+    """The accounts, taken in by two upserts with a compaction between them."""
+    from tidelog.plans.registry import accounts_log
+    log = accounts_log(spark, d)
+    kept = NamedTable(session.shared_folder(spark, "accounts"), "bigint", "decimal(12,2)", 8)
+    for early in (True, False):
+        half = (F.col("ts") < F.lit("2024-01-15").cast("timestamp")) == F.lit(early)
+        kept.upsert(Log(log.df.where(half), log.order))
+        if early:
+            kept.compact(spark)
+    return kept
+
+
+@query("named_table", f"SELECT user_id, {DOUBLE_V} AS value FROM ({ACCOUNT_STATE})")
+def named_table(spark, d):
+    return _account_state(spark, d).snapshot(spark).select(
+        F.col("key").alias("user_id"), as_double("value").alias("value"))
+
+
+@query("named_table_lookup", f"""
+SELECT user_id, {DOUBLE_V} AS value FROM ({ACCOUNT_STATE}) WHERE user_id IN (3, 7, 8)""")
+def named_table_lookup(spark, d):
+    """Some keys of a table on storage; only their buckets are read."""
+    return _account_state(spark, d).lookup(spark, [3, 7, 8]).select(
+        F.col("key").alias("user_id"), as_double("value").alias("value"))
+
+
 FILTERED = f"""
 SELECT user_id, event_id, CAST(out AS DOUBLE) AS value FROM (
   SELECT *, lag(out) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM (

@@ -33,7 +33,7 @@ from tidelog.sources.topics import Topic
 ENTRY = "batch string, partition int, base long, rows long, first_ts timestamp, last_ts timestamp"
 
 
-class _Files:
+class Files:
     """The few file operations a commit needs, by Hadoop's file system of the path."""
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -70,7 +70,7 @@ class _Files:
 
 def _latest(spark: SparkSession, topic: Topic) -> tuple[int, dict[int, int]]:
     """(number of the last commit or -1, the next offset of each partition)."""
-    names = [n for n in _Files(spark, f"{topic.path}/manifest").names() if n.endswith(".json")]
+    names = [n for n in Files(spark, f"{topic.path}/manifest").names() if n.endswith(".json")]
     if not names:
         return -1, {}
     # a line per log partition
@@ -96,7 +96,7 @@ def append_indexed(log: Log, topic: Topic) -> DataFrame:
     stats = {r["partition"]: r for r in written.groupBy("partition").agg(
         F.count(F.lit(1)).alias("rows"), F.min("ts").cast("string").alias("first_ts"),
         F.max("ts").cast("string").alias("last_ts")).collect()}
-    files = _Files(spark, f"{topic.path}/manifest")
+    files = Files(spark, f"{topic.path}/manifest")
     while True:
         last, ends = _latest(spark, topic)
         entries = []
