@@ -82,7 +82,7 @@ def test_the_ratio_prunes_and_finds(spark):
         rng = np.random.default_rng(1)
         many = np.concatenate([vectors + rng.normal(size=vectors.shape) * vectors.std() * noise for _ in range(10)])
         longest = np.linalg.norm(many, axis=1).max() * (1 + 1e-12)
-        lists = neighbours.Centroids(many[rng.permutation(len(many))[:10_000]], longest, -(-len(many) // neighbours.LIST_ROWS), len(many))
+        lists = neighbours.Centroids(many[rng.permutation(len(many))[:10_000]], longest, -(-len(many) // 40), len(many))
         entered = lists.enter(many)
         sizes = np.bincount(np.concatenate(entered), minlength=len(lists.points))
         assert 1.001 * len(many) < sizes.sum() < 1.5 * len(many) and min(map(len, entered)) == 1

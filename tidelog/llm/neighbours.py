@@ -28,7 +28,7 @@ from tidelog.llm.common import stored
 FIT_ROWS = 20_000
 MOST_CENTROIDS = 2_048
 # Rows a list should hold; rows and queries of one block.
-LIST_ROWS = 40
+LIST_ROWS = 256
 BLOCK_ROWS, BLOCK_QUERIES = 4_096, 1_024
 ROUNDS = 8
 # A vector enters the lists up to this ratio of its nearest distance, and no more than these.
