@@ -124,12 +124,20 @@ def table_join(left: Table, right: Table, joiner: Pairwise, how: str = "inner")
         a, b = left.updates(), right.updates()
         order = _tag_order(a, b)
         line = Timeline.of(_tagged((a, "__l"), (b, "__r")), (KEY,), order, a.derived or b.derived)
-        line = line.all_running(__ln=("last", F.col("__l")), __rn=("last", F.col("__r")))
-        l, r = F.col("__ln.value"), F.col("__rn.value")  # noqa: E741
-        live = {"inner": l.isNotNull() & r.isNotNull(), "left": l.isNotNull(),
-                "full": l.isNotNull() | r.isNotNull()}[how]
-        line = line.with_columns(value=F.when(live, joiner(l, r)))
-        line = line.previous("__before", F.col(VALUE))
+
+        def joined(l: Column, r: Column) -> Column:  # noqa: E741
+            live = {"inner": l.isNotNull() & r.isNotNull(), "left": l.isNotNull(),
+                    "full": l.isNotNull() | r.isNotNull()}[how]
+            return F.when(live, joiner(l, r))
+
+        sides = {"__ln": ("last", F.col("__l")), "__rn": ("last", F.col("__r"))}
+        now = joined(F.col("__ln.value"), F.col("__rn.value"))
+        if line.whole.isStreaming:
+            # both sides before the record give the value before it: one state, not three
+            line = line.all_running(**sides, __lb=("prior", F.col("__l")), __rb=("prior", F.col("__r")))
+            line = line.with_columns(value=now, __before=joined(F.col("__lb.value"), F.col("__rb.value")))
+        else:
+            line = line.all_running(**sides).with_columns(value=now).previous("__before", F.col(VALUE))
         out = line.frame.where(F.col(VALUE).isNotNull() | F.col("__before").isNotNull())
         out = out.withColumnRenamed("__side", "side")
         order = tuple("side" if c == "__side" else c for c in order)

@@ -165,10 +165,7 @@ class Timeline:
     def all_running(self, **columns: tuple[str, Column]) -> Timeline:
         """Several running columns that do not need one another, in one pass."""
         if self.whole.isStreaming:
-            line = self
-            for name, (kind, expr) in columns.items():
-                line = line._streamed(name, kind, expr)
-            return line
+            return self._streamed(**columns)
         return self._added(*[self._running(n, kind, expr) for n, (kind, expr) in columns.items()])
 
     def latest(self, name: str, expr: Column) -> Timeline:
@@ -182,7 +179,7 @@ class Timeline:
     def previous(self, name: str, expr: Column) -> Timeline:
         """``expr`` of the row before (null for the first row of a key)."""
         if self.whole.isStreaming:
-            return self._streamed(name, "previous", expr)
+            return self._streamed(**{name: ("previous", expr)})
         return self._step(name, expr, back=True)
 
     def following(self, name: str, expr: Column) -> Timeline:
@@ -191,10 +188,10 @@ class Timeline:
 
     # -- plumbing --------------------------------------------------------
 
-    def _streamed(self, name: str, kind: str, expr: Column) -> Timeline:
+    def _streamed(self, **columns: tuple[str, Column]) -> Timeline:
         """On a stream the past is state: what was seen of a key in earlier batches."""
-        from tidelog.streaming.processors import keyed_column
-        return self._each(lambda df: keyed_column(df, self.keys, self.order, name, kind, expr))
+        from tidelog.streaming.processors import keyed_columns
+        return self._each(lambda df: keyed_columns(df, self.keys, self.order, columns))
 
     def _within(self, sliced: bool, forward: bool = True):
         cut = (SLICE,) if sliced else ()

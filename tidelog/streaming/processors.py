@@ -3,10 +3,15 @@
 A micro-batch hands a key's records over unordered, so each processor sorts what
 it got of one key; ``maxBytesPerTrigger`` (or ``maxFilesPerTrigger``) of the
 source bounds that.  State lives in the RocksDB store and survives lost executors.
+
+Each group a processor is called with costs several calls from Python to the state
+store, some milliseconds.  Where keys are many they share groups (``bundled``): the
+state of all keys of a bundle is read once and written once in a micro-batch.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 from itertools import groupby
 
@@ -61,6 +66,48 @@ def in_order(rows: Iterator[Row], order: Sequence[str]) -> list[Row]:
     return sorted(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in order))
 
 
+# Bundles a stream's keys are dealt to.  It may not change while a query has a checkpoint.
+BUNDLES = 4096
+BUNDLE, ID = "__bundle", "__id"
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+          "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def bundled(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the name ``__id`` of a row's key and the number of its bundle."""
+    def part(k: str) -> Column:
+        # the two zeros are one key
+        real = isinstance(df.schema[k].dataType, (T.DoubleType, T.FloatType))
+        return (F.col(k) + F.lit(0.0) if real else F.col(k)).alias(k)
+
+    named = df.withColumn(ID, F.to_json(F.struct(*map(part, keys)), _EXACT))
+    return named.withColumn(BUNDLE, F.pmod(F.xxhash64(ID), F.lit(BUNDLES)).cast("int"))
+
+
+def by_key(rows: Iterator[Row]) -> dict[str, list[Row]]:
+    out = {}
+    for row in rows:
+        out.setdefault(row[ID], []).append(row)
+    return out
+
+
+class BundleState:
+    """What is kept for each key of a bundle, by the key's name: one value of the store."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self._state = handle.getValueState("bundle", T.StructType([T.StructField("held", T.BinaryType())]))
+
+    def load(self) -> dict:
+        got = self._state.get()
+        return {} if got is None else pickle.loads(bytes(got[0]))
+
+    def save(self, held: dict) -> None:
+        if held:
+            self._state.update((pickle.dumps(held, pickle.HIGHEST_PROTOCOL),))
+        else:
+            self._state.clear()
+
+
 def _emitter(schema: T.StructType):
     make = Row(*schema.names)
     names = schema.names
@@ -101,70 +148,68 @@ def keyed_process(log: Log, outputs, stores, schema: T.StructType) -> DataFrame:
 
 # Merging a new input into a running value, by kind.
 _ADVANCE = {"sum": lambda a, x: a + x, "count": lambda a, x: a + 1, "min": min, "max": max,
-            "first": lambda a, x: a, "last": lambda a, x: x}
+            "first": lambda a, x: a, "last": lambda a, x: x, "prior": lambda a, x: x}
+# kinds whose value is one of the inputs
+_PICKED = ("previous", "prior", "first", "last")
 
 
 class ColumnProcessor(StatefulProcessor):
-    """Adds to each record a value computed from the records of its key so far.
+    """Adds to each record values computed from the records of its key so far.
 
-    ``kind`` is that of a running aggregate (nulls are skipped), or ``previous``
-    for the value of the record before.
+    A ``kind`` is that of a running aggregate (nulls are skipped), ``prior`` for the last
+    value before the record, or ``previous`` for the value of the record before.
     """
 
-    def __init__(self, kind: str, name: str, order, schema, state_type):
-        self.kind, self.name, self.order = kind, name, order
-        self.schema, self.state_type = schema, state_type
+    def __init__(self, kinds: Sequence[str], names: Sequence[str], order, schema):
+        self.kinds, self.order, self.schema = tuple(kinds), order, schema
+        self.kept = [c for c in schema.names if c not in names]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cell = StateCell(handle.getValueState("running", boxed(self.state_type)))
-        self.emit = _emitter(self.schema)
+        self.state = BundleState(handle)
+        self.make = Row(*self.schema.names)
 
     def handleInputRows(self, key, rows, timerValues):
-        self.cell.load()
-        for row in in_order(rows, self.order):
-            x, now = (self.comparable(v) for v in (plain(row["__x"]), self.cell.get()))
-            if self.kind == "previous":
-                out = now
-                self.cell.put(x)
-            else:
-                out = self.advanced(now, x)
-                if out is not None:
-                    self.cell.put(out)
-            yield self.emit({**row.asDict(), self.name: out})
-        self.cell.save()
-
-    def comparable(self, x):
-        """Instants come with a time zone from rows and without one from state."""
-        instant = isinstance(self.state_type, T.TimestampType) and x is not None
-        return x.astimezone() if instant and x.tzinfo is None else x
-
-    def advanced(self, now, x):
-        if now is None and self.kind == "count":
+        held = self.state.load()
+        for name, mine in by_key(rows).items():
+            now = held.setdefault(name, [None] * len(self.kinds))
+            for row in in_order(mine, self.order):
+                out = []
+                for i, kind in enumerate(self.kinds):
+                    x, was = plain(row[f"__x{i}"]), now[i]
+                    now[i] = x if kind == "previous" else self.advanced(kind, was, x)
+                    out.append(was if kind in ("previous", "prior") else now[i])
+                yield self.make(*[row[c] for c in self.kept], *out)
+        self.state.save(held)
+
+    def advanced(self, kind, now, x):
+        if now is None and kind == "count":
             now = 0
         if x is None:
             return now
-        return x if now is None else _ADVANCE[self.kind](now, x)
+        return x if now is None else _ADVANCE[kind](now, x)
 
     def close(self) -> None:
         pass
 
 
-def keyed_column(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, kind: str,
-                 expr: Column) -> DataFrame:
-    """``df`` with a column as ``Timeline`` adds it, on a stream."""
+def keyed_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  columns: dict[str, tuple[str, Column]]) -> DataFrame:
+    """``df`` with columns (name: kind, expression) as ``Timeline`` adds them, on a stream."""
     if "window" in keys:
         # built anew, so that ``ts`` alone carries the watermark
         df = df.withColumn("window", F.struct(F.col("window.start").alias("start"), F.col("window.end").alias("end")))
-    rows = df.withColumn("__x", expr)
+    rows = df.withColumns({f"__x{i}": expr for i, (_, expr) in enumerate(columns.values())})
     # the batch plan's type, so that both forms give the same schema
-    fn = {"previous": F.max_by, "first": F.max_by, "last": F.max_by}.get(kind)
-    result = fn("__x", F.lit(1)) if fn else getattr(F, kind)("__x")
-    kept = T.StructField(name, rows.agg(result.alias(name)).schema[name].dataType)
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema] + [kept])
+    types = []
+    for i, (name, (kind, _)) in enumerate(columns.items()):
+        fn = F.max_by(f"__x{i}", F.lit(1)) if kind in _PICKED else getattr(F, kind)(f"__x{i}")
+        types.append(T.StructField(name, rows.agg(fn.alias(name)).schema[name].dataType))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema] + types)
     timed = any("spark.watermarkDelayMs" in f.metadata for f in df.schema)
     mode = {"timeMode": "eventTime", "eventTimeColumnName": "ts"} if timed else {"timeMode": "none"}
-    return rows.groupBy(*keys).transformWithState(
-        ColumnProcessor(kind, name, tuple(order), schema, kept.dataType), schema, "append", **mode)
+    kinds = [kind for kind, _ in columns.values()]
+    return bundled(rows, keys).groupBy(BUNDLE).transformWithState(
+        ColumnProcessor(kinds, tuple(columns), tuple(order), schema), schema, "append", **mode)
 
 
 class FoldProcessor(StatefulProcessor):
@@ -173,27 +218,25 @@ class FoldProcessor(StatefulProcessor):
     def __init__(self, fold, order, schema, every: bool):
         self.zero, self.step, self.order, self.schema = fold.zero, fold.step, order, schema
         self.every = every
-        # boxed twice, since a fold may well arrive at null
-        self.type = boxed(boxed(schema[VALUE].dataType))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cell = StateCell(handle.getValueState("fold", self.type))
+        self.state = BundleState(handle)
         self.emit = _emitter(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        self.cell.load()
-        held, row = self.cell.get(), None
-        acc = self.zero if held is None else held["v"]
-        for row in in_order(rows, self.order):
-            row = row.asDict(recursive=True)
-            acc = self.step(acc, row[KEY], row[VALUE])
-            if self.every:
-                yield self.emit({**row, VALUE: acc})
-        if row is not None:
-            self.cell.put({"v": acc})
+        held = self.state.load()
+        for name, mine in by_key(rows).items():
+            # boxed, since a fold may well arrive at null
+            acc = held[name][0] if name in held else self.zero
+            for row in in_order(mine, self.order):
+                row = row.asDict(recursive=True)
+                acc = self.step(acc, row[KEY], row[VALUE])
+                if self.every:
+                    yield self.emit({**row, VALUE: acc})
+            held[name] = (acc,)
             if not self.every:
                 yield self.emit({**row, VALUE: acc})
-        self.cell.save()
+        self.state.save(held)
 
     def close(self) -> None:
         pass
@@ -201,7 +244,7 @@ class FoldProcessor(StatefulProcessor):
 
 def keyed_fold(rows: DataFrame, fold, order, schema: T.StructType, every: bool) -> DataFrame:
     mode = "append" if every else "update"
-    return rows.groupBy(KEY).transformWithState(
+    return bundled(rows, (KEY,)).groupBy(BUNDLE).transformWithState(
         FoldProcessor(fold, order, schema, every), schema, mode, "none")
 
 
@@ -212,33 +255,35 @@ class ReferenceProcessor(StatefulProcessor):
         self.order, self.schema = order, schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        key, left, right = (boxed(self.schema[c].dataType) for c in (KEY, "__l", "__r"))
-        self.right = StateCell(handle.getValueState("right", right))
-        self.left = handle.getMapState("left", key, left)
+        self.state = BundleState(handle)
         self.emit = _emitter(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        self.right.load()
-        for row in in_order(rows, self.order):
-            row = row.asDict(recursive=True)
-            if row["__side"] == 1:
-                before = self.right.get()
-                self.right.put(row["__r"])
-                if before is not None or row["__r"] is not None:
-                    for who, value in self.left.iterator():
-                        yield self.met(row, plain(who[0]), plain(value[0]))
-            else:
-                who, value = row["__lk"], row["__l"]
-                if value is None:
-                    self.left.removeKey((who,))
+        held = self.state.load()
+        for name, mine in by_key(rows).items():
+            right, left = held.get(name, (None, {}))
+            for row in in_order(mine, self.order):
+                row = row.asDict(recursive=True)
+                if row["__side"] == 1:
+                    before, right = right, row["__r"]
+                    if before is not None or right is not None:
+                        for who, value in left.values():
+                            yield self.met(row, who, value, right)
                 else:
-                    self.left.updateValue((who,), (value,))
-                if self.right.get() is not None:
-                    yield self.met(row, who, value)
-        self.right.save()
+                    who, value = row["__lk"], row["__l"]
+                    if value is None:
+                        left.pop(row["__lid"], None)
+                    else:
+                        left[row["__lid"]] = (who, value)
+                    if right is not None:
+                        yield self.met(row, who, value, right)
+            if right is not None or left:
+                held[name] = (right, left)
+            else:
+                held.pop(name, None)
+        self.state.save(held)
 
-    def met(self, row: dict, who, left):
-        right = self.right.get()
+    def met(self, row: dict, who, left, right):
         return self.emit({**row, KEY: who, "__l": left, "__r": right,
                           "__live": left is not None and right is not None})
 
@@ -252,7 +297,9 @@ def keyed_references(both: DataFrame, order: Sequence[str]) -> DataFrame:
         (KEY, "__lk"), ("__l", "__l"), ("__r", "__r"))]
     schema = T.StructType([*fields, T.StructField("__live", T.BooleanType()),
                            *[both.schema[c] for c in order]])
-    return both.groupBy("__fk").transformWithState(
+    # left keys by name, too: a key may be of a type that Python cannot look up
+    both = bundled(both, ("__lk",)).withColumnRenamed(ID, "__lid").drop(BUNDLE)
+    return bundled(both, ("__fk",)).groupBy(BUNDLE).transformWithState(
         ReferenceProcessor(tuple(order), schema), schema, "append", "none")
 
 
@@ -266,9 +313,10 @@ class PositionProcessor(StatefulProcessor):
         self.emit = _emitter(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        changes = in_order(rows, (*self.order, "__live"))
-        for _, same in groupby(changes, key=lambda r: tuple(r[c] for c in self.order)):
-            yield self.emit(list(same)[-1].asDict())
+        for mine in by_key(rows).values():
+            changes = in_order(mine, (*self.order, "__live"))
+            for _, same in groupby(changes, key=lambda r: tuple(r[c] for c in self.order)):
+                yield self.emit(list(same)[-1].asDict())
 
     def close(self) -> None:
         pass
@@ -276,7 +324,7 @@ class PositionProcessor(StatefulProcessor):
 
 def one_per_position(changes: DataFrame, order: Sequence[str]) -> DataFrame:
     schema = T.StructType([f for f in changes.schema if f.name != "__live"])
-    return changes.groupBy(KEY).transformWithState(
+    return bundled(changes, (KEY,)).groupBy(BUNDLE).transformWithState(
         PositionProcessor(tuple(order), schema), schema, "append", "none")
 
 
@@ -291,17 +339,21 @@ class SessionProcessor(StatefulProcessor):
         self.kind, self.gap, self.keep_ms, self.order, self.schema = kind, gap, keep_ms, order, schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getMapState("sessions", boxed(T.LongType()), T.StructType([
-            T.StructField("end", T.LongType()), T.StructField("at", T.LongType()),
-            T.StructField("value", self.schema[VALUE].dataType)]))
+        self.state = BundleState(handle)
         self.emit = _emitter(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        held = {start[0]: (s[0], s[1], plain(s[2])) for start, s in self.state.iterator()}
-        known = dict(held)
+        held = self.state.load()
         if self.keep_ms is not None:
             passed = (timerValues.getCurrentWatermarkInMs() - self.keep_ms) * 1000
-            held = {start: s for start, s in held.items() if s[0] >= passed}
+            held = {name: {start: s for start, s in sessions.items() if s[0] >= passed}
+                    for name, sessions in held.items()}
+        for name, mine in by_key(rows).items():
+            yield from self.extended(held.setdefault(name, {}), mine)
+        self.state.save({name: sessions for name, sessions in held.items() if sessions})
+
+    def extended(self, held: dict, rows):
+        """Takes a key's records into its sessions (start: end, time of the value, value)."""
         for row in in_order(rows, self.order):
             row = row.asDict(recursive=True)
             now = row["__t"]
@@ -317,11 +369,6 @@ class SessionProcessor(StatefulProcessor):
                 yield self.emit({**row, "__start": lo, "__end": hi, "__pos": pos, "__gone": True, VALUE: None})
             yield self.emit({**row, "__start": start, "__end": end, "__pos": len(gone), "__gone": False,
                              VALUE: value})
-        for start in known.keys() - held.keys():
-            self.state.removeKey((start,))
-        for start, s in held.items():
-            if known.get(start) != s:
-                self.state.updateValue((start,), s)
 
     def entered(self, x):
         return (0 if x is None else 1) if self.kind == "count" else x
@@ -356,7 +403,7 @@ def keyed_sessions(rows: DataFrame, keys: Sequence[str], order: Sequence[str], r
     timed = any("spark.watermarkDelayMs" in f.metadata for f in rows.schema)
     mode = {"timeMode": "eventTime", "eventTimeColumnName": "ts"} if timed else {"timeMode": "none"}
     keep = gap_ms + grace_ms if timed else None
-    return rows.groupBy(*keys).transformWithState(
+    return bundled(rows, keys).groupBy(BUNDLE).transformWithState(
         SessionProcessor(reducer.kind, gap_ms * 1000, keep, tuple(order), schema), schema, "append", **mode)
 
 
@@ -412,5 +459,5 @@ def keyed_rate_limit(log: Log, keys: Sequence[str], limit_ms: int) -> Log:
     return Log(out, log.order)
 
 
-__all__ = ["keyed_column", "keyed_fold", "keyed_process", "keyed_rate_limit", "keyed_references",
+__all__ = ["keyed_columns", "keyed_fold", "keyed_process", "keyed_rate_limit", "keyed_references",
            "keyed_sessions", "one_per_position"]
