@@ -169,6 +169,52 @@ def test_late_records_meet_their_own_time(spark, tmp_path, how):
     assert got.count() > 50
 
 
+def test_records_of_one_position_all_meet_the_table(spark, tmp_path):
+    log = log_of(spark, [(HOUR, 0, 5), (HOUR + 1, 0, 7), (9 * HOUR, 0, 1), (9 * HOUR, 0, 1)])
+    twice = log._with(log.df.unionByName(log.df.where("offset = 1")))
+
+    def joined(one):
+        table = Log(one.df.where("offset % 2 = 0"), one.order).to_table()
+        return Log(one.df.where("offset % 2 = 1"), one.order).join(table, lambda a, b: a * 10 + b)
+
+    got = drain(joined(streamed(spark, twice, tmp_path).with_watermark(60_000)).df.select("key", "value"))
+    assert rows(got.where("value = 75")) == rows(joined(twice).df.select("key", "value").where("value = 75"))
+    assert got.where("value = 75").count() == 2
+
+
+def test_pieces_hold_every_event_once_and_are_late_by_ten_days_at_most(spark, tmp_path, monkeypatch):
+    from tidelog.plans import streams
+    monkeypatch.setattr(streams, "ROWS_AT_ONCE", 20)
+    days = [i * 37 % 90 for i in range(150)]
+    (spark.createDataFrame([(i, i % 7, "view", 1.0, "{}", d) for i, d in enumerate(days)],
+                           "event_id long, user_id long, event_type string, value double, props string, d int")
+     .selectExpr("*", "timestamp'2024-01-01' + make_dt_interval(d) AS ts").write.parquet(f"{tmp_path}/events.parquet"))
+    for mixed in (False, True):
+        taken = []
+        query = (streams.arriving(spark, str(tmp_path), mixed).df.select("ts", "offset").writeStream.foreachBatch(
+            lambda df, n: taken.append([(r.ts, r.offset) for r in df.collect()]))
+            .trigger(availableNow=True).start())
+        query.awaitTermination()
+        taken = [b for b in taken if b]
+        assert sorted(o for b in taken for _, o in b) == list(range(150)) and max(map(len, taken)) <= 30
+        seen, late = None, 0
+        for batch in taken:
+            if seen is not None:
+                late = max(late, (seen - min(batch)[0]).total_seconds())
+            seen = max(batch)[0] if seen is None else max(seen, max(batch)[0])
+        assert 0 < late <= 10 * 86_400 if mixed else late <= 0
+
+
+def test_a_buffer_reads_only_what_closes(spark, tmp_path, monkeypatch):
+    # each window is held under the time it closes, so a timer never walks the other ones
+    from tidelog.streaming import held
+    monkeypatch.setattr(held, "PARTS", 2)
+    log = log_of(spark, [(HOUR + i * 7_000, i % 40, i % 11) for i in range(400)] + [(9 * HOUR, k, 1) for k in range(40)])
+    stream = streamed(spark, log, tmp_path, 2).with_watermark(30_000)
+    got = drain(sums(stream).suppress(max_records=10_000).df)
+    assert rows(got.select("key", "window", "value")) == rows(sums(log).suppress().df.select("key", "window", "value"))
+
+
 # -- bounded buffers --------------------------------------------------------------------------
 
 

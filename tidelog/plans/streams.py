@@ -26,22 +26,42 @@ def stream(spark, d):
     return events_log(df.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
-def arriving(spark, d, turns):
-    """Events as a stream of one file per micro-batch: pieces of equal time, in the order of ``turns``."""
+# Rows a micro-batch of ``arriving`` is meant to hold.
+ROWS_AT_ONCE = 2_000_000
+
+
+def arriving(spark, d, mixed=False):
+    """Events as a stream of one file per micro-batch, however many there are: pieces of time, in order
+    and of about equally many rows, or equally long and in the order of ``MIXED_UP``."""
     df = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    at, ends = F.unix_micros("ts"), F.struct(F.min("ts"), F.max("ts"))
-    lo, hi = (x.timestamp() * 1_000_000 for x in df.agg(ends).first()[0])
-    piece = F.least(F.floor((at - lo) / (hi - lo) * len(turns)), F.lit(len(turns) - 1))
-    place = session.shared_folder(spark, "arriving")
-    for i, turn in enumerate(turns):
+    at = F.unix_micros("ts")
+    rows, lo, hi = df.agg(F.count("ts"), F.min(at), F.max(at)).first()
+    least = -(-rows // ROWS_AT_ONCE)
+    if rows and mixed:
+        # a record is two pieces late at most, which have to be within the delay
+        turns = max(least, -(-(hi - lo + 1) // (TEN_DAYS * 1000 // 2)), 1)
+        turns = -(-turns // len(MIXED_UP)) * len(MIXED_UP)
+        # a whole number, since a double cannot tell where a piece ends
+        piece = F.expr(f"cast((unix_micros(ts) - {lo}L) div {-(-(hi - lo + 1) // turns)}L as int)")
+        order = [k + i for k in range(0, turns, len(MIXED_UP)) for i in MIXED_UP]
+    else:
+        order = range(max(least, 5))
+        cuts = df.agg(F.percentile_approx(at, [i / len(order) for i in order[1:]], 10_000)).first()[0] or []
+        piece = sum((F.when(at > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    whole, place = session.shared_folder(spark, "pieces"), session.shared_folder(spark, "arriving")
+    df.withColumn("piece", piece).write.partitionBy("piece").parquet(whole)
+    pieces = spark.read.schema(df.withColumn("piece", F.lit(0)).schema).parquet(whole)
+    for i, turn in enumerate(order):
         # a file is a micro-batch, and files are taken in the order they were written
-        df.where(piece == turn).coalesce(1).write.parquet(f"{place}/{i}")
+        pieces.where(F.col("piece") == turn).drop("piece").coalesce(1).write.parquet(f"{place}/{i:06d}")
     files = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option(
         "recursiveFileLookup", "true").parquet(place)
     return events_log(files)
 
 
-IN_ORDER, MIXED_UP = range(5), (1, 0, 2, 4, 3, 5)
+MIXED_UP = (1, 0, 2, 4, 3, 5)
+# Records out of order wait for ten days; two pieces of time cover as many at most.
+TEN_DAYS = 10 * 24 * 3_600_000
 
 
 def amounts(spark, d):
@@ -216,14 +236,12 @@ GROUP BY user_id, start {CLOSED}"""
 @query("stream_window_fold", WINDOW_FOLDED)
 def stream_window_fold(spark, d):
     """A fold over windows, kept as state and given once its window has closed."""
-    log = arriving(spark, d, IN_ORDER).map_values(lambda v: v["amount"]).with_watermark(SIX_HOURS.grace_ms)
+    log = arriving(spark, d).map_values(lambda v: v["amount"]).with_watermark(SIX_HOURS.grace_ms)
     table = log.group_by_key().window_by_time(SIX_HOURS).fold(FLOORED)
     df = table.suppress().df
     return drain(_windows(df.withColumn("value", F.col("value.floored"))))
 
 
-# Records wait for ten days; two pieces of time cover as many.
-TEN_DAYS = 10 * 24 * 3_600_000
 PASSED = f"""l.ts <= (SELECT min(last) - INTERVAL '10 days' FROM (
   SELECT max(ts) AS last FROM ({VIEWS}) UNION ALL SELECT max(ts) FROM ({ACCOUNTS})))"""
 
@@ -231,7 +249,7 @@ PASSED = f"""l.ts <= (SELECT min(last) - INTERVAL '10 days' FROM (
 @query("stream_as_of_late", AS_OF.format(how="", where=f"WHERE r.v IS NOT NULL AND {PASSED}"))
 def stream_as_of_late(spark, d):
     """Views with the balance of their own time, though files come out of order."""
-    log = arriving(spark, d, MIXED_UP).with_watermark(TEN_DAYS)
+    log = arriving(spark, d, mixed=True).with_watermark(TEN_DAYS)
     updates = Log(log.df.where(F.col("topic").isin("purchase", "signup")), log.order).map_values(
         lambda v: F.when(v["event_type"] == "purchase", v["amount"]))
     views = typed(log, "view").map_values(lambda v: v["amount"])
@@ -243,7 +261,7 @@ def stream_as_of_late(spark, d):
 @query("stream_table_group_max", BAND_EXTREMES.format(fn="max"))
 def stream_table_group_max(spark, d):
     """The largest balance of each band; the state holds all balances in it."""
-    grouped = _table_of(arriving(spark, d, IN_ORDER)).group_by(lambda k, v: (F.floor(v / 20).cast("long"), v))
+    grouped = _table_of(arriving(spark, d)).group_by(lambda k, v: (F.floor(v / 20).cast("long"), v))
     return _changes(grouped.reduce(largest()).updates(), "band")
 
 
@@ -252,7 +270,7 @@ SELECT user_id, start, start + INTERVAL '6 hours' AS "end", CAST(sum(v) AS DOUBL
 FROM (SELECT *, {BUCKET} AS start FROM ({EVENTS})) GROUP BY user_id, start {CLOSED}""")
 def stream_suppress_bounded(spark, d):
     """Final windows from one buffer per log partition, which may hold so much and no more."""
-    log = arriving(spark, d, IN_ORDER).map_values(lambda v: v["amount"]).with_watermark(SIX_HOURS.grace_ms)
+    log = arriving(spark, d).map_values(lambda v: v["amount"]).with_watermark(SIX_HOURS.grace_ms)
     table = log.group_by_key().window_by_time(SIX_HOURS).reduce(total())
     return drain(_windows(table.suppress(max_records=1_000_000, max_bytes=256 << 20).df))
 

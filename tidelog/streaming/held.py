@@ -8,6 +8,8 @@ A window closes once stream time has reached its end plus grace, so a timer for
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -18,7 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidelog.operators.extremes import Multiset
 from tidelog.operators.log import KEY, VALUE
 from tidelog.operators.windows import SuppressBufferFull
-from tidelog.streaming.processors import StateCell, boxed, in_order, plain
+from tidelog.streaming.processors import BUNDLE, ID, BundleState, StateCell, boxed, bundled, by_key, in_order, plain
 
 DELAY = "spark.watermarkDelayMs"
 
@@ -50,6 +52,18 @@ def _row(schema: T.StructType):
     return lambda d: make(*[d[n] for n in schema.names])
 
 
+def timed_for(handle: StatefulProcessorHandle, due: int | None) -> None:
+    """One timer for a group, at ``due``, in place of those it had."""
+    known = False
+    for timer in list(handle.listTimers()):
+        if timer == due:
+            known = True
+        else:
+            handle.deleteTimer(timer)
+    if due is not None and not known:
+        handle.registerTimer(due)
+
+
 # -- folds over windows -----------------------------------------------------------------
 
 
@@ -62,40 +76,46 @@ class WindowFoldProcessor(StatefulProcessor):
     def __init__(self, fold, order, schema, every: bool, keep_ms: int | None):
         self.zero, self.step, self.order, self.schema = fold.zero, fold.step, order, schema
         self.every, self.keep_ms = every, keep_ms
-        # boxed twice, since a fold may well arrive at null
-        self.type = boxed(boxed(schema[VALUE].dataType))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.cell = StateCell(handle.getValueState("fold", self.type))
+        self.handle, self.state = handle, BundleState(handle)
         self.emit = _row(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        timed = self.keep_ms is not None
-        # an end is a whole number of milliseconds
-        closes = key[2] // 1000 + (self.keep_ms or 0)
-        if timed and timerValues.getCurrentWatermarkInMs() >= closes:
-            return
-        self.cell.load()
-        held = self.cell.get()
-        if held is None and timed:
-            self.handle.registerTimer(closes)
-        acc = self.zero if held is None else held["v"]
-        for row in in_order(rows, self.order):
-            row = row.asDict(recursive=True)
-            acc = self.step(acc, row[KEY], row[VALUE])
-            if self.every:
-                yield self.emit({**row, VALUE: acc})
-        self.cell.put({"v": acc})
-        self.cell.save()
+        # each window: key, start, end, accumulator
+        held = self.state.load()
+        passed = None if self.keep_ms is None else timerValues.getCurrentWatermarkInMs()
+        for name, mine in by_key(rows).items():
+            who = mine[0].asDict(recursive=True)
+            window = (who[KEY], who["__start"], who["__end"])
+            if passed is not None and self.closes(window) <= passed:
+                continue
+            acc = held[name][3] if name in held else self.zero
+            for row in in_order(mine, self.order):
+                row = row.asDict(recursive=True)
+                acc = self.step(acc, row[KEY], row[VALUE])
+                if self.every:
+                    yield self.emit({**row, VALUE: acc})
+            held[name] = (*window, acc)
+        yield from self.let_out(held, passed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.cell.load()
-        held = self.cell.get()
-        if held is not None and not self.every:
-            yield self.emit({KEY: key[0], "__start": key[1], "__end": key[2], VALUE: held["v"]})
-        self.cell.delete()
-        self.cell.save()
+        yield from self.let_out(self.state.load(), timerValues.getCurrentWatermarkInMs())
+
+    def closes(self, window: tuple) -> int:
+        # an end is a whole number of milliseconds
+        return window[2] // 1000 + self.keep_ms
+
+    def let_out(self, held: dict, passed: int | None):
+        """Ends the windows the watermark has passed; one timer waits for the next of the bundle."""
+        if passed is not None:
+            done = [name for name, window in held.items() if self.closes(window) <= passed]
+            for name in done:
+                window = held.pop(name)
+                if not self.every:
+                    yield self.emit({KEY: window[0], "__start": window[1], "__end": window[2], VALUE: window[3]})
+            timed_for(self.handle, min(map(self.closes, held.values()), default=None))
+        self.state.save(held)
 
     def close(self) -> None:
         pass
@@ -104,7 +124,7 @@ class WindowFoldProcessor(StatefulProcessor):
 def keyed_window_fold(rows: DataFrame, fold, order: Sequence[str], grace_ms: int, every: bool) -> DataFrame:
     """A fold over (key, window): a row for each record, or one when the window closes.
 
-    The windows of a key are groups of their own, so a hot key is spread over its windows.
+    The windows of a key lie in bundles of their own, so a hot key is spread over its windows.
     """
     delay = delay_of(rows) if every else needed_delay(rows, "a fold's final rows over windows of a stream")
     sides = {f"__{side}": F.unix_micros(f"window.{side}") for side in ("start", "end")}
@@ -113,7 +133,7 @@ def keyed_window_fold(rows: DataFrame, fold, order: Sequence[str], grace_ms: int
               dict.fromkeys((KEY, *sides, *(order if every else ())))]
     schema = T.StructType([*fields, T.StructField(VALUE, T.DataType.fromDDL(fold.schema))])
     keep = None if delay is None else grace_ms - delay
-    out = _timed(flat, (KEY, *sides), WindowFoldProcessor(fold, tuple(order), schema, every, keep), schema, every)
+    out = _timed(bundled(flat, (KEY, *sides)), (BUNDLE,), WindowFoldProcessor(fold, tuple(order), schema, every, keep), schema, every)
     window = F.struct(*[F.timestamp_micros(c).alias(c[2:]) for c in sides]).alias("window")
     return out.select(KEY, window, *(order if every else ()), VALUE)
 
@@ -128,50 +148,47 @@ class AsOfProcessor(StatefulProcessor):
     seen can still come.  Of the versions the watermark has passed, only the last is kept.
     """
 
-    def __init__(self, tail: Sequence[str], schema: T.StructType, position: T.StructType):
-        self.tail, self.schema, self.position = tuple(tail), schema, position
+    def __init__(self, tail: Sequence[str], schema: T.StructType):
+        self.tail, self.schema = tuple(tail), schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.versions = handle.getMapState("versions", self.position, boxed(self.schema["__now"].dataType))
-        self.waiting = handle.getMapState("waiting", self.position, boxed(self.schema["__row"].dataType))
+        self.handle, self.state = handle, BundleState(handle)
         self.emit = _row(self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
+        # each key: itself, versions and waiting records with their positions, which records may share
+        held = self.state.load()
         for row in rows:
             at = (row["__t"], *[row[c] for c in self.tail])
+            _, versions, waiting = held.setdefault(row[ID], (plain(row[KEY]), [], []))
             if row["__side"] == 0:
-                self.versions.updateValue(at, (row["__table"],))
+                versions.append((at, plain(row["__table"])))
             else:
-                self.waiting.updateValue(at, (row["__row"],))
-        yield from self.let_out(key, timerValues.getCurrentWatermarkInMs())
+                waiting.append((at, plain(row["__row"])))
+        yield from self.let_out(held, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from self.let_out(key, timerValues.getCurrentWatermarkInMs())
-
-    def let_out(self, key, watermark_ms: int):
-        passed = watermark_ms * 1000
-        ordered = lambda state: sorted(
-            ((tuple(at), plain(held[0])) for at, held in state.iterator()),
-            key=lambda entry: tuple((x is not None, x) for x in entry[0]))
-        versions, at = ordered(self.versions), 0
-        left = None
-        for place, row in ordered(self.waiting):
-            if place[0] > passed:
-                left = place[0] if left is None else min(left, place[0])
-                continue
-            # at equal times the table's update comes first
-            while at < len(versions) and versions[at][0][0] <= place[0]:
-                at += 1
-            yield self.emit({KEY: key[0], "ts": row["ts"], "__row": row, "__now": versions[at - 1][1] if at else None})
-            self.waiting.removeKey(place)
-        older = [place for place, _ in versions if place[0] <= passed]
-        for place in older[:-1]:
-            self.versions.removeKey(place)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if left is not None:
-            self.handle.registerTimer(-(-left // 1000))
+        yield from self.let_out(self.state.load(), timerValues.getCurrentWatermarkInMs())
+
+    def let_out(self, held: dict, watermark_ms: int):
+        passed, left, kept = watermark_ms * 1000, None, {}
+        ordered = lambda entries: sorted(
+            entries, key=lambda entry: tuple((x is not None, x) for x in entry[0]))
+        for name, (who, versions, waiting) in held.items():
+            versions, waiting, at, done = ordered(versions), ordered(waiting), 0, 0
+            for place, row in waiting:
+                if place[0] > passed:
+                    left = place[0] if left is None else min(left, place[0])
+                    break
+                # at equal times the table's update comes first
+                while at < len(versions) and versions[at][0][0] <= place[0]:
+                    at += 1
+                yield self.emit({KEY: who, "ts": row["ts"], "__row": row, "__now": versions[at - 1][1] if at else None})
+                done += 1
+            older = sum(place[0] <= passed for place, _ in versions)
+            kept[name] = (who, versions[max(older - 1, 0):], waiting[done:])
+        timed_for(self.handle, None if left is None else -(-left // 1000))
+        self.state.save(kept)
 
     def close(self) -> None:
         pass
@@ -184,8 +201,7 @@ def keyed_as_of(both: DataFrame, order: Sequence[str]) -> DataFrame:
     rows = both.withColumn("__t", F.unix_micros("ts"))
     kind = lambda name, c: T.StructField(name, rows.schema[c].dataType)
     schema = T.StructType([kind(KEY, KEY), kind("ts", "ts"), kind("__row", "__row"), kind("__now", "__table")])
-    position = T.StructType([kind(c, c) for c in ("__t", *tail)])
-    return _timed(rows, (KEY,), AsOfProcessor(tail, schema, position), schema, True)
+    return _timed(bundled(rows, (KEY,)), (BUNDLE,), AsOfProcessor(tail, schema), schema, True)
 
 
 # -- smallest and largest of a group whose rows may leave -----------------------------------
@@ -227,55 +243,73 @@ def keyed_extremes(signed: DataFrame, order: Sequence[str], reducer) -> DataFram
 # -- bounded suppression ----------------------------------------------------------------------
 
 
+# Parts the windows of one closing time are held in: a part is read and written as one value.
+PARTS = 16
+
+
 class BufferProcessor(StatefulProcessor):
     """The buffer of one log partition: the last update of every open window, with an account of
-    the records and bytes it holds; more than the limits fails the query."""
+    the records and bytes it holds; more than the limits fails the query.
 
-    def __init__(self, keys, order, schema, place: T.StructType, keep_ms: int, limits):
-        self.keys, self.order, self.schema, self.place = keys, order, schema, place
+    Windows are held by the time they close, so that a timer reads those that close with it only.
+    """
+
+    def __init__(self, keys, order, schema, keep_ms: int, limits):
+        self.keys, self.order, self.schema = keys, order, schema
         self.keep_ms, self.limits = keep_ms, limits
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        held = T.StructType([T.StructField("v", self.schema[VALUE].dataType), T.StructField("bytes", T.LongType())])
-        self.held = handle.getMapState("held", self.place, held)
+        place = T.StructType([T.StructField("closes", T.LongType()), T.StructField("part", T.IntegerType())])
+        self.held = handle.getMapState("held", place, T.StructType([T.StructField("windows", T.BinaryType())]))
         self.account = StateCell(handle.getValueState("account", boxed(T.StructType([
             T.StructField("records", T.LongType()), T.StructField("bytes", T.LongType())]))))
         self.emit = _row(self.schema)
 
+    def read(self, place: tuple) -> dict:
+        """The windows of one part: name to (key and window, value, bytes)."""
+        got = self.held.getValue(place)
+        return {} if got is None else pickle.loads(bytes(got[0]))
+
     def handleInputRows(self, key, rows, timerValues):
         self.account.load()
         now = self.account.get() or {"records": 0, "bytes": 0}
         passed = timerValues.getCurrentWatermarkInMs()
+        parts = {}
         for row in in_order(rows, self.order):
-            place = tuple(row[c] for c in self.keys)
             closes = row["__end"] // 1000 + self.keep_ms
             if closes <= passed:
                 continue
-            before = self.held.getValue(place) if self.held.containsKey(place) else None
-            if before is None:
-                self.handle.registerTimer(closes)
-            self.held.updateValue(place, (row[VALUE], row["__bytes"]))
+            name = row[ID]
+            place = (closes, zlib.crc32(name.encode()) % PARTS)
+            if place not in parts:
+                parts[place] = self.read(place)
+            before = parts[place].get(name)
+            parts[place][name] = (tuple(plain(row[c]) for c in self.keys), plain(row[VALUE]), row["__bytes"])
             now = {"records": now["records"] + (before is None),
-                   "bytes": now["bytes"] + row["__bytes"] - (before[1] if before else 0)}
+                   "bytes": now["bytes"] + row["__bytes"] - (before[2] if before else 0)}
             for what, limit in self.limits.items():
                 if limit is not None and now[what] > limit:
                     raise SuppressBufferFull(f"buffer needs {now[what]} {what}, limit is {limit}")
+        for place, windows in parts.items():
+            self.held.updateValue(place, (pickle.dumps(windows, pickle.HIGHEST_PROTOCOL),))
+        for closes in {closes for closes, _ in parts}:
+            self.handle.registerTimer(closes)
         self.account.put(now)
         self.account.save()
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        due = expiredTimerInfo.getExpiryTimeInMs()
         self.account.load()
         now = self.account.get()
-        for place, held in list(self.held.iterator()):
-            row = dict(zip(self.keys, place))
-            if row["__end"] // 1000 + self.keep_ms > due:
-                continue
-            self.held.removeKey(tuple(place))
-            now = {"records": now["records"] - 1, "bytes": now["bytes"] - held[1]}
-            yield self.emit({**row, VALUE: held[0]})
+        for part in range(PARTS):
+            place = (expiredTimerInfo.getExpiryTimeInMs(), part)
+            windows = self.read(place)
+            if windows:
+                self.held.removeKey(place)
+            for who, value, size in windows.values():
+                now = {"records": now["records"] - 1, "bytes": now["bytes"] - size}
+                yield self.emit({**dict(zip(self.keys, who)), VALUE: value})
         self.account.put(now)
         self.account.save()
 
@@ -294,8 +328,9 @@ def bounded_final(updates, keys: Sequence[str], closing_delay_ms: int, max_recor
     size = F.octet_length(F.to_json(F.struct(*keys, VALUE))).cast("long")
     rows = df.withColumns({**sides, "__bytes": size}).drop("window")
     names = tuple(c for c in (*keys, *sides) if c != "window")
+    rows = bundled(rows, names).select(*dict.fromkeys((*names, VALUE, *updates.order, "partition", "__bytes", ID)))
     fields = [T.StructField(c, rows.schema[c].dataType) for c in (*names, VALUE)]
-    processor = BufferProcessor(names, tuple(updates.order), T.StructType(fields), T.StructType(fields[:-1]),
+    processor = BufferProcessor(names, tuple(updates.order), T.StructType(fields),
                                 closing_delay_ms - delay, {"records": max_records, "bytes": max_bytes})
     out = _timed(rows, ("partition",), processor, T.StructType(fields))
     window = F.struct(*[F.timestamp_micros(c).alias(c[2:]) for c in sides]).alias("window")
