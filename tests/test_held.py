@@ -14,6 +14,7 @@ from tidelog.operators.log import Log
 from tidelog.operators.reducers import Fold, largest, smallest, total
 from tidelog.operators.windows import SuppressBufferFull, TimeWindows
 from tidelog.streaming.drain import drain
+from tidelog.streaming.held import delay_of
 
 LAST = Fold(0, lambda acc, key, value: acc * 3 % 101 + value, "long")
 MINUTE = TimeWindows(60_000, grace_ms=30_000)
@@ -99,6 +100,41 @@ def test_extremes_of_decimals_and_nulls(spark):
     assert keyvals(grouped.updates()) == [(1, None), (1, None), (1, Decimal("7.0")), (1, None)]
 
 
+def states(df):
+    """The stateful steps of a stream, last first: how they take records, and the columns they take."""
+    node, out = df._jdf.queryExecution().analyzed(), []
+    while node.children().nonEmpty():
+        if node.nodeName().startswith("TransformWithState"):
+            taken = [part.rsplit("#", 1)[0] for part in node.child().output().mkString(";").split(";")]
+            out.append((", pandas," in node.toString().split("\n")[0], taken))
+        node = node.children().head()
+    return out
+
+
+def test_a_group_on_a_stream_is_taken_in_frames(spark, tmp_path):
+    log = streamed(spark, log_of(spark, upserts(20, 3)), tmp_path)
+    (frames, _), (_, moved) = states(banded(log, largest()).updates().df)
+    # record by record, one group of some million changes takes minutes of one task
+    assert frames
+    # what the grouping does not need stays outside of state, what it needs goes there once
+    assert not {"topic", "partition", "value", "__x0"} & set(moved)
+
+
+TYPED = {"long": lambda v: F.lit(1 << 60) + v, "double": lambda v: v / 8, "string": lambda v: (v + 10).cast("string"),
+         "decimal(20,3)": lambda v: v / 8, "timestamp": lambda v: F.timestamp_micros(v + 1_700_000_000_123_456)}
+
+
+def test_extremes_on_a_stream_keep_types_and_nulls(spark, tmp_path):
+    log = log_of(spark, [(HOUR + ms, key, value) for ms, key, value in upserts(60, 9)])
+    for i, (kind, make) in enumerate(TYPED.items()):
+        value = lambda v: F.when(v % 5 != 0, make(v).cast(kind))  # noqa: E731,B023
+        group = lambda k, v: (F.concat(F.lit('"\u00e9'), F.floor(v / 10).cast("string")), value(v))  # noqa: E731,B023
+        got, want = (it.to_table().group_by(group).reduce(largest()).updates().df.select("key", "value", "ts", "offset")
+                     for it in (streamed(spark, log, tmp_path / str(i)).with_watermark(1_000), log))
+        assert delay_of(got) == 1_000 and got.dtypes == want.dtypes
+        assert rows(drain(got)) == rows(want)
+
+
 # -- folds over windows on streams ----------------------------------------------------------
 
 

@@ -115,7 +115,9 @@ class GroupedTable:
         line = Timeline.of(log.df, self.table.keys, log.order, log.derived)
         live = lambda key, value: F.when(value.isNotNull(), self._mapped(key, value))
         line = line.with_columns(__new=live(F.col(KEY), F.col(VALUE)))
-        line = line.previous("__old", F.col("__new"))
+        # state on a stream takes and gives every column it is handed
+        line = line.keeping(*self.table.keys, *log.order, "ts", "__new")
+        line = line.previous("__old", "__new")
         change = lambda c, sign: F.when(F.col(c).isNotNull(), F.struct(
             F.col(c)[KEY].alias(KEY), F.col(c)[VALUE].alias(VALUE), F.lit(sign).alias("sign")))
         both = F.filter(F.array(change("__old", -1), change("__new", 1)), lambda x: x.isNotNull())

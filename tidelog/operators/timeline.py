@@ -145,6 +145,10 @@ class Timeline:
     def with_columns(self, **columns: Column) -> Timeline:
         return self._each(lambda df: df.withColumns(columns))
 
+    def keeping(self, *names: str) -> Timeline:
+        """Only these columns, as far as they are there."""
+        return self._each(lambda df: df.select(*[c for c in df.columns if c in (*names, SLICE)]))
+
     @property
     def frame(self) -> DataFrame:
         return self.whole if self.cut is None else self.whole.unionByName(self.cut.drop(SLICE))
@@ -176,8 +180,9 @@ class Timeline:
         """First non-null ``expr`` from the row on (batch only)."""
         return self._added(self._reach(name, expr, back=False))
 
-    def previous(self, name: str, expr: Column) -> Timeline:
-        """``expr`` of the row before (null for the first row of a key)."""
+    def previous(self, name: str, expr: Column | str) -> Timeline:
+        """``expr`` of the row before (null for the first row of a key).  On a stream state takes a
+        column given by its name as it is, an expression next to the other columns."""
         if self.whole.isStreaming:
             return self._streamed(**{name: ("previous", expr)})
         return self._step(name, expr, back=True)
@@ -251,10 +256,10 @@ class Timeline:
             pick(expr, F.when(expr.isNotNull(), self._position())), self._neighbour(back),
             lambda c, x: F.coalesce(x, c))
 
-    def _step(self, name: str, expr: Column, back: bool) -> Timeline:
+    def _step(self, name: str, expr: Column | str, back: bool) -> Timeline:
         move = F.lag if back else F.lead
         # boxed, so that a null of the neighbour row differs from "no neighbour row"
-        boxed = F.struct(expr.alias("v"))
+        boxed = F.struct((F.col(expr) if isinstance(expr, str) else expr).alias("v"))
         pick = F.max_by if back else F.min_by
         added = self._added(Step(
             "__box", lambda sliced: move(boxed).over(self._within(sliced)),

@@ -12,15 +12,19 @@ import pickle
 import zlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.operators.extremes import Multiset
 from tidelog.operators.log import KEY, VALUE
 from tidelog.operators.windows import SuppressBufferFull
-from tidelog.streaming.processors import BUNDLE, ID, BundleState, StateCell, boxed, bundled, by_key, in_order, plain
+from tidelog.streaming.processors import BUNDLE, ID, BundleState, StateCell, boxed, bundled, by_key, in_order, key_named, plain
 
 DELAY = "spark.watermarkDelayMs"
 
@@ -208,36 +212,72 @@ def keyed_as_of(both: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 class ExtremeProcessor(StatefulProcessor):
-    """The values of one group with how often each is there, kept in order while a batch is taken."""
+    """The values of one group with how often each is there, kept in order while a batch is taken.
+
+    Groups are few and large, so their records come and go as frames, not one by one.
+    """
 
     def __init__(self, kind: str, order, schema: T.StructType):
         self.kind, self.order, self.schema = kind, order, schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getMapState("values", boxed(self.schema[VALUE].dataType), boxed(T.LongType()))
-        self.emit = _row(self.schema)
+        self.state = BundleState(handle)
 
     def handleInputRows(self, key, rows, timerValues):
-        held = Multiset((plain(x[0]), n[0]) for x, n in self.state.iterator())
-        before = dict(held.counts)
-        for row in in_order(rows, self.order):
-            held.add(row["__x"], row["sign"])
-            yield self.emit({**row.asDict(), VALUE: held.least if self.kind == "min" else held.most})
-        for x in before.keys() | held.counts.keys():
-            if x not in held.counts:
-                self.state.removeKey((x,))
-            elif before.get(x) != held.counts[x]:
-                self.state.updateValue((x,), (held.counts[x],))
+        frame = pd.concat(list(rows), ignore_index=True)
+        places = range(len(self.order))
+        # a missing position comes first
+        frame = frame.sort_values([name for i in places for name in (f"known{i}", f"at{i}")], ignore_index=True)
+        held, least = Multiset(self.state.load().items()), self.kind == "min"
+        extremes = []
+        for x, there, sign in zip(*(frame[c].tolist() for c in ("x", "known", "sign"))):
+            held.add(x if there else None, sign)
+            extremes.append(held.least if least else held.most)
+        self.state.save(held.counts)
+        out = [given(frame[f"at{i}"], ~frame[f"known{i}"].to_numpy(bool), self.schema[c].dataType)
+               for i, c in enumerate(self.order)]
+        out.append(given(pd.Series(extremes, dtype=object), np.array([x is None for x in extremes]),
+                         self.schema[VALUE].dataType))
+        yield pd.DataFrame(dict(zip(self.schema.names, [key[0], *out])))
 
     def close(self) -> None:
         pass
 
 
+def exact(df: DataFrame, name: str) -> tuple[Column, Column]:
+    """A column in a form that pandas does not alter (instants as microseconds, numbers without
+    nulls), and whether there is a value."""
+    c, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        c = F.coalesce(F.unix_micros(c), F.lit(0))
+    elif isinstance(kind, T.NumericType) and not isinstance(kind, T.DecimalType):
+        c = F.coalesce(c, F.lit(0).cast(kind))
+    return c, F.col(name).isNotNull()
+
+
+def given(values: pd.Series, missing: np.ndarray, kind: T.DataType) -> pd.Series:
+    """Values of the form ``exact`` makes in their own type."""
+    kind = to_arrow_type(kind)
+    if values.dtype == object:
+        out = pa.array(values.to_numpy(), type=kind, mask=missing)
+    else:
+        out = pa.array(values.to_numpy(), mask=missing).cast(kind)
+    return pd.Series(pd.arrays.ArrowExtensionArray(out))
+
+
 def keyed_extremes(signed: DataFrame, order: Sequence[str], reducer) -> DataFrame:
-    rows = signed.withColumn("__x", reducer.input())
-    schema = T.StructType([*[T.StructField(c, rows.schema[c].dataType) for c in (KEY, *order)],
+    rows = bundled(signed.withColumn("__x", reducer.input()), (KEY,))
+    # no name begins with an underscore: the frames a processor gets would lose it
+    forms = {("x", "known"): "__x", **{(f"at{i}", f"known{i}"): c for i, c in enumerate(order)}}
+    sent = [c.alias(name) for names, of in forms.items() for name, c in zip(names, exact(rows, of))]
+    # the time itself goes along only where a watermark has to be kept
+    timed = delay_of(rows) is not None
+    schema = T.StructType([T.StructField(ID, T.StringType()), *[T.StructField(c, rows.schema[c].dataType) for c in order],
                            T.StructField(VALUE, rows.schema["__x"].dataType)])
-    return _timed(rows, (KEY,), ExtremeProcessor(reducer.kind, tuple(order), schema), schema, True)
+    mode = {"timeMode": "eventTime", "eventTimeColumnName": "ts"} if timed else {"timeMode": "none"}
+    out = rows.select(ID, "sign", *sent, *(["ts"] if timed else [])).groupBy(ID).transformWithStateInPandas(
+        ExtremeProcessor(reducer.kind, tuple(order), schema), schema, "append", **mode)
+    return out.select(key_named(rows.schema[KEY].dataType), *order, VALUE)
 
 
 # -- bounded suppression ----------------------------------------------------------------------

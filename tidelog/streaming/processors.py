@@ -63,7 +63,8 @@ def boxed(t: T.DataType) -> T.StructType:
 
 
 def in_order(rows: Iterator[Row], order: Sequence[str]) -> list[Row]:
-    return sorted(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in order))
+    rows = list(rows)
+    return rows if len(rows) < 2 else sorted(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in order))
 
 
 # Bundles a stream's keys are dealt to.  It may not change while a query has a checkpoint.
@@ -84,6 +85,11 @@ def bundled(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return named.withColumn(BUNDLE, F.pmod(F.xxhash64(ID), F.lit(BUNDLES)).cast("int"))
 
 
+def key_named(kind: T.DataType) -> Column:
+    """The one key that ``__id`` names."""
+    return F.from_json(ID, T.StructType([T.StructField(KEY, kind)]), _EXACT)[KEY].alias(KEY)
+
+
 def by_key(rows: Iterator[Row]) -> dict[str, list[Row]]:
     out = {}
     for row in rows:
@@ -160,8 +166,8 @@ class ColumnProcessor(StatefulProcessor):
     value before the record, or ``previous`` for the value of the record before.
     """
 
-    def __init__(self, kinds: Sequence[str], names: Sequence[str], order, schema):
-        self.kinds, self.order, self.schema = tuple(kinds), order, schema
+    def __init__(self, kinds: Sequence[str], inputs: Sequence[str], names: Sequence[str], order, schema):
+        self.kinds, self.inputs, self.order, self.schema = tuple(kinds), tuple(inputs), order, schema
         self.kept = [c for c in schema.names if c not in names]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -169,16 +175,20 @@ class ColumnProcessor(StatefulProcessor):
         self.make = Row(*self.schema.names)
 
     def handleInputRows(self, key, rows, timerValues):
-        held = self.state.load()
+        held, kept = self.state.load(), None
         for name, mine in by_key(rows).items():
+            # places, since a row looks for a name along all of its names
+            if kept is None:
+                names = mine[0].__fields__
+                kept, inputs = ([names.index(c) for c in cs] for cs in (self.kept, self.inputs))
             now = held.setdefault(name, [None] * len(self.kinds))
             for row in in_order(mine, self.order):
-                out = []
+                row, out = tuple(row), []
                 for i, kind in enumerate(self.kinds):
-                    x, was = plain(row[f"__x{i}"]), now[i]
+                    x, was = plain(row[inputs[i]]), now[i]
                     now[i] = x if kind == "previous" else self.advanced(kind, was, x)
                     out.append(was if kind in ("previous", "prior") else now[i])
-                yield self.make(*[row[c] for c in self.kept], *out)
+                yield self.make(*[row[i] for i in kept], *out)
         self.state.save(held)
 
     def advanced(self, kind, now, x):
@@ -193,23 +203,25 @@ class ColumnProcessor(StatefulProcessor):
 
 
 def keyed_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  columns: dict[str, tuple[str, Column]]) -> DataFrame:
-    """``df`` with columns (name: kind, expression) as ``Timeline`` adds them, on a stream."""
+                  columns: dict[str, tuple[str, Column | str]]) -> DataFrame:
+    """``df`` with columns (name: kind, expression or column of ``df``) as ``Timeline`` adds them, on a stream."""
     if "window" in keys:
         # built anew, so that ``ts`` alone carries the watermark
         df = df.withColumn("window", F.struct(F.col("window.start").alias("start"), F.col("window.end").alias("end")))
-    rows = df.withColumns({f"__x{i}": expr for i, (_, expr) in enumerate(columns.values())})
+    made = {f"__x{i}": expr for i, (_, expr) in enumerate(columns.values()) if not isinstance(expr, str)}
+    inputs = [expr if isinstance(expr, str) else f"__x{i}" for i, (_, expr) in enumerate(columns.values())]
+    rows = df.withColumns(made)
     # the batch plan's type, so that both forms give the same schema
     types = []
-    for i, (name, (kind, _)) in enumerate(columns.items()):
-        fn = F.max_by(f"__x{i}", F.lit(1)) if kind in _PICKED else getattr(F, kind)(f"__x{i}")
+    for x, (name, (kind, _)) in zip(inputs, columns.items()):
+        fn = F.max_by(x, F.lit(1)) if kind in _PICKED else getattr(F, kind)(x)
         types.append(T.StructField(name, rows.agg(fn.alias(name)).schema[name].dataType))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema] + types)
     timed = any("spark.watermarkDelayMs" in f.metadata for f in df.schema)
     mode = {"timeMode": "eventTime", "eventTimeColumnName": "ts"} if timed else {"timeMode": "none"}
     kinds = [kind for kind, _ in columns.values()]
     return bundled(rows, keys).groupBy(BUNDLE).transformWithState(
-        ColumnProcessor(kinds, tuple(columns), tuple(order), schema), schema, "append", **mode)
+        ColumnProcessor(kinds, inputs, tuple(columns), tuple(order), schema), schema, "append", **mode)
 
 
 class FoldProcessor(StatefulProcessor):
