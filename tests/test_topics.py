@@ -4,6 +4,7 @@ import os
 
 import pytest
 from helpers import at, keyvals, log_of
+from oracle import compare
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from tidelog import session
 from tidelog.operators import lookup
 from tidelog.operators.log import Log
 from tidelog.operators.validate import through_validated, to_validated, validate
+from tidelog.plans import ORACLES, QUERIES, examples
 from tidelog.plans.examples import ledger, word_count
 from tidelog.sources import addressing as A
 from tidelog.sources import sinks
@@ -262,6 +264,22 @@ def test_ledger(spark, layout):
     assert len({r["id"] for r in rows}) == 8 and {r["causation_id"] for r in rows} == set(ids)
 
 
+def test_accounts_of_a_ledger_are_cut_before_other_keys(spark, monkeypatch):
+    """A task's memory is bounded by the rows of a part of an account, and by what a row holds."""
+    folder, query = "/root/testdata/sf0.001", QUERIES["ledger_balances"]
+    monkeypatch.setattr(examples, "ACCOUNT_ROWS", 40)
+    node, sorted_together = [query(spark, folder)._jdf.queryExecution().optimizedPlan()], []
+    while node:
+        at = node.pop()
+        if at.nodeName() == "Window" and "__part" not in at.toString().split("\n")[0]:
+            sorted_together.append({c.split("#")[0] for c in at.child().output().mkString(";").split(";")})
+        node += [at.children().apply(i) for i in range(at.children().size())]
+    assert any("__slice" in columns for columns in sorted_together)
+    assert all(columns <= {"key", "value", "amount", "ts", "offset", "pos2", "causation_id", "__slice"}
+               for columns in sorted_together)
+    assert compare(spark, folder, "ledger_balances", query, ORACLES["ledger_balances"]) is None
+
+
 def test_shared_folders_lie_where_the_cluster_says(spark):
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()

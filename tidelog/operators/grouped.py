@@ -37,6 +37,7 @@ class GroupedLog:
     keys: tuple[str, ...] = (KEY,)
     windows: object = None
     arrived: Log | None = None  # what was put into windows, late records included
+    most: int | None = None  # rows of a key that a task may hold, if fewer than the session says
 
     @property
     def rows(self) -> DataFrame:
@@ -66,7 +67,7 @@ class GroupedLog:
                     .withColumn(VALUE, _seeded(F.col(VALUE), init)))
 
         def updates() -> Log:
-            line = Timeline.of(self.rows, self.keys, log.order, log.derived)
+            line = Timeline.of(self.rows, self.keys, log.order, log.derived, self.most)
             line = line.running("__run", reducer.kind, reducer.input())
             out = line.frame.withColumn(VALUE, _seeded(F.col("__run"), init)).drop("__run")
             return Log(out, log.order, derived=True)

@@ -66,19 +66,24 @@ def number_of(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
-def split(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-          derived: bool = False) -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, keys: Sequence[str], order: Sequence[str], derived: bool = False,
+          most: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys with their slice).
 
+    Keys of more than ``most`` rows are hot, if that is less than the session's number.
+
     Slices are cut along the first column of ``order``, a time or a number.
     Records of one key at one same time are never parted.
     """
     if derived:
         df = session.pinned(df)
+    per_task, per_slice = session.ROWS_PER_TASK, session.ROWS_PER_SLICE
+    if most is not None:
+        per_task, per_slice = min(per_task, most), min(per_slice, max(most // 4, 1))
     names = [f"__k{i}" for i in range(len(keys))]
     hot = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
            .agg(F.count(F.lit(1)).alias("__rows"))
-           .where(F.col("__rows") > session.ROWS_PER_TASK))
+           .where(F.col("__rows") > per_task))
     # one shape of the join for both halves, so that the hot keys are looked for once
     marked = df.join(F.broadcast(hot), same_key(keys), "left")
     cold = marked.where(F.col("__rows").isNull()).drop("__rows", *names)
@@ -86,7 +91,7 @@ def split(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              .withColumn("__place", number_of(df, order[0])))
     cuts = (timed.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
             .agg(F.expr(_QUANTILES_OF_PLACE).alias("__all"), F.max("__rows").alias("__n"))
-            .select(*names, _cuts(F.col("__all"), F.col("__n")).alias("__cuts")))
+            .select(*names, _cuts(F.col("__all"), F.col("__n"), per_slice).alias("__cuts")))
     cut = timed.join(F.broadcast(cuts), same_key(keys), "left")
     cut = cut.withColumn(SLICE, _slice_of(F.col("__place"), F.col("__cuts")))
     return cold, cut.drop("__rows", "__place", "__cuts", *names)
@@ -96,9 +101,9 @@ _QUANTILES_OF_PLACE = "percentile_approx(__place, array({}))".format(
     ", ".join(f"{i / QUANTILES}D" for i in range(1, QUANTILES)))
 
 
-def _cuts(quantiles: Column, rows: Column) -> Column:
+def _cuts(quantiles: Column, rows: Column, per_slice: int) -> Column:
     """The quantiles that cut so many rows into slices; fewer where they coincide."""
-    slices = F.least(F.ceil(rows / session.ROWS_PER_SLICE), F.lit(QUANTILES)).cast("int")
+    slices = F.least(F.ceil(rows / per_slice), F.lit(QUANTILES)).cast("int")
     picked = F.transform(F.sequence(F.lit(1), F.greatest(slices - 1, F.lit(1))),
                          lambda i: F.get(quantiles, F.floor(i * QUANTILES / slices).cast("int") - 1))
     return F.when(slices > 1, F.array_distinct(picked))
@@ -133,10 +138,10 @@ class Timeline:
 
     @classmethod
     def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str],
-           derived: bool = False) -> Timeline:
+           derived: bool = False, most: int | None = None) -> Timeline:
         if df.isStreaming:
             return cls(df, None, keys, order)
-        return cls(*split(df, keys, order, derived), keys, order)
+        return cls(*split(df, keys, order, derived, most), keys, order)
 
     def refined(self, *more: str) -> Timeline:
         """The same history cut finer by columns that never decrease along a key."""

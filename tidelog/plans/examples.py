@@ -1,5 +1,7 @@
 """Whole applications: word count, ledger, pipe."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidelog import session
@@ -52,6 +54,10 @@ ENTRY_RULES = {
 }
 
 
+# Rows of an account that a task may hold: a row takes some 170 bytes there.
+ACCOUNT_ROWS = 2_000_000
+
+
 def ledger(requests: Log) -> Log:
     """Turn entry requests into account transactions with running balances.
 
@@ -60,24 +66,24 @@ def ledger(requests: Log) -> Log:
     entries is no hot spot: the running sum splits its history.
     """
     valid = validate(requests, ENTRY_RULES, "drop")
-    side = lambda e, i, name, sign, n: F.struct(
-        e[name].alias("account_name"), (e["amount"] * sign).alias("amount"),
-        (i * 2 + n).cast("string").alias("place"))
-    sides = lambda k, v: F.flatten(F.transform(v["entries"], lambda e, i: F.array(
-        side(e, i, "debit_account_name", -1, 0), side(e, i, "credit_account_name", 1, 1))))
+    side = lambda e, name, sign: F.struct(e[name].alias("key"), (e["amount"] * sign).alias("value"))
+    sides = lambda k, v: F.flatten(F.transform(v["entries"], lambda e: F.array(
+        side(e, "debit_account_name", -1), side(e, "credit_account_name", 1))))
     # ids are made from whole rows, after the arrays are taken apart
-    flat = valid._with(valid.df.withColumn("causation_id", F.col("value.id")))
-    flat = flat.flat_map(lambda k, v: F.transform(sides(k, v), lambda t: F.struct(
-        t["account_name"].alias("key"), t.alias("value"))))
-    # the running sum replaces the value, so the transaction rides along beside it
-    riding = flat._with(flat.df.withColumn("transaction", F.col("value")))
-    balances = riding.group_by_key().reduce(total(lambda k, v: v["amount"])).updates()
-    before = F.col("value") - F.col("transaction.amount")
+    flat = valid._with(valid.df.withColumn("causation_id", F.col("value.id"))).flat_map(sides)
+    place = flat.order[-1]
+    # several passes follow: entries are taken apart in one of their own
+    rows = flat.df if flat.streaming else session.pinned(flat.df)
+    # the running sum replaces the value, so the amount rides along beside it; rows of an account are
+    # sorted together, and hold nothing that their other columns give
+    riding = flat._with(rows.withColumn("amount", F.col("value")))
+    balances = replace(riding.group_by_key(), most=ACCOUNT_ROWS).reduce(total()).updates()
+    before = F.col("value") - F.col("amount")
     value = F.struct(
-        "transaction.account_name", "transaction.amount",
-        uuid_v5(F.col("causation_id"), F.col("transaction.place")).alias("id"), "causation_id",
+        F.col("key").alias("account_name"), "amount",
+        uuid_v5(F.col("causation_id"), F.col(place).cast("string")).alias("id"), "causation_id",
         before.alias("starting_balance"), F.col("value").alias("current_balance"))
-    out = balances.df.withColumn("value", value).drop("transaction", "causation_id")
+    out = balances.df.withColumn("value", value).drop("amount", "causation_id")
     return balances._with(out)
 
 
