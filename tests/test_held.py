@@ -3,6 +3,7 @@
 import random
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from helpers import keyvals, log_of
 from pyspark.sql import functions as F
@@ -287,3 +288,49 @@ def test_bounded_buffer_needs_partition_and_watermark(spark, tmp_path):
         sums(log).suppress(max_records=5)
     with pytest.raises(ValueError, match="partition"):
         sums(log._with(log.df.drop("partition")).with_watermark(0)).suppress(max_records=5)
+
+
+def test_a_bounded_buffer_takes_packs_and_its_windows_frames(spark, tmp_path):
+    stream = streamed(spark, log_of(spark, RECORDS), tmp_path).with_watermark(30_000)
+    (_, taken), (frames, _) = states(sums(stream).suppress(max_records=50).df)
+    # a partition is one task, so its updates may not come one by one
+    assert "pack" in taken and "value" not in taken
+    assert frames
+
+
+def test_closed_windows_leave_the_running_state(spark, tmp_path, monkeypatch):
+    from tidelog.streaming import processors
+    monkeypatch.setattr(processors, "FRAMES", 2, raising=False)
+    log = log_of(spark, [(HOUR + i * 60_000, 1, 1) for i in range(200)])
+    stream, place = streamed(spark, log, tmp_path / "in", 10).with_watermark(0), f"{tmp_path}/checkpoint"
+    df = sums(stream).updates().df.select("key", "window", "value")
+    (df.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", place)
+     .trigger(availableNow=True).start().awaitTermination())
+    state = spark.read.format("statestore").option("operatorId", 0).option("stateVarName", "bundle").load(place)
+    held = b"".join(bytes(r.held) for r in state.select("value.held").collect())
+    # the names of windows; a micro-batch opens twenty
+    assert 0 < held.count(b'"key"') <= 80
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 200
+
+
+def test_a_buffer_keeps_values_of_any_type(spark, tmp_path):
+    log = log_of(spark, [(HOUR + i * 2_000, i % 3, (i * 7) % 11) for i in range(60)] + [(9 * HOUR, k, 1) for k in range(3)])
+    made = lambda v: F.struct(
+        F.when(v > 20, v.cast("decimal(20,3)")).alias("d"), F.array(v, F.lit(None)).alias("l"),
+        F.create_map(F.lit("\u00e9"), v / 8).alias("m"), F.timestamp_micros(v + 1_700_000_000_123_456).alias("t"))
+    held = lambda one, **limits: sums(one).map_values(made).suppress(**limits).df.select(
+        "key", "window", F.to_json("value").alias("value"))
+    got = drain(held(streamed(spark, log, tmp_path, 3).with_watermark(30_000), max_records=100))
+    assert rows(got) == rows(held(log)) and got.count() > 5
+
+
+def test_a_buffer_fails_at_the_first_update_beyond_a_limit():
+    from tidelog.streaming.held import BufferProcessor
+    check = lambda new, more, **limits: BufferProcessor((), (), {"records": None, "bytes": None, **limits}).check(
+        {"records": 1, "bytes": 10}, np.array(new), np.array(more))
+    check([True, False], [5, -5], records=2, bytes=15)
+    # what an update adds counts even where a later one takes it back
+    with pytest.raises(SuppressBufferFull, match="15 bytes, limit is 14"):
+        check([True, False], [5, -5], records=2, bytes=14)
+    with pytest.raises(SuppressBufferFull, match="3 records, limit is 2"):
+        check([True, True, False], [1, 1, 9], records=2, bytes=14)

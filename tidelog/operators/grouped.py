@@ -68,7 +68,8 @@ class GroupedLog:
 
         def updates() -> Log:
             line = Timeline.of(self.rows, self.keys, log.order, log.derived, self.most)
-            line = line.running("__run", reducer.kind, reducer.input())
+            # state on a stream takes a column by its name once
+            line = line.running("__run", reducer.kind, VALUE if log.streaming and reducer.plain else reducer.input())
             out = line.frame.withColumn(VALUE, _seeded(F.col("__run"), init)).drop("__run")
             return Log(out, log.order, derived=True)
 

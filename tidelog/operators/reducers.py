@@ -36,6 +36,11 @@ class Reducer:
     def invertible(self) -> bool:
         return self.kind in ("sum", "count")
 
+    @property
+    def plain(self) -> bool:
+        """Whether it takes the values as they are."""
+        return self.of is _value
+
     def input(self, key: str = "key", value: str = "value") -> Column:
         return self.of(F.col(key), F.col(value))
 

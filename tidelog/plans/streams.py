@@ -53,8 +53,10 @@ def arriving(spark, d, mixed=False, fewest=5):
     df.withColumn("piece", piece).write.partitionBy("piece").parquet(whole)
     pieces = spark.read.schema(df.withColumn("piece", F.lit(0)).schema).parquet(whole)
     for i, turn in enumerate(order):
-        # a file is a micro-batch, and files are taken in the order they were written
-        pieces.where(F.col("piece") == turn).drop("piece").coalesce(1).write.parquet(f"{place}/{i:06d}")
+        # a file is a micro-batch, and files are taken in the order they were written; its groups of rows
+        # are small, so that several tasks read it
+        pieces.where(F.col("piece") == turn).drop("piece").coalesce(1).write.option(
+            "parquet.block.size", 4 << 20).parquet(f"{place}/{i:06d}")
     files = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option(
         "recursiveFileLookup", "true").parquet(place)
     return events_log(files)

@@ -8,23 +8,22 @@ A window closes once stream time has reached its end plus grace, so a timer for
 
 from __future__ import annotations
 
-import pickle
-import zlib
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.operators.extremes import Multiset
 from tidelog.operators.log import KEY, VALUE
 from tidelog.operators.windows import SuppressBufferFull
-from tidelog.streaming.processors import BUNDLE, ID, BundleState, StateCell, boxed, bundled, by_key, in_order, key_named, plain
+from tidelog.streaming.processors import (
+    BUNDLE, ID, BundleState, StateCell, boxed, bundled, by_key, exact, given, in_order, key_named, plain)
 
 DELAY = "spark.watermarkDelayMs"
 
@@ -244,27 +243,6 @@ class ExtremeProcessor(StatefulProcessor):
         pass
 
 
-def exact(df: DataFrame, name: str) -> tuple[Column, Column]:
-    """A column in a form that pandas does not alter (instants as microseconds, numbers without
-    nulls), and whether there is a value."""
-    c, kind = F.col(name), df.schema[name].dataType
-    if isinstance(kind, T.TimestampType):
-        c = F.coalesce(F.unix_micros(c), F.lit(0))
-    elif isinstance(kind, T.NumericType) and not isinstance(kind, T.DecimalType):
-        c = F.coalesce(c, F.lit(0).cast(kind))
-    return c, F.col(name).isNotNull()
-
-
-def given(values: pd.Series, missing: np.ndarray, kind: T.DataType) -> pd.Series:
-    """Values of the form ``exact`` makes in their own type."""
-    kind = to_arrow_type(kind)
-    if values.dtype == object:
-        out = pa.array(values.to_numpy(), type=kind, mask=missing)
-    else:
-        out = pa.array(values.to_numpy(), mask=missing).cast(kind)
-    return pd.Series(pd.arrays.ArrowExtensionArray(out))
-
-
 def keyed_extremes(signed: DataFrame, order: Sequence[str], reducer) -> DataFrame:
     rows = bundled(signed.withColumn("__x", reducer.input()), (KEY,))
     # no name begins with an underscore: the frames a processor gets would lose it
@@ -285,6 +263,38 @@ def keyed_extremes(signed: DataFrame, order: Sequence[str], reducer) -> DataFram
 
 # Parts the windows of one closing time are held in: a part is read and written as one value.
 PARTS = 16
+# What a buffer knows of an update besides its key, window and value.
+NOTES = ("name", "size", "part", "closes")
+
+
+def packed(rows: pa.Table | pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(pack: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pack).read_all()
+
+
+def packing(place: str):
+    """Batches of rows as one row for each ``place`` in them: a processor is handed rows one by one,
+    with a cost for each value, and these as they are."""
+    def pack(batches):
+        for batch in batches:
+            places = batch.column(place).dictionary_encode(null_encoding="encode")
+            for i in range(len(places.dictionary)):
+                rows = batch.filter(pc.equal(places.indices, i)).drop_columns([place])
+                yield pa.RecordBatch.from_arrays(
+                    [places.dictionary.slice(i, 1), pa.array([packed(rows)], pa.binary())], [place, "pack"])
+    return pack
+
+
+def unpacking(batches):
+    for batch in batches:
+        for pack in batch.column("pack"):
+            yield from unpacked(pack.as_buffer()).to_batches()
 
 
 class BufferProcessor(StatefulProcessor):
@@ -292,11 +302,11 @@ class BufferProcessor(StatefulProcessor):
     the records and bytes it holds; more than the limits fails the query.
 
     Windows are held by the time they close, so that a timer reads those that close with it only.
+    Updates come, are held and leave in packs, as Arrow tables.
     """
 
-    def __init__(self, keys, order, schema, keep_ms: int, limits):
-        self.keys, self.order, self.schema = keys, order, schema
-        self.keep_ms, self.limits = keep_ms, limits
+    def __init__(self, order, kept, limits):
+        self.order, self.kept, self.limits, self.parts = tuple(order), tuple(kept), limits, PARTS
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -304,52 +314,73 @@ class BufferProcessor(StatefulProcessor):
         self.held = handle.getMapState("held", place, T.StructType([T.StructField("windows", T.BinaryType())]))
         self.account = StateCell(handle.getValueState("account", boxed(T.StructType([
             T.StructField("records", T.LongType()), T.StructField("bytes", T.LongType())]))))
-        self.emit = _row(self.schema)
+        self.emit = Row("pack")
 
-    def read(self, place: tuple) -> dict:
-        """The windows of one part: name to (key and window, value, bytes)."""
+    def read(self, place: tuple) -> pa.Table | None:
+        """The windows of one part: name, size, key and window, value."""
         got = self.held.getValue(place)
-        return {} if got is None else pickle.loads(bytes(got[0]))
+        return None if got is None else unpacked(bytes(got[0]))
 
     def handleInputRows(self, key, rows, timerValues):
         self.account.load()
         now = self.account.get() or {"records": 0, "bytes": 0}
-        passed = timerValues.getCurrentWatermarkInMs()
-        parts = {}
-        for row in in_order(rows, self.order):
-            closes = row["__end"] // 1000 + self.keep_ms
-            if closes <= passed:
-                continue
-            name = row[ID]
-            place = (closes, zlib.crc32(name.encode()) % PARTS)
-            if place not in parts:
-                parts[place] = self.read(place)
-            before = parts[place].get(name)
-            parts[place][name] = (tuple(plain(row[c]) for c in self.keys), plain(row[VALUE]), row["__bytes"])
-            now = {"records": now["records"] + (before is None),
-                   "bytes": now["bytes"] + row["__bytes"] - (before[2] if before else 0)}
-            for what, limit in self.limits.items():
-                if limit is not None and now[what] > limit:
-                    raise SuppressBufferFull(f"buffer needs {now[what]} {what}, limit is {limit}")
-        for place, windows in parts.items():
-            self.held.updateValue(place, (pickle.dumps(windows, pickle.HIGHEST_PROTOCOL),))
-        for closes in {closes for closes, _ in parts}:
+        table = pa.concat_tables([unpacked(bytes(row["pack"])) for row in rows])
+        table = table.filter(pc.greater(table["closes"], timerValues.getCurrentWatermarkInMs()))
+        # a missing position comes first
+        table = table.take(pc.sort_indices(table, [(c, "ascending") for c in self.order], null_placement="at_start"))
+        table = table.select((*self.kept, *NOTES)).combine_chunks()
+        spots, places = pd.factorize(pd.MultiIndex.from_arrays(
+            [table[c].to_numpy() for c in ("closes", "part")]))
+        places = [tuple(map(int, place)) for place in places]
+        held = [self.read(place) for place in places]
+        known = {}
+        for windows in held:
+            if windows is not None:
+                known.update(zip(windows["name"].to_pylist(), windows["size"].to_pylist()))
+        codes, names = pd.factorize(table["name"].to_numpy())
+        size = table["size"].to_numpy()
+        before = pd.Series(size).groupby(codes).shift(fill_value=-1).to_numpy("int64", copy=True)
+        # names are numbered as they come, so the first updates of windows are in their order
+        before[np.flatnonzero(before < 0)] = [known.get(name, -1) for name in names]
+        new, more = before < 0, size - np.maximum(before, 0)
+        self.check(now, new, more)
+        last = np.zeros(len(names), "int64")
+        last[codes] = np.arange(len(codes))
+        newest, spots = table.take(last), spots[last]
+        for place, old, at in zip(places, held, rows_of(spots, len(places))):
+            windows = newest.take(at).drop_columns(["part", "closes"])
+            if old is not None:
+                stay = pc.invert(pc.is_in(old["name"], value_set=windows["name"].combine_chunks()))
+                windows = pa.concat_tables([old.filter(stay), windows])
+            self.held.updateValue(place, (packed(windows),))
+        for closes in {closes for closes, _ in places}:
             self.handle.registerTimer(closes)
-        self.account.put(now)
+        self.account.put({"records": now["records"] + int(new.sum()), "bytes": now["bytes"] + int(more.sum())})
         self.account.save()
         return iter(())
 
+    def check(self, now: dict, new: np.ndarray, more: np.ndarray) -> None:
+        """Fails at the first update that takes the buffer beyond a limit."""
+        over = []
+        for rank, (what, moves) in enumerate((("records", new), ("bytes", more))):
+            if self.limits[what] is not None:
+                needed = now[what] + np.cumsum(moves, dtype="int64")
+                over += [(int(i), rank, what, int(needed[i])) for i in np.flatnonzero(needed > self.limits[what])[:1]]
+        if over:
+            _, _, what, needed = min(over)
+            raise SuppressBufferFull(f"buffer needs {needed} {what}, limit is {self.limits[what]}")
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.account.load()
         now = self.account.get()
-        for part in range(PARTS):
+        for part in range(self.parts):
             place = (expiredTimerInfo.getExpiryTimeInMs(), part)
             windows = self.read(place)
-            if windows:
-                self.held.removeKey(place)
-            for who, value, size in windows.values():
-                now = {"records": now["records"] - 1, "bytes": now["bytes"] - size}
-                yield self.emit({**dict(zip(self.keys, who)), VALUE: value})
+            if windows is None:
+                continue
+            self.held.removeKey(place)
+            now = {"records": now["records"] - windows.num_rows, "bytes": now["bytes"] - pc.sum(windows["size"]).as_py()}
+            yield self.emit(packed(windows.select(self.kept)))
         self.account.put(now)
         self.account.save()
 
@@ -357,6 +388,11 @@ class BufferProcessor(StatefulProcessor):
         pass
 
 
+def rows_of(codes: np.ndarray, n: int) -> list[np.ndarray]:
+    """The rows of each code."""
+    return np.split(np.argsort(codes, kind="stable"), np.cumsum(np.bincount(codes, minlength=n))[:-1])
+
+
 def bounded_final(updates, keys: Sequence[str], closing_delay_ms: int, max_records: int | None,
                   max_bytes: int | None) -> DataFrame:
     """The last update of each window once it closes, from one bounded buffer per log partition."""
@@ -368,11 +404,21 @@ def bounded_final(updates, keys: Sequence[str], closing_delay_ms: int, max_recor
     size = F.octet_length(F.to_json(F.struct(*keys, VALUE))).cast("long")
     rows = df.withColumns({**sides, "__bytes": size}).drop("window")
     names = tuple(c for c in (*keys, *sides) if c != "window")
-    rows = bundled(rows, names).select(*dict.fromkeys((*names, VALUE, *updates.order, "partition", "__bytes", ID)))
-    fields = [T.StructField(c, rows.schema[c].dataType) for c in (*names, VALUE)]
-    processor = BufferProcessor(names, tuple(updates.order), T.StructType(fields),
-                                closing_delay_ms - delay, {"records": max_records, "bytes": max_bytes})
-    out = _timed(rows, ("partition",), processor, T.StructType(fields))
+    kept = tuple(dict.fromkeys((*names, VALUE)))
+    rows = bundled(rows, names)
+    # an end is a whole number of milliseconds
+    notes = (F.col(ID), F.col("__bytes"), F.pmod(F.xxhash64(ID), F.lit(PARTS)).cast("int"),
+             F.expr("__end div 1000") + F.lit(closing_delay_ms - delay))
+    # positions have names of their own, since they may be among the keys
+    order = {f"__at{i}": F.col(c) for i, c in enumerate(updates.order)}
+    sent = rows.select(F.col("partition").alias("__place"), *kept, *[c.alias(n) for n, c in order.items()],
+                       *[c.alias(n) for n, c in zip(NOTES, notes)])
+    place = T.StructType([sent.schema["__place"], T.StructField("pack", T.BinaryType())])
+    # no record is late here that was not where the updates were made
+    out = sent.mapInArrow(packing("__place"), place).groupBy("__place").transformWithState(
+        BufferProcessor(tuple(order), kept, {"records": max_records, "bytes": max_bytes}),
+        T.StructType([T.StructField("pack", T.BinaryType())]), "append", "eventTime")
+    out = out.mapInArrow(unpacking, T.StructType([T.StructField(c, rows.schema[c].dataType) for c in kept]))
     window = F.struct(*[F.timestamp_micros(c).alias(c[2:]) for c in sides]).alias("window")
     return out.select(*[c for c in keys if c != "window"], window, VALUE)
 

@@ -6,7 +6,8 @@ source bounds that.  State lives in the RocksDB store and survives lost executor
 
 Each group a processor is called with costs several calls from Python to the state
 store, some milliseconds.  Where keys are many they share groups (``bundled``): the
-state of all keys of a bundle is read once and written once in a micro-batch.
+state of all keys of a bundle is read once and written once in a micro-batch.  Windows
+are more still, so theirs come as frames of few large bundles.
 """
 
 from __future__ import annotations
@@ -15,9 +16,13 @@ import pickle
 from collections.abc import Iterator, Sequence
 from itertools import groupby
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.operators.log import KEY, VALUE, Log
@@ -69,12 +74,14 @@ def in_order(rows: Iterator[Row], order: Sequence[str]) -> list[Row]:
 
 # Bundles a stream's keys are dealt to.  It may not change while a query has a checkpoint.
 BUNDLES = 4096
+# Bundles whose records come as frames: fewer, since a frame costs more and a row in it less.
+FRAMES = 256
 BUNDLE, ID = "__bundle", "__id"
 _EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
           "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def bundled(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def bundled(df: DataFrame, keys: Sequence[str], bundles: int = BUNDLES) -> DataFrame:
     """``df`` with the name ``__id`` of a row's key and the number of its bundle."""
     def part(k: str) -> Column:
         # the two zeros are one key
@@ -82,7 +89,7 @@ def bundled(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         return (F.col(k) + F.lit(0.0) if real else F.col(k)).alias(k)
 
     named = df.withColumn(ID, F.to_json(F.struct(*map(part, keys)), _EXACT))
-    return named.withColumn(BUNDLE, F.pmod(F.xxhash64(ID), F.lit(BUNDLES)).cast("int"))
+    return named.withColumn(BUNDLE, F.pmod(F.xxhash64(ID), F.lit(bundles)).cast("int"))
 
 
 def key_named(kind: T.DataType) -> Column:
@@ -114,6 +121,68 @@ class BundleState:
             self._state.clear()
 
 
+# -- records as frames ----------------------------------------------------------
+
+
+def exact(df: DataFrame, name: str) -> tuple[Column, Column]:
+    """A column in a form that pandas does not alter (instants as microseconds, numbers without
+    nulls), and whether there is a value."""
+    c, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        c = F.coalesce(F.unix_micros(c), F.lit(0))
+    elif isinstance(kind, T.NumericType) and not isinstance(kind, T.DecimalType):
+        c = F.coalesce(c, F.lit(0).cast(kind))
+    return c, F.col(name).isNotNull()
+
+
+def given(values: pd.Series, missing: np.ndarray, kind: T.DataType) -> pd.Series:
+    """Values of the form ``exact`` makes in their own type."""
+    kind = to_arrow_type(kind)
+    if values.dtype == object:
+        out = pa.array(values.to_numpy(), type=kind, mask=missing)
+    else:
+        out = pa.array(values.to_numpy(), mask=missing).cast(kind)
+    return pd.Series(pd.arrays.ArrowExtensionArray(out))
+
+
+def fits_frames(kinds: Iterator[T.DataType]) -> bool:
+    """Whether a frame brings back all values of these types as they were."""
+    return all(isinstance(k, (T.NumericType, T.StringType, T.BooleanType, T.TimestampType)) for k in kinds)
+
+
+def bare(df: DataFrame, names: Sequence[str], filled: Sequence[str] = ()) -> set[str]:
+    """Of these columns those whose values tell by themselves where there is none, ``filled`` ones and objects."""
+    return {n for n in names if n in filled or isinstance(df.schema[n].dataType, (T.StringType, T.DecimalType))}
+
+
+def framed(df: DataFrame, names: Sequence[str], alone: set[str]) -> list[Column]:
+    """The columns as a frame takes them, each value costs; no name begins with an underscore, or frames would lose it."""
+    return [c.alias(f"{side}{i}") for i, n in enumerate(names) for side, c in zip(("at", "known"), exact(df, n))
+            if side == "at" or n not in alone]
+
+
+class Frame:
+    """The records of a group, in order, a missing position first."""
+
+    def __init__(self, rows: Iterator[pd.DataFrame], names: Sequence[str], alone: set[str], order: Sequence[str]):
+        self.names, frame = names, pd.concat(list(rows), ignore_index=True)
+        for i, n in enumerate(names):
+            if n in alone:
+                frame[f"known{i}"] = frame[f"at{i}"].notna()
+        places = [names.index(c) for c in order]
+        by = [f"{side}{i}" for i in places for side in ("known", "at")]
+        self.frame = frame.sort_values(by, ignore_index=True, kind="stable")
+
+    def known(self, name: str) -> pd.Series:
+        return self.frame[f"known{self.names.index(name)}"].astype(bool)
+
+    def values(self, name: str) -> pd.Series:
+        return self.frame[f"at{self.names.index(name)}"]
+
+    def typed(self, schema: T.StructType, names: Sequence[str]) -> dict[str, pd.Series]:
+        return {n: given(self.values(n), ~self.known(n).to_numpy(), schema[n].dataType) for n in names}
+
+
 def _emitter(schema: T.StructType):
     make = Row(*schema.names)
     names = schema.names
@@ -202,6 +271,59 @@ class ColumnProcessor(StatefulProcessor):
         pass
 
 
+class WindowColumnProcessor(ColumnProcessor):
+    """The same for windows of a stream with a watermark, on frames of a bundle's records.
+
+    A window is let go when the watermark has passed its end, since no record in it comes any more.
+    """
+
+    def __init__(self, kinds, inputs, names, order, schema, taken: Sequence[str], alone: set[str]):
+        super().__init__(kinds, inputs, names, order, schema)
+        self.added, self.taken, self.alone = tuple(names), list(taken), alone
+
+    def handleInputRows(self, key, rows, timerValues):
+        frame = Frame(rows, self.taken, self.alone, self.order)
+        names = frame.frame["name"].tolist()
+        held = self.state.load() or {"passed": None, "ends": {}, "values": [{} for _ in self.kinds]}
+        # by the watermark of an earlier time: the engine drops records by that of the batch before
+        if held["passed"] is not None:
+            for name in [name for name, end in held["ends"].items() if end <= held["passed"] * 1000]:
+                del held["ends"][name]
+                for now in held["values"]:
+                    del now[name]
+        held["ends"].update(zip(names, frame.values("__end").tolist()))
+        out = frame.typed(self.schema, self.kept)
+        for added, kind, source, now in zip(self.added, self.kinds, self.inputs, held["values"]):
+            made = []
+            for name, x, there in zip(names, frame.values(source).tolist(), frame.known(source).tolist()):
+                x, was = x if there else None, now.get(name)
+                now[name] = x if kind == "previous" else self.advanced(kind, was, x)
+                made.append(was if kind in ("previous", "prior") else now[name])
+            out[added] = given(pd.Series(made, dtype=object), np.array([x is None for x in made]),
+                               self.schema[added].dataType)
+        held["passed"] = timerValues.getCurrentWatermarkInMs()
+        self.state.save(held)
+        yield pd.DataFrame(out)
+
+
+def _window_columns(rows: DataFrame, keys, order, kinds, inputs, added: T.StructType, columns: Sequence[str]) -> DataFrame:
+    sides = {f"__{side}": F.unix_micros(f"window.{side}") for side in ("start", "end")}
+    flat = rows.withColumns(sides).drop("window")
+    kept = [c for c in flat.columns if c in (*columns, *sides)]
+    taken = list(dict.fromkeys((*kept, *inputs)))
+    # a record without a time is in no window
+    alone = bare(flat, taken, (*sides, "ts"))
+    schema = T.StructType([T.StructField(c, flat.schema[c].dataType) for c in kept] + added.fields)
+    sent = bundled(flat, [c for c in (*keys, *sides) if c != "window"], FRAMES)
+    # the time itself goes along to keep the watermark
+    sent = sent.select(BUNDLE, F.col(ID).alias("name"), "ts", *framed(sent, taken, alone))
+    out = sent.groupBy(BUNDLE).transformWithStateInPandas(
+        WindowColumnProcessor(kinds, inputs, added.names, order, schema, taken, alone), schema, "append", "eventTime",
+        eventTimeColumnName="ts")
+    window = F.struct(*[F.timestamp_micros(c).alias(c[2:]) for c in sides]).alias("window")
+    return out.select(*[window if c == "window" else c for c in columns], *added.names)
+
+
 def keyed_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   columns: dict[str, tuple[str, Column | str]]) -> DataFrame:
     """``df`` with columns (name: kind, expression or column of ``df``) as ``Timeline`` adds them, on a stream."""
@@ -220,6 +342,9 @@ def keyed_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     timed = any("spark.watermarkDelayMs" in f.metadata for f in df.schema)
     mode = {"timeMode": "eventTime", "eventTimeColumnName": "ts"} if timed else {"timeMode": "none"}
     kinds = [kind for kind, _ in columns.values()]
+    flat = [*(f.dataType for f in rows.schema if f.name != "window"), *(f.dataType for f in types)]
+    if timed and "window" in keys and fits_frames([*flat, *(f.dataType for f in rows.schema["window"].dataType)]):
+        return _window_columns(rows, keys, tuple(order), kinds, inputs, T.StructType(types), df.columns)
     return bundled(rows, keys).groupBy(BUNDLE).transformWithState(
         ColumnProcessor(kinds, inputs, tuple(columns), tuple(order), schema), schema, "append", **mode)
 
