@@ -280,14 +280,14 @@ def unpacked(pack: bytes) -> pa.Table:
 
 def packing(place: str):
     """Batches of rows as one row for each ``place`` in them: a processor is handed rows one by one,
-    with a cost for each value, and these as they are."""
+    with a cost for each value, and these as they are.  ``turn`` is their order within a task."""
     def pack(batches):
-        for batch in batches:
+        for turn, batch in enumerate(batches):
             places = batch.column(place).dictionary_encode(null_encoding="encode")
             for i in range(len(places.dictionary)):
                 rows = batch.filter(pc.equal(places.indices, i)).drop_columns([place])
-                yield pa.RecordBatch.from_arrays(
-                    [places.dictionary.slice(i, 1), pa.array([packed(rows)], pa.binary())], [place, "pack"])
+                yield pa.RecordBatch.from_arrays([places.dictionary.slice(i, 1), pa.array([turn], pa.int64()),
+                                                  pa.array([packed(rows)], pa.binary())], [place, "turn", "pack"])
     return pack
 
 
@@ -324,7 +324,8 @@ class BufferProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         self.account.load()
         now = self.account.get() or {"records": 0, "bytes": 0}
-        table = pa.concat_tables([unpacked(bytes(row["pack"])) for row in rows])
+        # updates of one position and window come from one task, and stay as they came
+        table = pa.concat_tables([unpacked(bytes(row["pack"])) for row in sorted(rows, key=lambda r: r["turn"])])
         table = table.filter(pc.greater(table["closes"], timerValues.getCurrentWatermarkInMs()))
         # a missing position comes first
         table = table.take(pc.sort_indices(table, [(c, "ascending") for c in self.order], null_placement="at_start"))
@@ -413,7 +414,7 @@ def bounded_final(updates, keys: Sequence[str], closing_delay_ms: int, max_recor
     order = {f"__at{i}": F.col(c) for i, c in enumerate(updates.order)}
     sent = rows.select(F.col("partition").alias("__place"), *kept, *[c.alias(n) for n, c in order.items()],
                        *[c.alias(n) for n, c in zip(NOTES, notes)])
-    place = T.StructType([sent.schema["__place"], T.StructField("pack", T.BinaryType())])
+    place = T.StructType([sent.schema["__place"], T.StructField("turn", T.LongType()), T.StructField("pack", T.BinaryType())])
     # no record is late here that was not where the updates were made
     out = sent.mapInArrow(packing("__place"), place).groupBy("__place").transformWithState(
         BufferProcessor(tuple(order), kept, {"records": max_records, "bytes": max_bytes}),
